@@ -1,0 +1,211 @@
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame, plus DuckDB oracle SQL.
+
+Each query reads the driver tables through ``plans/views.py`` and calls the
+library operators; the output is flattened to scalar columns (dates as ISO
+text, scores rounded to 6 places) so that both engines can be compared.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import coerce, text, vectors
+from ..operators import clean, topk
+from ..schemas import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS, SUMMARY_PIPE_COLUMNS
+from . import oracle as O
+from . import views as V
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            SQL[name] = sql
+        return fn
+    return deco
+
+
+def _complaints(spark: SparkSession, sf: str) -> DataFrame:
+    return V.complaints(V.table(spark, sf, "documents"))
+
+
+def _corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return V.corpus(V.table(spark, sf, "embeddings"), V.table(spark, sf, "documents"))
+
+
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+                       if f.dataType.simpleString() == "date" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+# ---------------------------------------------------------------- vectors
+@query("l2_normalize", """
+SELECT vec_id, round(nrm, 6) AS norm_in,
+       round(list_sum(list_transform(embedding, lambda x: CAST(CAST(CAST(x AS DOUBLE) / nrm AS FLOAT) AS DOUBLE))), 6) AS sum_out,
+       round(sqrt(list_sum(list_transform(embedding, lambda x: pow(CAST(CAST(CAST(x AS DOUBLE) / nrm AS FLOAT) AS DOUBLE), 2)))), 6) AS norm_out
+FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm
+      FROM embeddings)""")
+def q_l2_normalize(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    n = e.select("vec_id", "embedding", vectors.l2_normalize("embedding").alias("u"))
+    return n.select("vec_id", F.round(vectors.norm("embedding"), 6).alias("norm_in"),
+                    F.round(F.aggregate("u", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("sum_out"),
+                    F.round(vectors.norm("u"), 6).alias("norm_out"))
+
+
+@query("topk_exact", O.with_views(
+    "SELECT incident_id, id, rank, score FROM retrieved", corpus=True))
+def q_topk_exact(spark, sf):
+    c = _corpus(spark, sf)
+    r = topk.topk_exact(c, V.incidents(c), k=20)
+    return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
+                    F.round("score", 6).alias("score"))
+
+
+# ---------------------------------------------------------------- cleaning steps
+@query("strip_quotes", O.with_views(
+    "SELECT seq, " + ", ".join(f"replace({c}, '\"', '') AS {c}" for c in RAW_COLUMNS) + " FROM complaints",
+    complaints=True))
+def q_strip_quotes(spark, sf):
+    return clean.strip_quotes(_complaints(spark, sf))
+
+
+@query("coerce_numeric", O.with_views(
+    "SELECT seq, cmplid, " + ", ".join(f"TRY_CAST(trim({c}) AS DOUBLE) AS {c}" for c in NUMERIC_COLUMNS)
+    + " FROM complaints", complaints=True))
+def q_coerce_numeric(spark, sf):
+    return clean.coerce_numeric(_complaints(spark, sf)).select("seq", "cmplid", *NUMERIC_COLUMNS)
+
+
+@query("parse_dates", O.with_views(
+    "SELECT seq, " + ", ".join(f"{O.date_text_sql(O.compact_date_sql(c))} AS {c}" for c in DATE_COLUMNS)
+    + " FROM complaints", complaints=True))
+def q_parse_dates(spark, sf):
+    return _dates_as_text(clean.parse_dates(_complaints(spark, sf)).select("seq", *DATE_COLUMNS))
+
+
+_GUARD_COLS = [x for c in DATE_COLUMNS for x in (c, c + "_raw_invalid")]
+
+
+@query("date_range_guard", O.with_views(
+    "SELECT seq, " + ", ".join(
+        f"{O.date_text_sql(O.guard_sql('d_' + c, True))} AS {c}, "
+        f"{O.date_text_sql(O.guard_sql('d_' + c, False))} AS {c}_raw_invalid" for c in DATE_COLUMNS)
+    + " FROM (SELECT seq, " + ", ".join(f"{O.compact_date_sql(c)} AS d_{c}" for c in DATE_COLUMNS)
+    + " FROM complaints)", complaints=True))
+def q_date_range_guard(spark, sf):
+    df = clean.date_range_guard(clean.parse_dates(_complaints(spark, sf)))
+    return _dates_as_text(df.select("seq", *_GUARD_COLS))
+
+
+@query("filter_short_text", O.with_views(
+    "SELECT seq, cmplid, compdesc FROM complaints WHERE length(compdesc) > 5", complaints=True))
+def q_filter_short_text(spark, sf):
+    return clean.filter_short_text(_complaints(spark, sf)).select("seq", "cmplid", "compdesc")
+
+
+@query("canonical_name", O.with_views(
+    f"SELECT seq, {O.canonical_sql('mfr_name')} AS mfr_name FROM complaints", complaints=True))
+def q_canonical_name(spark, sf):
+    return clean.canonical_names(_complaints(spark, sf)).select("seq", "mfr_name")
+
+
+@query("summary_sentence", O.with_views(
+    f"SELECT seq, {O.sentence_sql()} AS summary FROM complaints", complaints=True))
+def q_summary_sentence(spark, sf):
+    return _complaints(spark, sf).select("seq", text.summary_sentence().alias("summary"))
+
+
+@query("summary_pipe", O.with_views(
+    f"SELECT seq, {O.pipe_summary_sql(SUMMARY_PIPE_COLUMNS)} AS summary FROM complaints", complaints=True))
+def q_summary_pipe(spark, sf):
+    return _complaints(spark, sf).select("seq", text.summary_pipe(SUMMARY_PIPE_COLUMNS).alias("summary"))
+
+
+@query("summary_fallback", O.with_views(
+    f"""SELECT seq, CASE WHEN coalesce(NOT {O.nonblank_sql('s')}, TRUE) THEN 'NO_DESCRIPTION_AVAILABLE' ELSE s END AS summary,
+       coalesce(NOT {O.nonblank_sql('s')}, TRUE) AS used_fallback
+FROM (SELECT seq, {O.pipe_summary_sql(SUMMARY_PIPE_COLUMNS)} AS s FROM complaints)""", complaints=True))
+def q_summary_fallback(spark, sf):
+    df = _complaints(spark, sf).select("seq", text.summary_pipe(SUMMARY_PIPE_COLUMNS).alias("s"))
+    return df.select("seq", text.with_fallback(F.col("s")).alias("summary"),
+                     F.coalesce(text.is_blank("s"), F.lit(True)).alias("used_fallback"))
+
+
+@query("embed_input", O.with_views(
+    f"SELECT seq, 'search_document: ' || coalesce({O.pipe_summary_sql(SUMMARY_PIPE_COLUMNS)}, '') AS embed_text "
+    "FROM complaints", complaints=True))
+def q_embed_input(spark, sf):
+    df = _complaints(spark, sf)
+    return df.select("seq", text.task_prefix(text.summary_pipe(SUMMARY_PIPE_COLUMNS)).alias("embed_text"))
+
+
+@query("parse_yn", O.with_views(
+    f"SELECT seq, crash, {O.yn_sql('crash')} AS crash_flag FROM complaints", complaints=True))
+def q_parse_yn(spark, sf):
+    return _complaints(spark, sf).select("seq", "crash", coerce.parse_yn("crash").alias("crash_flag"))
+
+
+@query("int_or_zero", O.with_views(
+    f"SELECT seq, miles, {O.int_or_zero_sql('miles')} AS miles_int, "
+    f"{O.int_or_zero_sql('miles', strict=True)} AS miles_strict FROM complaints", complaints=True))
+def q_int_or_zero(spark, sf):
+    return _complaints(spark, sf).select("seq", "miles", coerce.int_or_zero("miles").alias("miles_int"),
+                                         coerce.int_or_zero("miles", strict=True).alias("miles_strict"))
+
+
+@query("dedup_first", O.with_views(
+    "SELECT seq, cmplid, odino, compdesc FROM complaints "
+    "QUALIFY row_number() OVER (PARTITION BY cmplid ORDER BY seq) = 1", complaints=True))
+def q_dedup_first(spark, sf):
+    return clean.dedup_first(_complaints(spark, sf)).select("seq", "cmplid", "odino", "compdesc")
+
+
+@query("merge_by_report", O.with_views(
+    """SELECT r.odino, r.seq, r.cmplid, coalesce(j.compdesc, '') AS compdesc, r.modeltxt, r.miles
+FROM (SELECT odino, min(seq) AS seq, min(cmplid) AS cmplid,
+             arg_min(modeltxt, seq) FILTER (WHERE modeltxt IS NOT NULL) AS modeltxt,
+             arg_min(miles, seq) FILTER (WHERE miles IS NOT NULL) AS miles
+      FROM (SELECT seq, odino, cmplid, compdesc, modeltxt, TRY_CAST(trim(miles) AS DOUBLE) AS miles FROM complaints)
+      GROUP BY odino) r
+LEFT JOIN (SELECT odino, string_agg(compdesc, ' | ' ORDER BY f) AS compdesc
+           FROM (SELECT odino, compdesc, min(seq) AS f FROM complaints GROUP BY odino, compdesc)
+           WHERE compdesc IS NOT NULL GROUP BY odino) j USING (odino)""", complaints=True))
+def q_merge_by_report(spark, sf):
+    df = clean.coerce_numeric(_complaints(spark, sf).select("seq", "odino", "cmplid", "compdesc",
+                                                             "modeltxt", "miles"), ["miles"])
+    return clean.merge_by_report(df)
+
+
+_CLEAN_OUT = ["seq", "odino", "cmplid", "compdesc", "summary"] + \
+    [c for c in RAW_COLUMNS if c not in ("odino", "cmplid", "compdesc")] + [d + "_raw_invalid" for d in DATE_COLUMNS]
+
+
+def _clean_sql_select() -> str:
+    cols = []
+    for c in _CLEAN_OUT:
+        if c in DATE_COLUMNS or c.endswith("_raw_invalid"):
+            cols.append(f"{O.date_text_sql(c)} AS {c}")
+        else:
+            cols.append(c)
+    return "SELECT " + ", ".join(cols) + " FROM clean"
+
+
+@query("clean_complaints", O.with_views(_clean_sql_select(), complaints=True, extra=O.clean_ctes()))
+def q_clean_complaints(spark, sf):
+    return _dates_as_text(clean.clean_complaints(_complaints(spark, sf)).select(*_CLEAN_OUT))
+
+
+@query("defang_urls", f"SELECT page_id, {O.defang_sql('url')} AS url FROM pages")
+def q_defang_urls(spark, sf):
+    return V.table(spark, sf, "pages").select("page_id", text.defang_links("url").alias("url"))
+
+
+@query("defang_html", f"SELECT page_id, {O.defang_sql('html')} AS html FROM pages")
+def q_defang_html(spark, sf):
+    return V.table(spark, sf, "pages").select("page_id", text.defang_links("html").alias("html"))
