@@ -209,3 +209,184 @@ def q_defang_urls(spark, sf):
 @query("defang_html", f"SELECT page_id, {O.defang_sql('html')} AS html FROM pages")
 def q_defang_html(spark, sf):
     return V.table(spark, sf, "pages").select("page_id", text.defang_links("html").alias("html"))
+
+
+# ---------------------------------------------------------------- typed corpus, audits, quarantine
+from ..operators import audit, evaluate, report, typed  # noqa: E402
+
+
+def _guarded_text(spark, sf) -> DataFrame:
+    """Complaints after date parsing and range guard, rendered in processed text form."""
+    g = clean.date_range_guard(clean.parse_dates(_complaints(spark, sf)))
+    return typed.processed_text(g)
+
+
+_PAIR_SQL_SRC = ("(SELECT seq, " + ", ".join(
+    f"coalesce({O.date_text_sql(O.guard_sql(O.compact_date_sql(c), True))}, '') AS {c}, "
+    f"coalesce({O.date_text_sql(O.guard_sql(O.compact_date_sql(c), False))}, '') AS {c}_raw_invalid"
+    for c in DATE_COLUMNS) + " FROM complaints)")
+
+
+def _pair_select() -> str:
+    out = []
+    for c in DATE_COLUMNS:
+        d, m = O.date_pair_sql(c, c + "_raw_invalid")
+        out.append(f"{O.date_text_sql(d)} AS {c}, {m} AS {c}_raw_invalid")
+    return ", ".join(out)
+
+
+@query("date_pair", O.with_views(f"SELECT seq, {_pair_select()} FROM {_PAIR_SQL_SRC}", complaints=True))
+def q_date_pair(spark, sf):
+    t = _guarded_text(spark, sf)
+    cols = [F.col("seq")]
+    for c in DATE_COLUMNS:
+        d, m = coerce.date_pair(F.col(c), F.col(c + "_raw_invalid"))
+        cols += [F.date_format(d, "yyyy-MM-dd").alias(c), m.alias(c + "_raw_invalid")]
+    return t.select(*cols)
+
+
+def _typed_sql() -> str:
+    from ..schemas import FLAG_COLUMNS, PROCESSED_COLUMNS
+    cols = ["seq"]
+    for c in PROCESSED_COLUMNS:
+        if c == "embedding" or c.endswith("_raw_invalid"):
+            continue
+        src = f"coalesce({c}, '')"
+        if c in FLAG_COLUMNS:
+            cols.append(f"{O.yn_sql(src)} AS {c}")
+        elif c in NUMERIC_COLUMNS:
+            cols.append(f"{O.int_or_zero_sql(src)} AS {c}")
+        elif c in DATE_COLUMNS:
+            d, m = O.date_pair_sql(src, f"coalesce({c}_raw_invalid, '')")
+            cols.append(f"{O.date_text_sql(d)} AS {c}, {m} AS {c}_raw_invalid")
+        else:
+            cols.append(f"{O.strip_ws_sql(src)} AS {c}")
+    cols.append(f"CASE WHEN {O.strip_ws_sql('coalesce(cmplid, chr(0))')} = '' THEN 'missing cmplid' END AS reject_reason")
+    # processed text form of the clean output: numbers as text, dates ISO, missing -> ''
+    txt = ["seq"]
+    from ..schemas import CLEAN_COLUMNS
+    for c in CLEAN_COLUMNS:
+        if c in DATE_COLUMNS or c.endswith("_raw_invalid"):
+            txt.append(f"coalesce({O.date_text_sql(c)}, '') AS {c}")
+        elif c in NUMERIC_COLUMNS:
+            txt.append(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}")
+        else:
+            txt.append(f"coalesce({c}, '') AS {c}")
+    return (f"SELECT {', '.join(cols)} FROM (SELECT {', '.join(txt)} FROM clean)")
+
+
+@query("typed_corpus", O.with_views(_typed_sql(), complaints=True, extra=O.clean_ctes()))
+def q_typed_corpus(spark, sf):
+    t = typed.typed_rows(typed.processed_text(clean.clean_complaints(_complaints(spark, sf))))
+    return _dates_as_text(t)
+
+
+@query("constraint_audit")
+def q_constraint_audit(spark, sf):
+    df = _complaints(spark, sf).withColumn("summary", text.summary_sentence())
+    return audit.constraint_audit(df)
+
+
+def _audit_sql() -> str:
+    from ..schemas import BOUNDED_LENGTHS
+    rules = [("cmplid_null", "count_if(cmplid IS NULL)"), ("cmplid_blank", "count_if(cmplid = '')"),
+             ("cmplid_repeated", "count(cmplid) - count(DISTINCT cmplid)"),
+             ("odino_null", "count_if(odino IS NULL)"), ("summary_null", f"count_if(({O.sentence_sql()}) IS NULL)")]
+    rules += [(f"{c}_over_{n}", f"count_if(length({c}) > {n})") for c, n in BOUNDED_LENGTHS]
+    return " UNION ALL ".join(f"SELECT '{r}' AS rule, CAST({e} AS BIGINT) AS violations FROM complaints"
+                              for r, e in rules)
+
+
+SQL["constraint_audit"] = O.with_views(_audit_sql(), complaints=True)
+
+
+@query("blank_profile", O.with_views(
+    "SELECT CAST(count_if(mfr_name = '') AS BIGINT) AS blank_mfr_name, CAST(count_if(cmplid = '') AS BIGINT) AS blank_cmplid, "
+    "CAST(count_if(odino = '') AS BIGINT) AS blank_odino FROM complaints", complaints=True))
+def q_blank_profile(spark, sf):
+    return audit.blank_profile(_complaints(spark, sf))
+
+
+@query("invalid_date_rows", O.with_views(
+    "SELECT seq, cmplid, " + ", ".join(f"{O.date_text_sql(c + '_raw_invalid')} AS {c}_raw_invalid" for c in DATE_COLUMNS)
+    + " FROM (SELECT seq, cmplid, " + ", ".join(f"{O.guard_sql(O.compact_date_sql(c), False)} AS {c}_raw_invalid"
+                                             for c in DATE_COLUMNS)
+    + " FROM complaints) WHERE coalesce(" + ", ".join(f"{c}_raw_invalid" for c in DATE_COLUMNS) + ") IS NOT NULL",
+    complaints=True))
+def q_invalid_date_rows(spark, sf):
+    g = clean.date_range_guard(clean.parse_dates(_complaints(spark, sf)))
+    return _dates_as_text(audit.invalid_date_rows(g))
+
+
+@query("field_length_probe", O.with_views(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(max(length({c})) AS BIGINT) AS max_length FROM complaints"
+                       for c in RAW_COLUMNS), complaints=True))
+def q_field_length_probe(spark, sf):
+    return audit.field_length_probe(_complaints(spark, sf), RAW_COLUMNS)
+
+
+@query("sensitive_value_flags", O.with_views(
+    f"""SELECT seq, regexp_matches(coalesce(cdescr, ''), {O.q(audit.EMAIL_RX)}) AS has_email,
+       regexp_matches(coalesce(cdescr, ''), {O.q(audit.PHONE_RX)}) AS has_phone,
+       regexp_matches(coalesce(cdescr, ''), {O.q(audit.VIN_RX)}) AS has_vin,
+       length({O.strip_ws_sql("coalesce(cdescr, '')")}) < {audit.SHORT_CONTEXT_CHARS} AS short_context
+FROM complaints""", complaints=True))
+def q_sensitive_value_flags(spark, sf):
+    return audit.sensitive_value_flags(_complaints(spark, sf))
+
+
+@query("quarantine_rows", O.with_views(
+    """SELECT seq, cmplid, 'short_compdesc' AS reason FROM s1 WHERE length(compdesc) <= 5
+UNION ALL
+SELECT seq, cmplid, 'duplicate_cmplid' AS reason FROM s1 WHERE length(compdesc) > 5
+QUALIFY row_number() OVER (PARTITION BY cmplid ORDER BY seq) > 1""", complaints=True,
+    extra="s1 AS (SELECT seq, cmplid, replace(compdesc, '\"', '') AS compdesc FROM complaints)"))
+def q_quarantine_rows(spark, sf):
+    return clean.rejected_rows(_complaints(spark, sf)).select("seq", "cmplid", "reason")
+
+
+# ---------------------------------------------------------------- vectors
+@query("cosine_scores", """
+WITH e AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm FROM embeddings),
+q AS (SELECT embedding AS qv, nrm AS qn FROM e WHERE vec_id = (SELECT min(vec_id) FROM embeddings))
+SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1),
+       lambda i: CAST(embedding[i] AS DOUBLE) * CAST(qv[i] AS DOUBLE))) / (nrm * qn), 6) AS score
+FROM e CROSS JOIN q""")
+def q_cosine_scores(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    # one-row query vector: a proven-size broadcast
+    qv = e.join(e.agg(F.min("vec_id").alias("vec_id")), "vec_id").select(F.col("embedding").alias("qv"))
+    return (e.crossJoin(F.broadcast(qv))
+            .select("vec_id", F.round(vectors.cosine("embedding", "qv"), 6).alias("score")))
+
+
+@query("check_vector_dim", """
+SELECT len(embedding) AS dim, count(*) AS n_vectors,
+       count_if(abs(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) - 1.0) > 0.001) AS n_not_unit,
+       len(embedding) = 64 AS dim_ok
+FROM embeddings GROUP BY len(embedding)""")
+def q_check_vector_dim(spark, sf):
+    return audit.check_vector_dim(V.table(spark, sf, "embeddings"), dim=64)
+
+
+@query("format_embedding_literal")
+def q_format_embedding_literal(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return e.select("vec_id", vectors.format_literal("embedding").alias("embedding"))
+
+
+@query("parse_embedding", """
+SELECT vec_id, ok AS is_valid, CASE WHEN ok THEN len(vals) END AS dim,
+       CASE WHEN ok THEN round(list_sum(list_transform(vals, lambda x: CAST(x AS DOUBLE))), 6) END AS vsum
+FROM (SELECT vec_id, vals, coalesce(literal <> '' AND len(list_filter(vals, lambda x: x IS NULL)) = 0, FALSE) AS ok
+      FROM (SELECT vec_id, literal, list_transform(string_split(regexp_replace(literal, '^[\\[\\]]+|[\\[\\]]+$', '', 'g'), ','),
+                   lambda x: TRY_CAST(trim(x) AS FLOAT)) AS vals
+            FROM (SELECT vec_id, CASE WHEN vec_id % 13 = 0 THEN '' WHEN vec_id % 17 = 0 THEN '[1,x]'
+                         ELSE '[' || CAST(vec_id % 7 AS VARCHAR) || ', ' || CAST(vec_id % 11 AS VARCHAR) || ']' END AS literal
+                  FROM embeddings)))""")
+def q_parse_embedding(spark, sf):
+    lits = V.vec_literals(V.table(spark, sf, "embeddings"))
+    vec, ok = vectors.parse_literal("literal")
+    p = lits.select("vec_id", vec.alias("v"), ok.alias("is_valid"))
+    return p.select("vec_id", "is_valid", F.size("v").alias("dim"),
+                    F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("vsum"))

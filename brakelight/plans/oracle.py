@@ -196,3 +196,34 @@ mj AS (SELECT odino, string_agg(compdesc, ' | ' ORDER BY f) AS compdesc FROM mv
 mr AS (SELECT odino, min(seq) AS seq, min(cmplid) AS cmplid, {mr} FROM s5 GROUP BY odino),
 clean0 AS (SELECT {final_cols} FROM mr LEFT JOIN mj USING (odino)),
 clean AS (SELECT *, {sentence_sql()} AS summary FROM clean0)"""
+
+
+REPORT_CTE = """drafts AS (
+  SELECT incident_id,
+         CASE WHEN incident_id % 5 = 0 THEN 'Insufficient data to conclude.'
+              WHEN incident_id % 3 = 0 THEN 'Cause A [' || r1 || ']. Cause B [' || r3 || ']. See [999999].'
+              ELSE 'Cause A [' || r1 || ']. Cause B [' || r3 || '].' END AS draft_report
+  FROM (SELECT incident_id, min(CASE WHEN rank = 1 THEN id END) AS r1,
+               min(CASE WHEN rank = 3 THEN id END) AS r3
+        FROM retrieved GROUP BY incident_id)),
+cites AS (
+  SELECT incident_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS citations
+  FROM (SELECT incident_id, regexp_extract_all(coalesce(draft_report, ''), '\\[(\\d+)\\]', 1) AS l FROM drafts)),
+cited_long AS (
+  SELECT incident_id, unnest(citations) AS cited_id FROM cites),
+cited_docs AS (
+  SELECT r.* FROM retrieved r
+  WHERE EXISTS (SELECT 1 FROM cited_long c WHERE c.incident_id = r.incident_id
+                AND c.cited_id = CAST(r.id AS VARCHAR))),
+invented AS (
+  SELECT c.incident_id, c.cited_id FROM cited_long c
+  WHERE NOT EXISTS (SELECT 1 FROM retrieved r WHERE r.incident_id = c.incident_id
+                    AND CAST(r.id AS VARCHAR) = c.cited_id))"""
+
+
+def fixed2_sql(x: str) -> str:
+    return f"printf('%.2f', round(CAST(round({x}, 6) AS DECIMAL(20, 6)), 2))"
+
+
+def or_default_sql(x: str, d: str = "N/A") -> str:
+    return f"coalesce(nullif({x}, ''), '{d}')"
