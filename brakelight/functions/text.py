@@ -134,5 +134,7 @@ def py_str(c) -> Column:
 
 def fixed2(score) -> Column:
     """Two-decimal text of a score (rounded to 6 first, then half-up to 2)."""
-    d = F.round(col_(score), 6).cast("decimal(20,6)")
-    return F.format_string("%.2f", F.round(d, 2))
+    x = col_(score)
+    r = F.round(F.round(x, 6).cast("decimal(20,6)"), 2).cast("decimal(20,2)")
+    # Python prints a small negative value as -0.00
+    return F.when((x < 0) & (r == 0), F.lit("-0.00")).otherwise(r.cast("string"))

@@ -390,3 +390,316 @@ def q_parse_embedding(spark, sf):
     p = lits.select("vec_id", vec.alias("v"), ok.alias("is_valid"))
     return p.select("vec_id", "is_valid", F.size("v").alias("dim"),
                     F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("vsum"))
+
+
+# ---------------------------------------------------------------- ranking and retrieval
+_TEXT_PRED_SQL = "(cdescr ILIKE '%data%' OR compdesc ILIKE '%component 3%')"
+
+
+def _text_pred():
+    return F.col("cdescr").ilike("%data%") | F.col("compdesc").ilike("%component 3%")
+
+
+def _pairs(spark, sf, keep=("cdescr", "compdesc")):
+    c = _corpus(spark, sf)
+    return topk.scored_pairs(c, V.incidents(c), keep=list(keep), dim_hint=64)
+
+
+def _retrieved(spark, sf) -> tuple[DataFrame, DataFrame]:
+    c = _corpus(spark, sf)
+    inc = V.incidents(c)
+    return report.retrieve(c, inc, k=20), inc
+
+
+@query("incident_states", O.with_views(
+    "SELECT incident_id, incident_text, '' AS draft_report, '' AS critique, 0 AS revision_count, "
+    "3 AS max_revision, 'pending' AS status, CAST(NULL AS VARCHAR) AS report FROM incidents", corpus=True))
+def q_incident_states(spark, sf):
+    return report.initial_states(V.incidents(_corpus(spark, sf)))
+
+
+@query("rank_exact", O.with_views(
+    "SELECT qid AS incident_id, id, rank, round(score, 6) AS score FROM ranked", corpus=True))
+def q_rank_exact(spark, sf):
+    r = topk.global_rank(_pairs(spark, sf, keep=()))
+    return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("rank_then_filter", O.with_views(
+    f"""SELECT r.qid AS incident_id, r.id, r.rank, round(r.score, 6) AS score
+FROM ranked r JOIN corpus c ON c.id = r.id
+WHERE {_TEXT_PRED_SQL}
+QUALIFY row_number() OVER (PARTITION BY r.qid ORDER BY r.rank) <= 30""", corpus=True))
+def q_rank_then_filter(spark, sf):
+    r = topk.rank_then_filter(_pairs(spark, sf), _text_pred(), limit=30)
+    return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("filter_then_topk", O.with_views(
+    f"""SELECT s.qid AS incident_id, s.id, row_number() OVER (PARTITION BY s.qid ORDER BY s.score DESC, s.id) AS rank,
+       round(s.score, 6) AS score
+FROM scores s JOIN corpus c ON c.id = s.id
+WHERE {_TEXT_PRED_SQL}
+QUALIFY rank <= 20""", corpus=True))
+def q_filter_then_topk(spark, sf):
+    r = topk.filter_then_topk(_pairs(spark, sf), _text_pred(), k=20)
+    return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
+                    F.round("score", 6).alias("score"))
+
+
+@query("count_text_predicate", O.with_views(
+    "SELECT count(*) AS n FROM clean WHERE mfr_name = 'SRC3_MOTOR_CO' AND modeltxt LIKE '%1%' "
+    "AND (cdescr ILIKE '%data%' OR compdesc ILIKE '%bags%')", complaints=True, extra=O.clean_ctes()))
+def q_count_text_predicate(spark, sf):
+    c = clean.clean_complaints(_complaints(spark, sf))
+    pred = ((F.col("mfr_name") == "SRC3_MOTOR_CO") & F.col("modeltxt").like("%1%")
+            & (F.col("cdescr").ilike("%data%") | F.col("compdesc").ilike("%bags%")))
+    return c.where(pred).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("topn_by_column", O.with_views(
+    "SELECT seq, cmplid, miles FROM clean ORDER BY miles DESC NULLS LAST, seq LIMIT 100",
+    complaints=True, extra=O.clean_ctes()))
+def q_topn_by_column(spark, sf):
+    c = clean.clean_complaints(_complaints(spark, sf))
+    return topk.topn_by_column(c.select("seq", "cmplid", "miles"), "miles", 100)
+
+
+# ---------------------------------------------------------------- report assembly
+@query("retrieve_docs", O.with_views(
+    """SELECT incident_id, count(*) AS n_docs, string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS doc_ids,
+       max(score) AS top_score
+FROM retrieved GROUP BY incident_id""", corpus=True))
+def q_retrieve_docs(spark, sf):
+    r, _ = _retrieved(spark, sf)
+    arr = report.docs_array(r)
+    return arr.select("incident_id", F.size("retrieved_docs").cast("long").alias("n_docs"),
+                      F.array_join(F.transform("retrieved_docs", lambda d: d["id"].cast("string")), ",").alias("doc_ids"),
+                      F.round(F.col("retrieved_docs")[0]["score"], 6).alias("top_score"))
+
+
+_CONTEXT_PIECE_SQL = ("'[' || CAST(id AS VARCHAR) || '] (score=' || " + O.fixed2_sql("score")
+                      + " || ', component category: ' || " + O.or_default_sql("compdesc")
+                      + " || ') ' || substring(coalesce(cdescr, ''), 1, 500)")
+
+
+@query("context_pack", O.with_views(
+    f"SELECT incident_id, string_agg({_CONTEXT_PIECE_SQL}, chr(10) || '---' || chr(10) ORDER BY rank) AS context "
+    "FROM retrieved GROUP BY incident_id", corpus=True))
+def q_context_pack(spark, sf):
+    r, _ = _retrieved(spark, sf)
+    return report.context_pack(r)
+
+
+def _template_sql(template: str, values: dict) -> str:
+    import re
+    parts = re.split(r"\{(\w+)\}", template)
+    out = []
+    for i, p in enumerate(parts):
+        if i % 2 == 0:
+            if p:
+                out.append(O.q(p).replace("\n", "' || chr(10) || '"))
+        else:
+            out.append(f"({values[p]})")
+    return " || ".join(out)
+
+
+@query("prompt_rows", O.with_views(
+    "SELECT i.incident_id, " + _template_sql(report.ANALYSIS_TEMPLATE, {
+        "incident_text": "coalesce(i.incident_text, '')", "context": "coalesce(x.context, '')",
+        "revision": "''"}) + " AS prompt FROM incidents i LEFT JOIN ("
+    f"SELECT incident_id, string_agg({_CONTEXT_PIECE_SQL}, chr(10) || '---' || chr(10) ORDER BY rank) AS context "
+    "FROM retrieved GROUP BY incident_id) x USING (incident_id)", corpus=True))
+def q_prompt_rows(spark, sf):
+    r, inc = _retrieved(spark, sf)
+    return report.prompt_rows(report.initial_states(inc), report.context_pack(r))
+
+
+def _drafted(spark, sf):
+    r, inc = _retrieved(spark, sf)
+    return r, V.drafts(r), inc
+
+
+@query("extract_citations", O.with_views(
+    "SELECT incident_id, len(citations) AS n_cited, array_to_string(citations, ',') AS cited FROM cites",
+    corpus=True, extra=O.REPORT_CTE))
+def q_extract_citations(spark, sf):
+    _, d, _ = _drafted(spark, sf)
+    c = report.extract_citations(d)
+    return c.select("incident_id", F.size("citations").cast("long").alias("n_cited"),
+                    F.array_join("citations", ",").alias("cited"))
+
+
+@query("cited_docs", O.with_views(
+    "SELECT incident_id, id, rank, score FROM cited_docs", corpus=True, extra=O.REPORT_CTE))
+def q_cited_docs(spark, sf):
+    r, d, _ = _drafted(spark, sf)
+    return report.cited_docs(r, d).select("incident_id", "id", F.col("rank").cast("long").alias("rank"),
+                                          F.round("score", 6).alias("score"))
+
+
+@query("invented_citations", O.with_views(
+    "SELECT incident_id, cited_id FROM invented", corpus=True, extra=O.REPORT_CTE))
+def q_invented_citations(spark, sf):
+    r, d, _ = _drafted(spark, sf)
+    return report.invented_citations(r, d).select("incident_id", "cited_id")
+
+
+_REF_PIECE_SQL = ("'- [' || CAST(id AS VARCHAR) || '] ODI #' || coalesce(odino, 'None') || ' | ' || "
+                  "coalesce(mfr_name, 'None') || ' ' || coalesce(modeltxt, 'None') || ' | ' || "
+                  + O.or_default_sql("compdesc") + " || ' (score=' || " + O.fixed2_sql("score") + " || ')'")
+_REFS_SQL = (f"SELECT d.incident_id, coalesce(x.refs, '') AS references FROM drafts d LEFT JOIN "
+             f"(SELECT incident_id, string_agg({_REF_PIECE_SQL}, chr(10) ORDER BY rank) AS refs FROM cited_docs "
+             f"GROUP BY incident_id) x USING (incident_id)")
+
+
+@query("reference_list", O.with_views(_REFS_SQL, corpus=True, extra=O.REPORT_CTE))
+def q_reference_list(spark, sf):
+    r, d, _ = _drafted(spark, sf)
+    return report.reference_list(r, d)
+
+
+@query("final_report")
+def q_final_report(spark, sf):
+    r, d, inc = _drafted(spark, sf)
+    states = report.initial_states(inc).drop("draft_report").join(d, "incident_id")
+    return report.final_report(states, report.reference_list(r, d))
+
+
+@query("rule_grade", O.with_views(
+    """SELECT c.incident_id,
+       CASE WHEN len(c.citations) = 0 THEN 'fail' WHEN coalesce(i.n, 0) > 0 THEN 'fail'
+            WHEN len(c.citations) > 3 THEN 'fail' ELSE 'pass' END AS status,
+       CASE WHEN len(c.citations) = 0 THEN 'no citation'
+            WHEN coalesce(i.n, 0) > 0 THEN 'cites a complaint that was not retrieved'
+            WHEN len(c.citations) > 3 THEN 'too many causes' ELSE '' END AS critique
+FROM cites c LEFT JOIN (SELECT incident_id, count(*) AS n FROM invented GROUP BY incident_id) i USING (incident_id)""",
+    corpus=True, extra=O.REPORT_CTE))
+def q_rule_grade(spark, sf):
+    r, d, _ = _drafted(spark, sf)
+    return report.rule_grade(r, d)
+
+
+@query("grounding_ratio", O.with_views(
+    """SELECT c.incident_id, CAST(len(c.citations) AS BIGINT) AS n_cited, coalesce(g.n, 0) AS n_grounded,
+       CASE WHEN len(c.citations) > 0 THEN round(coalesce(g.n, 0) / len(c.citations), 6) END AS grounding_ratio
+FROM cites c LEFT JOIN (SELECT incident_id, count(*) AS n FROM cited_docs GROUP BY incident_id) g USING (incident_id)""",
+    corpus=True, extra=O.REPORT_CTE))
+def q_grounding_ratio(spark, sf):
+    r, d, _ = _drafted(spark, sf)
+    g = report.grounding_ratio(r, d)
+    return g.select("incident_id", F.col("n_cited").cast("long").alias("n_cited"),
+                    F.col("n_grounded").cast("long").alias("n_grounded"),
+                    F.round("grounding_ratio", 6).alias("grounding_ratio"))
+
+
+# ---------------------------------------------------------------- evaluation
+_HIT_SQL = """hits AS (
+  SELECT i.incident_id, i.expected_component,
+         coalesce(avg(CASE WHEN contains(upper(r.compdesc), upper(i.expected_component)) THEN 1.0 ELSE 0.0 END)
+                  FILTER (WHERE r.id IS NOT NULL), 0.0) AS component_hit_rate
+  FROM incidents i LEFT JOIN retrieved r USING (incident_id)
+  GROUP BY i.incident_id, i.expected_component)"""
+
+
+@query("component_hit_rate", O.with_views(
+    "SELECT incident_id, expected_component, round(component_hit_rate, 6) AS component_hit_rate FROM hits",
+    corpus=True, extra=_HIT_SQL))
+def q_component_hit_rate(spark, sf):
+    r, inc = _retrieved(spark, sf)
+    h = evaluate.component_hit_rate(inc, r)
+    return h.withColumn("component_hit_rate", F.round("component_hit_rate", 6))
+
+
+@query("hit_rate_alarm", O.with_views(
+    "SELECT incident_id, expected_component FROM hits WHERE component_hit_rate = 0", corpus=True, extra=_HIT_SQL))
+def q_hit_rate_alarm(spark, sf):
+    r, inc = _retrieved(spark, sf)
+    return evaluate.hit_rate_alarm(evaluate.component_hit_rate(inc, r)).select("incident_id", "expected_component")
+
+
+_EVAL_CTX_SQL = ("'[doc_id=' || CAST(id AS VARCHAR) || ' mfr=' || coalesce(mfr_name, 'None') || ' model=' || "
+                 "coalesce(modeltxt, 'None') || ' component=' || coalesce(compdesc, 'None') || '] ' || coalesce(cdescr, 'None')")
+
+
+@query("eval_contexts", O.with_views(
+    f"SELECT incident_id, rank, {_EVAL_CTX_SQL} AS context FROM retrieved", corpus=True))
+def q_eval_contexts(spark, sf):
+    r, _ = _retrieved(spark, sf)
+    return r.select("incident_id", F.col("rank").cast("long").alias("rank"), evaluate.eval_context().alias("context"))
+
+
+def _cases(inc: DataFrame) -> DataFrame:
+    return inc.withColumns({"case_id": F.concat(F.lit("CASE-"), F.col("incident_id").cast("string")),
+                            "category": F.col("expected_component")})
+
+
+_EVAL_ROWS_SQL = f"""SELECT i.incident_id, 'CASE-' || CAST(i.incident_id AS VARCHAR) AS case_id, i.expected_component AS category,
+       i.incident_text AS user_input, coalesce(x.n, 0) AS n_contexts, coalesce(x.ctx, '') AS contexts,
+       d.draft_report AS response, round(h.component_hit_rate, 6) AS component_hit_rate
+FROM incidents i
+LEFT JOIN (SELECT incident_id, count(*) AS n, string_agg({_EVAL_CTX_SQL}, chr(10) ORDER BY rank) AS ctx
+           FROM retrieved GROUP BY incident_id) x USING (incident_id)
+LEFT JOIN drafts d USING (incident_id)
+LEFT JOIN hits h USING (incident_id)"""
+
+
+def _eval_rows(spark, sf):
+    r, d, inc = _drafted(spark, sf)
+    rates = evaluate.component_hit_rate(inc, r)
+    return evaluate.eval_rows(_cases(inc), r, d, rates), r, d
+
+
+@query("eval_rows", O.with_views(_EVAL_ROWS_SQL, corpus=True, extra=O.REPORT_CTE + ",\n" + _HIT_SQL))
+def q_eval_rows(spark, sf):
+    e, _, _ = _eval_rows(spark, sf)
+    return e.select("incident_id", "case_id", "category", "user_input",
+                    F.size("retrieved_contexts").cast("long").alias("n_contexts"),
+                    F.array_join("retrieved_contexts", "\n").alias("contexts"), "response",
+                    F.round("component_hit_rate", 6).alias("component_hit_rate"))
+
+
+@query("metric_spread", """
+SELECT event_type, count(m) AS n_runs, round(avg(m), 6) AS mean, round(min(m), 6) AS min, round(max(m), 6) AS max,
+       round(stddev_samp(m), 6) AS stddev
+FROM (SELECT event_type, user_id, avg(value) AS m FROM events GROUP BY event_type, user_id)
+GROUP BY event_type""")
+def q_metric_spread(spark, sf):
+    ev = V.table(spark, sf, "events")
+    runs = ev.groupBy("event_type", "user_id").agg(F.avg("value").alias("m"))
+    s = evaluate.metric_spread(runs, "event_type", "m")
+    return s.select("event_type", F.col("n_runs").cast("long").alias("n_runs"),
+                    *[F.round(c, 6).alias(c) for c in ("mean", "min", "max", "stddev")])
+
+
+# ---------------------------------------------------------------- grades and routing
+_GRADES_SQL = """g AS (
+  SELECT event_id AS grade_id, CAST(event_id % 5 AS INTEGER) AS revision_count,
+         CASE event_id % 4 WHEN 0 THEN '{"status":"pass","critique":""}'
+              WHEN 1 THEN '{"status":"fail","critique":"no citation"}'
+              WHEN 2 THEN '{"status":"maybe","critique":""}' ELSE 'not json' END AS grade_json
+  FROM events),
+pg AS (
+  SELECT grade_id, revision_count, s, c,
+         CASE WHEN NOT is_obj THEN 'not a JSON object' WHEN len(json_keys(CASE WHEN is_obj THEN grade_json END)) <> 2 THEN 'unexpected keys'
+              WHEN s IS NULL OR c IS NULL THEN 'missing field' WHEN s NOT IN ('pass', 'fail') THEN 'status not in enum'
+         END AS grade_error
+  FROM (SELECT *, coalesce(json_type(CASE WHEN json_valid(grade_json) THEN grade_json END) = 'OBJECT', FALSE) AS is_obj,
+               json_extract_string(CASE WHEN json_valid(grade_json) THEN grade_json END, '$.status') AS s,
+               json_extract_string(CASE WHEN json_valid(grade_json) THEN grade_json END, '$.critique') AS c FROM g))"""
+
+
+@query("parse_grades", O.with_views(
+    "SELECT grade_id, CASE WHEN grade_error IS NULL THEN s END AS status, CASE WHEN grade_error IS NULL THEN c END AS critique, "
+    "grade_error IS NULL AS grade_ok, grade_error FROM pg", extra=_GRADES_SQL))
+def q_parse_grades(spark, sf):
+    g = report.parse_grades(V.grades(V.table(spark, sf, "events")))
+    return g.select("grade_id", "status", "critique", "grade_ok", "grade_error")
+
+
+@query("route_states", O.with_views(
+    "SELECT grade_id, CASE WHEN grade_error IS NULL AND s = 'pass' THEN 'action' WHEN revision_count >= 3 THEN 'action' "
+    "ELSE 'analysis' END AS route FROM pg", extra=_GRADES_SQL))
+def q_route_states(spark, sf):
+    g = report.parse_grades(V.grades(V.table(spark, sf, "events"))).withColumn("max_revision", F.lit(3))
+    return g.select("grade_id", report.route().alias("route"))

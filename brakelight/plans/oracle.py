@@ -222,7 +222,8 @@ invented AS (
 
 
 def fixed2_sql(x: str) -> str:
-    return f"printf('%.2f', round(CAST(round({x}, 6) AS DECIMAL(20, 6)), 2))"
+    r = f"CAST(round(CAST(round({x}, 6) AS DECIMAL(20, 6)), 2) AS DECIMAL(20, 2))"
+    return f"(CASE WHEN {x} < 0 AND {r} = 0 THEN '-0.00' ELSE CAST({r} AS VARCHAR) END)"
 
 
 def or_default_sql(x: str, d: str = "N/A") -> str:
