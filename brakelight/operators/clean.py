@@ -60,7 +60,7 @@ def canonical_names(df: DataFrame, col: str = "mfr_name") -> DataFrame:
     return df.withColumn(col, text.canonical_name(col))
 
 
-def dedup_first(df: DataFrame, key: str = "cmplid", order: str = "seq") -> DataFrame:
+def dedup_first(df: DataFrame, key: str = "cmplid", order: str = "seq", scope=()) -> DataFrame:
     """First row per ``key`` in ``order``.
 
     ``min_by`` over the whole row is an aggregate with map-side partial
@@ -68,13 +68,14 @@ def dedup_first(df: DataFrame, key: str = "cmplid", order: str = "seq") -> DataF
     per input partition before the shuffle (a window would sort the whole
     group in one task).
     """
-    others = [c for c in df.columns if c != key]
-    agg = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
-    return agg.select(*[F.col(key) if c == key else F.col("_r." + c).alias(c) for c in df.columns])
+    keys = [*scope, key]
+    others = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
+    return agg.select(*[F.col(c) if c in keys else F.col("_r." + c).alias(c) for c in df.columns])
 
 
 def merge_by_report(df: DataFrame, key: str = "odino", order: str = "seq", min_col: str = "cmplid",
-                    join_col: str = "compdesc", sep: str = PIPE_SEP) -> DataFrame:
+                    join_col: str = "compdesc", sep: str = PIPE_SEP, scope=()) -> DataFrame:
     """One row per report ``key``.
 
     ``min_col``: smallest value (string order). ``join_col``: distinct non-null
@@ -85,15 +86,16 @@ def merge_by_report(df: DataFrame, key: str = "odino", order: str = "seq", min_c
     (partial aggregation collapses repeats map-side), then key, where the list
     holds only distinct values of the report.
     """
-    others = [c for c in df.columns if c not in (key, order, min_col, join_col)]
+    keys = [*scope, key]
+    others = [c for c in df.columns if c not in (*keys, order, min_col, join_col)]
 
     def first_nn(c):
         return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
 
-    lvl1 = (df.groupBy(key, join_col)
+    lvl1 = (df.groupBy(*keys, join_col)
             .agg(F.min(order).alias("_first"), F.min(min_col).alias("_min"),
                  *[first_nn(c).alias("_f_" + c) for c in others]))
-    lvl2 = (lvl1.groupBy(key)
+    lvl2 = (lvl1.groupBy(*keys)
             .agg(F.min("_first").alias(order), F.min("_min").alias(min_col),
                  F.collect_list(F.when(F.col(join_col).isNotNull(),
                                        F.struct(F.col("_first").alias("o"), F.col(join_col).alias("v"))))
@@ -102,7 +104,7 @@ def merge_by_report(df: DataFrame, key: str = "odino", order: str = "seq", min_c
     joined = F.array_join(F.transform(F.array_sort("_vals"), lambda x: x["v"]), sep)
     cols = []
     for c in df.columns:
-        if c in (key, order, min_col):
+        if c in (*keys, order, min_col):
             cols.append(F.col(c))
         elif c == join_col:
             cols.append(joined.alias(c))
@@ -116,17 +118,21 @@ def add_sentence_summary(df: DataFrame, col: str = "summary") -> DataFrame:
 
 
 def clean_complaints(raw: DataFrame, order: str = "seq", low: str = DATE_LOW,
-                     high: str = DATE_HIGH) -> DataFrame:
-    """Whole cleaning chain: raw string rows -> 57 clean columns (+ ``order``)."""
+                     high: str = DATE_HIGH, scope=()) -> DataFrame:
+    """Whole cleaning chain: raw string rows -> 57 clean columns (+ ``order``).
+
+    ``scope``: extra key columns (e.g. the source file) so that several inputs
+    are cleaned independently in one job, as separate clean jobs would.
+    """
     df = strip_quotes(raw)
     df = defang_columns(df)
     df = coerce_numeric(df)
     df = parse_dates(df)
     df = date_range_guard(df, low=low, high=high)
     df = filter_short_text(df)
-    df = dedup_first(df, "cmplid", order)
+    df = dedup_first(df, "cmplid", order, scope)
     df = canonical_names(df)
-    df = merge_by_report(df, "odino", order)
+    df = merge_by_report(df, "odino", order, scope=scope)
     return add_sentence_summary(df)
 
 

@@ -703,3 +703,308 @@ def q_parse_grades(spark, sf):
 def q_route_states(spark, sf):
     g = report.parse_grades(V.grades(V.table(spark, sf, "events"))).withColumn("max_revision", F.lit(3))
     return g.select("grade_id", report.route().alias("route"))
+
+
+# ---------------------------------------------------------------- sources, sinks and streams
+import uuid  # noqa: E402
+import posixpath  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import tables as sinks  # noqa: E402
+from ..sources import files as src  # noqa: E402
+from ..sources import messages as msg  # noqa: E402
+from ..streaming import ingest, load  # noqa: E402
+from ..operators import typed as typed_ops  # noqa: E402
+
+
+def _run_dir(spark, name: str) -> str:
+    return scratch_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+_SANITIZED = "complaints_s AS (SELECT seq, " + ", ".join(
+    f"regexp_replace({c}, '[\\t\\r\\n]', ' ', 'g') AS {c}" for c in RAW_COLUMNS) + " FROM complaints)"
+
+
+@query("scan_raw_tsv", O.with_views(
+    "SELECT " + ", ".join(RAW_COLUMNS) + ", FALSE AS ragged FROM complaints_s", complaints=True, extra=_SANITIZED))
+def q_scan_raw_tsv(spark, sf):
+    d = _run_dir(spark, "raw")
+    src.write_raw_tsv(_complaints(spark, sf), d)
+    raw = src.scan_raw_tsv(spark, d, encoding="UTF-8")
+    return raw.select(*RAW_COLUMNS, F.col("_corrupt_record").isNotNull().alias("ragged"))
+
+
+def _processed_text_sql(src_cte: str = "clean") -> str:
+    from ..schemas import CLEAN_COLUMNS
+    txt = []
+    for c in CLEAN_COLUMNS:
+        if c in DATE_COLUMNS or c.endswith("_raw_invalid"):
+            txt.append(f"coalesce({O.date_text_sql(c)}, '') AS {c}")
+        elif c in NUMERIC_COLUMNS:
+            txt.append(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}")
+        else:
+            txt.append(f"coalesce({c}, '') AS {c}")
+    return f"SELECT {', '.join(txt)} FROM {src_cte}"
+
+
+@query("scan_clean_csv", O.with_views(_processed_text_sql(), complaints=True, extra=O.clean_ctes()))
+def q_scan_clean_csv(spark, sf):
+    from ..schemas import CLEAN_COLUMNS
+    d = _run_dir(spark, "processed")
+    t = typed_ops.processed_text(clean.clean_complaints(_complaints(spark, sf)), keep=())
+    src.write_processed_csv(t.toDF(*[c.upper() for c in t.columns]), d)
+    return src.scan_clean_csv(spark, d, required=SUMMARY_PIPE_COLUMNS).select(*CLEAN_COLUMNS)
+
+
+@query("scan_ragged_csv")
+def q_scan_ragged_csv(spark, sf):
+    """Header in a different column order, every 7th row missing its last three fields."""
+    from ..schemas import CLEAN_COLUMNS, LOADER_COLUMNS
+    d = _run_dir(spark, "ragged")
+    t = typed_ops.processed_text(clean.clean_complaints(_complaints(spark, sf)), keep=("seq",))
+    cols = list(reversed(CLEAN_COLUMNS))
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    full = F.concat_ws(",", *[quoted(c) for c in cols])
+    short = F.concat_ws(",", *[quoted(c) for c in cols[:-3]])
+    lines = t.select("seq", F.when(F.col("seq") % 7 == 0, short).otherwise(full).alias("value"))
+    header = spark.range(1).select(F.lit(-1).cast("long").alias("seq"), F.lit(",".join(cols)).alias("value"))
+    header.unionByName(lines).repartition(1).sortWithinPartitions("seq").select("value").write.text(d)
+    return src.scan_ragged_csv(spark, d, [c for c in LOADER_COLUMNS if c != "embedding"])
+
+
+_CASES_SQL = ("SELECT 'CASE-' || CAST(incident_id AS VARCHAR) AS case_id, expected_component AS category, "
+              "'component match' AS targets, expected_component, incident_text FROM incidents")
+
+
+@query("scan_eval_cases", O.with_views(_CASES_SQL, corpus=True))
+def q_scan_eval_cases(spark, sf):
+    d = _run_dir(spark, "cases")
+    inc = V.incidents(_corpus(spark, sf))
+    cases = inc.select(F.concat(F.lit("CASE-"), F.col("incident_id").cast("string")).alias("case_id"),
+                       F.col("expected_component").alias("category"), F.lit("component match").alias("targets"),
+                       "expected_component", "incident_text")
+    lines = cases.select(F.to_json(F.struct(*cases.columns)).alias("value"))
+    blanks = inc.where(F.col("incident_id") % 10 == 0).select(F.lit("").alias("value"))
+    lines.unionAll(blanks).write.text(d)
+    return src.scan_eval_cases(spark, d)
+
+
+_MSG_SQL = """m AS (
+  SELECT event_id AS message_id,
+         CASE WHEN event_id % 10 = 0 THEN 'not json ' || CAST(event_id AS VARCHAR)
+              ELSE '{"jobId":"j' || CAST(user_id AS VARCHAR) || '","bucket":"b","resultKey":"processed/'
+                   || CAST(event_id % 50 AS VARCHAR) || '.csv"}' END AS body
+  FROM events),
+dm AS (
+  SELECT message_id, body, coalesce(json_type(CASE WHEN json_valid(body) THEN body END) = 'OBJECT', FALSE) AS is_valid FROM m)"""
+
+
+@query("decode_job_messages", O.with_views(
+    """SELECT message_id, is_valid, CASE WHEN is_valid THEN json_extract_string(body, '$.jobId') END AS job_id,
+       CASE WHEN is_valid THEN json_extract_string(body, '$.bucket') END AS bucket,
+       CASE WHEN is_valid THEN json_extract_string(body, '$.resultKey') END AS result_key
+FROM (SELECT message_id, is_valid, CASE WHEN is_valid THEN body END AS body FROM dm)""", extra=_MSG_SQL))
+def q_decode_job_messages(spark, sf):
+    m = msg.decode_job_messages(V.messages(V.table(spark, sf, "events")))
+    return m.select("message_id", "is_valid", "job_id", "bucket", "result_key")
+
+
+def _write_processed_files(spark, sf, base: str) -> None:
+    """Processed CSV files for keys ``processed/<n>.csv`` (n = seq % 50): one folder per key."""
+    t = typed_ops.processed_text(clean.clean_complaints(_complaints(spark, sf)), keep=("seq",))
+    t = t.withColumn("_name", F.concat((F.col("seq") % 50).cast("string"), F.lit(".csv")))
+    (t.drop("seq").repartition("_name").write.partitionBy("_name").option("header", True).option("escape", '"')
+     .csv(posixpath.join(base, "processed")))
+
+
+def _resolver(base: str):
+    return lambda key: posixpath.join(base, posixpath.dirname(key), "_name=" + posixpath.basename(key))
+
+
+def _read_processed(spark, paths):
+    return (spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(paths)
+            .withColumn("_file", F.col("_metadata.file_path")))
+
+
+@query("load_jobs")
+def q_load_jobs(spark, sf):
+    base = _run_dir(spark, "bucket")
+    _write_processed_files(spark, sf, base)
+    dm = msg.decode_job_messages(V.messages(V.table(spark, sf, "events")))
+    rows = msg.claim_check_read(spark, dm, _resolver(base), _read_processed)
+    t = typed_ops.typed_rows(rows, keep=("result_key", "n_messages", "first_job_id"))
+    return _dates_as_text(t)
+
+
+@query("write_clean_zone", O.with_views(
+    "SELECT 'job-1' AS job_id, count(*) AS rows FROM clean", complaints=True, extra=O.clean_ctes()))
+def q_write_clean_zone(spark, sf):
+    zone = _run_dir(spark, "zone")
+    sinks.write_clean_zone(clean.clean_complaints(_complaints(spark, sf)), zone, "job-1")
+    z = spark.read.parquet(posixpath.join(zone, "data.parquet"))
+    return z.groupBy("job_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("job_manifest", O.with_views(
+    "SELECT 'job-1' AS job_id, 'b' AS bucket, 'cleaned/job-1/data.parquet' AS cleaned_key, "
+    "(SELECT count(*) FROM clean) AS rows, (SELECT count(*) FROM complaints) AS loaded, "
+    "(SELECT count_if(coalesce(trim(summary) = '', TRUE)) FROM clean) AS blank_summary",
+    complaints=True, extra=O.clean_ctes()))
+def q_job_manifest(spark, sf):
+    raw = _complaints(spark, sf)
+    m = sinks.job_manifest(raw, clean.clean_complaints(raw), "job-1", "b", "cleaned/job-1/data.parquet")
+    path = _run_dir(spark, "manifest")
+    m.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+_LOAD_SQL = """base AS (
+  SELECT seq, lpad(CAST(seq AS VARCHAR), 9, '0') AS cmplid, odino, compdesc, 'base ' || compdesc AS summary,
+         CAST(seq % 7 AS DOUBLE) + CAST(seq % 11 AS DOUBLE) AS emb_sum
+  FROM complaints),
+batch AS (
+  SELECT seq, CASE WHEN seq % 11 = 0 AND seq > 0 THEN lpad(CAST(seq * 2 - 2 AS VARCHAR), 9, '0')
+                   ELSE lpad(CAST(seq * 2 AS VARCHAR), 9, '0') END AS cmplid,
+         odino, compdesc, 'batch ' || modeltxt AS summary, CAST(seq % 5 AS DOUBLE) + CAST(seq % 13 AS DOUBLE) AS emb_sum
+  FROM complaints),
+bc AS (
+  SELECT cmplid, arg_min(odino, seq) AS odino, arg_min(compdesc, seq) AS compdesc, min(seq) AS seq,
+         arg_max(summary, seq) AS summary, arg_max(emb_sum, seq) AS emb_sum
+  FROM batch GROUP BY cmplid),
+upserted AS (
+  SELECT coalesce(s.cmplid, b.cmplid) AS cmplid,
+         CASE WHEN s.cmplid IS NOT NULL THEN s.odino ELSE b.odino END AS odino,
+         CASE WHEN s.cmplid IS NOT NULL THEN s.compdesc ELSE b.compdesc END AS compdesc,
+         CASE WHEN b.cmplid IS NOT NULL THEN b.summary ELSE s.summary END AS summary,
+         CASE WHEN b.cmplid IS NOT NULL THEN b.emb_sum ELSE s.emb_sum END AS emb_sum
+  FROM base s FULL OUTER JOIN bc b ON s.cmplid = b.cmplid)"""
+
+
+def _load_out(df: DataFrame) -> DataFrame:
+    return df.select("cmplid", "odino", "compdesc", "summary",
+                     F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("emb_sum"))
+
+
+@query("append_with_count_check", O.with_views(
+    "SELECT cmplid, odino, compdesc, summary, emb_sum FROM base UNION ALL "
+    "SELECT cmplid, odino, compdesc, summary, emb_sum FROM batch", complaints=True, extra=_LOAD_SQL))
+def q_append_with_count_check(spark, sf):
+    c = _complaints(spark, sf)
+    target = _run_dir(spark, "append")
+    sinks.append_with_count_check(spark, target, V.load_rows(c, "base"))
+    # the batch arrives with its columns in another order: appended by name
+    b = V.load_rows(c, "batch")
+    out = sinks.append_with_count_check(spark, target, b.select(*reversed(b.columns)))
+    return _load_out(out)
+
+
+@query("upsert_corpus", O.with_views(
+    "SELECT cmplid, odino, compdesc, summary, emb_sum FROM upserted", complaints=True, extra=_LOAD_SQL))
+def q_upsert_corpus(spark, sf):
+    c = _complaints(spark, sf)
+    return _load_out(sinks.upsert(V.load_rows(c, "base"), V.load_rows(c, "batch")))
+
+
+@query("stream_upsert", O.with_views(
+    "SELECT cmplid, odino, compdesc, summary, emb_sum FROM upserted", complaints=True, extra=_LOAD_SQL))
+def q_stream_upsert(spark, sf):
+    c = _complaints(spark, sf)
+    run = _run_dir(spark, "stream-upsert")
+    table = sinks.SnapshotTable(spark, posixpath.join(run, "table"))
+    table.init(V.load_rows(c, "base"))
+    inbox = posixpath.join(run, "inbox")
+    batch = V.load_rows(c, "batch")
+    batch.write.parquet(inbox)
+    stream = spark.readStream.schema(batch.schema).parquet(inbox)
+    load.run_upsert_stream(spark, stream, table, posixpath.join(run, "ckpt"))
+    table.apply(spark.read.parquet(inbox), 0)  # redelivered batch 0: already committed, no change
+    return _load_out(table.current())
+
+
+@query("stream_job_status", O.with_views(
+    "SELECT message_id, CASE WHEN is_valid THEN 'ok' ELSE 'failed: malformed message' END AS status FROM dm",
+    extra=_MSG_SQL))
+def q_stream_job_status(spark, sf):
+    run = _run_dir(spark, "status")
+    base = posixpath.join(run, "bucket")
+    _write_processed_files(spark, sf, base)
+    inbox = posixpath.join(run, "inbox")
+    m = V.messages(V.table(spark, sf, "events"))
+    m.write.parquet(inbox)
+    out = posixpath.join(run, "status")
+    load.run_status_stream(spark, spark.readStream.schema(m.schema).parquet(inbox), _resolver(base), out,
+                           posixpath.join(run, "ckpt"))
+    return spark.read.parquet(out).select("message_id", "status")
+
+
+@query("dead_letter", O.with_views(
+    "SELECT message_id, CASE WHEN NOT is_valid THEN 5 ELSE 1 END AS receives, "
+    "CASE WHEN NOT is_valid THEN 5 ELSE 0 END AS failures, NOT is_valid AS dead_lettered FROM dm", extra=_MSG_SQL))
+def q_dead_letter(spark, sf):
+    run = _run_dir(spark, "dlq")
+    m = V.messages(V.table(spark, sf, "events"))
+    # delivery log: a message that fails is redelivered until it reaches the receive limit
+    bad = ~F.col("body").startswith("{")
+    deliveries = m.withColumn("attempt", F.explode(F.sequence(F.lit(1), F.when(bad, 5).otherwise(1))))
+    inbox = posixpath.join(run, "inbox")
+    deliveries.write.parquet(inbox)
+    out = posixpath.join(run, "out")
+    load.run_dead_letter_stream(spark, spark.readStream.schema(deliveries.schema).parquet(inbox), out,
+                                posixpath.join(run, "ckpt"), max_receives=5)
+    return load.latest_status(spark, out).select("message_id", F.col("receives").cast("long").alias("receives"),
+                                                 F.col("failures").cast("long").alias("failures"), "dead_lettered")
+
+
+@query("stream_clean", O.with_views(
+    "SELECT " + ", ".join(
+        (f"{O.date_text_sql(c)} AS {c}" if (c in DATE_COLUMNS or c.endswith('_raw_invalid')) else c)
+        for c in _CLEAN_OUT if c != "seq") + " FROM clean",
+    complaints=True, extra=_SANITIZED + ",\n" + O.clean_ctes("complaints_s")))
+def q_stream_clean(spark, sf):
+    run = _run_dir(spark, "ingest")
+    folder = posixpath.join(run, "incoming")
+    src.write_raw_tsv(_complaints(spark, sf), folder)
+    zone, quarantine = posixpath.join(run, "zone"), posixpath.join(run, "failed")
+    ingest.run_clean_stream(spark, folder, zone, quarantine, posixpath.join(run, "ckpt"),
+                            glob="part-*", encoding="UTF-8")
+    z = spark.read.parquet(zone)
+    return _dates_as_text(z.select(*[c for c in _CLEAN_OUT if c != "seq"]))
+
+
+@query("stream_files")
+def q_stream_files(spark, sf):
+    """New-file events: files written before the stream starts are skipped."""
+    import time
+    run = _run_dir(spark, "files")
+    folder = posixpath.join(run, "incoming")
+    c = _complaints(spark, sf)
+    src.write_raw_tsv(c.where(F.col("seq") % 2 == 0), posixpath.join(folder, "old"))
+    since = int(time.time() * 1000) + 1000
+    time.sleep(1.5)
+    src.write_raw_tsv(c, posixpath.join(folder, "new"))
+    out = posixpath.join(run, "events")
+    stream = ingest.file_listing_stream(spark, posixpath.join(folder, "*"), glob="part-*", since_ms=since)
+    h = (stream.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", posixpath.join(run, "ckpt")).trigger(availableNow=True).start())
+    h.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("eval_report", O.with_views(
+    """SELECT 'CASE-' || CAST(h.incident_id AS VARCHAR) AS case_id, h.expected_component AS category,
+       round(h.component_hit_rate, 6) AS component_hit_rate,
+       CASE WHEN len(c.citations) > 0 THEN round(coalesce(g.n, 0) / len(c.citations), 6) END AS grounding_ratio
+FROM hits h JOIN cites c USING (incident_id)
+LEFT JOIN (SELECT incident_id, count(*) AS n FROM cited_docs GROUP BY incident_id) g USING (incident_id)""",
+    corpus=True, extra=O.REPORT_CTE + ",\n" + _HIT_SQL))
+def q_eval_report(spark, sf):
+    e, r, d = _eval_rows(spark, sf)
+    g = report.grounding_ratio(r, d).select("incident_id", "grounding_ratio")
+    metrics = e.select("case_id", "incident_id", "component_hit_rate").join(g, "incident_id")
+    meta = e.select("case_id", "category")
+    out = sinks.write_eval_report(meta, metrics.drop("incident_id"), _run_dir(spark, "eval-report"))
+    return out.select("case_id", "category", F.round("component_hit_rate", 6).alias("component_hit_rate"),
+                      F.round("grounding_ratio", 6).alias("grounding_ratio"))
