@@ -55,18 +55,22 @@ def _rewrite_matches(text: Column, pattern: str, build, groups: int = 1) -> Colu
 
     The text is cut at the matches with ``split`` (n matches -> n+1 pieces,
     trailing empties kept) and the rewritten matches are put back between the
-    pieces with ``transform`` + ``array_join``; no Python involved.
+    pieces with ``zip_with`` + ``array_join``; no Python involved. The arrays
+    are arguments of the higher-order functions, so each is computed once per
+    row (an expression referenced inside a lambda would be re-evaluated per
+    element).
     """
     rx = F.lit(pattern)
     pieces = F.split(text, pattern, -1)
     g1 = F.regexp_extract_all(text, rx, F.lit(1))
-    g2 = F.regexp_extract_all(text, rx, F.lit(2)) if groups > 1 else None
-
-    def one(m, i):
-        other = F.element_at(g2, i + 1) if g2 is not None else None
-        return F.concat(build(m, other), F.element_at(pieces, i + 2))
-
-    return F.concat(F.element_at(pieces, 1), F.array_join(F.transform(g1, one), ""))
+    if groups > 1:
+        g2 = F.regexp_extract_all(text, rx, F.lit(2))
+        matches = F.zip_with(g1, g2, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        rebuilt = F.zip_with(matches, F.slice(pieces, 2, F.size(pieces)),
+                             lambda m, p: F.concat(build(m["a"], m["b"]), p))
+    else:
+        rebuilt = F.zip_with(g1, F.slice(pieces, 2, F.size(pieces)), lambda m, p: F.concat(build(m, None), p))
+    return F.concat(F.element_at(pieces, 1), F.array_join(rebuilt, ""))
 
 
 def defang_links(c) -> Column:

@@ -19,15 +19,29 @@ def norm(a) -> Column:
 
 
 def cosine(a, b) -> Column:
-    """Cosine similarity ``1 - cosine distance``; null when either norm is 0."""
-    den = norm(a) * norm(b)
-    return F.when(den > 0, dot(a, b) / den)
+    """Cosine similarity ``1 - cosine distance`` in one pass; null when either norm is 0."""
+    terms = F.zip_with(col_(a), col_(b), lambda x, y: F.struct(
+        (x.cast("double") * y.cast("double")).alias("xy"), (x.cast("double") * x.cast("double")).alias("xx"),
+        (y.cast("double") * y.cast("double")).alias("yy")))
+    zero = F.struct(F.lit(0.0).alias("xy"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy"))
+    return F.aggregate(
+        terms, zero,
+        lambda acc, t: F.struct((acc["xy"] + t["xy"]).alias("xy"), (acc["xx"] + t["xx"]).alias("xx"),
+                                (acc["yy"] + t["yy"]).alias("yy")),
+        lambda acc: F.when((acc["xx"] > 0) & (acc["yy"] > 0),
+                           acc["xy"] / (F.sqrt(acc["xx"]) * F.sqrt(acc["yy"]))))
 
 
 def l2_normalize(a) -> Column:
-    """Unit-length copy of the vector (zero vectors stay zero)."""
-    n = norm(a)
-    return F.transform(col_(a), lambda x: F.when(n > 0, x / n).otherwise(x).cast("float"))
+    """Unit-length copy of the vector (zero vectors stay zero).
+
+    The norm is the accumulator of ``aggregate`` and the rescaling happens in
+    its finish function, so the norm is computed once per row, not per element.
+    """
+    v = col_(a)
+    return F.aggregate(
+        v, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"),
+        lambda ss: F.transform(v, lambda x: F.when(ss > 0, x / F.sqrt(ss)).otherwise(x).cast("float")))
 
 
 def parse_literal(s) -> tuple[Column, Column]:

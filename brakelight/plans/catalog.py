@@ -1008,3 +1008,61 @@ def q_eval_report(spark, sf):
     out = sinks.write_eval_report(meta, metrics.drop("incident_id"), _run_dir(spark, "eval-report"))
     return out.select("case_id", "category", F.round("component_hit_rate", 6).alias("component_hit_rate"),
                       F.round("grounding_ratio", 6).alias("grounding_ratio"))
+
+
+# ---------------------------------------------------------------- approximate search, duplicates, embedding, loop
+from ..operators import ann, dedupe, embed, loop  # noqa: E402
+
+
+@query("topk_ann")
+def q_topk_ann(spark, sf):
+    c = _corpus(spark, sf)
+    r = ann.topk_ann(c, V.incidents(c), k=20, n_lists=16, n_probe=8)
+    return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
+                    F.round("score", 6).alias("score"))
+
+
+@query("recall_at_k")
+def q_recall_at_k(spark, sf):
+    c = _corpus(spark, sf)
+    inc = V.incidents(c)
+    exact = topk.topk_exact(c, inc, k=20)
+    approx = ann.topk_ann(c, inc, k=20, n_lists=16, n_probe=8)
+    rec = ann.recall_at_k(exact, approx, 20)
+    return rec.select(F.col("qid").alias("incident_id"), "n_exact", "n_hit", F.round("recall", 6).alias("recall"))
+
+
+@query("exact_duplicate_groups", """
+WITH n AS (SELECT doc_id, regexp_replace(regexp_replace(text, '[\\t\\n\\f\\r ]+', ' ', 'g'), '^ | $', '', 'g') AS t
+           FROM documents),
+g AS (SELECT t, min(doc_id) AS group_id, count(*) AS group_size FROM n GROUP BY t HAVING count(*) >= 2)
+SELECT n.doc_id, g.group_id, g.group_size FROM n JOIN g USING (t)""")
+def q_exact_duplicate_groups(spark, sf):
+    return dedupe.exact_duplicate_groups(V.table(spark, sf, "documents"))
+
+
+@query("near_duplicate_pairs")
+def q_near_duplicate_pairs(spark, sf):
+    """Each near-duplicate document paired with its cluster representative (smallest id)."""
+    return dedupe.near_duplicate_clusters(V.table(spark, sf, "documents"))
+
+
+@query("embed_hashed")
+def q_embed_hashed(spark, sf):
+    df = _complaints(spark, sf).select("seq", text.task_prefix(text.summary_pipe(SUMMARY_PIPE_COLUMNS)).alias("t"))
+    e = df.select("seq", embed.embed_column("t", dim=64).alias("embedding"))
+    return e.select("seq", F.size("embedding").alias("dim"), F.round(vectors.norm("embedding"), 6).alias("norm"))
+
+
+@query("revise_loop")
+def q_revise_loop(spark, sf):
+    r, inc = _retrieved(spark, sf)
+    ids = (r.groupBy("incident_id")
+           .agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_s"))
+           .select("incident_id", F.transform("_s", lambda x: x["id"]).alias("retrieved_ids")))
+    states = (report.initial_states(inc).join(ids, "incident_id", "left")
+              .join(report.context_pack(r), "incident_id", "left"))
+    done = loop.revise_loop(states)
+    refs = report.reference_list(r, done.select("incident_id", "draft_report"))
+    rep = report.final_report(done, refs)
+    return done.drop("retrieved_ids", "context", "report").join(rep, "incident_id")
