@@ -21,7 +21,7 @@ CONTEXT_SEP = "\n---\n"
 CONTEXT_CHARS = 500
 
 
-def retrieve(corpus: DataFrame, incidents: DataFrame, k: int = 20, method: str = "blocked",
+def retrieve(corpus: DataFrame, incidents: DataFrame, k: int = 20, method: str = "auto",
              exclude_self: bool = True) -> DataFrame:
     """Long-form retrieved rows: exact top-k per incident with the document fields."""
     ranked = topk.topk_exact(corpus, incidents, k, method=method, exclude_self=exclude_self)

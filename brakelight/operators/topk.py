@@ -1,21 +1,25 @@
 """Exact cosine ranking and top-k over a vector corpus, for a batch of queries.
 
-Two physical forms of the same result:
-
-* ``blocked`` (default): corpus and queries are cut into blocks by a hash of
-  their id; every (corpus block, query block) pair meets in one
-  ``cogroup().applyInPandas`` call that scores the block with one matrix
-  product and keeps the per-query top-k. Corpus rows are replicated once per
-  query block and queries once per corpus block, so no side is broadcast and
-  no task ever holds more than one block of each. The per-block candidates
-  are merged with ``row_number() <= k``, which Spark plans as a partial
-  ``WindowGroupLimit`` before the shuffle.
-* ``expr``: broadcast nested-loop join of the corpus with a size-checked query
-  block and a JVM cosine expression; blocks beyond the broadcast bound are
-  processed one after another and unioned.
-
-Ties are broken by the lower corpus id, rows with a null or zero vector are
-dropped, and a query never returns its own id when ``exclude_self`` is set.
+Physical forms of the same result (``method``):
+
+* ``broadcast`` (chosen by ``auto`` when the query set fits the checked
+  broadcast bound): the query matrix is broadcast once; every corpus
+  partition is scored with one matrix product per Arrow batch inside
+  ``mapInPandas`` and keeps a running top-k per query, so each partition
+  emits at most ``k x queries`` candidates.
+* ``blocked`` (large query sets): corpus and queries are cut into blocks by a
+  hash of their id; every (corpus block, query block) pair meets in one
+  ``cogroup().applyInPandas`` call. Corpus rows are replicated once per query
+  block and queries once per corpus block; no side is broadcast and no task
+  holds more than one block of each.
+* ``expr``: JVM-only broadcast nested-loop join with a cosine expression
+  (higher-order array functions), kept as the no-Python alternative.
+
+In every form the per-partition candidates are merged with
+``row_number() <= k``, which Spark plans as a partial ``WindowGroupLimit``
+before the shuffle. Ties are broken by the lower corpus id, rows with a null
+or zero vector are dropped, and a query never returns its own id when
+``exclude_self`` is set.
 """
 
 from __future__ import annotations
@@ -117,48 +121,6 @@ def _query_blocks(q: DataFrame, dim_hint: int, max_bytes: int) -> list[DataFrame
     return [keyed.where(F.col("_qb") == b).drop("_qb") for b in range(nb)]
 
 
-def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col="embedding",
-                 qid_col="incident_id", qvec_col="qv", exclude_self=True, dim_hint=768,
-                 max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, keep=None) -> DataFrame:
-    """Every (query, corpus row) with its cosine ``score`` (JVM expression).
-
-    The query side is broadcast in blocks whose size is checked first.
-    ``keep`` lists extra corpus columns carried through.
-    """
-    keep = list(keep or [])
-    c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
-                       *[F.col(x) for x in keep if x != id_col])
-         .where(F.col("v").isNotNull() & (F.size("v") > 0)))
-    q = _query_vectors(queries, qid_col, qvec_col)
-    parts = []
-    for block in _query_blocks(q, dim_hint, max_broadcast_bytes):
-        p = c.crossJoin(F.broadcast(block))
-        if exclude_self:
-            p = p.where(F.col("id") != F.col("qid"))
-        parts.append(p.withColumn("score", cosine("v", "qv")).where(F.col("score").isNotNull())
-                     .drop("v", "qv"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id",
-               vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
-               method="blocked", block_rows=DEFAULT_BLOCK_ROWS, dim_hint=768) -> DataFrame:
-    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``."""
-    if method == "blocked":
-        cands = topk_candidates_blocked(corpus, queries, k, id_col=id_col, vec_col=vec_col,
-                                        qid_col=qid_col, qvec_col=qvec_col,
-                                        exclude_self=exclude_self, block_rows=block_rows)
-    elif method == "expr":
-        cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
-                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint)
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    return _final_topk(cands.select("qid", "id", "score"), k)
-
-
 def attach_docs(ranked: DataFrame, corpus: DataFrame, cols=("cmplid", "odino", "mfr_name",
                                                             "modeltxt", "compdesc", "cdescr")) -> DataFrame:
     """Join corpus attributes onto ``(qid, id, ...)`` rows (AQE picks the join side at run time)."""
@@ -192,48 +154,233 @@ def global_rank(pairs: DataFrame, group="qid", score="score", id_col="id",
             .drop("_pid", "_mid", "_m0", "_off"))
 
 
-def rank_then_filter(pairs: DataFrame, predicate, limit: int = 30, group="qid") -> DataFrame:
-    """Rank every corpus row per query, then keep the first ``limit`` rows matching
-    ``predicate`` with their whole-corpus rank (filter after ranking).
+def topn_by_column(df: DataFrame, col: str, n: int = 100, tie="seq") -> DataFrame:
+    """Largest ``n`` rows by ``col`` (nulls last, ties by ``tie``): a TakeOrderedAndProject."""
+    return df.orderBy(F.col(col).desc_nulls_last(), F.col(tie).asc()).limit(n)
+
 
-    Two passes instead of a full ranking: (1) the filtered top-``limit`` per
-    query is found with a partial window limit; (2) each scored row counts how
-    many of its query's candidates it beats (a sorted array of at most
-    ``limit`` entries, joined by query id) and a tiny aggregation turns those
-    counts into the candidates' ranks.
-    """
-    w = Window.partitionBy(group).orderBy(F.col("score").desc(), F.col("id").asc())
-    cands = (pairs.where(predicate).withColumn("_j", F.row_number().over(w))
-             .where(F.col("_j") <= limit))
-    arrays = (cands.groupBy(group)
-              .agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("ns"), F.col("id"))))
-                   .alias("_c")))
-    last = F.element_at(F.col("_c"), -1)
-    ns = -F.col("score")
+# ------------------------------------------------------------------ broadcast form
+def _collect_queries(q: DataFrame, max_bytes: int, dim_hint: int):
+    """Size-checked fetch of the (bounded) query set; None when it exceeds ``max_bytes``."""
+    n = q.count()
+    if n * (dim_hint * 4 + 64) > max_bytes:
+        return None
+    pdf = q.toPandas()
+    if pdf.empty:
+        return np.zeros(0, dtype=np.int64), np.zeros((0, dim_hint))
+    m = np.vstack(pdf["qv"].to_numpy()).astype(np.float64)
+    nrm = np.linalg.norm(m, axis=1, keepdims=True)
+    keep = nrm[:, 0] > 0
+    return pdf["qid"].to_numpy(dtype=np.int64)[keep], (m / np.where(nrm > 0, nrm, 1.0))[keep]
+
+
+def _score_batch(pdf: pd.DataFrame, qmat: np.ndarray):
+    c = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
+    cn = np.linalg.norm(c, axis=1)
+    ok = cn > 0
+    s = (c @ qmat.T) / np.where(ok, cn, 1.0)[:, None]
+    s[~ok, :] = -np.inf
+    return pdf["id"].to_numpy(dtype=np.int64), s
+
+
+def _keep_best(frame: pd.DataFrame, k: int) -> pd.DataFrame:
+    frame = frame.sort_values(["qid", "score", "id"], ascending=[True, False, True], kind="stable")
+    return frame.groupby("qid", sort=False).head(k)
+
+
+def _broadcast_topk(k: int, exclude_self: bool, bq):
+    def run(it):
+        qid, qmat = bq.value
+        best = None
+        for pdf in it:
+            if pdf.empty or len(qid) == 0:
+                continue
+            cid, s = _score_batch(pdf, qmat)
+            if exclude_self:
+                s[cid[:, None] == qid[None, :]] = -np.inf
+            kk = min(k, s.shape[0])
+            kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+            rows, cols = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
+            cand = pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
+            best = _keep_best(cand if best is None else pd.concat([best, cand], ignore_index=True), k)
+        if best is not None:
+            yield best
+    return run
 
-    def better(c):  # candidate c ranks before the row (score desc, id asc)
-        return (c["ns"] < ns) | ((c["ns"] == ns) & (c["id"] < F.col("id")))
 
-    n_better = F.when((ns > last["ns"]) | ((ns == last["ns"]) & (F.col("id") > last["id"])),
-                      F.size("_c")).otherwise(F.size(F.filter("_c", better)))
-    counts = (pairs.select(group, "score", "id").join(arrays, group)
-              .groupBy(group, n_better.alias("_m")).agg(F.count(F.lit(1)).alias("_cnt")))
-    ranks = (cands.select(group, "id", "_j").join(counts, group)
-             .where(F.col("_m") <= F.col("_j") - 1)
-             .groupBy(group, "id").agg(F.sum("_cnt").cast("long").alias("rank")))
-    return cands.join(ranks, [group, "id"]).drop("_j")
+def _broadcast_scores(exclude_self: bool, bq):
+    def run(it):
+        qid, qmat = bq.value
+        for pdf in it:
+            if pdf.empty or len(qid) == 0:
+                continue
+            cid, s = _score_batch(pdf, qmat)
+            if exclude_self:
+                s[cid[:, None] == qid[None, :]] = -np.inf
+            rows, cols = np.nonzero(np.isfinite(s))
+            yield pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
+    return run
 
 
-def filter_then_topk(pairs: DataFrame, predicate, k: int = 20, group="qid") -> DataFrame:
-    """Filter first, then rank inside the filtered rows (ranks start at 1)."""
-    return _final_topk_group(pairs.where(predicate), k, group)
+def _broadcast(spark, value):
+    return spark.sparkContext.broadcast(value)
 
 
-def _final_topk_group(df: DataFrame, k: int, group: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(F.col("score").desc(), F.col("id").asc())
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def _choose(method: str, q: DataFrame, max_bytes: int, dim_hint: int):
+    if method in ("auto", "broadcast"):
+        got = _collect_queries(q, max_bytes, dim_hint)
+        if got is not None:
+            return "broadcast", got
+        if method == "broadcast":
+            raise ValueError("query set exceeds the broadcast bound; use method='blocked'")
+    return ("blocked" if method == "auto" else method), None
 
 
-def topn_by_column(df: DataFrame, col: str, n: int = 100, tie="seq") -> DataFrame:
-    """Largest ``n`` rows by ``col`` (nulls last, ties by ``tie``): a TakeOrderedAndProject."""
-    return df.orderBy(F.col(col).desc_nulls_last(), F.col(tie).asc()).limit(n)
+def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id",
+               vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
+               method="auto", block_rows=DEFAULT_BLOCK_ROWS, dim_hint=768,
+               max_broadcast_bytes=DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``."""
+    q = _query_vectors(queries, qid_col, qvec_col)
+    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
+    if kind == "broadcast":
+        bq = _broadcast(corpus.sparkSession, got)
+        cands = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
+            _broadcast_topk(k, exclude_self, bq), schema=CAND_SCHEMA)
+    elif kind == "blocked":
+        cands = topk_candidates_blocked(corpus, queries, k, id_col=id_col, vec_col=vec_col,
+                                        qid_col=qid_col, qvec_col=qvec_col,
+                                        exclude_self=exclude_self, block_rows=block_rows)
+    elif kind == "expr":
+        cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
+                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    return _final_topk(cands.select("qid", "id", "score"), k)
+
+
+def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col="embedding",
+                 qid_col="incident_id", qvec_col="qv", exclude_self=True, dim_hint=768,
+                 max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, keep=None, method="auto") -> DataFrame:
+    """Every (query, corpus row) with its cosine ``score``: ``(qid, id, score, *keep)``.
+
+    ``auto`` scores in Arrow batches against the broadcast query matrix when
+    it fits the bound, else in the JVM with query blocks of checked size.
+    """
+    keep = [x for x in (keep or []) if x != id_col]
+    q = _query_vectors(queries, qid_col, qvec_col)
+    kind, got = _choose(method if method != "blocked" else "expr", q, max_broadcast_bytes, dim_hint)
+    if kind == "broadcast":
+        bq = _broadcast(corpus.sparkSession, got)
+        pairs = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
+            _broadcast_scores(exclude_self, bq), schema=CAND_SCHEMA)
+        if keep:
+            attrs = corpus.select(F.col(id_col).cast("long").alias("id"), *[F.col(x) for x in keep])
+            pairs = pairs.join(attrs, "id")
+        return pairs
+    c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
+                       *[F.col(x) for x in keep])
+         .where(F.col("v").isNotNull() & (F.size("v") > 0)))
+    parts = []
+    for block in _query_blocks(q, dim_hint, max_broadcast_bytes):
+        p = c.crossJoin(F.broadcast(block))
+        if exclude_self:
+            p = p.where(F.col("id") != F.col("qid"))
+        parts.append(p.withColumn("score", cosine("v", "qv")).where(F.col("score").isNotNull())
+                     .drop("v", "qv"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+BETTER_SCHEMA = T.StructType([
+    T.StructField("qid", T.LongType()),
+    T.StructField("id", T.LongType()),
+    T.StructField("n_better", T.LongType()),
+])
+
+
+def _broadcast_better_counts(exclude_self: bool, bq):
+    """Per partition: for each (query, candidate), corpus rows ranked before the candidate."""
+    def run(it):
+        qid, qmat, cand_ids, cand_scores = bq.value   # (Q,), (Q,d), (Q,L), (Q,L) padded with -1/-inf
+        total = np.zeros(cand_ids.shape, dtype=np.int64)
+        seen = False
+        for pdf in it:
+            if pdf.empty or len(qid) == 0:
+                continue
+            seen = True
+            cid, s = _score_batch(pdf, qmat)
+            if exclude_self:
+                s[cid[:, None] == qid[None, :]] = -np.inf
+            srt = np.sort(s, axis=0)
+            n = s.shape[0]
+            for j in range(len(qid)):
+                lo = np.searchsorted(srt[:, j], cand_scores[j], side="left")
+                hi = np.searchsorted(srt[:, j], cand_scores[j], side="right")
+                cnt = (n - hi).astype(np.int64)
+                for l in np.nonzero(hi > lo)[0]:  # equal scores: the lower id ranks first
+                    cnt[l] += int(np.sum((s[:, j] == cand_scores[j, l]) & (cid < cand_ids[j, l])))
+                total[j] += cnt
+            # a candidate never counts itself
+            order = np.argsort(cid)
+            flat = cand_ids.reshape(-1)
+            pos = np.minimum(np.searchsorted(cid[order], flat), n - 1)
+            hit = (cid[order][pos] == flat) & (flat >= 0)
+            if hit.any():
+                rows = order[pos[hit]]
+                cols = np.repeat(np.arange(len(qid)), cand_ids.shape[1])[hit]
+                sv, cv = s[rows, cols], cand_scores.reshape(-1)[hit]
+                adj = (sv > cv) | ((sv == cv) & (cid[rows] < flat[hit]))
+                flat_total = total.reshape(-1)
+                flat_total[np.nonzero(hit)[0]] -= adj.astype(np.int64)
+        if seen:
+            qq = np.repeat(qid, cand_ids.shape[1])
+            ids = cand_ids.reshape(-1)
+            m = ids >= 0
+            yield pd.DataFrame({"qid": qq[m], "id": ids[m], "n_better": total.reshape(-1)[m]})
+    return run
+
+
+def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: int = 30, *, id_col="id",
+                     vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
+                     dim_hint=768, max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, method="auto") -> DataFrame:
+    """Rank every corpus row per query, keep the first ``limit`` rows matching ``predicate``
+    (on corpus columns) with their whole-corpus rank: ``(qid, id, score, rank)``.
+
+    Two passes instead of a full ranking: the filtered top-``limit`` per query
+    (candidates), then a count, per candidate, of all corpus rows ranked
+    before it (a scan of the corpus against the broadcast candidates, summed
+    over partitions). Falls back to the range-partitioned full ranking when
+    the queries do not fit the broadcast bound.
+    """
+    cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col,
+                       qid_col=qid_col, qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
+                       max_broadcast_bytes=max_broadcast_bytes, method=method)
+    q = _query_vectors(queries, qid_col, qvec_col)
+    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
+    if kind != "broadcast":
+        pairs = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
+                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
+        ranked = global_rank(pairs)
+        return ranked.join(cands.select("qid", "id"), ["qid", "id"], "left_semi")
+    qid, qmat = got
+    pc = cands.select("qid", "id", "score", "rank").toPandas()  # limit x queries rows, bounded
+    index = {int(x): j for j, x in enumerate(qid)}
+    cid = np.full((len(qid), limit), -1, dtype=np.int64)
+    csc = np.full((len(qid), limit), np.inf)
+    for row in pc.itertuples(index=False):
+        j = index[int(row.qid)]
+        cid[j, int(row.rank) - 1] = int(row.id)
+        csc[j, int(row.rank) - 1] = float(row.score)
+    bq = _broadcast(corpus.sparkSession, (qid, qmat, cid, csc))
+    counts = (_corpus_vectors(corpus, id_col, vec_col)
+              .mapInPandas(_broadcast_better_counts(exclude_self, bq), schema=BETTER_SCHEMA)
+              .groupBy("qid", "id").agg((F.sum("n_better") + 1).alias("rank")))
+    return cands.drop("rank").join(counts, ["qid", "id"])
+
+
+def filter_then_topk(corpus: DataFrame, queries: DataFrame, predicate, k: int = 20, **kw) -> DataFrame:
+    """Filter the corpus first, then rank inside the filtered rows (ranks start at 1)."""
+    return topk_exact(corpus.where(predicate), queries, k, **kw)

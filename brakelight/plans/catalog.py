@@ -400,7 +400,7 @@ def _text_pred():
     return F.col("cdescr").ilike("%data%") | F.col("compdesc").ilike("%component 3%")
 
 
-def _pairs(spark, sf, keep=("cdescr", "compdesc")):
+def _pairs(spark, sf, keep=()):
     c = _corpus(spark, sf)
     return topk.scored_pairs(c, V.incidents(c), keep=list(keep), dim_hint=64)
 
@@ -421,7 +421,7 @@ def q_incident_states(spark, sf):
 @query("rank_exact", O.with_views(
     "SELECT qid AS incident_id, id, rank, round(score, 6) AS score FROM ranked", corpus=True))
 def q_rank_exact(spark, sf):
-    r = topk.global_rank(_pairs(spark, sf, keep=()))
+    r = topk.global_rank(_pairs(spark, sf))
     return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
 
 
@@ -431,7 +431,8 @@ FROM ranked r JOIN corpus c ON c.id = r.id
 WHERE {_TEXT_PRED_SQL}
 QUALIFY row_number() OVER (PARTITION BY r.qid ORDER BY r.rank) <= 30""", corpus=True))
 def q_rank_then_filter(spark, sf):
-    r = topk.rank_then_filter(_pairs(spark, sf), _text_pred(), limit=30)
+    c = _corpus(spark, sf)
+    r = topk.rank_then_filter(c, V.incidents(c), _text_pred(), limit=30, dim_hint=64)
     return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
 
 
@@ -442,7 +443,8 @@ FROM scores s JOIN corpus c ON c.id = s.id
 WHERE {_TEXT_PRED_SQL}
 QUALIFY rank <= 20""", corpus=True))
 def q_filter_then_topk(spark, sf):
-    r = topk.filter_then_topk(_pairs(spark, sf), _text_pred(), k=20)
+    c = _corpus(spark, sf)
+    r = topk.filter_then_topk(c, V.incidents(c), _text_pred(), k=20, dim_hint=64)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
