@@ -29,7 +29,7 @@ def strip_quotes(df: DataFrame, cols=None) -> DataFrame:
 
 
 def defang_columns(df: DataFrame, cols=LINK_TEXT_COLUMNS) -> DataFrame:
-    return df.withColumns({c: text.defang_links(c) for c in cols})
+    return df.withColumns({c: text.defang_links(c) for c in cols if c in df.columns})
 
 
 def coerce_numeric(df: DataFrame, cols=NUMERIC_COLUMNS) -> DataFrame:

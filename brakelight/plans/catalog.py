@@ -733,7 +733,7 @@ def q_scan_raw_tsv(spark, sf):
     d = _run_dir(spark, "raw")
     src.write_raw_tsv(_complaints(spark, sf), d)
     raw = src.scan_raw_tsv(spark, d, encoding="UTF-8")
-    return raw.select(*RAW_COLUMNS, F.col("_corrupt_record").isNotNull().alias("ragged"))
+    return raw.select(*RAW_COLUMNS, F.col("_ragged").alias("ragged"))
 
 
 def _processed_text_sql(src_cte: str = "clean") -> str:

@@ -18,9 +18,14 @@ ORDER_COL = "_order"
 
 
 def raw_tsv_reader(reader, encoding: str = "ISO-8859-1"):
-    """Options of the raw complaint layout: tab, no header, no quoting, blanks kept."""
-    return (reader.schema(RAW_SCHEMA_WITH_CORRUPT)
-            .option("sep", "\t").option("header", False).option("quote", "")
+    """Read the raw layout one line per row (charset decoding by the CSV reader).
+
+    Lines are split on tab afterwards with ``split``: field counts are then
+    exact whatever columns a query reads (the CSV parser's own malformed-row
+    detection changes with column pruning), and blank fields stay ``""``.
+    """
+    return (reader.schema("_line string, _corrupt_record string")
+            .option("sep", "\u0001").option("header", False).option("quote", "")
             .option("encoding", encoding).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
             .option("maxCharsPerColumn", -1)
@@ -28,16 +33,18 @@ def raw_tsv_reader(reader, encoding: str = "ISO-8859-1"):
 
 
 def with_raw_columns(df: DataFrame, order: bool = True) -> DataFrame:
-    """Blank fields come back as null from the CSV reader; restore ``""`` and add the order key.
-
-    Streams add the order key per micro-batch (``add_order_key``) since row ids
-    are a batch-only expression.
-    """
-    out = df.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS],
-        F.col(CORRUPT_COLUMN),
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_block_start"))
+    """51 string fields by position, ``_ragged`` (field count is not 51), ``_raw_line``,
+    ``_source_file`` and, unless ``order`` is False (streams add it per micro-batch),
+    the ``_order`` key."""
+    line = F.coalesce(F.col(CORRUPT_COLUMN), F.col("_line"), F.lit(""))
+    fields = F.split(line, "\t", -1)
+    out = df.select(line.alias("_raw_line"), fields.alias("_f"),
+                    F.col("_metadata.file_path").alias("_source_file"),
+                    F.col("_metadata.file_block_start").alias("_block_start"))
+    out = out.select(*[F.coalesce(F.try_element_at("_f", F.lit(i + 1)), F.lit("")).alias(c)
+                       for i, c in enumerate(RAW_COLUMNS)],
+                     (F.size("_f") != len(RAW_COLUMNS)).alias("_ragged"), "_raw_line", "_source_file",
+                     "_block_start")
     return add_order_key(out) if order else out
 
 
@@ -48,7 +55,7 @@ def add_order_key(df: DataFrame) -> DataFrame:
 
 
 def scan_raw_tsv(spark: SparkSession, path, encoding: str = "ISO-8859-1", glob: str | None = None) -> DataFrame:
-    """Raw complaint rows: 51 strings, ``_corrupt_record`` (ragged rows), ``_source_file``, ``_order``."""
+    """Raw complaint rows: 51 strings, ``_ragged``, ``_raw_line``, ``_source_file``, ``_order``."""
     r = raw_tsv_reader(spark.read, encoding)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -57,9 +64,8 @@ def scan_raw_tsv(spark: SparkSession, path, encoding: str = "ISO-8859-1", glob:
 
 def split_ragged(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, ragged rows with reason) -- one scan, two predicates."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    good = raw.where(~bad).drop(CORRUPT_COLUMN)
-    rej = raw.where(bad).withColumn("reason", F.lit("field count"))
+    good = raw.where(~F.col("_ragged")).drop("_ragged", "_raw_line")
+    rej = raw.where(F.col("_ragged")).withColumn("reason", F.lit("field count"))
     return good, rej
 
 

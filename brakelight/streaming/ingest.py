@@ -44,7 +44,7 @@ def clean_batch_writer(zone: str, quarantine: str):
         cleaned = clean_complaints(good, order=ORDER_COL, scope=("_source_file",))
         (cleaned.drop(ORDER_COL).write.mode("overwrite")
          .parquet(posixpath.join(zone, f"batch={batch_id}")))
-        ragged.select("_source_file", "_corrupt_record", "reason").write.mode("overwrite") \
+        ragged.select("_source_file", "_raw_line", "reason").write.mode("overwrite") \
             .parquet(posixpath.join(quarantine, f"batch={batch_id}"))
 
     return run
