@@ -38,8 +38,8 @@ def typed_rows(processed: DataFrame, strict_numbers: bool = False, keep=("seq",)
     """Typed corpus columns + ``reject_reason`` (null for loadable rows)."""
     cols = set(processed.columns)
 
-    def get(c):
-        return text.strip_ws(F.col(c)) if c in cols else F.lit("")
+    def get(c):  # missing column or empty CSV field -> ""
+        return F.coalesce(text.strip_ws(F.col(c)), F.lit("")) if c in cols else F.lit("")
 
     out = [F.col(k) for k in keep if k in cols]
     for c in PROCESSED_COLUMNS:

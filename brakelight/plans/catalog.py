@@ -245,9 +245,9 @@ def q_date_pair(spark, sf):
     return t.select(*cols)
 
 
-def _typed_sql() -> str:
+def _typed_sql(keep=("seq",), src_sql: str | None = None) -> str:
     from ..schemas import FLAG_COLUMNS, PROCESSED_COLUMNS
-    cols = ["seq"]
+    cols = list(keep)
     for c in PROCESSED_COLUMNS:
         if c == "embedding" or c.endswith("_raw_invalid"):
             continue
@@ -272,7 +272,25 @@ def _typed_sql() -> str:
             txt.append(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}")
         else:
             txt.append(f"coalesce({c}, '') AS {c}")
-    return (f"SELECT {', '.join(cols)} FROM (SELECT {', '.join(txt)} FROM clean)")
+    src = src_sql or f"SELECT {', '.join(txt)} FROM clean"
+    return f"SELECT {', '.join(cols)} FROM ({src})"
+
+
+def _load_jobs_sql() -> str:
+    from ..schemas import CLEAN_COLUMNS
+    txt = ["'processed/' || CAST(seq % 50 AS VARCHAR) || '.csv' AS result_key"]
+    for c in CLEAN_COLUMNS:
+        if c in DATE_COLUMNS or c.endswith("_raw_invalid"):
+            txt.append(f"coalesce({O.date_text_sql(c)}, '') AS {c}")
+        elif c in NUMERIC_COLUMNS:
+            txt.append(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}")
+        else:
+            txt.append(f"coalesce({c}, '') AS {c}")
+    src = (f"SELECT t.*, j.n_messages, j.first_job_id FROM (SELECT {', '.join(txt)} FROM clean) t JOIN "
+           "(SELECT json_extract_string(body, '$.resultKey') AS result_key, count(*) AS n_messages, "
+           "min(json_extract_string(body, '$.jobId')) AS first_job_id FROM dm WHERE is_valid GROUP BY 1) j "
+           "USING (result_key)")
+    return _typed_sql(keep=("result_key", "n_messages", "first_job_id"), src_sql=src)
 
 
 @query("typed_corpus", O.with_views(_typed_sql(), complaints=True, extra=O.clean_ctes()))
@@ -362,11 +380,12 @@ def q_cosine_scores(spark, sf):
 
 @query("check_vector_dim", """
 SELECT len(embedding) AS dim, count(*) AS n_vectors,
-       count_if(abs(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) - 1.0) > 0.001) AS n_not_unit,
+       CAST(count_if(abs(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) - 1.0) > 0.001) AS BIGINT) AS n_not_unit,
        len(embedding) = 64 AS dim_ok
 FROM embeddings GROUP BY len(embedding)""")
 def q_check_vector_dim(spark, sf):
-    return audit.check_vector_dim(V.table(spark, sf, "embeddings"), dim=64)
+    r = audit.check_vector_dim(V.table(spark, sf, "embeddings"), dim=64)
+    return r.withColumn("dim", F.col("dim").cast("long"))
 
 
 @query("format_embedding_literal")
@@ -388,7 +407,7 @@ def q_parse_embedding(spark, sf):
     lits = V.vec_literals(V.table(spark, sf, "embeddings"))
     vec, ok = vectors.parse_literal("literal")
     p = lits.select("vec_id", vec.alias("v"), ok.alias("is_valid"))
-    return p.select("vec_id", "is_valid", F.size("v").alias("dim"),
+    return p.select("vec_id", "is_valid", F.size("v").cast("long").alias("dim"),
                     F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("vsum"))
 
 
@@ -561,7 +580,21 @@ def q_reference_list(spark, sf):
     return report.reference_list(r, d)
 
 
-@query("final_report")
+def _defang_once_sql(x: str) -> str:
+    return f"(CASE WHEN contains({x}, '[.]') THEN {x} ELSE {O.defang_sql(x)} END)"
+
+
+def _final_report_sql(revisions: str) -> str:
+    return _template_sql(report.REPORT_TEMPLATE, {
+        "incident": _defang_once_sql("coalesce(i.incident_text, '')"),
+        "analysis": _defang_once_sql("coalesce(d.draft_report, '')"),
+        "revisions": f"CAST({revisions} AS VARCHAR)",
+        "references": _defang_once_sql("coalesce(f.references, '')")})
+
+
+@query("final_report", O.with_views(
+    "SELECT d.incident_id, " + _final_report_sql("0") + " AS report FROM drafts d JOIN incidents i USING (incident_id) "
+    "JOIN (" + _REFS_SQL + ") f USING (incident_id)", corpus=True, extra=O.REPORT_CTE))
 def q_final_report(spark, sf):
     r, d, inc = _drafted(spark, sf)
     states = report.initial_states(inc).drop("draft_report").join(d, "incident_id")
@@ -758,7 +791,15 @@ def q_scan_clean_csv(spark, sf):
     return src.scan_clean_csv(spark, d, required=SUMMARY_PIPE_COLUMNS).select(*CLEAN_COLUMNS)
 
 
-@query("scan_ragged_csv")
+def _ragged_sql() -> str:
+    from ..schemas import LOADER_COLUMNS
+    inner = _processed_text_sql().replace("SELECT ", "SELECT seq, ", 1)
+    cols = [(f"CASE WHEN seq % 7 = 0 THEN '' ELSE {c} END AS {c}" if c in ("cmplid", "odino", "mfr_name") else c)
+            for c in LOADER_COLUMNS if c != "embedding"]
+    return f"SELECT {', '.join(cols)} FROM ({inner})"
+
+
+@query("scan_ragged_csv", O.with_views(_ragged_sql(), complaints=True, extra=O.clean_ctes()))
 def q_scan_ragged_csv(spark, sf):
     """Header in a different column order, every 7th row missing its last three fields."""
     from ..schemas import CLEAN_COLUMNS, LOADER_COLUMNS
@@ -831,7 +872,7 @@ def _read_processed(spark, paths):
             .withColumn("_file", F.col("_metadata.file_path")))
 
 
-@query("load_jobs")
+@query("load_jobs", O.with_views(_load_jobs_sql(), complaints=True, extra=O.clean_ctes() + ",\n" + _MSG_SQL))
 def q_load_jobs(spark, sf):
     base = _run_dir(spark, "bucket")
     _write_processed_files(spark, sf, base)
@@ -853,7 +894,7 @@ def q_write_clean_zone(spark, sf):
 @query("job_manifest", O.with_views(
     "SELECT 'job-1' AS job_id, 'b' AS bucket, 'cleaned/job-1/data.parquet' AS cleaned_key, "
     "(SELECT count(*) FROM clean) AS rows, (SELECT count(*) FROM complaints) AS loaded, "
-    "(SELECT count_if(coalesce(trim(summary) = '', TRUE)) FROM clean) AS blank_summary",
+    "(SELECT CAST(count_if(coalesce(trim(summary) = '', TRUE)) AS BIGINT) FROM clean) AS blank_summary",
     complaints=True, extra=O.clean_ctes()))
 def q_job_manifest(spark, sf):
     raw = _complaints(spark, sf)
@@ -943,8 +984,9 @@ def q_stream_job_status(spark, sf):
 
 
 @query("dead_letter", O.with_views(
-    "SELECT message_id, CASE WHEN NOT is_valid THEN 5 ELSE 1 END AS receives, "
-    "CASE WHEN NOT is_valid THEN 5 ELSE 0 END AS failures, NOT is_valid AS dead_lettered FROM dm", extra=_MSG_SQL))
+    "SELECT message_id, CAST(CASE WHEN NOT is_valid THEN 5 ELSE 1 END AS BIGINT) AS receives, "
+    "CAST(CASE WHEN NOT is_valid THEN 5 ELSE 0 END AS BIGINT) AS failures, NOT is_valid AS dead_lettered FROM dm",
+    extra=_MSG_SQL))
 def q_dead_letter(spark, sf):
     run = _run_dir(spark, "dlq")
     m = V.messages(V.table(spark, sf, "events"))
@@ -1056,7 +1098,21 @@ def q_embed_hashed(spark, sf):
     return e.select("seq", F.size("embedding").alias("dim"), F.round(vectors.norm("embedding"), 6).alias("norm"))
 
 
-@query("revise_loop")
+_LOOP_DRAFTS = """drafts AS (
+  SELECT incident_id,
+         CASE WHEN incident_id % 5 = 0 THEN 'Most likely cause [' || r1 || ']; next step: inspect the component.'
+              ELSE 'Cause A [' || r1 || ']. Cause B [' || r3 || '].' END AS draft_report,
+         CASE WHEN incident_id % 5 = 0 THEN 2 ELSE 1 END AS revision_count
+  FROM (SELECT incident_id, min(CASE WHEN rank = 1 THEN id END) AS r1, min(CASE WHEN rank = 3 THEN id END) AS r3
+        FROM retrieved GROUP BY incident_id)),
+""" + O.REPORT_CTE[O.REPORT_CTE.index("cites AS ("):]
+
+
+@query("revise_loop", O.with_views(
+    "SELECT d.incident_id, i.incident_text, d.draft_report, '' AS critique, d.revision_count, 3 AS max_revision, "
+    "'pass' AS status, " + _final_report_sql("d.revision_count") + " AS report "
+    "FROM drafts d JOIN incidents i USING (incident_id) JOIN (" + _REFS_SQL + ") f USING (incident_id)",
+    corpus=True, extra=_LOOP_DRAFTS))
 def q_revise_loop(spark, sf):
     r, inc = _retrieved(spark, sf)
     ids = (r.groupBy("incident_id")

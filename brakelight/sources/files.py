@@ -111,17 +111,20 @@ def scan_clean_csv(spark: SparkSession, path, required=None) -> DataFrame:
 
 
 def scan_ragged_csv(spark: SparkSession, path, columns) -> DataFrame:
-    """Headered CSV tolerant of short/long rows; ``columns`` looked up by header name
-    (case-insensitive), absent columns and missing trailing fields read as ``""``."""
+    """Headered CSV tolerant of short rows; ``columns`` looked up by header name
+    (case-insensitive), absent columns and missing trailing fields read as ``""``.
+
+    (Spark's CSV reader returns null for both an empty field and a missing one,
+    so both become ``""``, the same as the tolerant reader this mirrors.)
+    """
     names = header_of(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
+          .option("mode", "PERMISSIVE").csv(path))
     lower = {n.lower(): n for n in names}
     cols = [F.coalesce(F.col(f"`{lower[c]}`"), F.lit("")).alias(c) if c in lower else F.lit("").alias(c)
             for c in columns]
-    return df.select(*cols, F.col(CORRUPT_COLUMN).isNotNull().alias("ragged"))
+    return df.select(*cols)
 
 
 def scan_eval_cases(spark: SparkSession, path) -> DataFrame:
