@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, text
+from ..session import ensure_parallelism
 from ..schemas import (DATE_COLUMNS, DATE_HIGH, DATE_LOW, INVALID_SUFFIX, LINK_TEXT_COLUMNS,
                        MIN_COMPDESC_LEN, NUMERIC_COLUMNS, PIPE_SEP)
 
@@ -124,7 +125,7 @@ def clean_complaints(raw: DataFrame, order: str = "seq", low: str = DATE_LOW,
     ``scope``: extra key columns (e.g. the source file) so that several inputs
     are cleaned independently in one job, as separate clean jobs would.
     """
-    df = strip_quotes(raw)
+    df = strip_quotes(ensure_parallelism(raw))
     df = defang_columns(df)
     df = coerce_numeric(df)
     df = parse_dates(df)

@@ -11,11 +11,13 @@ round.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, MinHashLSH
+from pyspark.ml.feature import HashingTF, MinHashLSH, NGram, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_parallelism
+
 # Whitespace collapsed before fingerprinting.
 WS_RUN = r"[\t\n\f\r ]+"
 
@@ -27,7 +29,8 @@ def normalized(c) -> "F.Column":
 def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, group_id, group_size)`` for every text that occurs at least twice."""
     n = normalized(text_col)
-    keyed = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(n).alias("_h1"), F.hash(n).alias("_h2"),
+    keyed = ensure_parallelism(df.select(F.col(id_col).alias("doc_id"), F.col(text_col))).select(
+        F.col("doc_id"), F.xxhash64(n).alias("_h1"), F.hash(n).alias("_h2"),
                       F.length(n).alias("_len"))
     keys = ["_h1", "_h2", "_len"]
     groups = (keyed.groupBy(*keys).agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
@@ -37,17 +40,19 @@ def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str
 
 def minhash_signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        n_hashes: int = 32, seed: int = 11, num_features: int = 1 << 20) -> DataFrame:
-    """``(doc_id, sig array<double>)``; texts with no shingle get no signature."""
-    # tokens are materialised as a column first: an expression referenced inside a
-    # lambda would be re-evaluated for every element
-    toks = df.select(F.col(id_col).alias("doc_id"),
-                     F.filter(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+"), lambda t: t != "").alias("toks"))
-    sh = F.transform(F.sequence(F.lit(0), F.greatest(F.size("toks") - shingle, F.lit(0))),
-                     lambda i: F.array_join(F.slice("toks", i + 1, shingle), " "))
-    # filter on the token column: a filter on the shingle column would be pushed below
-    # the projection and inline the token expression into the lambda
-    base = toks.where(F.size("toks") > 0).select("doc_id", F.array_distinct(sh).alias("shingles"))
-    tf = HashingTF(inputCol="shingles", outputCol="tf", numFeatures=num_features, binary=True).transform(base)
+    """``(doc_id, sig array<double>)`` over word ``shingle``-grams; empty texts get no signature.
+
+    Tokenising, n-grams, hashing and MinHash are MLlib transformers (JVM code);
+    a text shorter than one shingle is a single shingle of all its words.
+    """
+    base = ensure_parallelism(
+        df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")))
+    toks = RegexTokenizer(inputCol="_t", outputCol="toks", pattern=r"[^\p{L}\p{N}]+", toLowercase=True,
+                          minTokenLength=1).transform(base)
+    grams = NGram(n=shingle, inputCol="toks", outputCol="grams").transform(toks.where(F.size("toks") > 0))
+    sets = grams.select("doc_id", F.when(F.size("grams") > 0, F.array_distinct("grams"))
+                        .otherwise(F.array(F.array_join("toks", " "))).alias("shingles"))
+    tf = HashingTF(inputCol="shingles", outputCol="tf", numFeatures=num_features, binary=True).transform(sets)
     model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=n_hashes, seed=seed).fit(tf)
     out = model.transform(tf)
     return out.select("doc_id", F.transform("hashes", lambda v: vector_to_array(v)[0]).alias("sig"))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import cosine
+from ..session import ensure_parallelism
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BLOCK_ROWS = 20000
@@ -45,8 +46,8 @@ CAND_SCHEMA = T.StructType([
 
 
 def _corpus_vectors(corpus: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    return (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-            .where(F.col("v").isNotNull() & (F.size("v") > 0)))
+    return ensure_parallelism(corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+                              .where(F.col("v").isNotNull() & (F.size("v") > 0)))
 
 
 def _query_vectors(queries: DataFrame, qid_col: str, qvec_col: str) -> DataFrame:

@@ -62,3 +62,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread CPU-heavy per-row work over the cluster when the input has too few splits.
+
+    A large input already has many more splits than cores, and this is a
+    no-op; a small file with one row group would otherwise run in one task.
+    Counting partitions plans the scan but runs no job.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
