@@ -536,6 +536,14 @@ def q_prompt_rows(spark, sf):
     return report.prompt_rows(report.initial_states(inc), report.context_pack(r))
 
 
+@query("grade_prompts", O.with_views(
+    "SELECT incident_id, " + _template_sql(report.GRADE_TEMPLATE, {"draft": "coalesce(draft_report, '')"})
+    + " AS grade_prompt FROM drafts", corpus=True, extra=O.REPORT_CTE))
+def q_grade_prompts(spark, sf):
+    _, d, _ = _drafted(spark, sf)
+    return report.grade_prompt_rows(d)
+
+
 def _drafted(spark, sf):
     r, inc = _retrieved(spark, sf)
     return r, V.drafts(r), inc
@@ -1124,3 +1132,18 @@ def q_revise_loop(spark, sf):
     refs = report.reference_list(r, done.select("incident_id", "draft_report"))
     rep = report.final_report(done, refs)
     return done.drop("retrieved_ids", "context", "report").join(rep, "incident_id")
+
+
+@query("retry_queue", O.with_views("SELECT message_id, body FROM dm WHERE NOT is_valid", extra=_MSG_SQL))
+def q_retry_queue(spark, sf):
+    """Partial batch failure: after the status stream, only failed messages are queued again."""
+    run = _run_dir(spark, "retry")
+    m = V.messages(V.table(spark, sf, "events"))
+    inbox = posixpath.join(run, "inbox")
+    m.write.parquet(inbox)
+    out = posixpath.join(run, "status")
+    base = posixpath.join(run, "bucket")
+    _write_processed_files(spark, sf, base)
+    load.run_status_stream(spark, spark.readStream.schema(m.schema).parquet(inbox), _resolver(base), out,
+                           posixpath.join(run, "ckpt"))
+    return load.retry_queue(spark.read.parquet(inbox), spark.read.parquet(out)).select("message_id", "body")

@@ -51,6 +51,18 @@ def run_status_stream(spark: SparkSession, source: DataFrame, resolve, status_ta
     return h
 
 
+def retry_queue(messages: DataFrame, status: DataFrame, key: str = "message_id") -> DataFrame:
+    """Messages whose latest status is not ``ok``: only the failed subset is delivered again."""
+    failed = status.where(F.col("status") != "ok").select(key)
+    return messages.join(failed, key, "left_semi")
+
+
+def drop_redeliveries(stream: DataFrame, key: str = "message_id", ts: str = "ts",
+                      delay: str = "10 minutes") -> DataFrame:
+    """De-duplicate redelivered messages that carry a send time (state kept for ``delay``)."""
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
 def run_dead_letter_stream(spark: SparkSession, deliveries: DataFrame, out: str, checkpoint: str,
                            max_receives: int = 5):
     """Count failed receives per message id in streaming state (update mode); a message whose
