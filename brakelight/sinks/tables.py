@@ -160,6 +160,21 @@ class SnapshotTable:
         return True
 
 
+def write_interchange_csv(df: DataFrame, path: str, vector_cols=("embedding",)) -> None:
+    """Headered CSV with vectors as ``[f,f,...]`` literals (for bulk loaders that read text)."""
+    from ..functions.vectors import format_literal
+    out = df.withColumns({c: format_literal(c) for c in vector_cols if c in df.columns})
+    out.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, batch_size: int = 500,
+               mode: str = "append") -> None:
+    """Batched insert into a database table (one transaction per partition, ``batch_size`` rows per batch).
+
+    Vector columns must be formatted by the caller for the target type."""
+    df.write.jdbc(url, table, mode=mode, properties={**properties, "batchsize": str(batch_size)})
+
+
 def write_eval_report(rows: DataFrame, metrics: DataFrame, path: str, key: str = "case_id") -> DataFrame:
     """Re-attach per-case metadata by ``case_id`` (not by position) and write CSV."""
     out = metrics.join(rows, key, "left")
