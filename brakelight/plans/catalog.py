@@ -820,9 +820,14 @@ def q_scan_ragged_csv(spark, sf):
 
     full = F.concat_ws(",", *[quoted(c) for c in cols])
     short = F.concat_ws(",", *[quoted(c) for c in cols[:-3]])
-    lines = t.select("seq", F.when(F.col("seq") % 7 == 0, short).otherwise(full).alias("value"))
-    header = spark.range(1).select(F.lit(-1).cast("long").alias("seq"), F.lit(",".join(cols)).alias("value"))
-    header.unionByName(lines).repartition(1).sortWithinPartitions("seq").select("value").write.text(d)
+    # files of one bucket each: header line first, then the bucket's rows (no single writer task)
+    nb = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = t.select("seq", F.when(F.col("seq") % 7 == 0, short).otherwise(full).alias("value"),
+                     F.pmod(F.xxhash64("seq"), F.lit(nb)).cast("int").alias("bucket"))
+    header = spark.range(nb).select(F.lit(-1).cast("long").alias("seq"), F.lit(",".join(cols)).alias("value"),
+                                    F.col("id").cast("int").alias("bucket"))
+    (header.unionByName(lines).repartition(nb, "bucket").sortWithinPartitions("bucket", "seq")
+     .select("value", "bucket").write.partitionBy("bucket").text(d))
     return src.scan_ragged_csv(spark, d, [c for c in LOADER_COLUMNS if c != "embedding"])
 
 
@@ -867,7 +872,9 @@ def _write_processed_files(spark, sf, base: str) -> None:
     """Processed CSV files for keys ``processed/<n>.csv`` (n = seq % 50): one folder per key."""
     t = typed_ops.processed_text(clean.clean_complaints(_complaints(spark, sf)), keep=("seq",))
     t = t.withColumn("_name", F.concat((F.col("seq") % 50).cast("string"), F.lit(".csv")))
-    (t.drop("seq").repartition("_name").write.partitionBy("_name").option("header", True).option("escape", '"')
+    # every task writes its own part file (with header) into each key folder: a hot key
+    # is spread over all writers instead of one task
+    (t.drop("seq").write.partitionBy("_name").option("header", True).option("escape", '"')
      .csv(posixpath.join(base, "processed")))
 
 
@@ -1018,10 +1025,11 @@ def q_dead_letter(spark, sf):
 def q_stream_clean(spark, sf):
     run = _run_dir(spark, "ingest")
     folder = posixpath.join(run, "incoming")
-    src.write_raw_tsv(_complaints(spark, sf), folder)
+    # one upload = one folder of part files written in parallel
+    src.write_raw_tsv(_complaints(spark, sf), posixpath.join(folder, "upload-1"))
     zone, quarantine = posixpath.join(run, "zone"), posixpath.join(run, "failed")
-    ingest.run_clean_stream(spark, folder, zone, quarantine, posixpath.join(run, "ckpt"),
-                            glob="part-*", encoding="UTF-8")
+    ingest.run_clean_stream(spark, posixpath.join(folder, "*"), zone, quarantine, posixpath.join(run, "ckpt"),
+                            glob="part-*", encoding="UTF-8", unit="folder")
     z = spark.read.parquet(zone)
     return _dates_as_text(z.select(*[c for c in _CLEAN_OUT if c != "seq"]))
 

@@ -48,6 +48,16 @@ def with_raw_columns(df: DataFrame, order: bool = True) -> DataFrame:
     return add_order_key(out) if order else out
 
 
+def upload_of(file_col: str = "_source_file", unit: str = "file") -> F.Column:
+    """The clean-job unit of a row: its file, or the folder holding it (an upload
+    written by a parallel writer is a folder of part files)."""
+    if unit == "file":
+        return F.col(file_col)
+    if unit == "folder":
+        return F.regexp_extract(F.col(file_col), r"^(.*)/[^/]*$", 1)
+    raise ValueError(f"unit must be 'file' or 'folder', not {unit!r}")
+
+
 def add_order_key(df: DataFrame) -> DataFrame:
     """``_order = struct(file, split start, row id)``: file order across splits and files."""
     return df.withColumn(ORDER_COL, F.struct(F.col("_source_file").alias("f"), F.col("_block_start").alias("b"),
@@ -69,12 +79,21 @@ def split_ragged(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rej
 
 
-def write_raw_tsv(df: DataFrame, path: str, encoding: str = "UTF-8", order: str | None = "seq") -> None:
-    """Write rows in the raw layout (tab and line breaks inside fields become spaces)."""
+def write_raw_tsv(df: DataFrame, path: str, encoding: str = "UTF-8", order: str | None = "seq",
+                  n_files: int | None = None) -> None:
+    """Write rows in the raw layout (tab and line breaks inside fields become spaces).
+
+    ``n_files``: fixed number of ordered part files (default: AQE sizes them).
+    """
     cols = [F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"[\t\r\n]", " ").alias(c) for c in RAW_COLUMNS]
     out = df.select(*([F.col(order)] if order else []), *cols)
     if order:
-        out = out.repartition(1).sortWithinPartitions(order).drop(order)
+        # Range partitions are written as part files numbered in key order, so
+        # (file, split, row) -- the reader's order key -- is the global order;
+        # no task holds more than one range.
+        ranged = (out.repartitionByRange(n_files, F.col(order)) if n_files
+                  else out.repartitionByRange(F.col(order)))
+        out = ranged.sortWithinPartitions(order).drop(order)
     (out.write.mode("errorifexists").option("sep", "\t").option("header", False).option("quote", "")
      .option("emptyValue", "").option("encoding", encoding)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
@@ -87,9 +106,10 @@ def write_processed_csv(df: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def header_of(spark: SparkSession, path) -> list[str]:
+def header_of(spark: SparkSession, path, recursive: bool = False) -> list[str]:
     """Column names from the header line (reads the first line only)."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
+    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            .option("recursiveFileLookup", recursive).csv(path).columns)
 
 
 def scan_clean_csv(spark: SparkSession, path, required=None) -> DataFrame:
@@ -113,14 +133,16 @@ def scan_clean_csv(spark: SparkSession, path, required=None) -> DataFrame:
 def scan_ragged_csv(spark: SparkSession, path, columns) -> DataFrame:
     """Headered CSV tolerant of short rows; ``columns`` looked up by header name
     (case-insensitive), absent columns and missing trailing fields read as ``""``.
+    ``path`` is a file or a folder of files at any depth, each with its own
+    header line (every file is one split: quoted fields may span lines).
 
     (Spark's CSV reader returns null for both an empty field and a missing one,
     so both become ``""``, the same as the tolerant reader this mirrors.)
     """
-    names = header_of(spark, path)
+    names = header_of(spark, path, recursive=True)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-          .option("mode", "PERMISSIVE").csv(path))
+          .option("mode", "PERMISSIVE").option("recursiveFileLookup", True).csv(path))
     lower = {n.lower(): n for n in names}
     cols = [F.coalesce(F.col(f"`{lower[c]}`"), F.lit("")).alias(c) if c in lower else F.lit("").alias(c)
             for c in columns]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_complaints
-from ..sources.files import ORDER_COL, add_order_key, raw_tsv_reader, split_ragged, with_raw_columns
+from ..sources.files import ORDER_COL, add_order_key, raw_tsv_reader, split_ragged, upload_of, with_raw_columns
 
 
 def raw_file_stream(spark: SparkSession, folder: str, glob: str = "*", encoding: str = "ISO-8859-1",
@@ -35,14 +35,19 @@ def raw_file_stream(spark: SparkSession, folder: str, glob: str = "*", encoding:
     return df
 
 
-def clean_batch_writer(zone: str, quarantine: str):
-    """``foreachBatch`` function: clean each file of the micro-batch independently and
-    write the zone partition ``batch=<id>`` (overwritten on replay, so re-runs are idempotent)."""
+def clean_batch_writer(zone: str, quarantine: str, unit: str = "file"):
+    """``foreachBatch`` function: clean each upload of the micro-batch independently and
+    write the zone partition ``batch=<id>`` (overwritten on replay, so re-runs are idempotent).
+
+    ``unit``: an upload is one file (``file``) or one folder of part files
+    (``folder``); the folder's files must land in the folder together (rename in).
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         good, ragged = split_ragged(add_order_key(batch))
-        cleaned = clean_complaints(good, order=ORDER_COL, scope=("_source_file",))
-        (cleaned.drop(ORDER_COL).write.mode("overwrite")
+        good = good.withColumn("_upload", upload_of("_source_file", unit))
+        cleaned = clean_complaints(good.drop("_source_file"), order=ORDER_COL, scope=("_upload",))
+        (cleaned.drop(ORDER_COL).withColumnRenamed("_upload", "_source_file").write.mode("overwrite")
          .parquet(posixpath.join(zone, f"batch={batch_id}")))
         ragged.select("_source_file", "_raw_line", "reason").write.mode("overwrite") \
             .parquet(posixpath.join(quarantine, f"batch={batch_id}"))
@@ -52,10 +57,10 @@ def clean_batch_writer(zone: str, quarantine: str):
 
 def run_clean_stream(spark: SparkSession, folder: str, zone: str, quarantine: str, checkpoint: str,
                      glob: str = "*", encoding: str = "ISO-8859-1", since_ms: int | None = None,
-                     available_now: bool = True, interval: str = "2 seconds"):
+                     available_now: bool = True, interval: str = "2 seconds", unit: str = "file"):
     """Start the ingest stream; with ``available_now`` it processes what is there and stops."""
     q = (raw_file_stream(spark, folder, glob, encoding, since_ms).writeStream
-         .foreachBatch(clean_batch_writer(zone, quarantine))
+         .foreachBatch(clean_batch_writer(zone, quarantine, unit))
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime=interval)
     handle = q.start()

@@ -21,21 +21,32 @@ def _raw_rows(spark, n, offset=0):
 
 def test_stream_equals_per_file_batch(spark, tmp_dir):
     folder = posixpath.join(tmp_dir, "in")
-    files.write_raw_tsv(_raw_rows(spark, 40), posixpath.join(folder, "a"))
-    files.write_raw_tsv(_raw_rows(spark, 30, 100), posixpath.join(folder, "b"))
+    files.write_raw_tsv(_raw_rows(spark, 40), posixpath.join(folder, "a"), n_files=3)
+    files.write_raw_tsv(_raw_rows(spark, 30, 100), posixpath.join(folder, "b"), n_files=2)
     zone, bad = posixpath.join(tmp_dir, "zone"), posixpath.join(tmp_dir, "bad")
     ingest.run_clean_stream(spark, posixpath.join(folder, "*"), zone, bad, posixpath.join(tmp_dir, "ck"),
-                            glob="part-*", encoding="UTF-8")
+                            glob="part-*", encoding="UTF-8", unit="folder")
     got = spark.read.parquet(zone).drop("batch")
     raw = files.scan_raw_tsv(spark, posixpath.join(folder, "*"), encoding="UTF-8", glob="part-*")
     good, _ = files.split_ragged(raw)
+    good = good.withColumn("_source_file", files.upload_of("_source_file", "folder"))
     want = clean.clean_complaints(good, order="_order", scope=("_source_file",)).drop("_order")
+    assert {r[0].rsplit("/", 1)[-1] for r in got.select("_source_file").distinct().collect()} == {"a", "b"}
     cols = sorted(want.columns)
     norm = lambda df: sorted(tuple(str(x) for x in r) for r in df.select(*cols).collect())
     assert norm(got) == norm(want)
     assert got.where(F.col("cdescr").contains("hxxp://x[.]y/")).count() == got.count()
 
 
+def test_raw_writer_keeps_order_across_part_files(spark, tmp_dir):
+    path = posixpath.join(tmp_dir, "raw")
+    files.write_raw_tsv(_raw_rows(spark, 200), path, n_files=4)
+    raw = files.scan_raw_tsv(spark, path, encoding="UTF-8")
+    assert raw.select("_source_file").distinct().count() > 1
+    got = [int(r["miles"]) for r in raw.orderBy("_order").select("miles").collect()]
+    assert got == list(range(200))
+
+
 def test_redelivery_dedup_and_dead_letter(spark, tmp_dir):
     t0 = dt.datetime(2026, 1, 1)
     rows = [(1, '{"jobId":"a","bucket":"b","resultKey":"k"}', t0), (1, '{"jobId":"a","bucket":"b","resultKey":"k"}', t0),
