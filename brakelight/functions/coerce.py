@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import DATE_HIGH, DATE_LOW
-from .text import col_, strip_ws
+from .text import col_, strip_ws, strip_ws_sql
 
 
 def to_number(c) -> Column:
@@ -78,3 +78,31 @@ def date_pair(date_text, invalid_text) -> tuple[Column, Column]:
 def date_text(d: Column) -> Column:
     """Date rendered as ``yyyy-MM-dd`` text, null -> empty string (processed-file form)."""
     return F.coalesce(F.date_format(d, "yyyy-MM-dd"), F.lit(""))
+
+
+# SQL-text forms of the load rules above, for the ~60-column typed row (one JVM
+# call per column instead of dozens); ``x`` arguments are SQL expression text.
+# tests/test_text_and_types.py checks both forms agree on the edge rows.
+def parse_yn_sql(x: str) -> str:
+    u = f"upper({strip_ws_sql(x)})"
+    return f"CASE WHEN {u} = 'Y' THEN true WHEN {u} = 'N' THEN false END"
+
+
+def int_or_zero_sql(x: str, strict: bool = False) -> str:
+    s = strip_ws_sql(x)
+    v = f"try_cast({s} AS BIGINT)" if strict else f"try_cast(try_cast({s} AS DOUBLE) AS BIGINT)"
+    return f"coalesce({v}, CAST(0 AS BIGINT))"
+
+
+def date_pair_sql(date_text_sql: str, invalid_text_sql: str) -> tuple[str, str]:
+    d = f"coalesce({strip_ws_sql(date_text_sql)}, '')"
+    inv = f"coalesce({strip_ws_sql(invalid_text_sql)}, '')"
+    parsed = f"try_to_date({d}, 'yyyy-MM-dd')"
+    date_col = f"CASE WHEN {inv} = '' AND {d} <> '' THEN {parsed} END"
+    mark = (f"CASE WHEN {inv} <> '' THEN {inv} WHEN {d} = '' THEN CAST(NULL AS STRING) "
+            f"WHEN {parsed} IS NULL THEN {d} END")
+    return date_col, mark
+
+
+def date_text_sql(d: str) -> str:
+    return f"coalesce(date_format({d}, 'yyyy-MM-dd'), '')"

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import DOC_PREFIX, NO_DESCRIPTION, PIPE_SEP
+from .sql import string_lit
 
 # The characters Python's str.strip()/str.isspace() treat as
 # whitespace, written as a regex class body that both Java and RE2 accept.
@@ -35,6 +36,11 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(col_(c), EDGE_WS_RX, "")
 
 
+def strip_ws_sql(x: str) -> str:
+    """SQL-text form of ``strip_ws`` for wide projections (``x`` is SQL text)."""
+    return f"regexp_replace({x}, {string_lit(EDGE_WS_RX)}, '')"
+
+
 def is_blank(c) -> Column:
     """True when the value holds no non-whitespace character; null stays null."""
     return ~col_(c).rlike(NONBLANK_RX)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, text
+from ..functions.sql import ident, string_lit
 from ..session import ensure_parallelism
 from ..schemas import (DATE_COLUMNS, DATE_HIGH, DATE_LOW, INVALID_SUFFIX, LINK_TEXT_COLUMNS,
                        MIN_COMPDESC_LEN, NUMERIC_COLUMNS, PIPE_SEP)
@@ -26,7 +27,8 @@ def _string_cols(df: DataFrame, exclude=()) -> list[str]:
 def strip_quotes(df: DataFrame, cols=None) -> DataFrame:
     """Remove ``"`` from every string column (or ``cols``)."""
     cols = set(cols or _string_cols(df))
-    return df.select(*[text.strip_quotes(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"replace({ident(c)}, '\"', '') AS {ident(c)}" if c in cols else ident(c)
+                           for c in df.columns])
 
 
 def defang_columns(df: DataFrame, cols=LINK_TEXT_COLUMNS) -> DataFrame:
@@ -71,8 +73,9 @@ def dedup_first(df: DataFrame, key: str = "cmplid", order: str = "seq", scope=()
     """
     keys = [*scope, key]
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
-    return agg.select(*[F.col(c) if c in keys else F.col("_r." + c).alias(c) for c in df.columns])
+    row = "struct(" + ", ".join(ident(c) for c in others) + ")"
+    agg = df.groupBy(*keys).agg(F.expr(f"min_by({row}, {ident(order)}) AS _r"))
+    return agg.selectExpr(*[ident(c) if c in keys else f"_r.{ident(c)} AS {ident(c)}" for c in df.columns])
 
 
 def merge_by_report(df: DataFrame, key: str = "odino", order: str = "seq", min_col: str = "cmplid",
@@ -89,29 +92,29 @@ def merge_by_report(df: DataFrame, key: str = "odino", order: str = "seq", min_c
     """
     keys = [*scope, key]
     others = [c for c in df.columns if c not in (*keys, order, min_col, join_col)]
+    o, m, j = ident(order), ident(min_col), ident(join_col)
 
     def first_nn(c):
-        return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
+        return F.expr(f"min(CASE WHEN {ident(c)} IS NOT NULL THEN named_struct('o', {o}, 'v', {ident(c)}) END)"
+                      f" AS {ident('_f_' + c)}")
 
     lvl1 = (df.groupBy(*keys, join_col)
-            .agg(F.min(order).alias("_first"), F.min(min_col).alias("_min"),
-                 *[first_nn(c).alias("_f_" + c) for c in others]))
+            .agg(F.expr(f"min({o}) AS _first"), F.expr(f"min({m}) AS _min"), *[first_nn(c) for c in others]))
     lvl2 = (lvl1.groupBy(*keys)
-            .agg(F.min("_first").alias(order), F.min("_min").alias(min_col),
-                 F.collect_list(F.when(F.col(join_col).isNotNull(),
-                                       F.struct(F.col("_first").alias("o"), F.col(join_col).alias("v"))))
-                 .alias("_vals"),
-                 *[F.min("_f_" + c).alias("_f_" + c) for c in others]))
-    joined = F.array_join(F.transform(F.array_sort("_vals"), lambda x: x["v"]), sep)
+            .agg(F.expr(f"min(_first) AS {o}"), F.expr(f"min(_min) AS {m}"),
+                 F.expr(f"collect_list(CASE WHEN {j} IS NOT NULL THEN named_struct('o', _first, 'v', {j}) END)"
+                        " AS _vals"),
+                 *[F.expr(f"min({ident('_f_' + c)}) AS {ident('_f_' + c)}") for c in others]))
+    joined = f"array_join(transform(array_sort(_vals), x -> x.v), {string_lit(sep)})"
     cols = []
     for c in df.columns:
         if c in (*keys, order, min_col):
-            cols.append(F.col(c))
+            cols.append(ident(c))
         elif c == join_col:
-            cols.append(joined.alias(c))
+            cols.append(f"{joined} AS {ident(c)}")
         else:
-            cols.append(F.col("_f_" + c)["v"].alias(c))
-    return lvl2.select(*cols)
+            cols.append(f"{ident('_f_' + c)}.v AS {ident(c)}")
+    return lvl2.selectExpr(*cols)
 
 
 def add_sentence_summary(df: DataFrame, col: str = "summary") -> DataFrame:

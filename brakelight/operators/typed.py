@@ -13,53 +13,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, text, vectors
+from ..functions.sql import ident
 from ..schemas import DATE_COLUMNS, FLAG_COLUMNS, NUMERIC_COLUMNS, PROCESSED_COLUMNS
 
 
 def processed_text(clean_df: DataFrame, keep=("seq",)) -> DataFrame:
     """All processed columns as strings (missing -> ``""``); ``keep`` columns pass through."""
-    out = [F.col(k) for k in keep if k in clean_df.columns]
+    out = [ident(k) for k in keep if k in clean_df.columns]
     types = dict((f.name, f.dataType.simpleString()) for f in clean_df.schema.fields)
     for c in PROCESSED_COLUMNS:
         if c not in types:
             continue
         t = types[c]
         if t == "date":
-            v = coerce.date_text(F.col(c))
+            v = coerce.date_text_sql(ident(c))
         elif t == "string":
-            v = F.coalesce(F.col(c), F.lit(""))
+            v = f"coalesce({ident(c)}, '')"
         else:
-            v = F.coalesce(F.col(c).cast("string"), F.lit(""))
-        out.append(v.alias(c))
-    return clean_df.select(*out)
+            v = f"coalesce(CAST({ident(c)} AS STRING), '')"
+        out.append(f"{v} AS {ident(c)}")
+    return clean_df.selectExpr(*out)
 
 
 def typed_rows(processed: DataFrame, strict_numbers: bool = False, keep=("seq",)) -> DataFrame:
-    """Typed corpus columns + ``reject_reason`` (null for loadable rows)."""
+    """Typed corpus columns + ``reject_reason`` (null for loadable rows).
+
+    The per-column rules are SQL text (``coerce.*_sql``): one expression per
+    column keeps the ~60-column row cheap to build on the driver.
+    """
     cols = set(processed.columns)
 
     def get(c):  # missing column or empty CSV field -> ""
-        return F.coalesce(text.strip_ws(F.col(c)), F.lit("")) if c in cols else F.lit("")
+        return f"coalesce({text.strip_ws_sql(ident(c))}, '')" if c in cols else "''"
 
-    out = [F.col(k) for k in keep if k in cols]
+    out = [ident(k) for k in keep if k in cols]
     for c in PROCESSED_COLUMNS:
         if c == "embedding" or c.endswith("_raw_invalid"):
             continue
         if c in FLAG_COLUMNS:
-            out.append(coerce.parse_yn(get(c)).alias(c))
+            out.append(f"{coerce.parse_yn_sql(get(c))} AS {ident(c)}")
         elif c in NUMERIC_COLUMNS:
-            out.append(coerce.int_or_zero(get(c), strict=strict_numbers).alias(c))
+            out.append(f"{coerce.int_or_zero_sql(get(c), strict=strict_numbers)} AS {ident(c)}")
         elif c in DATE_COLUMNS:
-            d, mark = coerce.date_pair(get(c), get(c + "_raw_invalid"))
-            out += [d.alias(c), mark.alias(c + "_raw_invalid")]
+            d, mark = coerce.date_pair_sql(get(c), get(c + "_raw_invalid"))
+            out += [f"{d} AS {ident(c)}", f"{mark} AS {ident(c + '_raw_invalid')}"]
         else:
-            out.append(get(c).alias(c))
-    reason = F.when(get("cmplid") == "", F.lit("missing cmplid"))
+            out.append(f"{get(c)} AS {ident(c)}")
+    exprs = [F.expr(x) for x in out]
+    reason = F.when(F.expr(f"{get('cmplid')} = ''"), F.lit("missing cmplid"))
     if "embedding" in cols:
-        vec, ok = vectors.parse_literal(get("embedding"))
-        out.append(vec.alias("embedding"))
+        vec, ok = vectors.parse_literal(F.expr(get("embedding")))
+        exprs.append(vec.alias("embedding"))
         reason = reason.when(~ok, F.lit("bad embedding"))
-    return processed.select(*out, reason.alias("reject_reason"))
+    return processed.select(*exprs, reason.alias("reject_reason"))
 
 
 def split_rejects(typed: DataFrame) -> tuple[DataFrame, DataFrame]:

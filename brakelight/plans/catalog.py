@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, text, vectors
+from ..functions.sql import ident
 from ..operators import clean, topk
 from ..schemas import DATE_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS, SUMMARY_PIPE_COLUMNS
 from . import oracle as O
@@ -38,9 +39,9 @@ def _corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
-                       if f.dataType.simpleString() == "date" else F.col(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[f"date_format({ident(f.name)}, 'yyyy-MM-dd') AS {ident(f.name)}"
+                           if f.dataType.simpleString() == "date" else ident(f.name)
+                           for f in df.schema.fields])
 
 
 # ---------------------------------------------------------------- vectors

@@ -25,35 +25,36 @@ def _pad9(c: Column) -> Column:
 
 
 def complaints(documents: DataFrame) -> DataFrame:
-    """One raw complaint row (51 strings + ``seq`` order key) per document."""
-    d = F.col("doc_id")
-    lang = F.upper(F.col("lang"))
-    nchars = F.col("n_chars").cast("string")
-    ymd = F.concat((F.lit(2000) + d % 25).cast("string"),
-                   F.lpad((F.lit(1) + d % 12).cast("string"), 2, "0"),
-                   F.lpad((F.lit(1) + d % 28).cast("string"), 2, "0"))
+    """One raw complaint row (51 strings + ``seq`` order key) per document.
+
+    Written as SQL text: 52 columns of ``F`` calls cost thousands of JVM
+    round trips per query, one expression string costs one.
+    """
+    pad9 = "lpad(CAST({} AS STRING), 9, '0')".format
+    ymd = ("concat(CAST(2000 + doc_id % 25 AS STRING), lpad(CAST(1 + doc_id % 12 AS STRING), 2, '0'), "
+           "lpad(CAST(1 + doc_id % 28 AS STRING), 2, '0'))")
     special = {
-        "cmplid": F.when((d % 11 == 0) & (d > 0), _pad9(d - 1)).otherwise(_pad9(d)),
-        "odino": F.when(d % 101 == 0, F.lit("")).otherwise(_pad9(((d - d % 3) / 3).cast("long"))),
-        "mfr_name": F.when(d % 4 == 0, F.concat(F.lit("  "), F.lower("source"), F.lit(" motor co ")))
-                     .otherwise(F.concat(F.upper("source"), F.lit(" MOTOR CO"))),
-        "maketxt": lang,
-        "modeltxt": F.concat(F.lit("M"), (d % 50).cast("string")),
-        "yeartxt": F.when(d % 13 == 0, F.lit("9999")).otherwise((F.lit(1990) + d % 35).cast("string")),
-        "crash": F.when(d % 5 == 0, F.lit("Y")).when(d % 5 == 1, F.lit("n"))
-                  .when(d % 5 == 2, F.lit("")).otherwise(F.lit("N")),
-        "faildate": F.when(d % 17 == 0, F.lit("")).when(d % 19 == 0, F.lit("20201399"))
-                     .when(d % 23 == 0, F.lit("20990101")).when(d % 29 == 0, F.lit("18500101"))
-                     .otherwise(ymd),
-        "miles": F.when(d % 7 == 0, F.lit("N/A")).when(d % 7 == 1, F.lit(""))
-                  .when(d % 7 == 2, F.concat(F.lit(" "), nchars, F.lit(" "))).otherwise(nchars),
-        "compdesc": F.when(d % 31 == 0, F.lit("ABC"))
-                     .when(d % 2 == 0, F.concat(F.lit("AIR BAGS:"), lang))
-                     .otherwise(F.concat(F.lit('SERVICE BRAKES:"'), lang, F.lit('"'))),
-        "cdescr": F.col("text"),
+        "cmplid": f"CASE WHEN doc_id % 11 = 0 AND doc_id > 0 THEN {pad9('doc_id - 1')} ELSE {pad9('doc_id')} END",
+        "odino": f"CASE WHEN doc_id % 101 = 0 THEN '' ELSE {pad9('CAST((doc_id - doc_id % 3) / 3 AS BIGINT)')} END",
+        "mfr_name": ("CASE WHEN doc_id % 4 = 0 THEN concat('  ', lower(source), ' motor co ') "
+                     "ELSE concat(upper(source), ' MOTOR CO') END"),
+        "maketxt": "upper(lang)",
+        "modeltxt": "concat('M', CAST(doc_id % 50 AS STRING))",
+        "yeartxt": "CASE WHEN doc_id % 13 = 0 THEN '9999' ELSE CAST(1990 + doc_id % 35 AS STRING) END",
+        "crash": ("CASE WHEN doc_id % 5 = 0 THEN 'Y' WHEN doc_id % 5 = 1 THEN 'n' "
+                  "WHEN doc_id % 5 = 2 THEN '' ELSE 'N' END"),
+        "faildate": ("CASE WHEN doc_id % 17 = 0 THEN '' WHEN doc_id % 19 = 0 THEN '20201399' "
+                     "WHEN doc_id % 23 = 0 THEN '20990101' WHEN doc_id % 29 = 0 THEN '18500101' "
+                     f"ELSE {ymd} END"),
+        "miles": ("CASE WHEN doc_id % 7 = 0 THEN 'N/A' WHEN doc_id % 7 = 1 THEN '' "
+                  "WHEN doc_id % 7 = 2 THEN concat(' ', CAST(n_chars AS STRING), ' ') "
+                  "ELSE CAST(n_chars AS STRING) END"),
+        "compdesc": ("CASE WHEN doc_id % 31 = 0 THEN 'ABC' WHEN doc_id % 2 = 0 THEN concat('AIR BAGS:', upper(lang)) "
+                     "ELSE concat('SERVICE BRAKES:\"', upper(lang), '\"') END"),
+        "cdescr": "text",
     }
-    cols = [d.alias("seq")] + [special.get(c, F.lit("")).alias(c) for c in RAW_COLUMNS]
-    return documents.select(*cols)
+    cols = ["doc_id AS seq"] + [f"{special.get(c, chr(39) * 2)} AS {c}" for c in RAW_COLUMNS]
+    return documents.selectExpr(*cols)
 
 
 def corpus(embeddings: DataFrame, documents: DataFrame) -> DataFrame:

@@ -65,6 +65,23 @@ def test_date_pair(spark):
     assert got == [(None, "2099-01-01"), (None, None), (None, "2020-13-01"), (dt.date(2020, 1, 2), None)]
 
 
+def test_sql_text_rules_equal_column_rules(spark):
+    from pyspark.sql import functions as F
+    vals = ["y", "N", "", "U", " 12 ", "N/A", "12.0", "\u00a0n\u3000", "2020-01-02", "2020-13-01", None,
+            "99999999999999999999", "-3.7"]
+    df = spark.createDataFrame([(v, w) for v in vals for w in ("", "2099-01-01", None)], "x string, i string")
+    d1, m1 = coerce.date_pair("x", "i")
+    d2, m2 = coerce.date_pair_sql("x", "i")
+    pairs = [(coerce.parse_yn("x"), F.expr(coerce.parse_yn_sql("x"))),
+             (coerce.int_or_zero("x"), F.expr(coerce.int_or_zero_sql("x"))),
+             (coerce.int_or_zero("x", strict=True), F.expr(coerce.int_or_zero_sql("x", strict=True))),
+             (d1, F.expr(d2)), (m1, F.expr(m2)),
+             (text.strip_ws("x"), F.expr(text.strip_ws_sql("x")))]
+    for a, b in pairs:
+        assert df.where(~a.eqNullSafe(b)).count() == 0
+    assert df.select(F.expr(coerce.parse_yn_sql("x"))).where("x = '\u00a0n\u3000'").first()[0] is False
+
+
 def test_vector_literal(spark):
     df = spark.createDataFrame([("",), ("[1,x]",), ("[1, 2.5]",)], "x string")
     v, ok = vectors.parse_literal("x")
