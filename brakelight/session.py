@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +38,42 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (``addPyFile``).
+
+    Arrow-batched operators (``mapInPandas``, ``applyInPandas``) pickle
+    functions defined here; on a cluster the executors need the package, and
+    locally the workers may start in another folder. The zip goes to the
+    shared checkpoint folder; done once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_brakelight_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(ensure_checkpoint_dir(spark), "pyfiles")
+    if out.startswith("file:"):
+        out = out[len("file:"):]
+    if "://" in out:
+        # checkpoint folder on a distributed file system: the job is launched with
+        # ``spark-submit --py-files brakelight.zip``, which ships the package already
+        sc._brakelight_shipped = True
+        return
+    os.makedirs(out, exist_ok=True)
+    zpath = os.path.join(out, f"brakelight-{os.getpid()}-{id(sc)}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    sc._brakelight_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
