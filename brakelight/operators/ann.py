@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -38,12 +40,88 @@ def build_lists(corpus: DataFrame, n_lists: int = 16, seed: int = 7, id_col: str
     return assigned.select("id", "v", "list_id"), cents
 
 
+def _probe_lists(qmat: np.ndarray, cents_pdf: pd.DataFrame, n_probe: int) -> list[np.ndarray]:
+    """Per query: the ``n_probe`` list ids with the highest centroid cosine (ties: lower id)."""
+    lid = cents_pdf["list_id"].to_numpy(dtype=np.int64)
+    cm = np.vstack(cents_pdf["centroid"].to_numpy()).astype(np.float64)
+    cn = np.linalg.norm(cm, axis=1)
+    cs = (qmat @ cm.T) / np.where(cn > 0, cn, 1.0)[None, :]
+    order = np.lexsort((np.broadcast_to(lid, cs.shape), -cs), axis=1)[:, :n_probe]
+    return [lid[o] for o in order]
+
+
+def _broadcast_probe_topk(k: int, exclude_self: bool, bq):
+    """Pandas function over corpus batches: each row is scored only against the queries
+    probing its list; a running top-k per query is kept per partition."""
+
+    def run(it):
+        qid, qmat, by_list = bq.value
+        best = None
+        for pdf in it:
+            if pdf.empty:
+                continue
+            lists = pdf["list_id"].to_numpy(dtype=np.int64)
+            cid_all = pdf["id"].to_numpy(dtype=np.int64)
+            c_all = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
+            cn_all = np.linalg.norm(c_all, axis=1)
+            parts = []
+            for l in np.unique(lists):
+                jq = by_list.get(int(l))
+                if jq is None or len(jq) == 0:
+                    continue
+                rows = np.nonzero((lists == l) & (cn_all > 0))[0]
+                if len(rows) == 0:
+                    continue
+                cid = cid_all[rows]
+                s = (c_all[rows] @ qmat[jq].T) / cn_all[rows][:, None]
+                if exclude_self:
+                    s[cid[:, None] == qid[jq][None, :]] = -np.inf
+                kk = min(k, s.shape[0])
+                kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+                r, cc = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
+                parts.append(pd.DataFrame({"qid": qid[jq][cc], "id": cid[r], "score": s[r, cc]}))
+            if parts:
+                best = topk._keep_best(pd.concat(([best] if best is not None else []) + parts,
+                                                 ignore_index=True), k)
+        if best is not None:
+            yield best
+
+    return run
+
+
 def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int = 16, n_probe: int = 4,
              seed: int = 7, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "incident_id",
              qvec_col: str = "qv", exclude_self: bool = True, list_rows: int = 20000,
-             lists: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """Approximate top-k ``(qid, id, score, rank)`` scanning only the probed lists."""
+             lists: tuple[DataFrame, DataFrame] | None = None, method: str = "auto", dim_hint: int = 768,
+             max_broadcast_bytes: int = topk.DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Approximate top-k ``(qid, id, score, rank)`` scanning only the probed lists.
+
+    ``broadcast`` (chosen by ``auto`` when the query set fits the checked
+    bound): probes are chosen once against the ``n_lists`` centroids, the
+    query matrix and probe lists are broadcast, and the corpus is scanned in
+    place -- no shuffle before the per-query top-k merge. ``cogroup``: lists
+    and their probing queries meet in ``(list, salt)`` groups; no side is
+    broadcast.
+    """
     assigned, cents = lists or build_lists(corpus, n_lists, seed, id_col, vec_col)
+    if method in ("auto", "broadcast"):
+        q = topk._query_vectors(queries, qid_col, qvec_col)
+        got = topk._collect_queries(q, max_broadcast_bytes, dim_hint)
+        if got is not None:
+            qid, qmat = got
+            cents_pdf = cents.orderBy("list_id").toPandas()  # n_lists rows: bounded by the parameter
+            probes = _probe_lists(qmat, cents_pdf, min(n_probe, len(cents_pdf)))
+            by_list: dict[int, list[int]] = {}
+            for j, pl in enumerate(probes):
+                for l in pl:
+                    by_list.setdefault(int(l), []).append(j)
+            by_list_arr = {l: np.asarray(v, dtype=np.int64) for l, v in by_list.items()}
+            bq = corpus.sparkSession.sparkContext.broadcast((qid, qmat, by_list_arr))
+            cands = assigned.select("id", "v", "list_id").mapInPandas(
+                _broadcast_probe_topk(k, exclude_self, bq), schema=topk.CAND_SCHEMA)
+            return topk._final_topk(cands, k)
+        if method == "broadcast":
+            raise ValueError("query set exceeds the broadcast bound; use method='cogroup'")
     q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qv")) \
         .where(F.col("qv").isNotNull())
     # centroid table is n_lists rows: a size bound set by the caller's parameter

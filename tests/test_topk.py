@@ -98,3 +98,18 @@ def test_ann_recall_full_probe_is_exact(spark):
     assert all(r["recall"] == 1.0 for r in rec)
     part = ann.recall_at_k(exact, ann.topk_ann(c, q, 5, n_lists=4, n_probe=1), 5).collect()
     assert all(0.0 <= r["recall"] <= 1.0 for r in part)
+
+
+def test_ann_broadcast_and_cogroup_forms_agree(spark):
+    c = _corpus(spark)
+    q = _queries(c)
+    lists = ann.build_lists(c, 4, 7)
+    cols = ["qid", "id", "rank"]
+    for n_probe in (1, 2, 4):
+        a = ann.topk_ann(c, q, 5, n_lists=4, n_probe=n_probe, lists=lists, method="broadcast").select(*cols)
+        b = ann.topk_ann(c, q, 5, n_lists=4, n_probe=n_probe, lists=lists, method="cogroup",
+                         list_rows=50).select(*cols)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    # the broadcast form scans the corpus in place: no shuffle before the top-k merge
+    plan = ann.topk_ann(c, q, 5, n_lists=4, n_probe=2, lists=lists)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "MapInPandas" in plan
