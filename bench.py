@@ -35,9 +35,17 @@ def main() -> None:
     from brakelight.plans import catalog
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     names = sys.argv[1:] or HEADLINE
-    # warm-up: JVM start, first code generation and the Python workers are not query time
+    # warm-up: JVM start, class loading, JIT, first code generation and the Python
+    # workers are not query time. Every headline query runs once on the smallest
+    # fixture (a different, tiny input), then the timed pass runs on $BENCH_SF_DIR.
     spark.range(1000).selectExpr("sum(id)").collect()
     spark.read.parquet(os.path.join(sf_dir, "embeddings.parquet")).limit(1).collect()
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    t_warm = time.time()
+    if warm_dir and os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        for name in names:
+            catalog.QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    warmup_sec = round(time.time() - t_warm, 3)
     times = {}
     for name in names:
         t0 = time.time()
@@ -55,7 +63,8 @@ def main() -> None:
     if "topk_ann" in times:
         thr["ann_ms_per_query"] = round(1000.0 * times["topk_ann"] / n_vec, 3)
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "throughput": thr}))
+                      "queries": times, "sf": sf, "throughput": thr,
+                      "warmup": {"dir": warm_dir, "sec": warmup_sec}}))
     spark.stop()
 
 
