@@ -240,10 +240,14 @@ def _choose(method: str, q: DataFrame, max_bytes: int, dim_hint: int):
 def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id",
                vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
                method="auto", block_rows=DEFAULT_BLOCK_ROWS, dim_hint=768,
-               max_broadcast_bytes=DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``."""
+               max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, _chosen=None) -> DataFrame:
+    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``.
+
+    ``_chosen``: a ``(kind, query matrix)`` pair already decided by the caller
+    (the query set is fetched and size-checked once per operator).
+    """
     q = _query_vectors(queries, qid_col, qvec_col)
-    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
+    kind, got = _chosen or _choose(method, q, max_broadcast_bytes, dim_hint)
     if kind == "broadcast":
         bq = _broadcast(corpus.sparkSession, got)
         cands = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
@@ -302,11 +306,18 @@ BETTER_SCHEMA = T.StructType([
 ])
 
 
-def _broadcast_better_counts(exclude_self: bool, bq):
-    """Per partition: for each (query, candidate), corpus rows ranked before the candidate."""
+def _broadcast_better_counts(exclude_self: bool, bq, chunk_pairs: int = 1 << 20):
+    """Per partition: for each (query, candidate), corpus rows ranked before the candidate.
+
+    Only rows scoring at least a query's lowest candidate score can rank
+    before one of its candidates, so each batch keeps those (row, query)
+    pairs and compares them with the query's candidates (higher score, or
+    equal score and lower id), in chunks of ``chunk_pairs`` pairs.
+    """
     def run(it):
-        qid, qmat, cand_ids, cand_scores = bq.value   # (Q,), (Q,d), (Q,L), (Q,L) padded with -1/-inf
+        qid, qmat, cand_ids, cand_scores = bq.value   # (Q,), (Q,d), (Q,L), (Q,L) padded with -1/+inf
         total = np.zeros(cand_ids.shape, dtype=np.int64)
+        thr = cand_scores.min(axis=1)                  # +inf for a query without candidates
         seen = False
         for pdf in it:
             if pdf.empty or len(qid) == 0:
@@ -315,27 +326,13 @@ def _broadcast_better_counts(exclude_self: bool, bq):
             cid, s = _score_batch(pdf, qmat)
             if exclude_self:
                 s[cid[:, None] == qid[None, :]] = -np.inf
-            srt = np.sort(s, axis=0)
-            n = s.shape[0]
-            for j in range(len(qid)):
-                lo = np.searchsorted(srt[:, j], cand_scores[j], side="left")
-                hi = np.searchsorted(srt[:, j], cand_scores[j], side="right")
-                cnt = (n - hi).astype(np.int64)
-                for l in np.nonzero(hi > lo)[0]:  # equal scores: the lower id ranks first
-                    cnt[l] += int(np.sum((s[:, j] == cand_scores[j, l]) & (cid < cand_ids[j, l])))
-                total[j] += cnt
-            # a candidate never counts itself
-            order = np.argsort(cid)
-            flat = cand_ids.reshape(-1)
-            pos = np.minimum(np.searchsorted(cid[order], flat), n - 1)
-            hit = (cid[order][pos] == flat) & (flat >= 0)
-            if hit.any():
-                rows = order[pos[hit]]
-                cols = np.repeat(np.arange(len(qid)), cand_ids.shape[1])[hit]
-                sv, cv = s[rows, cols], cand_scores.reshape(-1)[hit]
-                adj = (sv > cv) | ((sv == cv) & (cid[rows] < flat[hit]))
-                flat_total = total.reshape(-1)
-                flat_total[np.nonzero(hit)[0]] -= adj.astype(np.int64)
+            rows, cols = np.nonzero(s >= thr[None, :])
+            for a in range(0, len(rows), chunk_pairs):
+                r, c = rows[a:a + chunk_pairs], cols[a:a + chunk_pairs]
+                v, rid = s[r, c][:, None], cid[r][:, None]
+                sc, ic = cand_scores[c], cand_ids[c]
+                before = ((v > sc) | ((v == sc) & (rid < ic))) & (rid != ic)   # a candidate never counts itself
+                np.add.at(total, c, before.astype(np.int64))
         if seen:
             qq = np.repeat(qid, cand_ids.shape[1])
             ids = cand_ids.reshape(-1)
@@ -356,11 +353,11 @@ def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: in
     over partitions). Falls back to the range-partitioned full ranking when
     the queries do not fit the broadcast bound.
     """
-    cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col,
-                       qid_col=qid_col, qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
-                       max_broadcast_bytes=max_broadcast_bytes, method=method)
     q = _query_vectors(queries, qid_col, qvec_col)
     kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
+    cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col,
+                       qid_col=qid_col, qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
+                       max_broadcast_bytes=max_broadcast_bytes, method=method, _chosen=(kind, got))
     if kind != "broadcast":
         pairs = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
                              qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
@@ -368,13 +365,13 @@ def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: in
         return ranked.join(cands.select("qid", "id"), ["qid", "id"], "left_semi")
     qid, qmat = got
     pc = cands.select("qid", "id", "score", "rank").toPandas()  # limit x queries rows, bounded
-    index = {int(x): j for j, x in enumerate(qid)}
+    order = np.argsort(qid, kind="stable")
+    j = order[np.searchsorted(qid[order], pc["qid"].to_numpy(dtype=np.int64))]
+    r = pc["rank"].to_numpy(dtype=np.int64) - 1
     cid = np.full((len(qid), limit), -1, dtype=np.int64)
     csc = np.full((len(qid), limit), np.inf)
-    for row in pc.itertuples(index=False):
-        j = index[int(row.qid)]
-        cid[j, int(row.rank) - 1] = int(row.id)
-        csc[j, int(row.rank) - 1] = float(row.score)
+    cid[j, r] = pc["id"].to_numpy(dtype=np.int64)
+    csc[j, r] = pc["score"].to_numpy(dtype=np.float64)
     bq = _broadcast(corpus.sparkSession, (qid, qmat, cid, csc))
     counts = (_corpus_vectors(corpus, id_col, vec_col)
               .mapInPandas(_broadcast_better_counts(exclude_self, bq), schema=BETTER_SCHEMA)

@@ -98,15 +98,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts)
 
 
+# A parquet row group is the unit of a split; writers roll row groups at about this size.
+ROW_GROUP_BYTES = 128 * 1024 * 1024
+
+
 def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread CPU-heavy per-row work over the cluster when the input has too few splits.
 
-    A large input already has many more splits than cores, and this is a
-    no-op; a small file with one row group would otherwise run in one task.
-    Counting partitions plans the scan but runs no job.
+    Decided from metadata only, never by running the plan (building ``df.rdd``
+    of a plan with a shuffle would execute that shuffle under AQE): an input of
+    at least as many files as cores already has a split per file and this is a
+    no-op; otherwise the files' sizes give the splits (one per row group,
+    about ``ROW_GROUP_BYTES``), and a small input is dealt round-robin over
+    ``min_partitions`` (default: the cluster's cores) partitions.
     """
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    sc = spark.sparkContext
     want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    files = df.inputFiles()
+    if not files or len(files) >= want:
         return df
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    splits = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        size = path.getFileSystem(conf).getFileStatus(path).getLen()
+        splits += max(1, -(-size // ROW_GROUP_BYTES))
+        if splits >= want:
+            return df
     return df.repartition(want)

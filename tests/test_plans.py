@@ -40,3 +40,22 @@ def test_pruning_reaches_scan(spark):
         "text" in scan
     p2 = plan(catalog.QUERIES["upsert_corpus"](spark, SF))
     assert "text:string" not in p2  # the document text is never read for the upsert
+
+
+def test_ensure_parallelism_runs_no_job(spark, tmp_dir):
+    import posixpath
+    from brakelight.session import ensure_parallelism
+    a, b = posixpath.join(tmp_dir, "a"), posixpath.join(tmp_dir, "b")
+    spark.range(50).coalesce(1).write.parquet(a)
+    spark.range(50).selectExpr("id", "id * 2 AS y").coalesce(1).write.parquet(b)
+    joined = spark.read.parquet(a).join(spark.read.parquet(b), "id")
+    sc = spark.sparkContext
+    sc.setJobGroup("ensure-parallelism-check", "metadata only")
+    try:
+        out = ensure_parallelism(joined, min_partitions=4)
+        assert list(sc.statusTracker().getJobIdsForGroup("ensure-parallelism-check")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert "RoundRobinPartitioning(4)" in out._jdf.queryExecution().executedPlan().toString()
+    # as many files as cores: left alone
+    assert ensure_parallelism(joined, min_partitions=2) is joined

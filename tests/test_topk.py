@@ -113,3 +113,26 @@ def test_ann_broadcast_and_cogroup_forms_agree(spark):
     # the broadcast form scans the corpus in place: no shuffle before the top-k merge
     plan = ann.topk_ann(c, q, 5, n_lists=4, n_probe=2, lists=lists)._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" not in plan and "MapInPandas" in plan
+
+
+def test_rank_then_filter_with_ties_vs_brute_force(spark):
+    # 8 distinct directions, each repeated: many corpus rows share a candidate's exact score
+    base = [[1.0, 0.0], [0.0, 1.0], [1.0, 1.0], [-1.0, 0.5], [0.3, -1.0], [2.0, 1.0], [-1.0, -1.0], [0.5, 2.0]]
+    rows = [(i, base[i % 8], "brake" if i % 3 == 0 else "other") for i in range(120)]
+    c = spark.createDataFrame(rows, "id long, embedding array<float>, cdescr string").repartition(4)
+    q = c.where(F.col("id") % 17 == 0).select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+    pred = F.col("cdescr") == "brake"
+    got = sorted(map(tuple, topk.rank_then_filter(c, q, pred, limit=6, dim_hint=2)
+                     .select("qid", "id", "rank").collect()))
+    want = []
+    for qi in range(0, 120, 17):
+        qv = np.asarray(base[qi % 8], dtype=np.float64)
+        sc = []
+        for i in range(120):
+            if i == qi:
+                continue
+            v = np.asarray(base[i % 8], dtype=np.float64)
+            sc.append((-(v @ qv) / (np.linalg.norm(v) * np.linalg.norm(qv)), i))
+        ranked = [(r + 1, i) for r, (_, i) in enumerate(sorted(sc))]
+        want += [(qi, i, r) for r, i in ranked if i % 3 == 0][:6]
+    assert got == sorted(want)
