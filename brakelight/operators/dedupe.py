@@ -2,7 +2,8 @@
 
 Exact: group on a 96-bit fingerprint (two independent hashes + length) of
 the whitespace-normalised text; every member is joined to its group's
-smallest id. Near: MinHash signatures (MLlib) cut into bands; inside each
+smallest id. Near: MinHash signatures (words hashed in Spark SQL, shingle
+and MinHash arithmetic vectorised over Arrow batches) cut into bands; inside each
 band bucket every member links to the bucket's smallest id (a star, never
 all pairs), links are kept when the signatures agree enough, and connected
 components are found by iterative min-label propagation, checkpointed each
@@ -11,8 +12,9 @@ round.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, MinHashLSH, NGram, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,24 +40,71 @@ def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str
     return keyed.join(groups, keys).select("doc_id", "group_id", "group_size")
 
 
+# Mersenne prime 2^31 - 1: the universal hash family ((a * x + b) mod P) of the signatures.
+MINHASH_PRIME = (1 << 31) - 1
+
+
+def _minhash_kernel(n_hashes: int, shingle: int, seed: int):
+    """``mapInArrow`` function: word-hash lists -> ``n_hashes`` MinHash values per document.
+
+    Vectorised per Arrow batch (no per-row Python): shingle hashes are built
+    from ``shingle`` consecutive word hashes of the flattened batch (a text
+    shorter than one shingle is one shingle of all its words), and each hash
+    function's minimum per document is one ``np.minimum.reduceat``. The minimum
+    over a multiset equals the minimum over its set, so repeats need no dedup.
+    """
+    rng = np.random.default_rng(seed)
+    a = rng.integers(1, MINHASH_PRIME, size=n_hashes, dtype=np.uint64)
+    b = rng.integers(0, MINHASH_PRIME, size=n_hashes, dtype=np.uint64)
+    mult = rng.integers(1, 1 << 62, size=shingle, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    prime = np.uint64(MINHASH_PRIME)
+
+    def run(batches):
+        for rb in batches:
+            words = rb.column("wh")
+            lens = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = pc.list_flatten(words).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            n = len(lens)
+            if n == 0:
+                continue
+            starts = np.cumsum(lens) - lens
+            ends = starts + lens
+            m = np.maximum(1, lens - shingle + 1)              # shingles per document
+            row = np.repeat(np.arange(n), m)
+            first = np.cumsum(m) - m
+            pos = np.arange(int(m.sum())) - first[row] + starts[row]
+            sh = np.zeros(len(pos), dtype=np.uint64)
+            for i in range(shingle):                            # uint64 arithmetic wraps
+                idx = pos + i
+                ok = idx < ends[row]
+                sh += np.where(ok, flat[np.minimum(idx, len(flat) - 1)], np.uint64(0)) * mult[i]
+            sh %= prime
+            sig = np.empty((n, n_hashes), dtype=np.int64)
+            for j in range(n_hashes):
+                sig[:, j] = np.minimum.reduceat((sh * a[j] + b[j]) % prime, first).astype(np.int64)
+            offsets = pa.array(np.arange(0, (n + 1) * n_hashes, n_hashes, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [rb.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(sig.reshape(-1)))],
+                names=["doc_id", "sig"])
+
+    return run
+
+
 def minhash_signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                       n_hashes: int = 32, seed: int = 11, num_features: int = 1 << 20) -> DataFrame:
-    """``(doc_id, sig array<double>)`` over word ``shingle``-grams; empty texts get no signature.
+                       n_hashes: int = 32, seed: int = 11) -> DataFrame:
+    """``(doc_id, sig array<bigint>)`` over word ``shingle``-grams; texts without words get no signature.
 
-    Tokenising, n-grams, hashing and MinHash are MLlib transformers (JVM code);
-    a text shorter than one shingle is a single shingle of all its words.
+    Lower-casing, splitting into words and hashing every word (``xxhash64``)
+    are Spark SQL expressions; the shingle and MinHash arithmetic runs
+    vectorised over Arrow batches (``_minhash_kernel``).
     """
-    base = ensure_parallelism(
-        df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")))
-    toks = RegexTokenizer(inputCol="_t", outputCol="toks", pattern=r"[^\p{L}\p{N}]+", toLowercase=True,
-                          minTokenLength=1).transform(base)
-    grams = NGram(n=shingle, inputCol="toks", outputCol="grams").transform(toks.where(F.size("toks") > 0))
-    sets = grams.select("doc_id", F.when(F.size("grams") > 0, F.array_distinct("grams"))
-                        .otherwise(F.array(F.array_join("toks", " "))).alias("shingles"))
-    tf = HashingTF(inputCol="shingles", outputCol="tf", numFeatures=num_features, binary=True).transform(sets)
-    model = MinHashLSH(inputCol="tf", outputCol="hashes", numHashTables=n_hashes, seed=seed).fit(tf)
-    out = model.transform(tf)
-    return out.select("doc_id", F.transform("hashes", lambda v: vector_to_array(v)[0]).alias("sig"))
+    # rows are spread first, so splitting and hashing run in every task (not in a lone scan task)
+    base = ensure_parallelism(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")))
+    words = F.filter(F.split(F.lower(F.coalesce(F.col("_t"), F.lit(""))), r"[^\p{L}\p{N}]+"),
+                     lambda w: w != "")
+    hashed = (base.select("doc_id", words.alias("_w")).where(F.size("_w") > 0)
+              .select("doc_id", F.transform("_w", lambda w: F.xxhash64(w)).alias("wh")))
+    return hashed.mapInArrow(_minhash_kernel(n_hashes, shingle, seed), "doc_id long, sig array<bigint>")
 
 
 def _components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

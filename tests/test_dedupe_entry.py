@@ -33,3 +33,35 @@ def test_entry_and_registry(spark):
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert len(q) >= 70
+
+
+def test_minhash_kernel_vs_python(spark):
+    import numpy as np
+    texts = ["one", "Two words", "a b c d e f g a b c", "Ünïcode straße, café! x9 y", "   ", None,
+             " ".join(f"w{i % 7}" for i in range(40))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # rows split over batches
+    try:
+        got = {r["doc_id"]: list(r["sig"]) for r in dedupe.minhash_signatures(df, n_hashes=8, seed=5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    hashes = {r["doc_id"]: [h % (1 << 64) for h in r["wh"]]
+              for r in df.select("doc_id", F.transform(words, lambda w: F.xxhash64(w)).alias("wh")).collect()}
+    rng = np.random.default_rng(5)
+    p = dedupe.MINHASH_PRIME
+    a = [int(x) for x in rng.integers(1, p, size=8, dtype=np.uint64)]
+    b = [int(x) for x in rng.integers(0, p, size=8, dtype=np.uint64)]
+    mult = [int(x) * 2 + 1 for x in rng.integers(1, 1 << 62, size=3, dtype=np.uint64)]
+    want = {}
+    for d, wh in hashes.items():
+        if not wh:
+            continue
+        n = max(1, len(wh) - 2)
+        sh = set()
+        for i in range(n):
+            part = wh[i:i + 3]
+            sh.add(sum(x * m for x, m in zip(part, mult)) % (1 << 64) % p)
+        want[d] = [min((a[j] * x + b[j]) % p for x in sh) for j in range(8)]
+    assert got == want
+    assert set(got) == {0, 1, 2, 3, 6}
