@@ -26,14 +26,24 @@ from . import topk
 
 
 def build_lists(corpus: DataFrame, n_lists: int = 16, seed: int = 7, id_col: str = "id",
-                vec_col: str = "embedding", max_iter: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(corpus with ``list_id``, centroids ``(list_id, centroid)``)."""
+                vec_col: str = "embedding", max_iter: int = 20,
+                train_rows_per_list: int = 256) -> tuple[DataFrame, DataFrame]:
+    """(corpus with ``list_id``, centroids ``(list_id, centroid)``).
+
+    k-means trains on a random sample of at most ``train_rows_per_list x
+    n_lists`` vectors (drawn on the executors), so its iterations scan a
+    bounded set; every vector is then assigned to its closest centroid in one
+    pass, and the centroids are the means of the assigned vectors.
+    """
     data = (corpus.where(F.col(vec_col).isNotNull() & (F.size(vec_col) > 0))
             .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
                     array_to_vector(vectors.l2_normalize(vec_col)).alias("features")))
+    cap = train_rows_per_list * n_lists
+    n = data.count()
+    train = data if n <= cap else data.sample(withReplacement=False, fraction=cap / n, seed=seed)
     km = KMeans(k=n_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
                 featuresCol="features", predictionCol="list_id")
-    model = km.fit(data)
+    model = km.fit(train)
     assigned = model.transform(data)
     cents = (assigned.groupBy("list_id").agg(Summarizer.mean(F.col("features")).alias("c"))
              .select("list_id", vector_to_array("c", "float32").alias("centroid")))

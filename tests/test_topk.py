@@ -136,3 +136,13 @@ def test_rank_then_filter_with_ties_vs_brute_force(spark):
         ranked = [(r + 1, i) for r, (_, i) in enumerate(sorted(sc))]
         want += [(qi, i, r) for r, i in ranked if i % 3 == 0][:6]
     assert got == sorted(want)
+
+
+def test_ann_lists_trained_on_a_bounded_sample(spark):
+    c = _corpus(spark, n=300)
+    assigned, cents = ann.build_lists(c, 4, 7, train_rows_per_list=10)  # 40-row training sample
+    assert assigned.count() == 300
+    assert assigned.select("list_id").distinct().count() == cents.count() <= 4
+    exact = topk.topk_exact(c, _queries(c), 5)
+    approx = ann.topk_ann(c, _queries(c), 5, n_lists=4, n_probe=4, lists=(assigned, cents))
+    assert all(r["recall"] == 1.0 for r in ann.recall_at_k(exact, approx, 5).collect())
