@@ -107,18 +107,31 @@ def minhash_signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return hashed.mapInArrow(_minhash_kernel(n_hashes, shingle, seed), "doc_id long, sig array<bigint>")
 
 
-def _components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Connected components of an undirected edge list ``(src, dst)``: ``(doc_id, cluster_id)``."""
+def _components(edges: DataFrame, max_rounds: int = 100, jump_after: int = 3) -> DataFrame:
+    """Connected components of an undirected edge list ``(src, dst)``: ``(doc_id, cluster_id)``.
+
+    Each round takes the smallest label among a node's neighbours. Shallow
+    graphs (the usual case for near-duplicates) converge in a few such rounds;
+    from round ``jump_after`` on, every round also jumps once along the label
+    pointers (a node adopts its label's label), which halves chains, so a long
+    path needs about log2(n) more rounds instead of n. Labels only decrease and
+    stay inside the component; every round is checkpointed to the shared folder.
+    """
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = both.checkpoint()
     labels = both.select(F.col("src").alias("doc_id")).distinct().withColumn("label", F.col("doc_id"))
     labels = labels.checkpoint()
-    for _ in range(max_rounds):
+    for rnd in range(max_rounds):
         prop = (both.join(labels.withColumnRenamed("doc_id", "src"), "src")
                 .groupBy(F.col("dst").alias("doc_id")).agg(F.min("label").alias("nl")))
-        new = (labels.join(prop, "doc_id", "left")
-               .select("doc_id", F.least("label", F.coalesce("nl", F.col("label"))).alias("label"),
-                       (F.coalesce("nl", F.col("label")) < F.col("label")).alias("_chg")))
+        step = labels.join(prop, "doc_id", "left").select(
+            "doc_id", F.least("label", F.coalesce("nl", F.col("label"))).alias("label"),
+            F.col("label").alias("_old"))
+        if rnd >= jump_after:
+            ptr = step.select(F.col("doc_id").alias("label"), F.col("label").alias("_ll"))
+            step = (step.join(ptr, "label", "left")
+                    .select("doc_id", F.least("label", F.coalesce("_ll", F.col("label"))).alias("label"), "_old"))
+        new = step.withColumn("_chg", F.col("label") < F.col("_old")).drop("_old")
         new = new.checkpoint()
         changed = new.where("_chg").limit(1).count()
         labels = new.drop("_chg")

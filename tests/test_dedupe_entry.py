@@ -65,3 +65,14 @@ def test_minhash_kernel_vs_python(spark):
         want[d] = [min((a[j] * x + b[j]) % p for x in sh) for j in range(8)]
     assert got == want
     assert set(got) == {0, 1, 2, 3, 6}
+
+
+def test_components_long_chain_and_hot_star(spark):
+    # a chain of 200 nodes (3 plain rounds, then ~log2(200) with pointer jumping) plus a star of 300 leaves
+    chain = [(i, i + 1) for i in range(1000, 1199)]
+    star = [(5000 + i, 4999) for i in range(300)]
+    edges = spark.createDataFrame(chain + star + [(7, 8)], "src long, dst long")
+    got = {r["doc_id"]: r["cluster_id"] for r in dedupe._components(edges, max_rounds=15).collect()}
+    assert {got[i] for i in range(1000, 1200)} == {1000}
+    assert {got[i] for i in range(5000, 5300)} | {got[4999]} == {4999}
+    assert got[7] == got[8] == 7 and len(got) == 200 + 301 + 2
