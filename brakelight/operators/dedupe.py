@@ -31,9 +31,11 @@ def normalized(c) -> "F.Column":
 def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, group_id, group_size)`` for every text that occurs at least twice."""
     n = normalized(text_col)
+    # the narrow (id, fingerprint) table is used twice (group sizes, join back): written once to the
+    # shared checkpoint folder, so the text is read and normalised once
     keyed = ensure_parallelism(df.select(F.col(id_col).alias("doc_id"), F.col(text_col))).select(
         F.col("doc_id"), F.xxhash64(n).alias("_h1"), F.hash(n).alias("_h2"),
-                      F.length(n).alias("_len"))
+        F.length(n).alias("_len")).checkpoint()
     keys = ["_h1", "_h2", "_len"]
     groups = (keyed.groupBy(*keys).agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
               .where(F.col("group_size") >= 2))
