@@ -22,9 +22,14 @@ CONTEXT_CHARS = 500
 
 
 def retrieve(corpus: DataFrame, incidents: DataFrame, k: int = 20, method: str = "auto",
-             exclude_self: bool = True) -> DataFrame:
-    """Long-form retrieved rows: exact top-k per incident with the document fields."""
-    ranked = topk.topk_exact(corpus, incidents, k, method=method, exclude_self=exclude_self)
+             exclude_self: bool = True, vectors: DataFrame | None = None) -> DataFrame:
+    """Long-form retrieved rows: exact top-k per incident with the document fields.
+
+    ``vectors``: ``(id, embedding)`` table to score (default: ``corpus``); the
+    document fields of ``corpus`` are joined onto the k rows per incident only.
+    """
+    ranked = topk.topk_exact(vectors if vectors is not None else corpus, incidents, k, method=method,
+                             exclude_self=exclude_self)
     return (topk.attach_docs(ranked, corpus)
             .select(F.col("qid").alias("incident_id"), "id", "rank", "score", "cmplid", "odino",
                     "mfr_name", "modeltxt", "compdesc", "cdescr"))

@@ -343,7 +343,8 @@ def _broadcast_better_counts(exclude_self: bool, bq, chunk_pairs: int = 1 << 20)
 
 def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: int = 30, *, id_col="id",
                      vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
-                     dim_hint=768, max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, method="auto") -> DataFrame:
+                     dim_hint=768, max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, method="auto",
+                     vectors: DataFrame | None = None) -> DataFrame:
     """Rank every corpus row per query, keep the first ``limit`` rows matching ``predicate``
     (on corpus columns) with their whole-corpus rank: ``(qid, id, score, rank)``.
 
@@ -351,15 +352,18 @@ def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: in
     (candidates), then a count, per candidate, of all corpus rows ranked
     before it (a scan of the corpus against the broadcast candidates, summed
     over partitions). Falls back to the range-partitioned full ranking when
-    the queries do not fit the broadcast bound.
+    the queries do not fit the broadcast bound. ``vectors``: the unfiltered
+    ``(id, embedding)`` table for the counting pass (default: ``corpus``), so
+    only the predicate pass reads the columns the predicate needs.
     """
+    allv = vectors if vectors is not None else corpus
     q = _query_vectors(queries, qid_col, qvec_col)
     kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
     cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col,
                        qid_col=qid_col, qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
                        max_broadcast_bytes=max_broadcast_bytes, method=method, _chosen=(kind, got))
     if kind != "broadcast":
-        pairs = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
+        pairs = scored_pairs(allv, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
                              qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
         ranked = global_rank(pairs)
         return ranked.join(cands.select("qid", "id"), ["qid", "id"], "left_semi")
@@ -373,7 +377,7 @@ def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: in
     cid[j, r] = pc["id"].to_numpy(dtype=np.int64)
     csc[j, r] = pc["score"].to_numpy(dtype=np.float64)
     bq = _broadcast(corpus.sparkSession, (qid, qmat, cid, csc))
-    counts = (_corpus_vectors(corpus, id_col, vec_col)
+    counts = (_corpus_vectors(allv, id_col, vec_col)
               .mapInPandas(_broadcast_better_counts(exclude_self, bq), schema=BETTER_SCHEMA)
               .groupBy("qid", "id").agg((F.sum("n_better") + 1).alias("rank")))
     return cands.drop("rank").join(counts, ["qid", "id"])

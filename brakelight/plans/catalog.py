@@ -38,6 +38,10 @@ def _corpus(spark: SparkSession, sf: str) -> DataFrame:
     return V.corpus(V.table(spark, sf, "embeddings"), V.table(spark, sf, "documents"))
 
 
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return V.vectors(V.table(spark, sf, "embeddings"))
+
+
 def _dates_as_text(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"date_format({ident(f.name)}, 'yyyy-MM-dd') AS {ident(f.name)}"
                            if f.dataType.simpleString() == "date" else ident(f.name)
@@ -62,8 +66,8 @@ def q_l2_normalize(spark, sf):
 @query("topk_exact", O.with_views(
     "SELECT incident_id, id, rank, score FROM retrieved", corpus=True))
 def q_topk_exact(spark, sf):
-    c = _corpus(spark, sf)
-    r = topk.topk_exact(c, V.incidents(c), k=20)
+    v = _vectors(spark, sf)
+    r = topk.topk_exact(v, V.query_vectors(v), k=20)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
@@ -421,14 +425,16 @@ def _text_pred():
 
 
 def _pairs(spark, sf, keep=()):
-    c = _corpus(spark, sf)
-    return topk.scored_pairs(c, V.incidents(c), keep=list(keep), dim_hint=64)
+    if keep:
+        c = _corpus(spark, sf)
+        return topk.scored_pairs(c, V.incidents(c), keep=list(keep), dim_hint=64)
+    v = _vectors(spark, sf)
+    return topk.scored_pairs(v, V.query_vectors(v), dim_hint=64)
 
 
 def _retrieved(spark, sf) -> tuple[DataFrame, DataFrame]:
-    c = _corpus(spark, sf)
-    inc = V.incidents(c)
-    return report.retrieve(c, inc, k=20), inc
+    c, v = _corpus(spark, sf), _vectors(spark, sf)
+    return report.retrieve(c, V.query_vectors(v), k=20, vectors=v), V.incidents(c)
 
 
 @query("incident_states", O.with_views(
@@ -451,8 +457,8 @@ FROM ranked r JOIN corpus c ON c.id = r.id
 WHERE {_TEXT_PRED_SQL}
 QUALIFY row_number() OVER (PARTITION BY r.qid ORDER BY r.rank) <= 30""", corpus=True))
 def q_rank_then_filter(spark, sf):
-    c = _corpus(spark, sf)
-    r = topk.rank_then_filter(c, V.incidents(c), _text_pred(), limit=30, dim_hint=64)
+    c, v = _corpus(spark, sf), _vectors(spark, sf)
+    r = topk.rank_then_filter(c, V.query_vectors(v), _text_pred(), limit=30, dim_hint=64, vectors=v)
     return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
 
 
@@ -463,8 +469,8 @@ FROM scores s JOIN corpus c ON c.id = s.id
 WHERE {_TEXT_PRED_SQL}
 QUALIFY rank <= 20""", corpus=True))
 def q_filter_then_topk(spark, sf):
-    c = _corpus(spark, sf)
-    r = topk.filter_then_topk(c, V.incidents(c), _text_pred(), k=20, dim_hint=64)
+    c, v = _corpus(spark, sf), _vectors(spark, sf)
+    r = topk.filter_then_topk(c, V.query_vectors(v), _text_pred(), k=20, dim_hint=64)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
@@ -1077,18 +1083,18 @@ from ..operators import ann, dedupe, embed, loop  # noqa: E402
 
 @query("topk_ann")
 def q_topk_ann(spark, sf):
-    c = _corpus(spark, sf)
-    r = ann.topk_ann(c, V.incidents(c), k=20, n_lists=16, n_probe=8)
+    v = _vectors(spark, sf)
+    r = ann.topk_ann(v, V.query_vectors(v), k=20, n_lists=16, n_probe=8)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
 
 @query("recall_at_k")
 def q_recall_at_k(spark, sf):
-    c = _corpus(spark, sf)
-    inc = V.incidents(c)
-    exact = topk.topk_exact(c, inc, k=20)
-    approx = ann.topk_ann(c, inc, k=20, n_lists=16, n_probe=8)
+    v = _vectors(spark, sf)
+    inc = V.query_vectors(v)
+    exact = topk.topk_exact(v, inc, k=20)
+    approx = ann.topk_ann(v, inc, k=20, n_lists=16, n_probe=8)
     rec = ann.recall_at_k(exact, approx, 20)
     return rec.select(F.col("qid").alias("incident_id"), "n_exact", "n_hit", F.round("recall", 6).alias("recall"))
 

@@ -74,6 +74,21 @@ def corpus(embeddings: DataFrame, documents: DataFrame) -> DataFrame:
                     F.col("e.label").alias("label")))
 
 
+def vectors(embeddings: DataFrame) -> DataFrame:
+    """Scoring input: ``(id, embedding, label)`` straight from the embeddings table.
+
+    Vector search reads only this; document fields are joined onto the k
+    results per query afterwards (``topk.attach_docs``), so no query plan joins
+    the documents table just to score.
+    """
+    return embeddings.select(F.col("vec_id").alias("id"), "embedding", "label")
+
+
+def query_vectors(vectors_df: DataFrame) -> DataFrame:
+    """Every corpus record asked as a query, vectors only: ``(incident_id, qv)``."""
+    return vectors_df.select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+
+
 def incidents(corpus_df: DataFrame) -> DataFrame:
     """Every corpus record is also asked as an incident (its own row excluded from results)."""
     return corpus_df.select(

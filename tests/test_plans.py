@@ -59,3 +59,13 @@ def test_ensure_parallelism_runs_no_job(spark, tmp_dir):
     assert "RoundRobinPartitioning(4)" in out._jdf.queryExecution().executedPlan().toString()
     # as many files as cores: left alone
     assert ensure_parallelism(joined, min_partitions=2) is joined
+
+
+def test_vector_search_reads_only_the_embeddings(spark):
+    for name in ("topk_exact", "topk_ann"):
+        p = plan(catalog.QUERIES[name](spark, SF))
+        assert "embeddings.parquet" in p and "documents.parquet" not in p, name
+    assert "documents.parquet" not in plan(catalog.QUERIES["rank_exact"](spark, SF))  # reads its checkpoint
+    # document fields are attached to the k rows per query, after the top-k
+    p = plan(catalog.QUERIES["retrieve_docs"](spark, SF))
+    assert "documents.parquet" in p and "WindowGroupLimit" in p
