@@ -62,6 +62,10 @@ def main() -> None:
         thr["exact_ms_per_query"] = round(1000.0 * times["topk_exact"] / n_vec, 3)
     if "topk_ann" in times:
         thr["ann_ms_per_query"] = round(1000.0 * times["topk_ann"] / n_vec, 3)
+    if "recall_at_k" in times:  # quality of the approximate search (untimed rerun)
+        from pyspark.sql import functions as F
+        rec = catalog.QUERIES["recall_at_k"](spark, sf_dir).agg(F.avg("recall")).first()[0]
+        thr["ann_mean_recall_at_20"] = round(float(rec), 4) if rec is not None else None
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "throughput": thr,
                       "warmup": {"dir": warm_dir, "sec": warmup_sec}}))
