@@ -11,7 +11,6 @@ of ``n_lists`` rows).
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CORRUPT_COLUMN, EVAL_CASE, RAW_COLUMNS, RAW_SCHEMA_WITH_CORRUPT
+from ..schemas import CORRUPT_COLUMN, EVAL_CASE, RAW_COLUMNS
 
 ORDER_COL = "_order"
 
