@@ -11,13 +11,14 @@ of ``n_lists`` rows).
 
 from __future__ import annotations
 
+import json
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
@@ -133,11 +134,18 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int =
             raise ValueError("query set exceeds the broadcast bound; use method='cogroup'")
     q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qv")) \
         .where(F.col("qv").isNotNull())
-    # centroid table is n_lists rows: a size bound set by the caller's parameter
-    w = Window.partitionBy("qid").orderBy(F.col("cs").desc(), F.col("list_id"))
-    probes = (q.crossJoin(F.broadcast(cents)).withColumn("cs", vectors.cosine("qv", "centroid"))
-              .withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= n_probe)
-              .select("qid", "qv", "list_id"))
+    # the centroid table is n_lists rows (a bound set by the caller's parameter); it enters
+    # every query row as one constant-folded literal, and each query keeps its n_probe
+    # closest lists (ties: lower list id) -- no join between queries and centroids
+    cents_pdf = cents.orderBy("list_id").toPandas()
+    lit_json = json.dumps([{"list_id": int(l), "c": [float(x) for x in c]}
+                           for l, c in zip(cents_pdf["list_id"], cents_pdf["centroid"])])
+    cent = F.from_json(F.lit(lit_json), "array<struct<list_id:int,c:array<float>>>")
+    ranked = F.array_sort(F.transform(cent, lambda x: F.struct(
+        (-F.coalesce(vectors.cosine(F.col("qv"), x["c"]), F.lit(-2.0))).alias("neg_cs"),
+        x["list_id"].alias("list_id"))))
+    probes = (q.select("qid", "qv", F.explode(F.slice(ranked, 1, n_probe)).alias("_p"))
+              .select("qid", "qv", F.col("_p.list_id").alias("list_id")))
     sizes = assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
     salts = sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(list_rows))).cast("int").alias("ns"))
     c2 = (assigned.join(F.broadcast(salts), "list_id")

@@ -12,8 +12,9 @@ Physical forms of the same result (``method``):
   ``cogroup().applyInPandas`` call. Corpus rows are replicated once per query
   block and queries once per corpus block; no side is broadcast and no task
   holds more than one block of each.
-* ``expr``: JVM-only broadcast nested-loop join with a cosine expression
-  (higher-order array functions), kept as the no-Python alternative.
+* ``expr``: JVM-only form of the same block decomposition -- an equi-join
+  on (corpus block, query block) and a cosine expression (higher-order
+  array functions), kept as the no-Python alternative.
 
 In every form the per-partition candidates are merged with
 ``row_number() <= k``, which Spark plans as a partial ``WindowGroupLimit``
@@ -111,17 +112,6 @@ def topk_candidates_blocked(corpus: DataFrame, queries: DataFrame, k: int, *, id
             .applyInPandas(_block_topk(k, exclude_self), schema=CAND_SCHEMA))
 
 
-def _query_blocks(q: DataFrame, dim_hint: int, max_bytes: int) -> list[DataFrame]:
-    """Split the query set into blocks whose broadcast size stays under ``max_bytes``."""
-    n = q.count()
-    est = n * (dim_hint * 4 + 64)
-    nb = max(1, int(math.ceil(est / float(max_bytes))))
-    if nb == 1:
-        return [q]
-    keyed = q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nb)))
-    return [keyed.where(F.col("_qb") == b).drop("_qb") for b in range(nb)]
-
-
 def attach_docs(ranked: DataFrame, corpus: DataFrame, cols=("cmplid", "odino", "mfr_name",
                                                             "modeltxt", "compdesc", "cdescr")) -> DataFrame:
     """Join corpus attributes onto ``(qid, id, ...)`` rows (AQE picks the join side at run time)."""
@@ -258,45 +248,85 @@ def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id
                                         exclude_self=exclude_self, block_rows=block_rows)
     elif kind == "expr":
         cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
-                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
+                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr",
+                             block_rows=block_rows)
     else:
         raise ValueError(f"unknown method {method!r}")
     return _final_topk(cands.select("qid", "id", "score"), k)
 
 
+def _block_scores(exclude_self: bool):
+    """Pandas function: every (corpus row, query) score of one block pair."""
+
+    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        if cdf.empty or qdf.empty:
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "id": pd.Series([], dtype="int64"),
+                                 "score": pd.Series([], dtype="float64")})
+        c = np.vstack(cdf["v"].to_numpy()).astype(np.float64)
+        q = np.vstack(qdf["qv"].to_numpy()).astype(np.float64)
+        cid = cdf["id"].to_numpy(dtype=np.int64)
+        qid = qdf["qid"].to_numpy(dtype=np.int64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = (c @ q.T) / np.outer(np.linalg.norm(c, axis=1), np.linalg.norm(q, axis=1))
+        s[~np.isfinite(s)] = -np.inf
+        if exclude_self:
+            s[cid[:, None] == qid[None, :]] = -np.inf
+        rows, cols = np.nonzero(np.isfinite(s))
+        return pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
+
+    return run
+
+
+def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """2-D block decomposition: corpus rows get a block id and are replicated once per
+    query block, queries likewise; each (corpus block, query block) key meets once."""
+    cb = _n_blocks(c.count(), block_rows)
+    qb = _n_blocks(q.count(), block_rows)
+    c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), F.lit(cb)).cast("int"))
+          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+    q2 = (q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
+          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
+    return c2, q2
+
+
 def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col="embedding",
                  qid_col="incident_id", qvec_col="qv", exclude_self=True, dim_hint=768,
-                 max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, keep=None, method="auto") -> DataFrame:
+                 max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, keep=None, method="auto",
+                 block_rows=DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Every (query, corpus row) with its cosine ``score``: ``(qid, id, score, *keep)``.
 
     ``auto`` scores in Arrow batches against the broadcast query matrix when
-    it fits the bound, else in the JVM with query blocks of checked size.
+    it fits the bound, else in (corpus block, query block) cogroups
+    (``blocked``); ``expr`` is the JVM-only form of the same block
+    decomposition (an equi-join on the block pair and a cosine expression).
+    No form joins the corpus with the query set as a cross product.
     """
     keep = [x for x in (keep or []) if x != id_col]
     q = _query_vectors(queries, qid_col, qvec_col)
-    kind, got = _choose(method if method != "blocked" else "expr", q, max_broadcast_bytes, dim_hint)
+    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
     if kind == "broadcast":
         bq = _broadcast(corpus.sparkSession, got)
         pairs = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
             _broadcast_scores(exclude_self, bq), schema=CAND_SCHEMA)
-        if keep:
-            attrs = corpus.select(F.col(id_col).cast("long").alias("id"), *[F.col(x) for x in keep])
-            pairs = pairs.join(attrs, "id")
-        return pairs
-    c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
-                       *[F.col(x) for x in keep])
-         .where(F.col("v").isNotNull() & (F.size("v") > 0)))
-    parts = []
-    for block in _query_blocks(q, dim_hint, max_broadcast_bytes):
-        p = c.crossJoin(F.broadcast(block))
+    elif kind == "blocked":
+        c2, q2 = _block_pairs(_corpus_vectors(corpus, id_col, vec_col), q, block_rows)
+        pairs = (c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb"))
+                 .applyInPandas(_block_scores(exclude_self), schema=CAND_SCHEMA))
+    elif kind == "expr":
+        c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+             .where(F.col("v").isNotNull() & (F.size("v") > 0)))
+        c2, q2 = _block_pairs(c, q, block_rows)
+        p = c2.join(q2, ["_cb", "_qb"])
         if exclude_self:
             p = p.where(F.col("id") != F.col("qid"))
-        parts.append(p.withColumn("score", cosine("v", "qv")).where(F.col("score").isNotNull())
-                     .drop("v", "qv"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        pairs = (p.select("qid", "id", cosine("v", "qv").alias("score"))
+                 .where(F.col("score").isNotNull()))
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    if keep:
+        attrs = corpus.select(F.col(id_col).cast("long").alias("id"), *[F.col(x) for x in keep])
+        pairs = pairs.join(attrs, "id")
+    return pairs
 
 
 BETTER_SCHEMA = T.StructType([
@@ -364,7 +394,8 @@ def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: in
                        max_broadcast_bytes=max_broadcast_bytes, method=method, _chosen=(kind, got))
     if kind != "broadcast":
         pairs = scored_pairs(allv, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
-                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr")
+                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
+                             method="expr" if method == "expr" else "blocked")
         ranked = global_rank(pairs)
         return ranked.join(cands.select("qid", "id"), ["qid", "id"], "left_semi")
     qid, qmat = got

@@ -377,9 +377,9 @@ SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1),
 FROM e CROSS JOIN q""")
 def q_cosine_scores(spark, sf):
     e = V.table(spark, sf, "embeddings")
-    # one-row query vector: a proven-size broadcast
-    qv = e.join(e.agg(F.min("vec_id").alias("vec_id")), "vec_id").select(F.col("embedding").alias("qv"))
-    return (e.crossJoin(F.broadcast(qv))
+    # the one query vector is a scalar subquery (evaluated once, no join)
+    qv = e.where(F.col("vec_id") == e.select(F.min("vec_id")).scalar()).select("embedding").scalar()
+    return (e.withColumn("qv", qv)
             .select("vec_id", F.round(vectors.cosine("embedding", "qv"), 6).alias("score")))
 
 

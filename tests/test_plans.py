@@ -69,3 +69,16 @@ def test_vector_search_reads_only_the_embeddings(spark):
     # document fields are attached to the k rows per query, after the top-k
     p = plan(catalog.QUERIES["retrieve_docs"](spark, SF))
     assert "documents.parquet" in p and "WindowGroupLimit" in p
+
+
+def test_no_cross_product_joins(spark):
+    from pyspark.sql import functions as F
+    from brakelight.operators import topk
+    for name in ("cosine_scores", "topk_exact", "job_manifest", "retrieve_docs", "rank_then_filter"):
+        p = plan(catalog.QUERIES[name](spark, SF))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+    e = spark.read.parquet(SF + "/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    q = e.select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+    for method in ("expr", "blocked"):
+        p = plan(topk.scored_pairs(e, q, method=method, block_rows=50, dim_hint=64))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, method
