@@ -148,8 +148,13 @@ def rejected_rows(raw: DataFrame, order: str = "seq") -> DataFrame:
     """
     df = defang_columns(strip_quotes(raw))
     short = F.length("compdesc") <= MIN_COMPDESC_LEN
-    kept = df.where(~short)
-    winners = kept.groupBy("cmplid").agg(F.min(order).alias(order))
-    dups = kept.join(winners, ["cmplid", order], "left_anti").withColumn("reason", F.lit("duplicate_cmplid"))
-    shorts = df.where(short).withColumn("reason", F.lit("short_compdesc"))
-    return shorts.unionByName(dups)
+    # first order per id (narrow aggregate, partial map-side), then one pass over the rows:
+    # a row is a duplicate when it is not its id's first kept row (null ids form one group,
+    # as in dedup_first)
+    winners = (df.where(~short).groupBy("cmplid").agg(F.min(order).alias("_first"))
+               .withColumnRenamed("cmplid", "_wid"))
+    flagged = df.join(winners, df["cmplid"].eqNullSafe(winners["_wid"]), "left")
+    reason = (F.when(short, F.lit("short_compdesc"))
+              .when(F.col(order) != F.col("_first"), F.lit("duplicate_cmplid")))
+    return (flagged.withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select(*df.columns, "reason"))
