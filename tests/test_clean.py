@@ -38,3 +38,12 @@ def test_rejected_rows_reasons(spark):
                                "seq long, cmplid string, compdesc string")
     got = sorted((r["seq"], r["reason"]) for r in clean.rejected_rows(df).collect())
     assert got == [(1, "short_compdesc"), (3, "duplicate_cmplid")]
+
+
+def test_rejected_rows_null_ids_follow_dedup_first(spark):
+    df = spark.createDataFrame([(1, None, "LONG ONE"), (2, None, "LONG TWO"), (3, "C", "LONG"),
+                                (4, None, "ABC")], "seq long, cmplid string, compdesc string")
+    got = sorted((r["seq"], r["reason"]) for r in clean.rejected_rows(df).collect())
+    assert got == [(2, "duplicate_cmplid"), (3, "short_compdesc"), (4, "short_compdesc")]
+    kept = {r["seq"] for r in clean.dedup_first(clean.filter_short_text(df), "cmplid", "seq").collect()}
+    assert kept == {1}
