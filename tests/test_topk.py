@@ -146,3 +146,14 @@ def test_ann_lists_trained_on_a_bounded_sample(spark):
     exact = topk.topk_exact(c, _queries(c), 5)
     approx = ann.topk_ann(c, _queries(c), 5, n_lists=4, n_probe=4, lists=(assigned, cents))
     assert all(r["recall"] == 1.0 for r in ann.recall_at_k(exact, approx, 5).collect())
+
+
+def test_scored_pairs_forms_agree(spark):
+    c = _corpus(spark, n=120)
+    q = _queries(c)
+    got = {}
+    for method in ("broadcast", "blocked", "expr"):
+        p = topk.scored_pairs(c, q, method=method, block_rows=40, dim_hint=8)
+        got[method] = sorted((r["qid"], r["id"], round(r["score"], 9)) for r in p.collect())
+    assert len(got["broadcast"]) == 12 * 119  # every query against every other row
+    assert got["broadcast"] == got["blocked"] == got["expr"]
