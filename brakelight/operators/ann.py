@@ -3,10 +3,12 @@
 Re-aims the graph index of the source system for Spark: the corpus is
 partitioned into ``n_lists`` lists by cosine k-means (stored as a column),
 each query probes its ``n_probe`` closest centroids, and only the probed
-lists are scored exactly (the same blocked Arrow scoring as the exact path,
-grouped by list). Large lists are split into salted sub-lists so no single
-task holds a hot list; the split factor comes from the list sizes (a table
-of ``n_lists`` rows).
+lists are scored exactly. With a query set inside the checked broadcast
+bound, the corpus is scanned in place against the broadcast query matrix and
+probe lists; otherwise lists meet their probing queries in ``(list, salt)``
+cogroups, where large lists are split into salted sub-lists so no single
+task holds a hot list (the split factor comes from the list sizes, a table
+of ``n_lists`` rows). k-means trains on a bounded sample of the corpus.
 """
 
 from __future__ import annotations
