@@ -82,3 +82,9 @@ def test_no_cross_product_joins(spark):
     for method in ("expr", "blocked"):
         p = plan(topk.scored_pairs(e, q, method=method, block_rows=50, dim_hint=64))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, method
+
+
+def test_cleaning_chain_shuffles(spark):
+    # first row per id, then the two-level per-report merge: three hash shuffles, no more
+    p = plan(catalog.QUERIES["clean_complaints"](spark, SF))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 3, p
