@@ -76,3 +76,15 @@ def test_components_long_chain_and_hot_star(spark):
     assert {got[i] for i in range(1000, 1200)} == {1000}
     assert {got[i] for i in range(5000, 5300)} | {got[4999]} == {4999}
     assert got[7] == got[8] == 7 and len(got) == 200 + 301 + 2
+
+
+def test_package_zip_for_workers(spark):
+    import glob
+    import os
+    import zipfile
+    from brakelight.session import ensure_checkpoint_dir, ship_package
+    ship_package(spark)  # idempotent per SparkContext
+    zips = glob.glob(os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "pyfiles", "*.zip"))
+    assert zips
+    names = set(zipfile.ZipFile(sorted(zips)[-1]).namelist())
+    assert {"brakelight/__init__.py", "brakelight/operators/topk.py", "brakelight/streaming/load.py"} <= names
