@@ -38,15 +38,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = scratch_table(
         texts.groupBy("digest").agg(F.count("*").alias("variants"), F.max("keep_id").alias("keep_id"),
                                     F.sum("group_size").alias("group_size")), "exact-groups")
-    out = _finish(base.join(groups.filter("variants = 1"), "digest"))
+    # the text itself stays behind: a digest of one variant names its group
+    named = base.select("id", "digest", F.expr(SHA256).alias("text_sha256"))
+    out = _finish(named.join(groups.filter("variants = 1"), "digest"))
     clash = groups.filter("variants > 1").select("digest")
     if not clash.isEmpty():
         rows = base.join(clash, "digest", "left_semi")
         same = rows.groupBy("digest", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-        out = out.unionByName(_finish(rows.join(same, ["digest", "norm"])))
+        clashing = rows.join(same, ["digest", "norm"]).withColumn("text_sha256", F.expr(SHA256))
+        out = out.unionByName(_finish(clashing))
     return out.withColumnRenamed("id", id_col)
 
 
 def _finish(df: DataFrame) -> DataFrame:
     return df.select("id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
-                     F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.expr(SHA256).alias("text_sha256"))
+                     F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
