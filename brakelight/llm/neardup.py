@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, byte_words, scratch_table, text_or_empty, words
+from .common import byte_words, scratch_table
 from .components import components
 
 SHINGLE = 5
@@ -121,6 +121,27 @@ class Sampler:
         return out
 
 
+#: the node of texts without words
+_NO_WORDS = hashlib.md5(b"").digest()
+
+
+def _nodes(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> DataFrame:
+    """(id, node) or (id, node, text): node is the digest of the word sequence of the whole text."""
+    schema = T.StructType().add("id", docs.schema[id_col].dataType).add("node", "binary")
+    if with_text:
+        schema = schema.add("text", "string")
+
+    def run(batches):
+        for big in batches:
+            for at in range(0, big.num_rows, 1000):
+                b = big.slice(at, 1000)
+                node = [hashlib.md5(b" ".join(byte_words(t))).digest() for t in b.column(1).to_pylist()]
+                cols = [b.column(0), pa.array(node, pa.binary())] + ([b.column(1)] if with_text else [])
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+
+
 def _sketch(texts: DataFrame) -> np.ndarray:
     """Count-min sketch of the shingles of every text; DEPTH x WIDTH counters whatever the number of texts."""
     schema = T.StructType().add("block", "integer").add("salt", "integer").add("counts", "binary")
@@ -272,12 +293,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     repeated, otherwise all rows with that id. An empty table gives an empty result; further columns are ignored.
     """
     spark: SparkSession = docs.sparkSession
-    w = words(ascii_lower(text_or_empty(text_col)))
-    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), w.alias("w"))
-    keyed = keyed.select("id", "text", F.when(F.size("w") > 0, F.unhex(F.md5(F.array_join("w", " ")))).alias("node"))
     texts = scratch_table(
-        keyed.filter(F.col("node").isNotNull()).groupBy("node")
+        _nodes(docs, id_col, text_col, True).groupBy("node")
         .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")), "texts")
+    texts = texts.filter(F.col("node") != F.lit(_NO_WORDS))
     total = texts.count()
     freq = spark.sparkContext.broadcast(Frequencies(_sketch(texts), total))
     signed = scratch_table(_signatures(texts, freq, bands, rows), "signatures")
@@ -303,10 +322,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     nodes = texts.select("node", "rep_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = nodes.groupBy("root").agg(F.min("rep_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("n_texts"))
     nodes = nodes.join(classes, "root").select("node", "rep_id", "class_id", "class_size", "n_texts")
-    with_words = keyed.filter(F.col("node").isNotNull()).select("id", "node").join(nodes, "node").select(
-        "id", "class_id", "rep_id", "class_size", "n_texts")
-    bare = keyed.filter(F.col("node").isNull()).select(
-        "id", F.col("id").alias("class_id"), F.col("id").alias("rep_id"), F.lit(1).cast("long").alias("class_size"),
-        F.lit(1).cast("long").alias("n_texts"))
-    out = with_words.unionByName(bare).withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
+    # rows without words find no node: each is a class of its own
+    one = F.lit(1).cast("long")
+    out = _nodes(docs, id_col, text_col, False).join(nodes, "node", "left").select(
+        "id", F.when(F.col("n_texts").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("n_texts").isNull(), F.col("id")).otherwise(F.col("rep_id")).alias("rep_id"),
+        F.coalesce("class_size", one).alias("class_size"), F.coalesce("n_texts", one).alias("n_texts"))
+    out = out.withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
     return out.withColumnRenamed("id", id_col)
