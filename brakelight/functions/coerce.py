@@ -13,9 +13,14 @@ from ..schemas import DATE_HIGH, DATE_LOW
 from .text import col_, strip_ws, strip_ws_sql
 
 
+# Java's parser also takes ``1d``, ``2f``, ``NaN`` and ``Infinity``; only plain decimal text counts as a number.
+NUMBER_PATTERN = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_number(c) -> Column:
-    """Coerce to double; anything unparseable (blank, ``N/A``) -> null."""
-    return F.trim(col_(c)).try_cast("double")
+    """Coerce to double; anything but a decimal number (blank, ``N/A``, ``1d``, ``NaN``) -> null."""
+    text = F.trim(col_(c))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_date_compact(c) -> Column:
@@ -55,7 +60,7 @@ def int_or_zero(c, strict: bool = False) -> Column:
     if strict:
         v = s.try_cast("long")
     else:
-        v = s.try_cast("double").try_cast("long")
+        v = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double").try_cast("long"))
     return F.coalesce(v, F.lit(0).cast("long"))
 
 
@@ -90,7 +95,8 @@ def parse_yn_sql(x: str) -> str:
 
 def int_or_zero_sql(x: str, strict: bool = False) -> str:
     s = strip_ws_sql(x)
-    v = f"try_cast({s} AS BIGINT)" if strict else f"try_cast(try_cast({s} AS DOUBLE) AS BIGINT)"
+    v = f"try_cast({s} AS BIGINT)" if strict else (
+        f"CASE WHEN {s} RLIKE '{NUMBER_PATTERN}' THEN try_cast(try_cast({s} AS DOUBLE) AS BIGINT) END")
     return f"coalesce({v}, CAST(0 AS BIGINT))"
 
 

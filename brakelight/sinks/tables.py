@@ -36,10 +36,12 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 def write_clean_zone(df: DataFrame, zone: str, job_id: str, file_name: str = "data.parquet") -> int:
     """Write under ``zone/job_id=<id>/`` (partitioned by job) and return the row count,
-    measured by an ``Observation`` on the write itself (no second scan)."""
+    measured by an ``Observation`` on the write itself (no second scan). A job that is run
+    again replaces its own partition and no other."""
     obs = Observation(f"zone_{abs(hash((zone, job_id)))}")
     (df.withColumn("job_id", F.lit(job_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy("job_id").parquet(posixpath.join(zone, file_name)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id")
+     .parquet(posixpath.join(zone, file_name)))
     return int(obs.get["rows"])
 
 

@@ -61,3 +61,12 @@ def test_clean_csv_missing_column(spark, tmp_dir):
     with pytest.raises(ValueError):
         files.scan_clean_csv(spark, p, required=["x", "summary"])
     assert files.scan_clean_csv(spark, p, required=["x"]).columns == ["x", "y"]
+
+
+def test_zone_write_replaces_its_own_job(spark, tmp_dir):
+    from brakelight.sinks import tables as sinks
+    df = spark.range(10)
+    for job in ("a", "b", "a"):
+        assert sinks.write_clean_zone(df, tmp_dir, job) == 10
+    back = spark.read.parquet(tmp_dir + "/data.parquet").groupBy("job_id").count().collect()
+    assert {r.job_id: r["count"] for r in back} == {"a": 10, "b": 10}

@@ -96,3 +96,14 @@ def test_cosine_and_normalize(spark):
     r = df.select(vectors.cosine("a", "b"), vectors.l2_normalize("a")).collect()
     assert abs(r[0][0] - 0.96) < 1e-9 and r[1][0] is None
     assert [round(x, 6) for x in r[0][1]] == [0.6, 0.8] and r[1][1] == [0.0, 0.0]
+
+
+def test_numbers_are_plain_decimal_text(spark):
+    from pyspark.sql import functions as F
+
+    from brakelight.functions import coerce
+    rows = [("1d",), ("2f",), ("NaN",), ("Infinity",), (" 1.5 ",), ("-3e2",), ("",), (None,), ("7",), (".5",)]
+    got = spark.createDataFrame(rows, "x string").select(
+        coerce.to_number("x").alias("n"), coerce.int_or_zero("x").alias("i"), F.expr(coerce.int_or_zero_sql("x")).alias("j")).collect()
+    assert [r.n for r in got] == [None, None, None, None, 1.5, -300.0, None, None, 7.0, 0.5]
+    assert [r.i for r in got] == [r.j for r in got] == [0, 0, 0, 0, 1, -300, 0, 0, 7, 0]
