@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "clean_complaints",      # cleaning chain (two shuffles: complaint id, report id)
+    "clean_complaints",      # cleaning chain (three shuffles)
     "typed_corpus",          # load-typing rules over the clean output
     "defang_html",           # link defanging over raw pages
     "topk_exact",            # exact top-20 for every record as a query batch
