@@ -7,6 +7,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,8 +176,8 @@ def _sketch(texts: DataFrame) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame, freq, bands: int, rows: int) -> DataFrame:
-    """(node, sig, bands): the low byte of every sample, and one hash per band."""
-    schema = T.StructType().add("node", "binary").add("sig", "binary").add("bands", T.ArrayType(T.LongType()))
+    """(node, sig, bands, size): the low byte of every sample, one hash per band, the bytes of the text."""
+    schema = T.StructType().add("node", "binary").add("sig", "binary").add("bands", T.ArrayType(T.LongType())).add("size", "long")
 
     def run(batches):
         sampler = Sampler(bands * rows)
@@ -201,8 +202,8 @@ def _signatures(texts: DataFrame, freq, bands: int, rows: int) -> DataFrame:
                 values = pa.array(band.view(np.int64).reshape(-1))
                 yield pa.RecordBatch.from_arrays([
                     big.column(0).slice(at, end - at), pa.array([x.tobytes() for x in low], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands, dtype=np.int32)), values)],
-                    names=schema.names)
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands, dtype=np.int32)), values),
+                    pc.binary_length(col.slice(at, end - at)).cast(pa.int64())], names=schema.names)
                 at = end
 
     return texts.select("node", "text").mapInArrow(run, schema)
@@ -236,40 +237,98 @@ def _verify(pairs: DataFrame, texts: DataFrame, freq) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def _across(rest: DataFrame, floor: float, block: int = 512) -> DataFrame:
-    """Pairs of one bucket in different components whose signatures agree on a share of at least ``floor``.
+def _candidates(pdf, floor: float) -> list[tuple[int, np.ndarray]]:
+    """(query row, other rows) of one task that may be similar: other component, and signatures that agree enough.
 
-    The members of a bucket are dealt to blocks of about ``block``; a task compares two blocks as matrices and
-    gives out only the pairs above the floor.
+    A pair is taken in the first band it shares and, where both rows are queries, from the smaller node.
     """
-    sized = rest.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    own = sized.withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-    dealt = own.select("band", "key", "node", "root", "sig", "own", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", "key", "node", "root", "sig", "own", F.least("own", "other").alias("i"),
-                         F.greatest("own", "other").alias("j"))
-    schema = T.StructType().add("a", "binary").add("b", "binary")
-
-    def compare(pdf):
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+    bands = np.stack(pdf["bands"].to_numpy())
+    _, root = np.unique(pdf["root"].to_numpy().astype(object), return_inverse=True)
+    _, rank = np.unique(pdf["node"].to_numpy().astype(object), return_inverse=True)
+    query, minor = pdf["query"].to_numpy(), pdf["minor"].to_numpy()
+    others, band = np.flatnonzero(~query), int(pdf["band"].iloc[0])
+    found = []
+    for x in np.flatnonzero(query).tolist():
+        ys = others[(root[others] != root[x]) & (~minor[others] | (rank[others] > rank[x]))]
+        ys = ys[(sig[ys] == sig[x]).mean(1) >= floor]
+        ys = ys[~(bands[ys, :band] == bands[x, :band]).any(1)]
+        if len(ys):
+            found.append((x, ys))
+    return found
+
+
+def _similar_rows(pdf, floor: float, threshold: float, freq: Frequencies) -> list[tuple[int, int]]:
+    """Links (row, row) of one task that connect components: every candidate is compared on its whole text."""
+    sets = [weighted(t, freq) for t in pdf["text"]]
+    vocabulary, at = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+    w = np.concatenate([x for _, x in sets])
+    lens = np.fromiter((len(h) for h, _ in sets), np.int64, len(sets))
+    starts = np.cumsum(lens) - lens
+    total = np.add.reduceat(w, starts, dtype=np.float64)
+    _, group = np.unique(pdf["root"].to_numpy().astype(object), return_inverse=True)
+    dense, links = np.zeros(len(vocabulary), np.float32), []
+    for x, ys in _candidates(pdf, floor):
+        own = slice(starts[x], starts[x] + lens[x])
+        dense[at[own]] = w[own]
+        both = np.add.reduceat(np.minimum(w, dense[at]), starts, dtype=np.float64)[ys]
+        dense[at[own]] = 0
+        for y in ys[both >= threshold * (total[x] + total[ys] - both)].tolist():
+            if group[x] != group[y]:
+                group[group == group[y]] = group[x]
+                links.append((x, y))
+    return links
+
+
+def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataFrame, freq, threshold: float,
+            floor: float, block: int = 256, block_bytes: int = 1 << 24) -> DataFrame:
+    """(a, b): links between the components that one bucket spans.
+
+    In a bucket the members outside its most frequent component are queries, and all members are searched. Both are
+    dealt to blocks of about ``block`` rows and ``block_bytes`` of text; a task takes one block of queries and one
+    of members. A first pass compares signatures and names the members of candidate pairs, a second one reads the
+    texts of these and compares them exactly. A task gives out no more links than it has rows.
+    """
+    rows = inside.filter("n > 2").join(roots, "node", "left").select(
+        "band", "key", "node", F.coalesce("root", "node").alias("root"))
+    parts = rows.groupBy("band", "key", "root").agg(F.count("*").alias("m"))
+    spans = parts.groupBy("band", "key").agg(F.max(F.struct("m", "root"))["root"].alias("main"),
+                                             F.count("*").alias("parts")).filter("parts > 1")
+    rows = rows.join(spans.select("band", "key", "main"), ["band", "key"]).join(signed, "node")
+    rows = scratch_table(rows.withColumn("minor", F.col("root") != F.col("main")).drop("main"), "open-buckets")
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("int")
+
+    dealt = rows.groupBy("band", "key").agg(
+        blocks(F.count("*"), F.sum("size")).alias("bs"),
+        blocks(F.sum(F.col("minor").cast("int")), F.sum(F.when(F.col("minor"), F.col("size")))).alias("qs"))
+    rows = rows.join(dealt, ["band", "key"]).withColumn("h", F.xxhash64("node", F.lit(3)))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n: F.pmod("h", F.col(n)).cast("int")
+    cols = ["band", "key", "b", "q", "query", "node", "root", "minor", "sig", "bands"]
+    members = rows.withColumn("b", own("bs")).withColumn("q", F.explode(every("qs"))).withColumn("query", F.lit(False))
+    queries = rows.filter("minor").withColumn("q", own("qs")).withColumn("b", F.explode(every("bs"))).withColumn("query", F.lit(True))
+    tasks = members.select(cols).unionByName(queries.select(cols))
+
+    def named(pdf):
+        found = _candidates(pdf, floor)
+        at = np.unique(np.concatenate([[x for x, _ in found], *[ys for _, ys in found]]).astype(int)) if found else []
+        return pdf.iloc[at]
+
+    def verified(pdf):
         import pandas as pd
 
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
-        _, root = np.unique(pdf["root"].to_numpy().astype(object), return_inverse=True)
-        own, nodes = pdf["own"].to_numpy(), pdf["node"].tolist()
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for x in left.tolist():
-            ys = right[(root[right] != root[x]) & ((right > x) if i == j else True)]
-            if len(ys):
-                near = ys[(sig[ys] == sig[x]).mean(1) >= floor]
-                for y in near.tolist():
-                    p, q = sorted((bytes(nodes[x]), bytes(nodes[y])))
-                    a.append(p)
-                    b.append(q)
-        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
-
-    return dealt.groupBy("band", "key", "i", "j").applyInPandas(compare, schema).distinct()
+        nodes = [bytes(x) for x in pdf["node"]]
+        links = [sorted((nodes[x], nodes[y])) for x, y in _similar_rows(pdf, floor, threshold, freq.value)]
+        return pd.DataFrame({"a": pd.Series([x for x, _ in links], dtype=object),
+                             "b": pd.Series([y for _, y in links], dtype=object)})
+
+    task = ["band", "key", "b", "q"]
+    close = scratch_table(tasks.groupBy(task).applyInPandas(named, tasks.schema), "candidates")
+    links = close.join(texts.select("node", "text"), "node").groupBy(task).applyInPandas(
+        verified, T.StructType().add("a", "binary").add("b", "binary"))
+    return scratch_table(links.distinct(), "links-across")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, rows: int = 4,
@@ -282,10 +341,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
 
     1. Rows with equal word sequences collapse into one text (``rep_id``: smallest id among them).
     2. Every text is signed with ``bands`` * ``rows`` samples; a bucket holds the texts that agree on a whole band.
-    3. In each bucket all texts are verified exactly against its smallest one; links give components.
-    4. Buckets that still span several components are searched for further pairs across them: blocks of signatures
+    3. In each bucket all texts are verified exactly against its hub, the text that meets most others over all its
+       buckets (the original of many edited copies rather than one of these); links give components.
+    4. Buckets that still span several components are searched for links across them: blocks of signatures
        are compared, and pairs whose signatures agree on at least ``threshold`` less five standard deviations are
-       verified exactly. A pair at the threshold meets in some band with probability
+       verified exactly where their block is. A pair at the threshold meets in some band with probability
        1 - (1 - threshold^rows)^bands (0.9994 by default), more similar pairs sooner.
 
     Null text, and text without words, is a class of its own row. Repeated rows share a class; null ids
@@ -301,23 +361,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     freq = spark.sparkContext.broadcast(Frequencies(_sketch(texts), total))
     signed = scratch_table(_signatures(texts, freq, bands, rows), "signatures")
     member = signed.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = member.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = scratch_table(buckets, "buckets")
-    inside = member.join(buckets, ["band", "key"])
-    pairs = scratch_table(inside.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(),
-                          "pairs")
-    links = scratch_table(_verify(pairs, texts, freq).filter(F.col("sim") >= threshold), "verified")
+    sizes = member.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    inside = scratch_table(member.join(sizes, ["band", "key"]), "members")
+    near = inside.groupBy("node").agg(F.sum("n").alias("near"))
+    hubs = inside.join(near, "node").groupBy("band", "key").agg(F.max(F.struct("near", "node"))["node"].alias("hub"))
+    pairs = inside.join(hubs, ["band", "key"]).filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = scratch_table(_verify(pairs.distinct(), texts, freq).filter(F.col("sim") >= threshold).select("a", "b"), "links-hub")
     roots = components(links)
-    # buckets of three or more texts that still span several components
-    labelled = inside.filter("n > 2").join(roots, "node", "left").select(
-        "band", "key", "n", "node", F.coalesce("root", "node").alias("root"))
-    open_ = labelled.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    rest = labelled.join(open_.select("band", "key"), ["band", "key"]).join(signed.select("node", "sig"), "node")
     floor = threshold - 5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    more = scratch_table(_across(rest, floor).join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-    more = scratch_table(_verify(more, texts, freq).filter(F.col("sim") >= threshold), "verified-across")
+    more = _across(inside, roots, signed, texts, freq, threshold, floor)
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        roots = components(roots.toDF("a", "b").unionByName(more))
 
     nodes = texts.select("node", "rep_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = nodes.groupBy("root").agg(F.min("rep_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("n_texts"))

@@ -238,12 +238,64 @@ def test_weighted_samples_agree_as_often_as_sets_are_similar():
     assert abs((sig[0] == sig[1]).mean() - sim) < 0.04
 
 
-def test_near_duplicates_across_components_of_a_bucket(spark):
-    sig = bytes(range(56))
-    rows = [(0, 1, 4, bytes([k]), bytes([k % 2]), sig if k < 3 else bytes(56)) for k in range(4)]
-    rest = spark.createDataFrame(rows, "band int, key long, n long, node binary, root binary, sig binary")
-    got = {(bytes(r.a), bytes(r.b)) for r in neardup._across(rest, 0.55, block=2).collect()}
-    assert got == {(b"\0", b"\1"), (b"\1", b"\2")}
+def _edited_copies():
+    """A text, copies of it with one or two words changed, copies of copies, and other texts."""
+    rng = np.random.default_rng(3)
+    word = lambda: "w" + str(rng.integers(0, 100_000))
+    base = [word() for _ in range(110)]
+    texts = [base]
+    for k in range(40):
+        copy = list(texts[0] if k % 3 else texts[rng.integers(0, len(texts))])
+        for at in rng.integers(0, len(copy), 1 + k % 4):
+            copy[at] = word()
+        texts.append(copy)
+    texts += [[word() for _ in range(60)] for _ in range(5)]
+    return [" ".join(t) for t in texts]
+
+
+def _classes(sets, threshold=0.8):
+    """The smallest member of the class of every set, from all pairs."""
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if neardup.similarity(sets[i], sets[j]) >= threshold and root[i] != root[j]:
+                lo, hi = sorted((root[i], root[j]))
+                root = [lo if r == hi else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("block", [2, 7, 256])
+def test_links_across_components_of_a_bucket(spark, block):
+    """All texts in two buckets, every one its own component: the links give the classes of all pairs."""
+    texts = _edited_copies()
+    freq = neardup.Frequencies(np.ones((neardup.DEPTH, neardup.WIDTH), np.int64), len(texts))
+    node = [bytes([k]) for k in range(len(texts))]
+    inside = spark.createDataFrame([(b, 5, len(node), x) for b in (0, 1) for x in node], "band int, key long, n long, node binary")
+    signed = spark.createDataFrame([(x, bytes(56), [5, 5], len(t)) for x, t in zip(node, texts)],
+                                   "node binary, sig binary, bands array<long>, size long")
+    roots = spark.createDataFrame([(node[0], node[0])], "node binary, root binary")
+    whole = spark.createDataFrame(list(zip(node, texts)), "node binary, text string")
+    links = neardup._across(inside, roots, signed, whole, spark.sparkContext.broadcast(freq), 0.8, 0.55, block).collect()
+    root = list(range(len(texts)))
+    for r in links:
+        lo, hi = sorted((root[r.a[0]], root[r.b[0]]))
+        root = [lo if x == hi else x for x in root]
+    want = _classes([neardup.weighted(t, freq) for t in texts])
+    assert root == want and 6 < len(set(want)) < 40
+    assert len(links) < len(texts) * (len(texts) - 1) // 2
+
+
+def test_near_duplicates_match_all_pairs(spark):
+    """Classes of edited copies, copies of copies and other texts, by brute force over all pairs."""
+    texts = _edited_copies()
+    counts = np.zeros((neardup.DEPTH, neardup.WIDTH), np.int64)
+    for t in texts:
+        for d in range(neardup.DEPTH):
+            counts[d] += np.bincount(neardup.slots(np.unique(neardup.shingles(t)), d), minlength=neardup.WIDTH)
+    want = _classes([neardup.weighted(t, neardup.Frequencies(counts, len(texts))) for t in texts])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == want
 
 
 @pytest.mark.parametrize("digest", [exact.SHA256, "cast(length(norm) as string)"])
