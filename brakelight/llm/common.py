@@ -49,14 +49,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
-def scratch_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def scratch_table(df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The folder is added to ``paths``, for ``remove_tables``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch tables that no returned DataFrame reads any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path) of a URI or plain path; any store that pyarrow knows."""
     import pyarrow.fs as pafs

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_words, scratch_table
+from .common import byte_words, remove_tables, scratch_table
 from .components import components
 
 SHINGLE = 5
@@ -281,7 +281,7 @@ def _similar_rows(pdf, floor: float, threshold: float, freq: Frequencies) -> lis
 
 
 def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataFrame, freq, threshold: float,
-            floor: float, block: int = 256, block_bytes: int = 1 << 24) -> DataFrame:
+            floor: float, block: int = 256, block_bytes: int = 1 << 24, paths: list[str] | None = None) -> DataFrame:
     """(a, b): links between the components that one bucket spans.
 
     In a bucket the members outside its most frequent component are queries, and all members are searched. Both are
@@ -295,7 +295,7 @@ def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataF
     spans = parts.groupBy("band", "key").agg(F.max(F.struct("m", "root"))["root"].alias("main"),
                                              F.count("*").alias("parts")).filter("parts > 1")
     rows = rows.join(spans.select("band", "key", "main"), ["band", "key"]).join(signed, "node")
-    rows = scratch_table(rows.withColumn("minor", F.col("root") != F.col("main")).drop("main"), "open-buckets")
+    rows = scratch_table(rows.withColumn("minor", F.col("root") != F.col("main")).drop("main"), "open-buckets", paths)
 
     def blocks(n, size):
         return F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("int")
@@ -325,10 +325,10 @@ def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataF
                              "b": pd.Series([y for _, y in links], dtype=object)})
 
     task = ["band", "key", "b", "q"]
-    close = scratch_table(tasks.groupBy(task).applyInPandas(named, tasks.schema), "candidates")
+    close = scratch_table(tasks.groupBy(task).applyInPandas(named, tasks.schema), "candidates", paths)
     links = close.join(texts.select("node", "text"), "node").groupBy(task).applyInPandas(
         verified, T.StructType().add("a", "binary").add("b", "binary"))
-    return scratch_table(links.distinct(), "links-across")
+    return scratch_table(links.distinct(), "links-across", paths)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, rows: int = 4,
@@ -353,29 +353,31 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     repeated, otherwise all rows with that id. An empty table gives an empty result; further columns are ignored.
     """
     spark: SparkSession = docs.sparkSession
+    paths: list[str] = []
     texts = scratch_table(
         _nodes(docs, id_col, text_col, True).groupBy("node")
-        .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")), "texts")
+        .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")), "texts", paths)
     texts = texts.filter(F.col("node") != F.lit(_NO_WORDS))
     total = texts.count()
     freq = spark.sparkContext.broadcast(Frequencies(_sketch(texts), total))
-    signed = scratch_table(_signatures(texts, freq, bands, rows), "signatures")
+    signed = scratch_table(_signatures(texts, freq, bands, rows), "signatures", paths)
     member = signed.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = member.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    inside = scratch_table(member.join(sizes, ["band", "key"]), "members")
+    inside = scratch_table(member.join(sizes, ["band", "key"]), "members", paths)
     near = inside.groupBy("node").agg(F.sum("n").alias("near"))
     hubs = inside.join(near, "node").groupBy("band", "key").agg(F.max(F.struct("near", "node"))["node"].alias("hub"))
     pairs = inside.join(hubs, ["band", "key"]).filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links = scratch_table(_verify(pairs.distinct(), texts, freq).filter(F.col("sim") >= threshold).select("a", "b"), "links-hub")
+    links = scratch_table(_verify(pairs.distinct(), texts, freq).filter(F.col("sim") >= threshold).select("a", "b"), "links-hub", paths)
     roots = components(links)
     floor = threshold - 5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    more = _across(inside, roots, signed, texts, freq, threshold, floor)
+    more = _across(inside, roots, signed, texts, freq, threshold, floor, paths=paths)
     if not more.isEmpty():
         roots = components(roots.toDF("a", "b").unionByName(more))
 
     nodes = texts.select("node", "rep_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = nodes.groupBy("root").agg(F.min("rep_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("n_texts"))
-    nodes = nodes.join(classes, "root").select("node", "rep_id", "class_id", "class_size", "n_texts")
+    nodes = scratch_table(nodes.join(classes, "root").select("node", "rep_id", "class_id", "class_size", "n_texts"), "classes")
+    remove_tables(spark, paths)
     # rows without words find no node: each is a class of its own
     one = F.lit(1).cast("long")
     out = _nodes(docs, id_col, text_col, False).join(nodes, "node", "left").select(
