@@ -1,22 +1,16 @@
 """Approximate top-k: inverted lists from MLlib k-means, probe, exact rescore; recall@k.
 
-Re-aims the graph index of the source system for Spark: the corpus is
-partitioned into ``n_lists`` lists by cosine k-means (stored as a column),
-each query probes its ``n_probe`` closest centroids, and only the probed
-lists are scored exactly. With a query set inside the checked broadcast
-bound, the corpus is scanned in place against the broadcast query matrix and
-probe lists; otherwise lists meet their probing queries in ``(list, salt)``
-cogroups, where large lists are split into salted sub-lists so no single
-task holds a hot list (the split factor comes from the list sizes, a table
-of ``n_lists`` rows). k-means trains on a bounded sample of the corpus.
+Re-aims the graph index of the source system for Spark: the corpus is partitioned into lists by cosine k-means,
+each query probes its closest centroids, and only the probed lists are scored, exactly. The number of lists
+grows with the corpus and training reads every vector. Lists meet their probing queries in (list, corpus block,
+query block) groups: both sides of a list are split by their sizes, so no task holds a hot list or the many
+queries of a popular one.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -24,139 +18,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
+from ..session import scratch_path
 from . import topk
 
 
-def build_lists(corpus: DataFrame, n_lists: int = 16, seed: int = 7, id_col: str = "id",
-                vec_col: str = "embedding", max_iter: int = 20,
-                train_rows_per_list: int = 256) -> tuple[DataFrame, DataFrame]:
+def list_count(n_rows: int) -> int:
+    """Lists for a corpus: about the square root of its rows, so lists and centroids grow alike."""
+    return max(1, round(n_rows ** 0.5))
+
+
+def build_lists(corpus: DataFrame, n_lists: int | None = None, seed: int = 7, id_col: str = "id",
+                vec_col: str = "embedding", max_iter: int = 20) -> tuple[DataFrame, DataFrame]:
     """(corpus with ``list_id``, centroids ``(list_id, centroid)``).
 
-    k-means trains on a random sample of at most ``train_rows_per_list x
-    n_lists`` vectors (drawn on the executors), so its iterations scan a
-    bounded set; every vector is then assigned to its closest centroid in one
-    pass, and the centroids are the means of the assigned vectors.
+    k-means trains on all vectors; every vector goes to its closest centroid, and the centroids are the means
+    of the assigned vectors. Null, empty and zero vectors are in no list.
     """
-    data = (corpus.where(F.col(vec_col).isNotNull() & (F.size(vec_col) > 0))
+    data = (corpus.where(F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & (vectors.norm(vec_col) > 0))
             .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
                     array_to_vector(vectors.l2_normalize(vec_col)).alias("features")))
-    cap = train_rows_per_list * n_lists
-    n = data.count()
-    train = data if n <= cap else data.sample(withReplacement=False, fraction=cap / n, seed=seed)
-    km = KMeans(k=n_lists, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
+    km = KMeans(k=n_lists or list_count(data.count()), seed=seed, maxIter=max_iter, distanceMeasure="cosine",
                 featuresCol="features", predictionCol="list_id")
-    model = km.fit(train)
-    assigned = model.transform(data)
+    assigned = km.fit(data).transform(data)
     cents = (assigned.groupBy("list_id").agg(Summarizer.mean(F.col("features")).alias("c"))
              .select("list_id", vector_to_array("c", "float32").alias("centroid")))
     return assigned.select("id", "v", "list_id"), cents
 
 
-def _probe_lists(qmat: np.ndarray, cents_pdf: pd.DataFrame, n_probe: int) -> list[np.ndarray]:
-    """Per query: the ``n_probe`` list ids with the highest centroid cosine (ties: lower id)."""
-    lid = cents_pdf["list_id"].to_numpy(dtype=np.int64)
-    cm = np.vstack(cents_pdf["centroid"].to_numpy()).astype(np.float64)
-    cn = np.linalg.norm(cm, axis=1)
-    cs = (qmat @ cm.T) / np.where(cn > 0, cn, 1.0)[None, :]
-    order = np.lexsort((np.broadcast_to(lid, cs.shape), -cs), axis=1)[:, :n_probe]
-    return [lid[o] for o in order]
-
-
-def _broadcast_probe_topk(k: int, exclude_self: bool, bq):
-    """Pandas function over corpus batches: each row is scored only against the queries
-    probing its list; a running top-k per query is kept per partition."""
-
-    def run(it):
-        qid, qmat, by_list = bq.value
-        best = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            lists = pdf["list_id"].to_numpy(dtype=np.int64)
-            cid_all = pdf["id"].to_numpy(dtype=np.int64)
-            c_all = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
-            cn_all = np.linalg.norm(c_all, axis=1)
-            parts = []
-            for l in np.unique(lists):
-                jq = by_list.get(int(l))
-                if jq is None or len(jq) == 0:
-                    continue
-                rows = np.nonzero((lists == l) & (cn_all > 0))[0]
-                if len(rows) == 0:
-                    continue
-                cid = cid_all[rows]
-                s = (c_all[rows] @ qmat[jq].T) / cn_all[rows][:, None]
-                if exclude_self:
-                    s[cid[:, None] == qid[jq][None, :]] = -np.inf
-                kk = min(k, s.shape[0])
-                kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-                r, cc = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
-                parts.append(pd.DataFrame({"qid": qid[jq][cc], "id": cid[r], "score": s[r, cc]}))
-            if parts:
-                best = topk._keep_best(pd.concat(([best] if best is not None else []) + parts,
-                                                 ignore_index=True), k)
-        if best is not None:
-            yield best
-
-    return run
-
-
-def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int = 16, n_probe: int = 4,
+def store_lists(lists: tuple[DataFrame, DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the lists once, partitioned by ``list_id``, with their centroids, and read them back."""
+    assigned, cents = lists
+    assigned.repartition("list_id", F.pmod(F.xxhash64("id"), F.lit(8))).write.partitionBy("list_id").parquet(
+        f"{path}/lists")
+    cents.coalesce(1).write.parquet(f"{path}/centroids")
+    return read_lists(assigned.sparkSession, path)
+
+
+def read_lists(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{path}/lists"), spark.read.parquet(f"{path}/centroids")
+
+
+def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int | None = None, n_probe: int = 4,
              seed: int = 7, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "incident_id",
-             qvec_col: str = "qv", exclude_self: bool = True, list_rows: int = 20000,
-             lists: tuple[DataFrame, DataFrame] | None = None, method: str = "auto", dim_hint: int = 768,
-             max_broadcast_bytes: int = topk.DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Approximate top-k ``(qid, id, score, rank)`` scanning only the probed lists.
-
-    ``broadcast`` (chosen by ``auto`` when the query set fits the checked
-    bound): probes are chosen once against the ``n_lists`` centroids, the
-    query matrix and probe lists are broadcast, and the corpus is scanned in
-    place -- no shuffle before the per-query top-k merge. ``cogroup``: lists
-    and their probing queries meet in ``(list, salt)`` groups; no side is
-    broadcast.
+             qvec_col: str = "qv", exclude_self: bool = True, list_rows: int = topk.DEFAULT_BLOCK_ROWS,
+             lists: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Approximate top-k ``(qid, id, score, rank)`` scoring only the probed lists.
+
+    ``lists``: what ``store_lists`` or ``build_lists`` returned; built and stored below the shared scratch
+    folder when not given. Ties between centroids go to the lower list id.
     """
-    assigned, cents = lists or build_lists(corpus, n_lists, seed, id_col, vec_col)
-    if method in ("auto", "broadcast"):
-        q = topk._query_vectors(queries, qid_col, qvec_col)
-        got = topk._collect_queries(q, max_broadcast_bytes, dim_hint)
-        if got is not None:
-            qid, qmat = got
-            cents_pdf = cents.orderBy("list_id").toPandas()  # n_lists rows: bounded by the parameter
-            probes = _probe_lists(qmat, cents_pdf, min(n_probe, len(cents_pdf)))
-            by_list: dict[int, list[int]] = {}
-            for j, pl in enumerate(probes):
-                for l in pl:
-                    by_list.setdefault(int(l), []).append(j)
-            by_list_arr = {l: np.asarray(v, dtype=np.int64) for l, v in by_list.items()}
-            bq = corpus.sparkSession.sparkContext.broadcast((qid, qmat, by_list_arr))
-            cands = assigned.select("id", "v", "list_id").mapInPandas(
-                _broadcast_probe_topk(k, exclude_self, bq), schema=topk.CAND_SCHEMA)
-            return topk._final_topk(cands, k)
-        if method == "broadcast":
-            raise ValueError("query set exceeds the broadcast bound; use method='cogroup'")
-    q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qv")) \
-        .where(F.col("qv").isNotNull())
-    # the centroid table is n_lists rows (a bound set by the caller's parameter); it enters
-    # every query row as one constant-folded literal, and each query keeps its n_probe
-    # closest lists (ties: lower list id) -- no join between queries and centroids
-    cents_pdf = cents.orderBy("list_id").toPandas()
-    lit_json = json.dumps([{"list_id": int(l), "c": [float(x) for x in c]}
-                           for l, c in zip(cents_pdf["list_id"], cents_pdf["centroid"])])
-    cent = F.from_json(F.lit(lit_json), "array<struct<list_id:int,c:array<float>>>")
-    ranked = F.array_sort(F.transform(cent, lambda x: F.struct(
-        (-F.coalesce(vectors.cosine(F.col("qv"), x["c"]), F.lit(-2.0))).alias("neg_cs"),
-        x["list_id"].alias("list_id"))))
-    probes = (q.select("qid", "qv", F.explode(F.slice(ranked, 1, n_probe)).alias("_p"))
-              .select("qid", "qv", F.col("_p.list_id").alias("list_id")))
-    sizes = assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
-    salts = sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(list_rows))).cast("int").alias("ns"))
-    c2 = (assigned.join(F.broadcast(salts), "list_id")
-          .withColumn("_qb", F.pmod(F.xxhash64("id"), F.col("ns")).cast("int"))
-          .select(F.col("list_id").alias("_cb"), "_qb", "id", "v"))
-    q2 = (probes.join(F.broadcast(salts), "list_id")
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("ns") - 1)))
-          .select(F.col("list_id").alias("_cb"), "_qb", "qid", "qv"))
-    cands = (c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb"))
+    if lists is None:
+        lists = store_lists(build_lists(corpus, n_lists, seed, id_col, vec_col),
+                            scratch_path(corpus.sparkSession, f"lists-{uuid.uuid4().hex}"))
+    assigned, cents = lists
+    q = topk._query_vectors(queries, qid_col, qvec_col)
+    # the closest centroids are an exact top-k themselves: nothing is fetched or broadcast
+    closest = topk.topk_exact(cents, queries, n_probe, id_col="list_id", vec_col="centroid", qid_col=qid_col,
+                              qvec_col=qvec_col, exclude_self=False)
+    probes = q.join(closest.select("qid", F.col("id").cast("int").alias("list_id")), "qid")
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(list_rows)).cast("int").alias(name))
+
+    split = blocks(assigned, "cn").join(blocks(probes, "qn"), "list_id")
+    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["list_id", "_cb", "_qb"]
+    c2 = (assigned.join(split, "list_id").withColumn("_cb", F.pmod(F.xxhash64("id"), "cn").cast("int"))
+          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1))).select(*key, "id", "v"))
+    q2 = (probes.join(split, "list_id").withColumn("_qb", F.pmod(F.xxhash64("qid"), "qn").cast("int"))
+          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.col("cn") - 1))).select(*key, "qid", "qv"))
+    cands = (c2.repartition(n, *key).groupBy(*key).cogroup(q2.repartition(n, *key).groupBy(*key))
              .applyInPandas(topk._block_topk(k, exclude_self), schema=topk.CAND_SCHEMA))
     return topk._final_topk(cands, k)
 

@@ -1,32 +1,25 @@
 """Exact cosine ranking and top-k over a vector corpus, for a batch of queries.
 
-Physical forms of the same result (``method``):
-
-* ``broadcast`` (chosen by ``auto`` when the query set fits the checked
-  broadcast bound): the query matrix is broadcast once; every corpus
-  partition is scored with one matrix product per Arrow batch inside
-  ``mapInPandas`` and keeps a running top-k per query, so each partition
-  emits at most ``k x queries`` candidates.
-* ``blocked`` (large query sets): corpus and queries are cut into blocks by a
-  hash of their id; every (corpus block, query block) pair meets in one
-  ``cogroup().applyInPandas`` call. Corpus rows are replicated once per query
-  block and queries once per corpus block; no side is broadcast and no task
-  holds more than one block of each.
-* ``expr``: JVM-only form of the same block decomposition -- an equi-join
-  on (corpus block, query block) and a cosine expression (higher-order
-  array functions), kept as the no-Python alternative.
-
-In every form the per-partition candidates are merged with
-``row_number() <= k``, which Spark plans as a partial ``WindowGroupLimit``
-before the shuffle. Ties are broken by the lower corpus id, rows with a null
-or zero vector are dropped, and a query never returns its own id when
-``exclude_self`` is set.
+Corpus and queries are cut into blocks by a hash of their id; every (corpus block, query block) pair meets in
+one ``cogroup().applyInPandas`` call (``blocked``, the default), at any size of either side: corpus rows are
+replicated once per query block and queries once per corpus block, nothing is broadcast, and no task holds
+more than one block of each. Inside a task the blocks are scored in tiles of ``TILE`` x ``TILE`` pairs with a
+running top-k, so besides the two blocks (``DEFAULT_BLOCK_ROWS`` vectors each, 50 MB at 768 dimensions) a
+worker holds a few tiles of 8 MB. ``expr`` is the JVM-only form of the same blocks: an equi-join on the
+block pair and a cosine expression.
+
+A score is one function of the two vectors, bit for bit, whatever block or tile they meet in: products and
+squares are summed dimension by dimension in ascending order (``vectors.cosine`` does the same). The matrix
+product, whose last bits depend on the shape of the tile, only preselects: pairs within ``SLACK`` of a bound
+are scored again in that fixed order before they are compared.
+
+The candidates of the blocks are merged with ``row_number() <= k``, which Spark plans as a partial
+``WindowGroupLimit`` before the shuffle. Ties are broken by the lower corpus id, rows with a null, empty or
+zero vector are dropped, and a query never returns its own id when ``exclude_self`` is set.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -34,10 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import cosine
-from ..session import ensure_parallelism
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_BLOCK_ROWS = 20000
+DEFAULT_BLOCK_ROWS = 8192
+#: fewest rows of a block when a small input is spread over the cluster
+LEAST_BLOCK_ROWS = 256
+TILE = 1024
+#: far above the error of a matrix product of unit vectors, far below any difference that matters
+SLACK = 1e-9
+_RESCORE_PAIRS = 1 << 18
 
 CAND_SCHEMA = T.StructType([
     T.StructField("qid", T.LongType()),
@@ -47,8 +44,8 @@ CAND_SCHEMA = T.StructType([
 
 
 def _corpus_vectors(corpus: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    return ensure_parallelism(corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-                              .where(F.col("v").isNotNull() & (F.size("v") > 0)))
+    return (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+            .where(F.col("v").isNotNull() & (F.size("v") > 0)))
 
 
 def _query_vectors(queries: DataFrame, qid_col: str, qvec_col: str) -> DataFrame:
@@ -56,60 +53,191 @@ def _query_vectors(queries: DataFrame, qid_col: str, qvec_col: str) -> DataFrame
             .where(F.col("qv").isNotNull() & (F.size("qv") > 0)))
 
 
+# ------------------------------------------------------------------ scoring
+class _Side:
+    """Vectors of one block, dimension by dimension, with norms summed in ascending dimension order."""
+
+    def __init__(self, vectors: pd.Series):
+        self.rows = np.vstack(vectors.to_numpy()).astype(np.float64)
+        self.dims = np.ascontiguousarray(self.rows.T)
+        squares = np.zeros(len(self.rows))
+        for x in self.dims:
+            squares += x * x
+        self.norms = np.sqrt(squares)
+        self.ok = np.isfinite(self.norms) & (self.norms > 0)
+        self.unit = self.rows / np.where(self.ok, self.norms, 1.0)[:, None]
+
+
+def _pair_scores(c: _Side, q: _Side, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Scores of the pairs (rows[i], cols[i]); the same two vectors give the same bits in any call."""
+    out = np.empty(len(rows))
+    for at in range(0, len(rows), _RESCORE_PAIRS):
+        r, j = rows[at:at + _RESCORE_PAIRS], cols[at:at + _RESCORE_PAIRS]
+        total = np.zeros(len(r))
+        for x, y in zip(c.dims, q.dims):
+            total += x[r] * y[j]
+        out[at:at + _RESCORE_PAIRS] = total / (c.norms[r] * q.norms[j])
+    return out
+
+
+def _tiles(c: _Side, q: _Side, cid: np.ndarray, qid: np.ndarray, exclude_self: bool):
+    """(first corpus row, first query, preselection scores) of every tile; pairs left out score -inf."""
+    for b in range(0, len(qid), TILE):
+        for a in range(0, len(cid), TILE):
+            s = c.unit[a:a + TILE] @ q.unit[b:b + TILE].T
+            s[~c.ok[a:a + TILE], :] = -np.inf
+            s[:, ~q.ok[b:b + TILE]] = -np.inf
+            if exclude_self:
+                s[cid[a:a + TILE, None] == qid[None, b:b + TILE]] = -np.inf
+            yield a, b, s
+
+
+def _first_k(col: np.ndarray, score: np.ndarray, rid: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the first ``k`` entries per ``col`` by score descending, then id."""
+    order = np.lexsort((rid, -score, col))
+    sorted_col = col[order]
+    start = np.searchsorted(sorted_col, sorted_col, side="left")
+    return order[np.arange(len(order)) - start < k]
+
+
+def _frame(qid=(), rid=(), score=()) -> pd.DataFrame:
+    return pd.DataFrame({"qid": np.asarray(qid, np.int64), "id": np.asarray(rid, np.int64),
+                         "score": np.asarray(score, np.float64)})
+
+
 def _block_topk(k: int, exclude_self: bool):
     """Pandas function: score one corpus block against one query block, keep top-k per query."""
 
     def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if cdf.empty or qdf.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"),
-                                 "id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        c = np.vstack(cdf["v"].to_numpy()).astype(np.float64)
-        q = np.vstack(qdf["qv"].to_numpy()).astype(np.float64)
-        cid = cdf["id"].to_numpy(dtype=np.int64)
-        qid = qdf["qid"].to_numpy(dtype=np.int64)
-        cn = np.linalg.norm(c, axis=1)
-        qn = np.linalg.norm(q, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = (c @ q.T) / np.outer(cn, qn)
-        s[~np.isfinite(s)] = -np.inf
-        if exclude_self:
-            s[cid[:, None] == qid[None, :]] = -np.inf
-        kk = min(k, s.shape[0])
-        # k-th best score per query; every row at or above it is a candidate
-        # (ties at the boundary are resolved by id below).
-        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-        rows, cols = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
-        out = pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
-        out = out.sort_values(["qid", "score", "id"], ascending=[True, False, True], kind="stable")
-        return out.groupby("qid", sort=False).head(k)
+            return _frame()
+        c, q = _Side(cdf["v"]), _Side(qdf["qv"])
+        cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
+        col, row, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        bound = np.full(len(qid), -np.inf)   # k-th best score so far
+        for a, b, s in _tiles(c, q, cid, qid, exclude_self):
+            least = bound[b:b + s.shape[1]]
+            if s.shape[0] >= k:
+                least = np.maximum(least, -np.partition(-s, k - 1, axis=0)[k - 1])
+            r, j = np.nonzero((s >= least[None, :] - SLACK) & np.isfinite(s))
+            if not len(r):
+                continue
+            r, j = r + a, j + b
+            col, row = np.concatenate([col, j]), np.concatenate([row, r])
+            score = np.concatenate([score, _pair_scores(c, q, r, j)])
+            best = _first_k(col, score, cid[row], k)
+            col, row, score = col[best], row[best], score[best]
+            full = np.bincount(col, minlength=len(qid)) >= k
+            last = np.full(len(qid), np.inf)
+            np.minimum.at(last, col, score)
+            bound = np.where(full, last, bound)
+        return _frame(qid[col], cid[row], score)
 
     return run
 
 
-def _final_topk(cands: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def _block_scores(exclude_self: bool):
+    """Pandas function: every (corpus row, query) score of one block pair."""
 
+    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        if cdf.empty or qdf.empty:
+            return _frame()
+        c, q = _Side(cdf["v"]), _Side(qdf["qv"])
+        cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
+        parts = []
+        for a, b, s in _tiles(c, q, cid, qid, exclude_self):
+            r, j = np.nonzero(np.isfinite(s))
+            parts.append(_frame(qid[j + b], cid[r + a], _pair_scores(c, q, r + a, j + b)))
+        return pd.concat(parts, ignore_index=True)
 
-def _n_blocks(n_rows: int, block_rows: int) -> int:
-    return max(1, int(math.ceil(n_rows / float(block_rows))))
+    return run
 
 
-def topk_candidates_blocked(corpus: DataFrame, queries: DataFrame, k: int, *, id_col="id",
-                            vec_col="embedding", qid_col="incident_id", qvec_col="qv",
-                            exclude_self=True, block_rows=DEFAULT_BLOCK_ROWS) -> DataFrame:
-    c = _corpus_vectors(corpus, id_col, vec_col)
-    q = _query_vectors(queries, qid_col, qvec_col)
-    # Block counts are sized from row counts (metadata-only for parquet scans).
-    cb = _n_blocks(c.count(), block_rows)
-    qb = _n_blocks(q.count(), block_rows)
-    c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), F.lit(cb)).cast("int"))
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    q2 = (q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
-          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    return (c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb"))
-            .applyInPandas(_block_topk(k, exclude_self), schema=CAND_SCHEMA))
+BETTER_SCHEMA = T.StructType([
+    T.StructField("qid", T.LongType()),
+    T.StructField("id", T.LongType()),
+    T.StructField("n_better", T.LongType()),
+])
+
+
+def _block_better_counts(exclude_self: bool):
+    """Pandas function: per (query, candidate), rows of the corpus block ranked before the candidate.
+
+    A preselection score further than ``SLACK`` from every candidate score of its query already decides the
+    comparison; the others are scored exactly. A candidate's own row is never before it.
+    """
+
+    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        n_cand = qdf["cs"].map(len).to_numpy(dtype=np.int64) if len(qdf) else np.zeros(0, np.int64)
+        if cdf.empty or not n_cand.sum():
+            return pd.DataFrame({"qid": np.zeros(0, np.int64), "id": np.zeros(0, np.int64),
+                                 "n_better": np.zeros(0, np.int64)})
+        c, q = _Side(cdf["v"]), _Side(qdf["qv"])
+        cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
+        cand_col = np.repeat(np.arange(len(qid)), n_cand)
+        cand_score = np.concatenate(qdf["cs"].map(np.asarray).to_list()).astype(np.float64)
+        cand_id = np.concatenate(qdf["ci"].map(np.asarray).to_list()).astype(np.int64)
+        total = np.zeros(len(cand_id), np.int64)
+        lowest = np.full(len(qid), np.inf)
+        np.minimum.at(lowest, cand_col, cand_score)
+        for a, b, s in _tiles(c, q, cid, qid, exclude_self):
+            mine = np.flatnonzero((cand_col >= b) & (cand_col < b + s.shape[1]))
+            r, j = np.nonzero(s >= lowest[None, b:b + s.shape[1]] - SLACK)
+            if not len(r) or not len(mine):
+                continue
+            v, mc = s[r, j], cand_col[mine] - b
+            # scores lie in [-1, 1]: one number line for all queries of the tile
+            line = np.sort(mc * 4.0 + cand_score[mine])
+            near = (np.searchsorted(line, j * 4.0 + v - SLACK)
+                    < np.searchsorted(line, j * 4.0 + v + SLACK, side="right"))
+            v[near] = _pair_scores(c, q, r[near] + a, j[near] + b)
+            is_row = np.concatenate([np.zeros(len(mine), np.int64), np.ones(len(r), np.int64)])
+            col = np.concatenate([mc, j])
+            order = np.lexsort((is_row, np.concatenate([cand_id[mine], cid[r + a]]),
+                                -np.concatenate([cand_score[mine], v]), col))
+            seen = np.cumsum(is_row[order])
+            sorted_col = col[order]
+            start = np.searchsorted(sorted_col, sorted_col, side="left")
+            before = seen - np.where(start > 0, seen[start - 1], 0)
+            cand_at = order < len(mine)
+            total[mine[order[cand_at]]] += before[cand_at]
+        return pd.DataFrame({"qid": qid[cand_col], "id": cand_id, "n_better": total})
+
+    return run
+
+
+# ------------------------------------------------------------------ blocks
+def _block_count(df: DataFrame, block_rows: int):
+    """Number of blocks as a scalar subquery: ``block_rows`` rows each, fewer for a small input that would
+    leave cores idle."""
+    rows = F.count(F.lit(1))
+    spread = F.least(F.lit(df.sparkSession.sparkContext.defaultParallelism),
+                     F.ceil(rows / F.lit(min(block_rows, LEAST_BLOCK_ROWS))))
+    return df.agg(F.greatest(F.lit(1), F.ceil(rows / F.lit(block_rows)), spread).cast("int")).scalar()
+
+
+def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """2-D blocks: corpus rows get a block id and are replicated once per query block, queries
+    likewise; each (corpus block, query block) key meets once. ``counted``: the rows that number the query blocks."""
+    cb = _block_count(c, block_rows)
+    qb = counted.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).cast("int")).scalar()
+    # a number of partitions that is given is not coalesced: block pairs are few, and heavy
+    n = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), cb).cast("int"))
+          .withColumn("_qb", F.explode(F.sequence(F.lit(0), qb - 1))))
+    q2 = (q.withColumn("_qb", F.pmod(F.xxhash64("qid"), qb).cast("int"))
+          .withColumn("_cb", F.explode(F.sequence(F.lit(0), cb - 1))))
+    return c2.repartition(n, "_cb", "_qb"), q2.repartition(n, "_cb", "_qb")
+
+
+def _cogroup(c: DataFrame, q: DataFrame, block_rows: int, fn, schema, counted: DataFrame | None = None) -> DataFrame:
+    c2, q2 = _block_pairs(c, q, block_rows, counted if counted is not None else q)
+    return c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb")).applyInPandas(fn, schema=schema)
+
+
+def _final_topk(cands: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
+    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def attach_docs(ranked: DataFrame, corpus: DataFrame, cols=("cmplid", "odino", "mfr_name",
@@ -150,177 +278,37 @@ def topn_by_column(df: DataFrame, col: str, n: int = 100, tie="seq") -> DataFram
     return df.orderBy(F.col(col).desc_nulls_last(), F.col(tie).asc()).limit(n)
 
 
-# ------------------------------------------------------------------ broadcast form
-def _collect_queries(q: DataFrame, max_bytes: int, dim_hint: int):
-    """Size-checked fetch of the (bounded) query set; None when it exceeds ``max_bytes``."""
-    n = q.count()
-    if n * (dim_hint * 4 + 64) > max_bytes:
-        return None
-    pdf = q.toPandas()
-    if pdf.empty:
-        return np.zeros(0, dtype=np.int64), np.zeros((0, dim_hint))
-    m = np.vstack(pdf["qv"].to_numpy()).astype(np.float64)
-    nrm = np.linalg.norm(m, axis=1, keepdims=True)
-    keep = nrm[:, 0] > 0
-    return pdf["qid"].to_numpy(dtype=np.int64)[keep], (m / np.where(nrm > 0, nrm, 1.0))[keep]
-
-
-def _score_batch(pdf: pd.DataFrame, qmat: np.ndarray):
-    c = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
-    cn = np.linalg.norm(c, axis=1)
-    ok = cn > 0
-    s = (c @ qmat.T) / np.where(ok, cn, 1.0)[:, None]
-    s[~ok, :] = -np.inf
-    return pdf["id"].to_numpy(dtype=np.int64), s
-
-
-def _keep_best(frame: pd.DataFrame, k: int) -> pd.DataFrame:
-    frame = frame.sort_values(["qid", "score", "id"], ascending=[True, False, True], kind="stable")
-    return frame.groupby("qid", sort=False).head(k)
-
-
-def _broadcast_topk(k: int, exclude_self: bool, bq):
-    def run(it):
-        qid, qmat = bq.value
-        best = None
-        for pdf in it:
-            if pdf.empty or len(qid) == 0:
-                continue
-            cid, s = _score_batch(pdf, qmat)
-            if exclude_self:
-                s[cid[:, None] == qid[None, :]] = -np.inf
-            kk = min(k, s.shape[0])
-            kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-            rows, cols = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
-            cand = pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
-            best = _keep_best(cand if best is None else pd.concat([best, cand], ignore_index=True), k)
-        if best is not None:
-            yield best
-    return run
-
-
-def _broadcast_scores(exclude_self: bool, bq):
-    def run(it):
-        qid, qmat = bq.value
-        for pdf in it:
-            if pdf.empty or len(qid) == 0:
-                continue
-            cid, s = _score_batch(pdf, qmat)
-            if exclude_self:
-                s[cid[:, None] == qid[None, :]] = -np.inf
-            rows, cols = np.nonzero(np.isfinite(s))
-            yield pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
-    return run
-
-
-def _broadcast(spark, value):
-    return spark.sparkContext.broadcast(value)
-
-
-def _choose(method: str, q: DataFrame, max_bytes: int, dim_hint: int):
-    if method in ("auto", "broadcast"):
-        got = _collect_queries(q, max_bytes, dim_hint)
-        if got is not None:
-            return "broadcast", got
-        if method == "broadcast":
-            raise ValueError("query set exceeds the broadcast bound; use method='blocked'")
-    return ("blocked" if method == "auto" else method), None
-
-
 def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id",
                vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
-               method="auto", block_rows=DEFAULT_BLOCK_ROWS, dim_hint=768,
-               max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, _chosen=None) -> DataFrame:
-    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``.
-
-    ``_chosen``: a ``(kind, query matrix)`` pair already decided by the caller
-    (the query set is fetched and size-checked once per operator).
-    """
-    q = _query_vectors(queries, qid_col, qvec_col)
-    kind, got = _chosen or _choose(method, q, max_broadcast_bytes, dim_hint)
-    if kind == "broadcast":
-        bq = _broadcast(corpus.sparkSession, got)
-        cands = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
-            _broadcast_topk(k, exclude_self, bq), schema=CAND_SCHEMA)
-    elif kind == "blocked":
-        cands = topk_candidates_blocked(corpus, queries, k, id_col=id_col, vec_col=vec_col,
-                                        qid_col=qid_col, qvec_col=qvec_col,
-                                        exclude_self=exclude_self, block_rows=block_rows)
-    elif kind == "expr":
-        cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
-                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint, method="expr",
-                             block_rows=block_rows)
+               method="blocked", block_rows=DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``."""
+    if method == "blocked":
+        cands = _cogroup(_corpus_vectors(corpus, id_col, vec_col), _query_vectors(queries, qid_col, qvec_col),
+                         block_rows, _block_topk(k, exclude_self), CAND_SCHEMA)
     else:
-        raise ValueError(f"unknown method {method!r}")
-    return _final_topk(cands.select("qid", "id", "score"), k)
-
-
-def _block_scores(exclude_self: bool):
-    """Pandas function: every (corpus row, query) score of one block pair."""
-
-    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
-        if cdf.empty or qdf.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        c = np.vstack(cdf["v"].to_numpy()).astype(np.float64)
-        q = np.vstack(qdf["qv"].to_numpy()).astype(np.float64)
-        cid = cdf["id"].to_numpy(dtype=np.int64)
-        qid = qdf["qid"].to_numpy(dtype=np.int64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = (c @ q.T) / np.outer(np.linalg.norm(c, axis=1), np.linalg.norm(q, axis=1))
-        s[~np.isfinite(s)] = -np.inf
-        if exclude_self:
-            s[cid[:, None] == qid[None, :]] = -np.inf
-        rows, cols = np.nonzero(np.isfinite(s))
-        return pd.DataFrame({"qid": qid[cols], "id": cid[rows], "score": s[rows, cols]})
-
-    return run
-
-
-def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """2-D block decomposition: corpus rows get a block id and are replicated once per
-    query block, queries likewise; each (corpus block, query block) key meets once."""
-    cb = _n_blocks(c.count(), block_rows)
-    qb = _n_blocks(q.count(), block_rows)
-    c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), F.lit(cb)).cast("int"))
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    q2 = (q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
-          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    return c2, q2
+        cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col, qvec_col=qvec_col,
+                             exclude_self=exclude_self, method=method, block_rows=block_rows)
+    return _final_topk(cands, k)
 
 
 def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col="embedding",
-                 qid_col="incident_id", qvec_col="qv", exclude_self=True, dim_hint=768,
-                 max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, keep=None, method="auto",
-                 block_rows=DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 qid_col="incident_id", qvec_col="qv", exclude_self=True, keep=None, method="blocked",
+                 block_rows=TILE) -> DataFrame:
     """Every (query, corpus row) with its cosine ``score``: ``(qid, id, score, *keep)``.
 
-    ``auto`` scores in Arrow batches against the broadcast query matrix when
-    it fits the bound, else in (corpus block, query block) cogroups
-    (``blocked``); ``expr`` is the JVM-only form of the same block
-    decomposition (an equi-join on the block pair and a cosine expression).
-    No form joins the corpus with the query set as a cross product.
+    For a small set of given queries: the result holds a row per pair, and so does a task for its block pair.
     """
     keep = [x for x in (keep or []) if x != id_col]
-    q = _query_vectors(queries, qid_col, qvec_col)
-    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
-    if kind == "broadcast":
-        bq = _broadcast(corpus.sparkSession, got)
-        pairs = _corpus_vectors(corpus, id_col, vec_col).mapInPandas(
-            _broadcast_scores(exclude_self, bq), schema=CAND_SCHEMA)
-    elif kind == "blocked":
-        c2, q2 = _block_pairs(_corpus_vectors(corpus, id_col, vec_col), q, block_rows)
-        pairs = (c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb"))
-                 .applyInPandas(_block_scores(exclude_self), schema=CAND_SCHEMA))
-    elif kind == "expr":
-        c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-             .where(F.col("v").isNotNull() & (F.size("v") > 0)))
-        c2, q2 = _block_pairs(c, q, block_rows)
+    c, q = _corpus_vectors(corpus, id_col, vec_col), _query_vectors(queries, qid_col, qvec_col)
+    if method == "blocked":
+        pairs = _cogroup(c, q, block_rows, _block_scores(exclude_self), CAND_SCHEMA)
+    elif method == "expr":
+        c2, q2 = _block_pairs(c, q, block_rows, q)
         p = c2.join(q2, ["_cb", "_qb"])
         if exclude_self:
             p = p.where(F.col("id") != F.col("qid"))
         pairs = (p.select("qid", "id", cosine("v", "qv").alias("score"))
-                 .where(F.col("score").isNotNull()))
+                 .where(F.col("score").isNotNull() & ~F.isnan("score")))
     else:
         raise ValueError(f"unknown method {method!r}")
     if keep:
@@ -329,87 +317,27 @@ def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col=
     return pairs
 
 
-BETTER_SCHEMA = T.StructType([
-    T.StructField("qid", T.LongType()),
-    T.StructField("id", T.LongType()),
-    T.StructField("n_better", T.LongType()),
-])
-
-
-def _broadcast_better_counts(exclude_self: bool, bq, chunk_pairs: int = 1 << 20):
-    """Per partition: for each (query, candidate), corpus rows ranked before the candidate.
-
-    Only rows scoring at least a query's lowest candidate score can rank
-    before one of its candidates, so each batch keeps those (row, query)
-    pairs and compares them with the query's candidates (higher score, or
-    equal score and lower id), in chunks of ``chunk_pairs`` pairs.
-    """
-    def run(it):
-        qid, qmat, cand_ids, cand_scores = bq.value   # (Q,), (Q,d), (Q,L), (Q,L) padded with -1/+inf
-        total = np.zeros(cand_ids.shape, dtype=np.int64)
-        thr = cand_scores.min(axis=1)                  # +inf for a query without candidates
-        seen = False
-        for pdf in it:
-            if pdf.empty or len(qid) == 0:
-                continue
-            seen = True
-            cid, s = _score_batch(pdf, qmat)
-            if exclude_self:
-                s[cid[:, None] == qid[None, :]] = -np.inf
-            rows, cols = np.nonzero(s >= thr[None, :])
-            for a in range(0, len(rows), chunk_pairs):
-                r, c = rows[a:a + chunk_pairs], cols[a:a + chunk_pairs]
-                v, rid = s[r, c][:, None], cid[r][:, None]
-                sc, ic = cand_scores[c], cand_ids[c]
-                before = ((v > sc) | ((v == sc) & (rid < ic))) & (rid != ic)   # a candidate never counts itself
-                np.add.at(total, c, before.astype(np.int64))
-        if seen:
-            qq = np.repeat(qid, cand_ids.shape[1])
-            ids = cand_ids.reshape(-1)
-            m = ids >= 0
-            yield pd.DataFrame({"qid": qq[m], "id": ids[m], "n_better": total.reshape(-1)[m]})
-    return run
-
-
 def rank_then_filter(corpus: DataFrame, queries: DataFrame, predicate, limit: int = 30, *, id_col="id",
                      vec_col="embedding", qid_col="incident_id", qvec_col="qv", exclude_self=True,
-                     dim_hint=768, max_broadcast_bytes=DEFAULT_BROADCAST_BYTES, method="auto",
-                     vectors: DataFrame | None = None) -> DataFrame:
+                     block_rows=DEFAULT_BLOCK_ROWS, vectors: DataFrame | None = None) -> DataFrame:
     """Rank every corpus row per query, keep the first ``limit`` rows matching ``predicate``
     (on corpus columns) with their whole-corpus rank: ``(qid, id, score, rank)``.
 
     Two passes instead of a full ranking: the filtered top-``limit`` per query
-    (candidates), then a count, per candidate, of all corpus rows ranked
-    before it (a scan of the corpus against the broadcast candidates, summed
-    over partitions). Falls back to the range-partitioned full ranking when
-    the queries do not fit the broadcast bound. ``vectors``: the unfiltered
-    ``(id, embedding)`` table for the counting pass (default: ``corpus``), so
-    only the predicate pass reads the columns the predicate needs.
+    (candidates, checkpointed), then a count, per candidate, of all corpus rows
+    ranked before it: each query carries its at most ``limit`` candidates to
+    the corpus blocks, and the counts are summed over blocks. ``vectors``: the
+    unfiltered ``(id, embedding)`` table for the counting pass (default:
+    ``corpus``), so only the predicate pass reads the columns the predicate needs.
     """
-    allv = vectors if vectors is not None else corpus
-    q = _query_vectors(queries, qid_col, qvec_col)
-    kind, got = _choose(method, q, max_broadcast_bytes, dim_hint)
-    cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col,
-                       qid_col=qid_col, qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
-                       max_broadcast_bytes=max_broadcast_bytes, method=method, _chosen=(kind, got))
-    if kind != "broadcast":
-        pairs = scored_pairs(allv, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
-                             qvec_col=qvec_col, exclude_self=exclude_self, dim_hint=dim_hint,
-                             method="expr" if method == "expr" else "blocked")
-        ranked = global_rank(pairs)
-        return ranked.join(cands.select("qid", "id"), ["qid", "id"], "left_semi")
-    qid, qmat = got
-    pc = cands.select("qid", "id", "score", "rank").toPandas()  # limit x queries rows, bounded
-    order = np.argsort(qid, kind="stable")
-    j = order[np.searchsorted(qid[order], pc["qid"].to_numpy(dtype=np.int64))]
-    r = pc["rank"].to_numpy(dtype=np.int64) - 1
-    cid = np.full((len(qid), limit), -1, dtype=np.int64)
-    csc = np.full((len(qid), limit), np.inf)
-    cid[j, r] = pc["id"].to_numpy(dtype=np.int64)
-    csc[j, r] = pc["score"].to_numpy(dtype=np.float64)
-    bq = _broadcast(corpus.sparkSession, (qid, qmat, cid, csc))
-    counts = (_corpus_vectors(allv, id_col, vec_col)
-              .mapInPandas(_broadcast_better_counts(exclude_self, bq), schema=BETTER_SCHEMA)
+    cands = topk_exact(corpus.where(predicate), queries, limit, id_col=id_col, vec_col=vec_col, qid_col=qid_col,
+                       qvec_col=qvec_col, exclude_self=exclude_self, block_rows=block_rows).checkpoint(eager=True)
+    found = cands.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "score"))).alias("_c"))
+    every = _query_vectors(queries, qid_col, qvec_col)
+    q = (every.join(found, "qid")
+         .select("qid", "qv", F.col("_c.score").alias("cs"), F.col("_c.id").alias("ci")))
+    c = _corpus_vectors(vectors if vectors is not None else corpus, id_col, vec_col)
+    counts = (_cogroup(c, q, block_rows, _block_better_counts(exclude_self), BETTER_SCHEMA, every)
               .groupBy("qid", "id").agg((F.sum("n_better") + 1).alias("rank")))
     return cands.drop("rank").join(counts, ["qid", "id"])
 

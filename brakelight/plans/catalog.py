@@ -427,9 +427,9 @@ def _text_pred():
 def _pairs(spark, sf, keep=()):
     if keep:
         c = _corpus(spark, sf)
-        return topk.scored_pairs(c, V.incidents(c), keep=list(keep), dim_hint=64)
+        return topk.scored_pairs(c, V.incidents(c), keep=list(keep))
     v = _vectors(spark, sf)
-    return topk.scored_pairs(v, V.query_vectors(v), dim_hint=64)
+    return topk.scored_pairs(v, V.query_vectors(v))
 
 
 def _retrieved(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -458,7 +458,7 @@ WHERE {_TEXT_PRED_SQL}
 QUALIFY row_number() OVER (PARTITION BY r.qid ORDER BY r.rank) <= 30""", corpus=True))
 def q_rank_then_filter(spark, sf):
     c, v = _corpus(spark, sf), _vectors(spark, sf)
-    r = topk.rank_then_filter(c, V.query_vectors(v), _text_pred(), limit=30, dim_hint=64, vectors=v)
+    r = topk.rank_then_filter(c, V.query_vectors(v), _text_pred(), limit=30, vectors=v)
     return r.select(F.col("qid").alias("incident_id"), "id", "rank", F.round("score", 6).alias("score"))
 
 
@@ -470,7 +470,7 @@ WHERE {_TEXT_PRED_SQL}
 QUALIFY rank <= 20""", corpus=True))
 def q_filter_then_topk(spark, sf):
     c, v = _corpus(spark, sf), _vectors(spark, sf)
-    r = topk.filter_then_topk(c, V.query_vectors(v), _text_pred(), k=20, dim_hint=64)
+    r = topk.filter_then_topk(c, V.query_vectors(v), _text_pred(), k=20)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
@@ -1084,7 +1084,7 @@ from ..operators import ann, dedupe, embed, loop  # noqa: E402
 @query("topk_ann")
 def q_topk_ann(spark, sf):
     v = _vectors(spark, sf)
-    r = ann.topk_ann(v, V.query_vectors(v), k=20, n_lists=16, n_probe=8)
+    r = ann.topk_ann(v, V.query_vectors(v), k=20, n_probe=8)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
@@ -1094,7 +1094,7 @@ def q_recall_at_k(spark, sf):
     v = _vectors(spark, sf)
     inc = V.query_vectors(v)
     exact = topk.topk_exact(v, inc, k=20)
-    approx = ann.topk_ann(v, inc, k=20, n_lists=16, n_probe=8)
+    approx = ann.topk_ann(v, inc, k=20, n_probe=8)
     rec = ann.recall_at_k(exact, approx, 20)
     return rec.select(F.col("qid").alias("incident_id"), "n_exact", "n_hit", F.round("recall", 6).alias("recall"))
 

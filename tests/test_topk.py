@@ -28,11 +28,11 @@ def _brute(c, q, k):
     return out
 
 
-@pytest.mark.parametrize("method", ["broadcast", "blocked", "expr"])
+@pytest.mark.parametrize("method", ["blocked", "expr"])
 def test_topk_methods_match_brute_force(spark, method):
     c = _corpus(spark)
     q = _queries(c)
-    r = topk.topk_exact(c, q, 5, method=method, block_rows=64, dim_hint=8)
+    r = topk.topk_exact(c, q, 5, method=method, block_rows=64)
     got = {}
     for row in r.orderBy("qid", "rank").collect():
         got.setdefault(row["qid"], []).append(row["id"])
@@ -59,22 +59,22 @@ def test_rank_then_filter_vs_full_rank(spark):
     c = _corpus(spark)
     q = _queries(c)
     pred = F.col("cdescr") == "brake"
-    r = topk.rank_then_filter(c, q, pred, limit=7, dim_hint=8)
-    full = topk.global_rank(topk.scored_pairs(c, q, dim_hint=8, keep=["cdescr"]), n_parts=5)
+    r = topk.rank_then_filter(c, q, pred, limit=7)
+    full = topk.global_rank(topk.scored_pairs(c, q, keep=["cdescr"]), n_parts=5)
     from pyspark.sql import Window
     w = Window.partitionBy("qid").orderBy("rank")
     want = (full.where(pred).withColumn("j", F.row_number().over(w)).where("j <= 7")
             .select("qid", "id", "rank"))
     assert sorted(map(tuple, r.select("qid", "id", "rank").collect())) == sorted(map(tuple, want.collect()))
     # filter before ranking: ranks restart at 1
-    f = topk.filter_then_topk(c, q, pred, 7, dim_hint=8)
+    f = topk.filter_then_topk(c, q, pred, 7)
     assert f.groupBy("qid").agg(F.min("rank")).distinct().collect()[0][1] == 1
 
 
 def test_global_rank_matches_window(spark):
     c = _corpus(spark, n=200)
     q = _queries(c)
-    p = topk.scored_pairs(c, q, dim_hint=8)
+    p = topk.scored_pairs(c, q)
     got = topk.global_rank(p, n_parts=7).select("qid", "id", "rank")
     from pyspark.sql import Window
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
@@ -100,19 +100,66 @@ def test_ann_recall_full_probe_is_exact(spark):
     assert all(0.0 <= r["recall"] <= 1.0 for r in part)
 
 
-def test_ann_broadcast_and_cogroup_forms_agree(spark):
+def test_ann_scores_exactly_the_probed_lists(spark, tmp_path):
     c = _corpus(spark)
     q = _queries(c)
-    lists = ann.build_lists(c, 4, 7)
-    cols = ["qid", "id", "rank"]
-    for n_probe in (1, 2, 4):
-        a = ann.topk_ann(c, q, 5, n_lists=4, n_probe=n_probe, lists=lists, method="broadcast").select(*cols)
-        b = ann.topk_ann(c, q, 5, n_lists=4, n_probe=n_probe, lists=lists, method="cogroup",
-                         list_rows=50).select(*cols)
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    # the broadcast form scans the corpus in place: no shuffle before the top-k merge
-    plan = ann.topk_ann(c, q, 5, n_lists=4, n_probe=2, lists=lists)._jdf.queryExecution().executedPlan().toString()
-    assert "CoGroup" not in plan and "MapInPandas" in plan
+    lists = ann.store_lists(ann.build_lists(c, 4, 7), str(tmp_path / "lists"))
+    assert lists[0].inputFiles() and lists[0].count() == 300
+    cents = {r["list_id"]: np.asarray(r["centroid"]) for r in lists[1].collect()}
+    member = {r["id"]: r["list_id"] for r in lists[0].collect()}
+    vec = {r["id"]: np.asarray(r["embedding"], np.float64) for r in c.collect()}
+    cos = lambda a, b: a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
+    for list_rows in (7, 50, 1000):
+        got = {}
+        for r in ann.topk_ann(c, q, 5, n_probe=2, lists=lists, list_rows=list_rows).orderBy("qid", "rank").collect():
+            got.setdefault(r["qid"], []).append(r["id"])
+        for qid, ids in got.items():
+            probed = sorted(cents, key=lambda x: -cos(cents[x], vec[qid]))[:2]
+            pool = [i for i in vec if member[i] in probed and i != qid]
+            assert ids == sorted(pool, key=lambda i: -cos(vec[i], vec[qid]))[:5]
+        assert len(got) == 30
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60, 400])
+def test_repeated_vectors_rank_alike_in_any_blocks(spark, parts):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(25, 48)).astype(np.float32)
+    vec = [base[i % 25] * np.float32(1 + i % 3) for i in range(500)]   # repeats and multiples
+    rows = [(i, [float(x) for x in vec[i]], "brake" if i % 3 == 0 else "other") for i in range(500)]
+    c = spark.createDataFrame(rows, "id long, embedding array<float>, cdescr string").repartition(parts)
+    q = c.where("id % 50 = 0").select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+
+    def score(a, b):   # the defined score: sums in ascending dimension order
+        xy = xx = yy = 0.0
+        for x, y in zip(a.astype(float), b.astype(float)):
+            xy, xx, yy = xy + x * y, xx + x * x, yy + y * y
+        return xy / (np.sqrt(xx) * np.sqrt(yy))
+
+    order = {qi: sorted((-score(vec[i], vec[qi]), i) for i in range(500) if i != qi) for qi in range(0, 500, 50)}
+    top = {(qi, i, r + 1, -s) for qi, o in order.items() for r, (s, i) in enumerate(o[:30])}
+    kept = {(qi, *x) for qi, o in order.items()
+            for x in [(i, r + 1, -s) for r, (s, i) in enumerate(o) if i % 3 == 0][:12]}
+    sizes = (8192, 130) if parts == 7 else (130,)
+    for rows_ in sizes:
+        got = topk.topk_exact(c, q, 30, block_rows=rows_).select("qid", "id", "rank", "score").collect()
+        assert {tuple(r) for r in got} == top and len(got) == len(top)
+        got = topk.rank_then_filter(c, q, F.col("cdescr") == "brake", 12, block_rows=rows_)
+        assert {tuple(r) for r in got.select("qid", "id", "rank", "score").collect()} == kept
+    got = topk.topk_exact(c, q, 30, method="expr", block_rows=64).select("qid", "id", "rank", "score").collect()
+    assert {tuple(r) for r in got} == top
+
+
+def test_tiles_do_not_change_results(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    v = rng.integers(-2, 3, size=(400, 6)).astype(float)
+    import pandas as pd
+    cdf = pd.DataFrame({"id": range(400), "v": list(v)})
+    qdf = pd.DataFrame({"qid": range(0, 400, 7), "qv": list(v[::7])})
+    whole = topk._block_topk(15, True)(cdf, qdf).sort_values(["qid", "id"], ignore_index=True)
+    for tile in (1, 17, 64, 399):
+        monkeypatch.setattr(topk, "TILE", tile)
+        got = topk._block_topk(15, True)(cdf, qdf).sort_values(["qid", "id"], ignore_index=True)
+        assert got.equals(whole)
 
 
 def test_rank_then_filter_with_ties_vs_brute_force(spark):
@@ -122,7 +169,7 @@ def test_rank_then_filter_with_ties_vs_brute_force(spark):
     c = spark.createDataFrame(rows, "id long, embedding array<float>, cdescr string").repartition(4)
     q = c.where(F.col("id") % 17 == 0).select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
     pred = F.col("cdescr") == "brake"
-    got = sorted(map(tuple, topk.rank_then_filter(c, q, pred, limit=6, dim_hint=2)
+    got = sorted(map(tuple, topk.rank_then_filter(c, q, pred, limit=6)
                      .select("qid", "id", "rank").collect()))
     want = []
     for qi in range(0, 120, 17):
@@ -138,9 +185,10 @@ def test_rank_then_filter_with_ties_vs_brute_force(spark):
     assert got == sorted(want)
 
 
-def test_ann_lists_trained_on_a_bounded_sample(spark):
+def test_ann_lists_grow_with_the_corpus(spark):
     c = _corpus(spark, n=300)
-    assigned, cents = ann.build_lists(c, 4, 7, train_rows_per_list=10)  # 40-row training sample
+    assert ann.list_count(300) == 17 and ann.list_count(30_000) == 173
+    assigned, cents = ann.build_lists(c, 4, 7)
     assert assigned.count() == 300
     assert assigned.select("list_id").distinct().count() == cents.count() <= 4
     exact = topk.topk_exact(c, _queries(c), 5)
@@ -152,8 +200,8 @@ def test_scored_pairs_forms_agree(spark):
     c = _corpus(spark, n=120)
     q = _queries(c)
     got = {}
-    for method in ("broadcast", "blocked", "expr"):
-        p = topk.scored_pairs(c, q, method=method, block_rows=40, dim_hint=8)
-        got[method] = sorted((r["qid"], r["id"], round(r["score"], 9)) for r in p.collect())
-    assert len(got["broadcast"]) == 12 * 119  # every query against every other row
-    assert got["broadcast"] == got["blocked"] == got["expr"]
+    for method in ("blocked", "expr"):
+        p = topk.scored_pairs(c, q, method=method, block_rows=40)
+        got[method] = sorted((r["qid"], r["id"], r["score"]) for r in p.collect())
+    assert len(got["blocked"]) == 12 * 119  # every query against every other row
+    assert got["blocked"] == got["expr"]
