@@ -7,12 +7,16 @@ and MinHash arithmetic vectorised over Arrow batches) cut into bands; inside eac
 band bucket every member links to the bucket's smallest id (a star, never
 all pairs), links are kept when the signatures agree enough, and connected
 components are found by iterative min-label propagation, checkpointed each
-round.
+round. Buckets that still span several components are then searched in
+blocks; only links between components leave a task.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -109,7 +113,7 @@ def minhash_signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return hashed.mapInArrow(_minhash_kernel(n_hashes, shingle, seed), "doc_id long, sig array<bigint>")
 
 
-def _components(edges: DataFrame, max_rounds: int = 100, jump_after: int = 3) -> DataFrame:
+def _components(edges: DataFrame, jump_after: int = 3) -> DataFrame:
     """Connected components of an undirected edge list ``(src, dst)``: ``(doc_id, cluster_id)``.
 
     Each round takes the smallest label among a node's neighbours. Shallow
@@ -123,7 +127,7 @@ def _components(edges: DataFrame, max_rounds: int = 100, jump_after: int = 3) ->
     both = both.checkpoint()
     labels = both.select(F.col("src").alias("doc_id")).distinct().withColumn("label", F.col("doc_id"))
     labels = labels.checkpoint()
-    for rnd in range(max_rounds):
+    for rnd in itertools.count():   # labels only decrease, so this ends
         prop = (both.join(labels.withColumnRenamed("doc_id", "src"), "src")
                 .groupBy(F.col("dst").alias("doc_id")).agg(F.min("label").alias("nl")))
         step = labels.join(prop, "doc_id", "left").select(
@@ -139,13 +143,69 @@ def _components(edges: DataFrame, max_rounds: int = 100, jump_after: int = 3) ->
         labels = new.drop("_chg")
         if changed == 0:
             return labels.withColumnRenamed("label", "cluster_id")
-    raise RuntimeError(f"label propagation did not converge in {max_rounds} rounds")
+
+
+#: distinct signatures of a bucket in one block
+BLOCK_ROWS = 2000
+
+
+def _cross_links(min_agree: int):
+    """Pandas function: signatures of a block pair -> links that join different components, one per merge."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sig = np.vstack(pdf["sig"].to_numpy())
+        label, doc = pdf["label"].to_numpy(), pdf["doc_id"].to_numpy()
+        left, right = np.flatnonzero(pdf["_side"] <= 0), np.flatnonzero(pdf["_side"] >= 0)
+        root: dict = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for at in range(0, len(left), 256):
+            some = left[at:at + 256]
+            agree = np.zeros((len(some), len(right)), np.int16)
+            for j in range(sig.shape[1]):
+                agree += sig[some, j][:, None] == sig[right, j][None, :]
+            a, b = np.nonzero((agree >= min_agree) & (label[some][:, None] != label[right][None, :]))
+            for x, y in zip(some[a], right[b]):
+                fx, fy = find(label[x]), find(label[y])
+                if fx != fy:
+                    root[fx] = fy
+                    out.append((doc[x], doc[y]))
+        return pd.DataFrame(out, columns=["src", "dst"])
+
+    return run
+
+
+def _links_between_components(banded: DataFrame, sig: DataFrame, labels: DataFrame, min_agree: int) -> DataFrame:
+    """Links ``(src, dst)`` that buckets hold between different components.
+
+    Equal signatures of a component count once, so large groups of copies shrink to one row per bucket; the
+    others of a bucket are cut into blocks that meet pair by pair.
+    """
+    known = banded.join(labels, "doc_id", "left").withColumn("label", F.coalesce("cluster_id", "doc_id"))
+    spanning = (known.groupBy("band", "bkey").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+                .where("_lo < _hi").select("band", "bkey"))
+    rows = (known.select("band", "bkey", "label", "doc_id").join(spanning, ["band", "bkey"]).join(sig, "doc_id")
+            .groupBy("band", "bkey", "label", "sig").agg(F.min("doc_id").alias("doc_id"))).checkpoint()
+    sizes = rows.groupBy("band", "bkey").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("_nb"))
+    other = (rows.join(sizes, ["band", "bkey"]).withColumn("_b", F.pmod(F.xxhash64("doc_id"), "_nb").cast("int"))
+             .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+             .select("band", "bkey", "label", "doc_id", "sig", F.least("_b", "_o").alias("_i"),
+                     F.greatest("_b", "_o").alias("_j"), F.signum(F.col("_b") - F.col("_o")).cast("int").alias("_side")))
+    kind = dict(sig.dtypes)["doc_id"]
+    return (other.groupBy("band", "bkey", "_i", "_j")
+            .applyInPandas(_cross_links(min_agree), f"src {kind}, dst {kind}").distinct())
 
 
 def near_duplicate_clusters(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = 8,
                             rows_per_band: int = 4, threshold: float = 0.7, seed: int = 11) -> DataFrame:
     """``(doc_id, cluster_id)`` for documents whose MinHash signatures agree on at least
-    ``threshold`` of positions with another member of their cluster."""
+    ``threshold`` of positions with another member of their cluster; every such pair that
+    shares a band is in one cluster."""
     n = bands * rows_per_band
     sig = minhash_signatures(df, id_col, text_col, n_hashes=n, seed=seed).checkpoint()
     banded = sig.select("doc_id", F.posexplode(F.transform(
@@ -157,5 +217,7 @@ def near_duplicate_clusters(df: DataFrame, id_col: str = "doc_id", text_col: str
     s1 = sig.select(F.col("doc_id").alias("src"), F.col("sig").alias("s1"))
     s2 = sig.select(F.col("doc_id").alias("dst"), F.col("sig").alias("s2"))
     agree = F.size(F.filter(F.arrays_zip("s1", "s2"), lambda p: p["s1"] == p["s2"])) / F.lit(float(n))
-    edges = star.join(s1, "src").join(s2, "dst").where(agree >= threshold).select("src", "dst")
-    return _components(edges)
+    edges = star.join(s1, "src").join(s2, "dst").where(agree >= threshold).select("src", "dst").checkpoint()
+    labels = _components(edges)
+    more = _links_between_components(banded, sig, labels, int(np.ceil(threshold * n - 1e-9))).checkpoint()
+    return _components(edges.unionByName(more)) if more.limit(1).count() else labels

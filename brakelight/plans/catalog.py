@@ -890,8 +890,7 @@ def _resolver(base: str):
 
 
 def _read_processed(spark, paths):
-    return (spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(paths)
-            .withColumn("_file", F.col("_metadata.file_path")))
+    return src.read_by_header(spark, paths, file_col="_file")
 
 
 @query("load_jobs", O.with_views(_load_jobs_sql(), complaints=True, extra=O.clean_ctes() + ",\n" + _MSG_SQL))
@@ -978,14 +977,14 @@ def q_upsert_corpus(spark, sf):
 def q_stream_upsert(spark, sf):
     c = _complaints(spark, sf)
     run = _run_dir(spark, "stream-upsert")
-    table = sinks.SnapshotTable(spark, posixpath.join(run, "table"))
+    table = sinks.KeyedTable(spark, posixpath.join(run, "table"))
     table.init(V.load_rows(c, "base"))
     inbox = posixpath.join(run, "inbox")
     batch = V.load_rows(c, "batch")
     batch.write.parquet(inbox)
     stream = spark.readStream.schema(batch.schema).parquet(inbox)
     load.run_upsert_stream(spark, stream, table, posixpath.join(run, "ckpt"))
-    table.apply(spark.read.parquet(inbox), 0)  # redelivered batch 0: already committed, no change
+    table.apply(spark.read.parquet(inbox))  # delivered again: no change
     return _load_out(table.current())
 
 

@@ -1,19 +1,21 @@
 """Sinks: clean zone, job manifest, append with count check, keyed upsert into
-versioned snapshots, eval report CSV, quarantine.
+hash buckets, eval report CSV, quarantine.
 
 Files are written with Spark's commit protocol (a failed job leaves no
-partial output); a snapshot version becomes visible only after its write
-committed, so re-running a batch (at-least-once delivery) is a no-op.
+partial output); re-running a batch (at-least-once delivery) gives the
+same table.
 """
 
 from __future__ import annotations
 
 import posixpath
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import UPSERT_UPDATE_COLUMNS
+from ..session import scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,26 +62,26 @@ def job_manifest(raw: DataFrame, clean_df: DataFrame, job_id: str, bucket: str,
 
 
 def append_with_count_check(spark: SparkSession, target: str, batch: DataFrame) -> DataFrame:
-    """Append ``batch`` by column name (missing columns null) and verify the new count.
+    """Append ``batch`` by column name (missing columns null), all of it or nothing.
 
     The target's column list comes from its schema, so a reordered batch
-    cannot shift values between columns. Raises when the count after the
-    append is not ``before + batch``.
+    cannot shift values between columns. The rows are staged first; the staged
+    files must hold as many rows as the write took in, or nothing is published.
     """
     if path_exists(spark, target):
         cur = spark.read.parquet(target)
-        cols = cur.columns
-        before = cur.count()
-        aligned = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(cur.schema[c].dataType).alias(c)
-                                 for c in cols])
-    else:
-        before, aligned = 0, batch
-    obs = Observation(f"append_{abs(hash(target))}_{before}")
-    aligned.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(target)
-    added = int(obs.get["n"])
-    after = spark.read.parquet(target).count()
-    if after != before + added:
-        raise RuntimeError(f"count check failed: {before} + {added} != {after}")
+        batch = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(cur.schema[c].dataType).alias(c)
+                               for c in cur.columns])
+    staged = scratch_path(spark, f"staged-{uuid.uuid4().hex}")
+    obs = Observation(f"append_{uuid.uuid4().hex}")
+    batch.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(staged)
+    rows = spark.read.schema(batch.schema).parquet(staged)
+    taken, found = int(obs.get["n"]), rows.count()
+    if taken != found:
+        raise RuntimeError(f"count check failed: {taken} rows written, {found} found; nothing was appended")
+    rows.write.mode("append").parquet(target)
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
     return spark.read.parquet(target)
 
 
@@ -98,22 +100,20 @@ def upsert(snapshot: DataFrame, batch: DataFrame, key: str = "cmplid", order: st
            update_cols=UPSERT_UPDATE_COLUMNS) -> DataFrame:
     """Insert new keys; for existing keys replace only ``update_cols``.
 
-    Full outer equi-join on the (unique) key of the snapshot and the collapsed
-    batch -- both sides have at most one row per key, so no key is hot.
+    Full outer null-safe equi-join on the (unique) key of the snapshot and the collapsed
+    batch -- both sides have at most one row per key, so no key is hot. The same batch
+    applied twice gives what it gives once.
     """
     b = collapse_batch(batch, key, order, update_cols)
     upd = [c for c in update_cols if c in b.columns]
-    cols = [c for c in snapshot.columns]
-    s = snapshot.alias("s")
+    ss = snapshot.withColumn("_in_snapshot", F.lit(True)).alias("s")
     bb = b.withColumn("_in_batch", F.lit(True)).alias("b")
-    j = s.join(bb, F.col(f"s.{key}") == F.col(f"b.{key}"), "full_outer")
-    in_s = F.col(f"s.{key}").isNotNull()
+    j = ss.join(bb, F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}")), "full_outer")
+    in_s, in_b = F.col("s._in_snapshot").isNotNull(), F.col("b._in_batch").isNotNull()
     out = []
-    for c in cols:
-        if c == key:
-            out.append(F.coalesce(F.col(f"s.{key}"), F.col(f"b.{key}")).alias(key))
-        elif c in upd:
-            out.append(F.when(F.col("b._in_batch"), F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
+    for c in snapshot.columns:
+        if c in upd:
+            out.append(F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
         elif c in b.columns:
             out.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}")).alias(c))
         else:
@@ -121,45 +121,48 @@ def upsert(snapshot: DataFrame, batch: DataFrame, key: str = "cmplid", order: st
     return j.select(*out)
 
 
-class SnapshotTable:
-    """A keyed table stored as committed snapshot versions ``v=<batch_id>`` in one folder.
+class KeyedTable:
+    """A Parquet table of unique keys in hash buckets of the key (folders ``_bucket=<n>``).
 
-    ``apply(batch, batch_id)`` writes ``upsert(current, batch)`` as version
-    ``batch_id`` unless that version already committed (replay is a no-op).
+    ``apply`` upserts a batch by rewriting only the buckets that the batch touches. The new buckets are
+    written to the shared scratch folder first and then replace the old ones (dynamic partition overwrite).
+    Every batch is applied, whatever its number: a batch that is delivered again, also after a failure half
+    way, leaves the table as one delivery does.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "cmplid", order: str = "seq",
-                 update_cols=UPSERT_UPDATE_COLUMNS):
-        self.spark, self.path, self.key, self.order, self.update_cols = spark, path, key, order, update_cols
-
-    def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.path):
-            if name.startswith("v=") and path_exists(self.spark, posixpath.join(self.path, name, "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+                 update_cols=UPSERT_UPDATE_COLUMNS, buckets: int = 64):
+        self.spark, self.path, self.key, self.order = spark, path, key, order
+        self.update_cols, self.buckets = update_cols, buckets
+
+    def _with_bucket(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+
+    def _publish(self, df: DataFrame) -> None:
+        staged = scratch_path(self.spark, f"staged-{uuid.uuid4().hex}")
+        self._with_bucket(df).write.parquet(staged)
+        # rebalancing gives a bucket about one file and splits large ones
+        (self.spark.read.parquet(staged).hint("rebalance", "_bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.path))
+        fs, p = _fs(self.spark, staged)
+        fs.delete(p, True)
 
     def current(self) -> DataFrame | None:
-        v = self.versions()
-        return self.spark.read.parquet(posixpath.join(self.path, f"v={v[-1]}")) if v else None
+        if not list_dirs(self.spark, self.path):
+            return None
+        return self.spark.read.parquet(self.path).drop("_bucket")
 
     def init(self, df: DataFrame) -> None:
-        if not self.versions():
-            df.write.mode("overwrite").parquet(posixpath.join(self.path, "v=0"))
-
-    def apply(self, batch: DataFrame, batch_id: int) -> bool:
-        """Upsert ``batch`` as version ``batch_id + 1``; False when already applied."""
-        version = batch_id + 1
-        vs = self.versions()
-        if version in vs:
-            return False
-        cur = self.current()
-        cols = cur.columns if cur is not None else batch.columns
-        new = upsert(cur, batch.select(*[c for c in batch.columns if c in cols or c == self.order]),
-                     self.key, self.order, self.update_cols) if cur is not None else collapse_batch(
-                         batch, self.key, self.order, self.update_cols)
-        new.write.mode("overwrite").parquet(posixpath.join(self.path, f"v={version}"))
-        return True
+        if self.current() is None:
+            self._publish(df)
+
+    def apply(self, batch: DataFrame) -> None:
+        if self.current() is None:
+            return self._publish(collapse_batch(batch, self.key, self.order, self.update_cols))
+        touched = [r[0] for r in self._with_bucket(batch).select("_bucket").distinct().collect()]  # <= buckets rows
+        cur = self.spark.read.parquet(self.path).where(F.col("_bucket").isin(touched)).drop("_bucket")
+        rows = batch.select(*[c for c in batch.columns if c in cur.columns or c == self.order])
+        self._publish(upsert(cur, rows, self.key, self.order, self.update_cols))
 
 
 def write_interchange_csv(df: DataFrame, path: str, vector_cols=("embedding",)) -> None:
@@ -181,4 +184,4 @@ def write_eval_report(rows: DataFrame, metrics: DataFrame, path: str, key: str =
     """Re-attach per-case metadata by ``case_id`` (not by position) and write CSV."""
     out = metrics.join(rows, key, "left")
     out.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
-    return out
+    return out.sparkSession.read.schema(out.schema).option("header", True).option("escape", '"').csv(path)

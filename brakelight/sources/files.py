@@ -8,6 +8,10 @@ order because splits are packed into partitions by size.
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,47 +110,68 @@ def write_processed_csv(df: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def header_of(spark: SparkSession, path, recursive: bool = False) -> list[str]:
-    """Column names from the header line (reads the first line only)."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            .option("recursiveFileLookup", recursive).csv(path).columns)
+def headers_of(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """Files at any depth below ``path``, grouped by the names in their header line (lower case).
+
+    One scan of the first split of each file; the driver holds the list of files, as any file scan does.
+    A header is one line; files without a line are left out.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+             .where(F.col("_metadata.file_block_start") == 0))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect():
+        names = tuple(n.strip().lower() for n in next(csv.reader([r["header"].lstrip("\ufeff")]), []))
+        groups.setdefault(names, []).append(unquote(r["file"]))
+    return groups
+
+
+def read_by_header(spark: SparkSession, path, columns=None, file_col: str | None = None) -> DataFrame:
+    """Headered CSV files, every file by its own header: all strings, names in lower case.
+
+    Files of one header are one scan (quoted fields may span lines, so a file is one split), and the scans
+    meet by name; a column that a file lacks is null. ``columns``: names to return (default: all that occur).
+    """
+    groups = headers_of(spark, path)
+    names = list(columns) if columns is not None else list(dict.fromkeys(n for g in groups for n in g))
+    wanted = names + ([file_col] if file_col else [])
+    if not groups:
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in wanted))
+    parts = []
+    for header in sorted(groups):
+        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(header))])
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True)
+              .option("escape", '"').option("mode", "PERMISSIVE").csv(sorted(groups[header])))
+        at = {n: f"_{i}" for i, n in reversed(list(enumerate(header)))}   # of repeated names the first counts
+        cols = [(F.col(at[n]) if n in at else F.lit(None).cast("string")).alias(n) for n in names]
+        parts.append(df.select(*cols, *([F.col("_metadata.file_path").alias(file_col)] if file_col else [])))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_clean_csv(spark: SparkSession, path, required=None) -> DataFrame:
-    """Processed CSV: header names, all strings, blanks kept, names lower-cased.
+    """Processed CSV files, each by its own header: all strings, blanks kept, names lower-cased.
 
-    ``required``: columns that must be present; raises listing the missing ones.
+    ``required``: columns that every file must have; raises listing the missing ones.
     """
-    names = header_of(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("enforceSchema", True).csv(path))
-    df = df.toDF(*[n.lower() for n in names])
-    df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
     if required:
-        missing = [c for c in required if c not in df.columns]
-        if missing:
-            raise ValueError(f"missing expected columns: {missing}; available: {df.columns}")
-    return df
+        for names, found in headers_of(spark, path).items():
+            missing = [c for c in required if c not in names]
+            if missing:
+                raise ValueError(f"missing expected columns: {missing}; available: {list(names)} in {found[0]}")
+    df = read_by_header(spark, path)
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
 def scan_ragged_csv(spark: SparkSession, path, columns) -> DataFrame:
-    """Headered CSV tolerant of short rows; ``columns`` looked up by header name
+    """Headered CSV tolerant of short rows; ``columns`` looked up by each file's own header names
     (case-insensitive), absent columns and missing trailing fields read as ``""``.
-    ``path`` is a file or a folder of files at any depth, each with its own
-    header line (every file is one split: quoted fields may span lines).
+    ``path`` is a file or a folder of files at any depth.
 
     (Spark's CSV reader returns null for both an empty field and a missing one,
     so both become ``""``, the same as the tolerant reader this mirrors.)
     """
-    names = header_of(spark, path, recursive=True)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-          .option("mode", "PERMISSIVE").option("recursiveFileLookup", True).csv(path))
-    lower = {n.lower(): n for n in names}
-    cols = [F.coalesce(F.col(f"`{lower[c]}`"), F.lit("")).alias(c) if c in lower else F.lit("").alias(c)
-            for c in columns]
-    return df.select(*cols)
+    df = read_by_header(spark, path, columns)
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
 def scan_eval_cases(spark: SparkSession, path) -> DataFrame:

@@ -8,16 +8,15 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.tables import SnapshotTable, path_exists
+from ..sinks.tables import KeyedTable, path_exists
 from ..sources.messages import decode_job_messages
 
 
-def run_upsert_stream(spark: SparkSession, source: DataFrame, table: SnapshotTable, checkpoint: str):
-    """Each micro-batch is upserted as snapshot version ``batch_id + 1``; a replayed batch
-    (same id after a failure) finds its version committed and does nothing."""
+def run_upsert_stream(spark: SparkSession, source: DataFrame, table: KeyedTable, checkpoint: str):
+    """Each micro-batch is upserted; a replayed batch leaves the table as it was."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        table.apply(batch, batch_id)
+        table.apply(batch)
 
     h = (source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
