@@ -80,7 +80,7 @@ def _hypergeometric(rng, good: int, bad: int, sample: int) -> int:
 
 def mix(docs: DataFrame, seed: int = 0, block_words: int = 4096, shard_words: int = 1 << 20,
         weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_epochs: int = 2, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
+        text_col: str = "text", source_col: str = "source", permute_by: str | None = None) -> DataFrame:
     """The draws of a mix: id, row, size, source, source_size, target, epoch, shard, position, words.
 
     Each source's documents are permuted by a seeded hash; its blocks are runs of ``block_words`` words of that
@@ -92,13 +92,14 @@ def mix(docs: DataFrame, seed: int = 0, block_words: int = 4096, shard_words: in
 
     One row per document and draw; a document that is not drawn comes once, with shard null and words 0. ``row``
     identifies the input row, so repeated rows are mixed separately. Null or blank text has size 0 and is never
-    drawn; null sources form a source of their own; an empty table gives no rows. Reruns agree.
+    drawn; null sources form a source of their own; an empty table gives no rows. Reruns agree, given
+    ``permute_by`` (default: the id column), the column whose hash permutes the documents, is the same in them.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(SIZE_PATTERN)), F.lit(0)).cast("long")
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                       size.alias("size"))
-    sized = rows.withColumn("u", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))))
-    stream = ordered_prefix(sized, ["source", "u", "id", "size"], "source", "size", "before", "mix-stream")
+                       size.alias("size"),
+                       F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(permute_by or id_col).cast("string"))).alias("u"))
+    stream = ordered_prefix(rows, ["source", "u", "id", "size"], "source", "size", "before", "mix-stream")
     per_source = stream.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = (source_targets(per_source, weights, share, max_epochs)
                .withColumn("want", F.round("target").cast("long"))

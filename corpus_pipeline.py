@@ -51,7 +51,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The one document per source that the mix takes in part stays whole when at least half of it is taken.
     """
     keyed, row = _keyed(docs)
-    draws = mixing.mix(keyed, id_col=row).filter("2 * words >= size and words > 0")
+    draws = mixing.mix(keyed, id_col=row, permute_by="doc_id").filter("2 * words >= size and words > 0")
     return keyed.join(draws.select(F.col("id").alias(row)), row).select(*docs.columns)
 
 

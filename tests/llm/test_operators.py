@@ -378,3 +378,16 @@ def test_prefix_sums_over_a_hot_group(spark):
 
 def test_words_agree():
     assert byte_words("A-b_Éé 12") == ["a".encode(), "b".encode(), "Éé".encode(), b"12"] and len(WORD_BYTES) == 256
+
+
+def test_mixture_stage_draws_alike_from_other_partitions(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, "word " * (1 + i * 37 % 90), "en", f"s{i % 3}", 1) for i in range(300)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = []
+    for d in (docs.coalesce(1), docs.orderBy(F.col("doc_id").desc()).repartition(7)):
+        path = scratch_path(spark, "mix-test")   # stages read written tables
+        d.write.parquet(path)
+        got.append(sorted(r["doc_id"] for r in corpus_pipeline.mixture(spark, spark.read.parquet(path), "").collect()))
+    assert got[0] == got[1] and got[0]
