@@ -2,7 +2,7 @@
 
 Re-aims the graph index of the source system for Spark: the corpus is partitioned into lists by cosine k-means,
 each query probes its closest centroids, and only the probed lists are scored, exactly. The number of lists
-grows with the corpus and training reads every vector. Lists meet their probing queries in (list, corpus block,
+grows with the corpus and training reads every vector; the number of probed lists follows from a measured recall. Lists meet their probing queries in (list, corpus block,
 query block) groups: both sides of a list are split by their sizes, so no task holds a hot list or the many
 queries of a popular one.
 """
@@ -58,12 +58,42 @@ def read_lists(spark, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/lists"), spark.read.parquet(f"{path}/centroids")
 
 
-def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int | None = None, n_probe: int = 4,
-             seed: int = 7, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "incident_id",
-             qvec_col: str = "qv", exclude_self: bool = True, list_rows: int = topk.DEFAULT_BLOCK_ROWS,
-             lists: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+#: queries that the number of probes is measured on; a smaller set is measured whole
+MEASURED_QUERIES = 2000
+
+
+def probes_for_recall(corpus: DataFrame, queries: DataFrame, lists: tuple[DataFrame, DataFrame], k: int,
+                      recall: float, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "incident_id",
+                      qvec_col: str = "qv", exclude_self: bool = True) -> int:
+    """Fewest probes with which the queries find ``recall`` of their exact top-k.
+
+    A neighbour is found when its list is among the probed ones, so the answer is the ``recall`` quantile of the
+    rank that the list of an exact neighbour has for its query. Measured against ``topk_exact`` on all queries, or
+    on about ``MEASURED_QUERIES`` of them, chosen by a hash of their id, so the cost grows with the corpus alone.
+    """
+    assigned, cents = lists
+    q, n_lists = topk._query_vectors(queries, qid_col, qvec_col), cents.count()
+    n = q.count()
+    if n > MEASURED_QUERIES:
+        q = q.where(F.pmod(F.xxhash64("qid", F.lit(5)), F.lit(n)) < MEASURED_QUERIES)
+    near = topk.topk_exact(corpus, q, k, id_col=id_col, vec_col=vec_col, qid_col="qid", qvec_col="qv",
+                           exclude_self=exclude_self).select("qid", "id")
+    order = topk.topk_exact(cents, q, max(1, n_lists), id_col="list_id", vec_col="centroid", qid_col="qid",
+                            qvec_col="qv", exclude_self=False)
+    order = order.select("qid", F.col("id").cast("int").alias("list_id"), F.col("rank").alias("at"))
+    ranks = near.join(assigned.select("id", "list_id"), "id").join(order, ["qid", "list_id"])
+    at = ranks.agg(F.expr(f"percentile_disc({float(recall)}) WITHIN GROUP (ORDER BY at)")).first()[0]
+    return int(at or 1)
+
+
+def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int | None = None,
+             n_probe: int | None = None, seed: int = 7, id_col: str = "id", vec_col: str = "embedding",
+             qid_col: str = "incident_id", qvec_col: str = "qv", exclude_self: bool = True,
+             list_rows: int = topk.DEFAULT_BLOCK_ROWS, lists: tuple[DataFrame, DataFrame] | None = None,
+             recall: float = 0.95) -> DataFrame:
     """Approximate top-k ``(qid, id, score, rank)`` scoring only the probed lists.
 
+    ``n_probe``: lists probed per query; measured by ``probes_for_recall`` to reach ``recall`` when not given.
     ``lists``: what ``store_lists`` or ``build_lists`` returned; built and stored below the shared scratch
     folder when not given. Ties between centroids go to the lower list id.
     """
@@ -72,6 +102,8 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
                             scratch_path(corpus.sparkSession, f"lists-{uuid.uuid4().hex}"))
     assigned, cents = lists
     q = topk._query_vectors(queries, qid_col, qvec_col)
+    n_probe = n_probe or probes_for_recall(corpus, queries, lists, k, recall, id_col, vec_col, qid_col, qvec_col,
+                                           exclude_self)
     # the closest centroids are an exact top-k themselves: nothing is fetched or broadcast
     closest = topk.topk_exact(cents, queries, n_probe, id_col="list_id", vec_col="centroid", qid_col=qid_col,
                               qvec_col=qvec_col, exclude_self=False)

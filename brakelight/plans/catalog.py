@@ -1083,7 +1083,7 @@ from ..operators import ann, dedupe, embed, loop  # noqa: E402
 @query("topk_ann")
 def q_topk_ann(spark, sf):
     v = _vectors(spark, sf)
-    r = ann.topk_ann(v, V.query_vectors(v), k=20, n_probe=8)
+    r = ann.topk_ann(v, V.query_vectors(v), k=20)
     return r.select(F.col("qid").alias("incident_id"), "id", F.col("rank").cast("long").alias("rank"),
                     F.round("score", 6).alias("score"))
 
@@ -1093,7 +1093,7 @@ def q_recall_at_k(spark, sf):
     v = _vectors(spark, sf)
     inc = V.query_vectors(v)
     exact = topk.topk_exact(v, inc, k=20)
-    approx = ann.topk_ann(v, inc, k=20, n_probe=8)
+    approx = ann.topk_ann(v, inc, k=20)
     rec = ann.recall_at_k(exact, approx, 20)
     return rec.select(F.col("qid").alias("incident_id"), "n_exact", "n_hit", F.round("recall", 6).alias("recall"))
 

@@ -196,6 +196,25 @@ def test_ann_lists_grow_with_the_corpus(spark):
     assert all(r["recall"] == 1.0 for r in ann.recall_at_k(exact, approx, 5).collect())
 
 
+@pytest.mark.parametrize("n", [200, 1500])
+def test_ann_default_reaches_its_recall_at_every_size(spark, n, monkeypatch):
+    """Vectors without clusters, every one a query: the default probes find 0.95, one probe fewer does not."""
+    c = _corpus(spark, n=n).persist()
+    q = c.select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+    lists = ann.build_lists(c, seed=7, max_iter=5)
+    lists = lists[0].checkpoint(), lists[1].checkpoint()
+    exact = topk.topk_exact(c, q, 20).checkpoint()
+
+    def found(**kw):
+        return ann.recall_at_k(exact, ann.topk_ann(c, q, 20, lists=lists, **kw), 20).agg(F.avg("recall")).first()[0]
+
+    assert found() >= 0.95
+    p = ann.probes_for_recall(c, q, lists, 20, 0.95)
+    assert 1 < p <= lists[1].count() and found(n_probe=p - 1) < 0.95
+    monkeypatch.setattr(ann, "MEASURED_QUERIES", n // 4)
+    assert found() >= 0.9
+
+
 def test_scored_pairs_forms_agree(spark):
     c = _corpus(spark, n=120)
     q = _queries(c)
