@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections import OrderedDict
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +17,11 @@ from .common import byte_words, remove_tables, scratch_table
 from .components import components
 
 SHINGLE = 5
-#: counters per row of the document-frequency sketch, rows, and counters per exchanged block
-WIDTH, DEPTH, BLOCK = 1 << 18, 2, 1 << 13
+#: counters per row of a document-frequency sketch, and rows
+WIDTH, DEPTH = 1 << 18, 2
+#: shingles of the texts that ask for their document frequencies together, least number of buckets that shingles
+#: are counted in, and bytes of text for one more bucket
+CHUNK, BUCKETS, BUCKET_BYTES = 100_000, 128, 1 << 23
 #: entries of each random table
 POOL = 1 << 15
 _U = np.uint64
@@ -57,14 +60,15 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 class Frequencies:
-    """Document frequencies of shingles from a count-min sketch over all distinct texts."""
+    """Document frequencies of shingles over all distinct texts: given with a text, or else from a count-min sketch."""
 
-    def __init__(self, counts: np.ndarray, texts: int):
+    def __init__(self, counts: np.ndarray | None, texts: int):
         self.counts, self.texts = counts, texts
 
-    def idf(self, h: np.ndarray) -> np.ndarray:
+    def idf(self, h: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
         """Smoothed inverse document frequency, from 1 (in every text) to 2 (in one)."""
-        df = np.minimum(*[self.counts[d][slots(h, d)] for d in range(DEPTH)])
+        if df is None:
+            df = np.minimum(*[self.counts[d][slots(h, d)] for d in range(DEPTH)])
         full = np.log1p(self.texts)
         return (1 + np.clip((full - np.log1p(df)) / max(full, 1e-9), 0, 1)).astype(np.float32)
 
@@ -73,10 +77,10 @@ def slots(h: np.ndarray, d: int) -> np.ndarray:
     return ((h * _ODD[8 + d]) >> _U(64 - 18)).astype(np.int64)
 
 
-def weighted(text: str | None, freq: Frequencies) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles in ascending order, their TF-IDF weights)."""
+def weighted(text: str | None, freq: Frequencies, df: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles in ascending order, their TF-IDF weights); ``df``: their document frequencies as int64."""
     h, tf = np.unique(shingles(text), return_counts=True)
-    return h, tf.astype(np.float32) * freq.idf(h)
+    return h, tf.astype(np.float32) * freq.idf(h, None if df is None else np.frombuffer(df, np.int64))
 
 
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -122,6 +126,11 @@ class Sampler:
         return out
 
 
+@cache
+def _sampler(samples: int) -> Sampler:
+    return Sampler(samples)
+
+
 #: the node of texts without words
 _NO_WORDS = hashlib.md5(b"").digest()
 
@@ -143,85 +152,125 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def _sketch(texts: DataFrame) -> np.ndarray:
-    """Count-min sketch of the shingles of every text; DEPTH x WIDTH counters whatever the number of texts."""
-    schema = T.StructType().add("block", "integer").add("salt", "integer").add("counts", "binary")
+def _asked(texts: DataFrame, buckets: int) -> DataFrame:
+    """The rows of ``texts`` with their ``chunk``, and per chunk and bucket the shingles whose counts it needs.
 
-    def count(batches):
-        c = np.zeros((DEPTH, WIDTH), np.int64)
+    A chunk is named by its first node. Rows of texts have no bucket; the other rows hold distinct shingles of the
+    chunk (``h``, ascending) and the number of its texts that each is in (``n``).
+    """
+    # rows without a text have nulls in its columns
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in texts.schema])
+    schema = schema.add("chunk", "binary").add("bucket", "integer").add("h", "binary").add("n", "binary")
+    at_node, at_text, width = texts.columns.index("node"), texts.columns.index("text"), len(texts.columns)
+
+    def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 400):
-                h = np.concatenate([np.unique(shingles(t)) for t in b.column(0).slice(at, 400).to_pylist()])
-                for d in range(DEPTH):
-                    c[d] += np.bincount(slots(h, d), minlength=WIDTH)
-        if c.any():
-            flat = c.reshape(-1, BLOCK)
-            salt = TaskContext.get().partitionId() % 1024
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)),
-                                              pa.array(np.full(len(flat), salt, np.int32)),
-                                              pa.array([x.tobytes() for x in flat], pa.binary())], names=schema.names)
-
-    def add(pdf):
-        import pandas as pd
+            nodes, values = b.column(at_node).to_pylist(), b.column(at_text).to_pylist()
+            at = 0
+            while at < b.num_rows:
+                hs, end, total = [], at, 0
+                while end < b.num_rows and total < CHUNK:
+                    hs.append(np.unique(shingles(values[end])))
+                    total += len(hs[-1])
+                    end += 1
+                m, chunk = end - at, nodes[at]
+                none = [pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*[c.slice(at, m) for c in b.columns], pa.array([chunk] * m, pa.binary()),
+                                                  *none], names=schema.names)
+                h, n = np.unique(np.concatenate(hs), return_counts=True)
+                bucket = _bucket(h, buckets)
+                order = np.argsort(bucket, kind="stable")
+                h, n, bucket = h[order], n[order].astype(np.int64), bucket[order]
+                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(h)]
+                parts = list(zip(cuts, cuts[1:]))
+                m = len(parts)
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.nulls(m, c.type) for c in b.columns[:width]], pa.array([chunk] * m, pa.binary()),
+                     pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array([h[x:y].tobytes() for x, y in parts], pa.binary()),
+                     pa.array([n[x:y].tobytes() for x, y in parts], pa.binary())], names=schema.names)
+                at = end
 
-        total = np.sum([np.frombuffer(x, np.int64) for x in pdf["counts"]], axis=0)
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "salt": [0], "counts": [total.tobytes()]})
+    return texts.mapInArrow(run, schema)
 
-    rows = texts.select("text").mapInArrow(count, schema)
-    rows = rows.groupBy("block", "salt").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
-    out = np.zeros((DEPTH * WIDTH // BLOCK, BLOCK), np.int64)
-    for r in rows.collect():  # DEPTH * WIDTH counters
-        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
-    return out.reshape(DEPTH, WIDTH)
 
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h * _ODD[8]) >> _U(33)).astype(np.int64) % buckets
 
-def _signatures(texts: DataFrame, freq, bands: int, rows: int) -> DataFrame:
-    """(node, sig, bands, size): the low byte of every sample, one hash per band, the bytes of the text."""
-    schema = T.StructType().add("node", "binary").add("sig", "binary").add("bands", T.ArrayType(T.LongType())).add("size", "long")
 
-    def run(batches):
-        sampler = Sampler(bands * rows)
-        for big in batches:
-            at = 0
-            while at < big.num_rows:
-                hs, ws, end = [], [], at
-                total = 0
-                col = big.column(1)
-                while end < big.num_rows and total < 200_000:
-                    h, w = weighted(col[end].as_py(), freq.value)
-                    hs.append(h)
-                    ws.append(w)
-                    total += len(h)
-                    end += 1
-                lens = np.fromiter(map(len, hs), np.int64, len(hs))
-                sig = sampler.sign(np.concatenate(hs), np.concatenate(ws), lens)
-                band = np.zeros((len(lens), bands), np.uint64)
-                for j in range(rows):
-                    band = _mix(band + sig[:, j::rows] * _ODD[30 + j])
-                low = (sig & _U(255)).astype(np.uint8)
-                values = pa.array(band.view(np.int64).reshape(-1))
-                yield pa.RecordBatch.from_arrays([
-                    big.column(0).slice(at, end - at), pa.array([x.tobytes() for x in low], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands, dtype=np.int32)), values),
-                    pc.binary_length(col.slice(at, end - at)).cast(pa.int64())], names=schema.names)
-                at = end
+def _answers(asked: DataFrame) -> DataFrame:
+    """(chunk, h, n): the shingles of a chunk that are in more than one text, and in how many, counted exactly.
+
+    All that is asked about a shingle is in one bucket; a shingle that every text has is there once per chunk.
+    """
+    schema = T.StructType().add("chunk", "binary").add("h", "binary").add("n", "binary")
+
+    def run(pdf):
+        import pandas as pd
+
+        lens = pdf["h"].map(len).to_numpy() // 8
+        h = np.frombuffer(b"".join(pdf["h"]), np.uint64)
+        values, at = np.unique(h, return_inverse=True)
+        total = np.zeros(len(values), np.int64)
+        np.add.at(total, at, np.frombuffer(b"".join(pdf["n"]), np.int64))
+        out, end = [], 0
+        for chunk, m in zip(pdf["chunk"], lens.tolist()):
+            x, n = h[end:end + m], total[at[end:end + m]]
+            end += m
+            if (n > 1).any():
+                out.append((chunk, x[n > 1].tobytes(), n[n > 1].tobytes()))
+        return pd.DataFrame(out, columns=schema.names)
+
+    return asked.filter("bucket is not null").select("chunk", "bucket", "h", "n").groupBy("bucket").applyInPandas(run, schema)
+
+
+def _signatures(asked: DataFrame, freq, bands: int, rows: int) -> DataFrame:
+    """Texts with ``df``, ``sig``, ``bands``, ``size``: the document frequencies of the distinct shingles, the low
+    byte of every sample, one hash per band, the bytes of the text."""
+    texts = asked.filter("bucket is null").drop("bucket", "h", "n")
+    schema = (T.StructType([f for f in texts.schema if f.name != "chunk"]).add("df", "binary").add("sig", "binary")
+              .add("bands", T.ArrayType(T.LongType())).add("size", "long"))
+
+    def run(pdf, found):
+        import pandas as pd
 
-    return texts.select("node", "text").mapInArrow(run, schema)
+        if not len(pdf):
+            return pd.DataFrame({name: [] for name in schema.names})
+        h = np.frombuffer(b"".join(found["h"]), np.uint64)
+        n = np.frombuffer(b"".join(found["n"]), np.int64)
+        order = np.argsort(h)
+        h, n = np.append(h[order], _U(0xFFFFFFFFFFFFFFFF)), np.append(n[order], 1)
+        dfs, sets = [], []
+        for text in pdf["text"]:
+            own = np.unique(shingles(text))
+            at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+            dfs.append(np.where(h[at] == own, n[at], 1).tobytes())
+            sets.append(weighted(text, freq.value, dfs[-1]))
+        lens = np.fromiter((len(x) for x, _ in sets), np.int64, len(sets))
+        sig = _sampler(bands * rows).sign(np.concatenate([x for x, _ in sets]), np.concatenate([w for _, w in sets]), lens)
+        band = np.zeros((len(lens), bands), np.uint64)
+        for j in range(rows):
+            band = _mix(band + sig[:, j::rows] * _ODD[30 + j])
+        low = (sig & _U(255)).astype(np.uint8)
+        return pdf.drop(columns="chunk").assign(
+            df=dfs, sig=[x.tobytes() for x in low], bands=list(band.view(np.int64)),
+            size=[len(t.encode("utf-8", "surrogatepass")) for t in pdf["text"]])
+
+    return texts.groupBy("chunk").cogroup(_answers(asked).groupBy("chunk")).applyInPandas(run, schema)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, freq) -> DataFrame:
     """(a, b, sim) of every pair, from the whole texts of both."""
-    t = texts.select("node", "text")
-    both = (pairs.join(t.toDF("a", "text_a"), "a").join(t.toDF("b", "text_b"), "b")
-            .select("a", "b", "text_a", "text_b"))
+    t = texts.select("node", "text", "df")
+    both = (pairs.join(t.toDF("a", "text_a", "df_a"), "a").join(t.toDF("b", "text_b", "df_b"), "b")
+            .select("a", "b", "text_a", "text_b", "df_a", "df_b"))
     schema = T.StructType().add("a", "binary").add("b", "binary").add("sim", "double")
 
     def run(batches):
         kept: OrderedDict[bytes, tuple] = OrderedDict()
 
-        def sets(node, text):
+        def sets(node, text, df):
             if node not in kept:
-                kept[node] = weighted(text, freq.value)
+                kept[node] = weighted(text, freq.value, df)
                 if len(kept) > 64:
                     kept.popitem(last=False)
             return kept[node]
@@ -230,7 +279,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, freq) -> DataFrame:
             for at in range(0, big.num_rows, 1000):
                 b = big.slice(at, 1000)
                 cols = [c.to_pylist() for c in b.columns]
-                sims = [similarity(sets(x, tx), sets(y, ty)) for x, y, tx, ty in zip(*cols)]
+                sims = [similarity(sets(x, tx, dx), sets(y, ty, dy)) for x, y, tx, ty, dx, dy in zip(*cols)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sims, pa.float64())],
                                                  names=schema.names)
 
@@ -260,7 +309,7 @@ def _candidates(pdf, floor: float) -> list[tuple[int, np.ndarray]]:
 
 def _similar_rows(pdf, floor: float, threshold: float, freq: Frequencies) -> list[tuple[int, int]]:
     """Links (row, row) of one task that connect components: every candidate is compared on its whole text."""
-    sets = [weighted(t, freq) for t in pdf["text"]]
+    sets = [weighted(t, freq, df) for t, df in zip(pdf["text"], pdf["df"] if "df" in pdf else [None] * len(pdf))]
     vocabulary, at = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
     w = np.concatenate([x for _, x in sets])
     lens = np.fromiter((len(h) for h, _ in sets), np.int64, len(sets))
@@ -294,7 +343,7 @@ def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataF
     parts = rows.groupBy("band", "key", "root").agg(F.count("*").alias("m"))
     spans = parts.groupBy("band", "key").agg(F.max(F.struct("m", "root"))["root"].alias("main"),
                                              F.count("*").alias("parts")).filter("parts > 1")
-    rows = rows.join(spans.select("band", "key", "main"), ["band", "key"]).join(signed, "node")
+    rows = rows.join(spans.select("band", "key", "main"), ["band", "key"]).join(signed.select("node", "sig", "bands", "size"), "node")
     rows = scratch_table(rows.withColumn("minor", F.col("root") != F.col("main")).drop("main"), "open-buckets", paths)
 
     def blocks(n, size):
@@ -326,7 +375,7 @@ def _across(inside: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataF
 
     task = ["band", "key", "b", "q"]
     close = scratch_table(tasks.groupBy(task).applyInPandas(named, tasks.schema), "candidates", paths)
-    links = close.join(texts.select("node", "text"), "node").groupBy(task).applyInPandas(
+    links = close.join(texts.select("node", *[c for c in ("text", "df") if c in texts.columns]), "node").groupBy(task).applyInPandas(
         verified, T.StructType().add("a", "binary").add("b", "binary"))
     return scratch_table(links.distinct(), "links-across", paths)
 
@@ -339,7 +388,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     times inverse document frequency over all distinct texts). Classes are the connected components of the links
     of weighted Jaccard similarity ``threshold`` or more; ``class_id`` is the smallest id of the class.
 
-    1. Rows with equal word sequences collapse into one text (``rep_id``: smallest id among them).
+    1. Rows with equal word sequences collapse into one text (``rep_id``: smallest id among them). The document
+       frequency of every shingle is counted exactly: chunks of texts ask for their distinct shingles, bucket by
+       bucket, and get back those that other texts hold too.
     2. Every text is signed with ``bands`` * ``rows`` samples; a bucket holds the texts that agree on a whole band.
     3. In each bucket all texts are verified exactly against its hub, the text that meets most others over all its
        buckets (the original of many edited copies rather than one of these); links give components.
@@ -354,13 +405,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     """
     spark: SparkSession = docs.sparkSession
     paths: list[str] = []
-    texts = scratch_table(
-        _nodes(docs, id_col, text_col, True).groupBy("node")
-        .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")), "texts", paths)
-    texts = texts.filter(F.col("node") != F.lit(_NO_WORDS))
-    total = texts.count()
-    freq = spark.sparkContext.broadcast(Frequencies(_sketch(texts), total))
-    signed = scratch_table(_signatures(texts, freq, bands, rows), "signatures", paths)
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    texts = (_nodes(docs, id_col, text_col, True).filter(F.col("node") != F.lit(_NO_WORDS)).groupBy("node")
+             .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")))
+    first: list[str] = []
+    asked = scratch_table(_asked(texts, max(BUCKETS, n_bytes // BUCKET_BYTES)), "texts", first)
+    total = asked.filter("bucket is null").count()
+    freq = spark.sparkContext.broadcast(Frequencies(None, total))
+    texts = signed = scratch_table(_signatures(asked, freq, bands, rows), "signatures", paths)
+    remove_tables(spark, first)
     member = signed.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = member.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     inside = scratch_table(member.join(sizes, ["band", "key"]), "members", paths)

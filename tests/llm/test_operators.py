@@ -285,6 +285,29 @@ def test_links_across_components_of_a_bucket(spark, block):
     assert len(links) < len(texts) * (len(texts) - 1) // 2
 
 
+@pytest.mark.parametrize("chunk", [500, 100_000])
+def test_weights_follow_exact_document_frequencies(spark, monkeypatch, chunk):
+    """More distinct shingles than a sketch has counters: the frequencies kept with the texts are exact."""
+    monkeypatch.setattr(neardup, "CHUNK", chunk)
+    rng = np.random.default_rng(9)
+    shared = " ".join(f"s{k}" for k in range(40))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 500 if chunk < 1000 else 2000)) + " " + shared * (k % 3 == 0)
+             for k in range(60 if chunk < 1000 else 400)]
+    rows = spark.createDataFrame([(str(k).encode(), t) for k, t in enumerate(texts)], "node binary, text string")
+    asked = neardup._asked(rows.repartition(4), 7).checkpoint()
+    freq = spark.sparkContext.broadcast(neardup.Frequencies(None, len(texts)))
+    got = {int(r.node): np.frombuffer(r.df, np.int64) for r in neardup._signatures(asked, freq, 2, 2).collect()}
+    sets = [np.unique(neardup.shingles(t)) for t in texts]
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    assert len(got) == len(texts) and (chunk < 1000 or len(values) > 2 * neardup.WIDTH)
+    for k, h in enumerate(sets):
+        assert (got[k] == counts[np.searchsorted(values, h)]).all()
+    full = np.log1p(len(texts))
+    h, w = neardup.weighted(texts[0], freq.value, got[0].tobytes())
+    assert np.allclose(w, 1 + (full - np.log1p(got[0])) / full, atol=1e-6)
+    assert got[0].max() == (len(texts) + 2) // 3 and (got[0] == 1).sum() > 400
+
+
 def test_near_duplicates_match_all_pairs(spark):
     """Classes of edited copies, copies of copies and other texts, by brute force over all pairs."""
     texts = _edited_copies()
