@@ -21,9 +21,29 @@ ALLOWED = [r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
            r"(?i)0123456789|abcdefghij|qwertyuiop",
            r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
            r"^(?:[0-9]+[-_/=+]?)+$", r"(.)\1{7}"]
+#: classes of characters with fewer symbols than base64: letters and digits of one case, with their number of symbols
+HEX_RUN, CLASSES = r"[0-9a-fA-F]", [(r"[A-Z2-7]", 32), (r"[a-z2-7]", 32), (r"[a-z0-9]", 36), (r"[A-Z0-9]", 36)]
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 
 
+def entropy_moments(symbols: int, width: int) -> tuple[float, float]:
+    """Mean and standard deviation of the entropy of ``width`` uniformly random characters out of ``symbols``."""
+    f = [c * math.log2(c) if c else 0.0 for c in range(width + 1)]
+    p = 1 / symbols
+    one = [math.comb(width, c) * p ** c * (1 - p) ** (width - c) for c in range(width + 1)]
+    mean = sum(x * y for x, y in zip(one, f))
+    own = sum(x * y * y for x, y in zip(one, f)) - mean * mean
+    two = sum(math.comb(width, a) * math.comb(width - a, c) * p ** (a + c) * (1 - 2 * p) ** (width - a - c) * f[a] * f[c]
+              for a in range(width + 1) for c in range(width + 1 - a)) - mean * mean
+    return math.log2(width) - symbols * mean / width, max(symbols * (own + (symbols - 1) * two), 0) ** 0.5 / width
+
+
+def class_bits(symbols: int, width: int, mixed_bits: float) -> float:
+    """The limit that is as many standard deviations below the mean of its class as ``mixed_bits`` is for base64."""
+    (mean, sd), (mean64, sd64) = entropy_moments(symbols, width), entropy_moments(64, width)
+    return mean - (mean64 - mixed_bits) * sd / sd64
+
+
 def window_entropy(codes: Column, width: int) -> Column:
     """Per position of ``codes`` (array of 1-based letters of ALPHABET) from ``width`` on: entropy of the window
     of ``width`` characters that ends there, in bits.
@@ -56,10 +76,11 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
 
     A span is a struct (s, k, e): code-point start, index into KINDS, exclusive end. Base spans are the leftmost,
     non-overlapping matches of the fixed patterns that pass their length checks. Candidates for entropy are runs
-    of 20 or more characters of the base64 and URL alphabets that hold a digit and a letter. A candidate of hex
-    digits is judged by ``hex_bits``, any other by ``mixed_bits``; the span runs from the start of the first
-    to the end of the last window above the limit. Candidates that match the allow-list, and spans that touch a
-    base span, are not added.
+    of 20 or more characters of the base64 and URL alphabets that hold a digit and a letter. A window is judged by
+    the class of the run that holds it, a run with a digit and a letter: hex digits by ``hex_bits``, base32 and
+    letters of one case with digits by ``class_bits`` of their alphabets, any other window by ``mixed_bits``. The
+    span runs from the start of the first to the end of the last window above its limit. Candidates that match the
+    allow-list, and spans that touch a base span, are not added.
 
     Null text counts as empty; repeated rows give repeated results; an empty table gives an empty result; further
     columns are ignored. The scan is one projection over whole texts, without a shuffle.
@@ -72,6 +93,24 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
         return F.transform(F.filter(found, ok), lambda x: F.struct(x["s"].alias("s"), F.lit(kind).alias("k"),
                                                                    x["e"].alias("e")))
 
+    limits = [(HEX_RUN, hex_bits), *[(c, class_bits(n, width, mixed_bits)) for c, n in CLASSES]]
+
+    def runs(m: Column) -> Column:
+        """Runs (s, e, bits) of a class in a candidate."""
+        found = []
+        for chars, bits in limits:
+            p = f"{chars}{{{width},}}+"
+            ok = lambda r: r["m"].rlike("[0-9]") & r["m"].rlike("[A-Za-z]")
+            of_class = (lambda bits: lambda r: F.struct(r["s"].alias("s"), r["e"].alias("e"), F.lit(bits).alias("bits")))(bits)
+            found.append(F.transform(F.filter(located_if(m.rlike(p), m, p), ok), of_class))
+        return F.concat(*found)
+
+    def limit(runs: Column, i: Column) -> Column:
+        """Limit of the window that starts at ``i``."""
+        inside = F.filter(runs, lambda r: (r["s"] <= i) & (r["e"] >= i + width))
+        return F.when(F.size(runs) == 0, F.lit(mixed_bits)).otherwise(
+            F.coalesce(F.array_min(F.transform(inside, lambda r: r["bits"])), F.lit(mixed_bits)))
+
     allowed = None
     for p in ALLOWED:
         test = (lambda p: lambda m: m.rlike(p))(p)
@@ -86,17 +125,17 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
         F.transform(F.filter(located_if(t.rlike(CANDIDATE), t, CANDIDATE), lambda x: wanted(x["m"])),
                     lambda x: F.struct(
                         x["s"].alias("s"),
-                        F.when(x["m"].rlike("^[0-9a-fA-F]+$"), hex_bits).otherwise(mixed_bits).alias("bits"),
+                        runs(x["m"]).alias("runs"),
                         F.transform(F.filter(F.split(x["m"], ""), lambda ch: ch != ""),
                                     lambda ch: F.instr(F.lit(ALPHABET), ch)).alias("codes"))).alias("cand"))
     judged = scanned.select(
         "id", "a", "b", "c",
         F.transform("cand", lambda x: F.struct(
-            x["s"].alias("s"), x["bits"].alias("bits"), window_entropy(x["codes"], width).alias("h"))).alias("cand"))
+            x["s"].alias("s"), x["runs"].alias("runs"), window_entropy(x["codes"], width).alias("h"))).alias("cand"))
     high = judged.select(
         "id", "a", "b", "c",
         F.transform("cand", lambda x: F.struct(x["s"].alias("s"), F.filter(
-            F.transform(x["h"], lambda h, i: F.when(h >= x["bits"], i)), lambda i: i.isNotNull()).alias("at"))
+            F.transform(x["h"], lambda h, i: F.when(h >= limit(x["runs"], i), i)), lambda i: i.isNotNull()).alias("at"))
         ).alias("cand"))
     found = high.select(
         "id", F.size("a").cast("long").alias("n_assign"), F.size("b").cast("long").alias("n_access"),

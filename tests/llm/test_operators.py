@@ -134,6 +134,28 @@ def test_secrets(docs, none):
     assert secrets.scan_secrets(none).count() == 0
 
 
+def _flagged(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [[tuple(x) for x in r.spans] for r in secrets.scan_secrets(rows).orderBy("doc_id").collect()]
+
+
+def test_random_keys_of_every_alphabet_are_found(spark):
+    """As many uniformly random keys of 20 characters pass in each class as in base62."""
+    rng = np.random.default_rng(4)
+    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for chars in (low + num, up + num, up + "234567", low + "234567", low + up + num):
+        keys = ["".join(rng.choice(list(chars), 20)) for _ in range(400)]
+        keys = [k for k in keys if re.search("[0-9]", k) and re.search("[A-Za-z]", k)]
+        found = _flagged(spark, [f"see {k} here" for k in keys] + [f"see conf/{k} here" for k in keys])
+        assert sum(map(bool, found[:len(keys)])) > 0.83 * len(keys)
+        assert sum(map(bool, found[len(keys):])) > 0.83 * len(keys)
+    # neither digits alone nor words get a lower limit
+    assert _flagged(spark, ["a/94378120563478120956", "a1_internationalizationservice"]) == [[], []]
+    e = [-(p * np.log2(p)).sum() for p in (np.unique(x, return_counts=True)[1] / 20 for x in rng.integers(0, 36, (4000, 20)))]
+    mean, sd = secrets.entropy_moments(36, 20)
+    assert abs(np.mean(e) - mean) < 0.01 and abs(np.std(e) - sd) < 0.01
+
+
 def test_window_entropy_is_the_entropy_of_each_window(spark):
     word = "aab0cdefZZ9/+aaaa7bc"
     codes = F.lit([secrets.ALPHABET.index(c) + 1 for c in word])
