@@ -79,8 +79,8 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
     of 20 or more characters of the base64 and URL alphabets that hold a digit and a letter. A window is judged by
     the class of the run that holds it, a run with a digit and a letter: hex digits by ``hex_bits``, base32 and
     letters of one case with digits by ``class_bits`` of their alphabets, any other window by ``mixed_bits``. The
-    span runs from the start of the first to the end of the last window above its limit. Candidates that match the
-    allow-list, and spans that touch a base span, are not added.
+    span runs from the start of the first to the end of the last window above its limit. Windows that overlap a
+    match of the allow-list in the candidate do not count, and spans that touch a base span are not added.
 
     Null text counts as empty; repeated rows give repeated results; an empty table gives an empty result; further
     columns are ignored. The scan is one projection over whole texts, without a shuffle.
@@ -111,11 +111,12 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
         return F.when(F.size(runs) == 0, F.lit(mixed_bits)).otherwise(
             F.coalesce(F.array_min(F.transform(inside, lambda r: r["bits"])), F.lit(mixed_bits)))
 
-    allowed = None
-    for p in ALLOWED:
-        test = (lambda p: lambda m: m.rlike(p))(p)
-        allowed = test if allowed is None else (lambda a, b: lambda m: a(m) | b(m))(allowed, test)
-    wanted = (lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & ~allowed(m))
+    def allowed(m: Column) -> Column:
+        """Matches (s, e) of the allow-list in a candidate."""
+        return F.concat(*[F.transform(located_if(m.rlike(p), m, p), lambda a: F.struct(a["s"].alias("s"), a["e"].alias("e")))
+                          for p in ALLOWED])
+
+    wanted = (lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]"))
     scanned = rows.select(
         "id",
         tagged(located_if(t.rlike(ASSIGN), t, ASSIGN), 0,
@@ -125,17 +126,18 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
         F.transform(F.filter(located_if(t.rlike(CANDIDATE), t, CANDIDATE), lambda x: wanted(x["m"])),
                     lambda x: F.struct(
                         x["s"].alias("s"),
-                        runs(x["m"]).alias("runs"),
+                        runs(x["m"]).alias("runs"), allowed(x["m"]).alias("off"),
                         F.transform(F.filter(F.split(x["m"], ""), lambda ch: ch != ""),
                                     lambda ch: F.instr(F.lit(ALPHABET), ch)).alias("codes"))).alias("cand"))
     judged = scanned.select(
         "id", "a", "b", "c",
         F.transform("cand", lambda x: F.struct(
-            x["s"].alias("s"), x["runs"].alias("runs"), window_entropy(x["codes"], width).alias("h"))).alias("cand"))
+            x["s"].alias("s"), x["runs"].alias("runs"), x["off"].alias("off"), window_entropy(x["codes"], width).alias("h"))).alias("cand"))
     high = judged.select(
         "id", "a", "b", "c",
         F.transform("cand", lambda x: F.struct(x["s"].alias("s"), F.filter(
-            F.transform(x["h"], lambda h, i: F.when(h >= limit(x["runs"], i), i)), lambda i: i.isNotNull()).alias("at"))
+            F.transform(x["h"], lambda h, i: F.when(
+                (h >= limit(x["runs"], i)) & ~F.exists(x["off"], lambda a: (a["s"] < i + width) & (a["e"] > i)), i)), lambda i: i.isNotNull()).alias("at"))
         ).alias("cand"))
     found = high.select(
         "id", F.size("a").cast("long").alias("n_assign"), F.size("b").cast("long").alias("n_access"),

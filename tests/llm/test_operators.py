@@ -156,6 +156,19 @@ def test_random_keys_of_every_alphabet_are_found(spark):
     assert abs(np.mean(e) - mean) < 0.01 and abs(np.std(e) - sd) < 0.01
 
 
+def test_allow_list_suppresses_only_what_overlaps_it(spark):
+    key = "9fQ2zXw7LmP4vT8sYb1KdR6hWc3N"
+    n = len(key)
+    texts = [f"/sample/v1/{key}", f"example_{key}", key + "AAAAAAAA" + key, key + "0123456789",
+             "sample_9fQ2zXw7LmP4vT8", "123e4567-e89b-12d3-a456-426614174000", "0123456789abcdefghij0123456789"]
+    found = _flagged(spark, texts)
+    assert [[k for _, k, _ in x] for x in found] == [[3], [3], [3], [3], [], [], []]
+    # no part of the allow-list is in the span, all of the key is
+    assert 7 <= found[0][0][0] <= 11 and found[0][0][2] == 11 + n
+    assert 7 <= found[1][0][0] <= 8 and found[1][0][2] == 8 + n
+    assert found[2][0] == (0, 3, 2 * n + 8) and found[3][0] == (0, 3, n)
+
+
 def test_window_entropy_is_the_entropy_of_each_window(spark):
     word = "aab0cdefZZ9/+aaaa7bc"
     codes = F.lit([secrets.ALPHABET.index(c) + 1 for c in word])
