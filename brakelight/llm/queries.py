@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contam, exact, idfiles, langid, mixing, neardup, pii, secrets, tokens, warc
+from . import contam, exact, idfiles, langid, mixing, neardup, pii, repair, secrets, tokens, warc
 from .common import scratch_path, table
 
 
@@ -98,13 +98,22 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the stated damage."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_token_id_files, op4_secret_scan,
                                    op5_language_id, op6_decontaminate, op7_near_duplicates, op8_exact_dedup,
-                                   op9_personal_data, op10_warc_round_trip)}
+                                   op9_personal_data, op10_warc_round_trip, op11_repair_conversations)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: crc32 of an ASCII text: bitwise over its bytes, the reflected polynomial 0xEDB88320
+_CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(split({}, ''), lambda ch: unicode(ch)::BIGINT),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+
 SQL = {
     "op2_mix_sources": r"""
 WITH d AS (
@@ -162,4 +171,65 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP B
 SELECT n.doc_id, g.keep_id, CAST(g.group_size AS BIGINT) AS group_size,
        n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g USING (norm)""",
+    "op11_repair_conversations": rf"""
+WITH RECURSIVE n AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS code
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM n WHERE code <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         rtrim(text, E' \t\n\x0b\x0c\r') AS body FROM d),
+f AS (
+  SELECT conv_id, turn, role, text, i, role[1] AS c,
+         CASE WHEN body = '' THEN 1 WHEN seen > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM o),
+k AS (SELECT DISTINCT conv_id FROM conversations),
+-- cheapest (cost, audit) per state of the repaired roles: e nothing, s system alone, u user last, a assistant last
+v AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 't': ''}} AS e, {{'c': CAST(1000000000 AS BIGINT), 't': ''}} AS s,
+         {{'c': CAST(5 AS BIGINT), 't': 'I'}} AS u, {{'c': CAST(10 AS BIGINT), 't': 'II'}} AS a FROM k
+  UNION ALL
+  SELECT conv_id, i, e1, s1, u2, least(a1, {{'c': u2.c + 5, 't': u2.t || 'I'}}) FROM (
+    SELECT *, least(u1, {{'c': e1.c + 5, 't': e1.t || 'I'}}, {{'c': s1.c + 5, 't': s1.t || 'I'}},
+                    {{'c': a1.c + 5, 't': a1.t || 'I'}}) AS u2 FROM (
+      SELECT v.conv_id, f.i, {{'c': e.c + 2, 't': e.t || 'D'}} AS e1,
+             least({{'c': s.c + 2, 't': s.t || 'D'}}, {{'c': e.c + stay + CASE f.c WHEN 's' THEN 0 ELSE CAST(1000000000 AS BIGINT) END, 't': e.t || 'K'}}) AS s1,
+             least({{'c': u.c + 2, 't': u.t || 'D'}}, {{'c': e.c + stay + ku, 't': e.t || 'K'}}, {{'c': s.c + stay + ku, 't': s.t || 'K'}},
+                   {{'c': a.c + stay + ku, 't': a.t || 'K'}}, {{'c': e.c + stay + 1, 't': e.t || 'R'}},
+                   {{'c': s.c + stay + 1, 't': s.t || 'R'}}, {{'c': a.c + stay + 1, 't': a.t || 'R'}}) AS u1,
+             least({{'c': a.c + 2, 't': a.t || 'D'}}, {{'c': u.c + stay + CASE f.c WHEN 'a' THEN 0 ELSE CAST(1000000000 AS BIGINT) END, 't': u.t || 'K'}},
+                   {{'c': u.c + stay + 1, 't': u.t || 'R'}}) AS a1
+      FROM v JOIN (SELECT *, CASE fault WHEN 0 THEN 0 WHEN 3 THEN 5 ELSE CAST(1000000000 AS BIGINT) END AS stay,
+                          CASE c WHEN 'u' THEN 0 ELSE CAST(1000000000 AS BIGINT) END AS ku FROM f) AS f
+           ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.i = v.i + 1))),
+w AS (
+  SELECT conv_id, least(e, a) AS b FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS last FROM v)
+  WHERE last = 1),
+p AS (
+  SELECT conv_id, b.c AS cost, b.t AS audit, unnest(split(b.t, '')) AS op, generate_subscripts(split(b.t, ''), 1) AS place FROM w
+  WHERE b.t <> ''),
+q AS (
+  SELECT *, count(*) FILTER (op <> 'I') OVER (PARTITION BY conv_id ORDER BY place) AS i,
+         count(*) FILTER (op <> 'D') OVER (PARTITION BY conv_id ORDER BY place) AS pos,
+         count(*) FILTER (op <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd FROM p),
+r AS (
+  SELECT q.conv_id, string_agg(CASE WHEN op = 'K' THEN f.role WHEN pos % 2 = odd THEN 'assistant' ELSE 'user' END
+                               || ':' || CASE WHEN op = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY place) AS body
+  FROM q LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM q.conv_id AND f.i = q.i AND op <> 'I' WHERE op <> 'D' GROUP BY q.conv_id),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT w.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(w.b.c AS BIGINT) AS cost, w.b.t AS audit,
+       sha256(coalesce(r.body, '')) AS repaired_sha256
+FROM w LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id""",
 }
