@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,17 +15,21 @@ from pyspark.sql import types as T
 from .common import open_fs, scratch_path
 
 #: chunks kept per Python worker; a full cache is emptied, which costs time but never changes an id
-CACHED_CHUNKS = 700_000
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+CACHED_CHUNKS = 1_200_000
+#: bytes of text that are split and gathered at once
+SLICE_BYTES = 8 << 20
+#: texts in which a single space may touch other white space
+_ODD = r"  |\n | \n|[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, as bytes of a fixed width.
+    """Ids of whole texts by the tokenizers library, as one array per batch.
 
     A byte-level pre-tokenizer always begins a new word at a single space between two other characters, so a text
-    is the concatenation of its chunks there and the ids of a chunk can be kept for its next occurrence. Other
-    kinds of vocabulary are encoded text by text.
+    is the concatenation of its chunks there. Arrow splits the texts and numbers their distinct chunks; each is encoded
+    once and kept in a pool, and the ids of the batch are gathered from it. Chunks are handed to the library joined by a
+    special token, which no chunk merges with. Other kinds of vocabulary are encoded text by text.
     """
 
     def __init__(self, file: str):
@@ -36,36 +41,102 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         with open(file, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
+        pre, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens", [])
         self.chunked = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                         and pre.get("use_regex", True) and not spec.get("normalizer")
-                        and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"]
-                                    for t in spec.get("added_tokens", [])))
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+                        and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in added))
+        # a separator must not overlap itself, or its matches would depend on the chunk before
+        self.separator = next(((t["content"], t["id"]) for t in added if t.get("special") and not t.get("single_word") and not any(
+            t["content"].startswith(t["content"][i:]) for i in range(1, len(t["content"])))), None)
         self.tok.no_truncation()
         self.tok.no_padding()
-        return [np.asarray(e.ids, self.dtype).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def texts(self, texts: list[str]) -> list[bytes]:
+        self._clear()
+
+    def _clear(self) -> None:
+        #: place in the pool by word: of the word after a space, and of the word that begins a text
+        self.after, self.first = {}, {}
+        self.pool, self.starts, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, number of ids of each)."""
+        if self.separator:
+            content, mark = self.separator
+            # short groups stay in the processor's cache; each ends with a mark of its own
+            groups = self._encode([content.join(chunks[i:i + 64]) for i in range(0, len(chunks), 64)])
+            end = np.array([mark], self.dtype)
+            whole = np.concatenate([x for g in groups for x in (g, end)])
+            ends = np.flatnonzero(whole == mark)
+            if len(ends) == len(chunks):  # else a chunk holds the separator itself
+                return whole[whole != mark], np.diff(ends, prepend=-1) - 1
+        each = self._encode(chunks)
+        return np.concatenate(each), np.array(list(map(len, each)))
+
+    def _places(self, words: list[str], known: dict[str, int], lead: str) -> np.ndarray:
+        """Places in the pool of ``lead`` + word for every word; new ones are encoded and added."""
+        found = list(map(known.get, words))
+        new = [w for w, at in zip(words, found) if at is None]
+        if new:
+            ids, sizes = [self.pool], [self.sizes]
+            for at in range(0, len(new), 20_000):
+                got, n = self._encode_joined([lead + w for w in new[at:at + 20_000]])
+                ids.append(got)
+                sizes.append(n)
+            known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+            self.pool, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            found = list(map(known.get, words))
+        return np.array(found, np.int64)
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; number of ids of each). Null is empty; ``end_id`` ends each text."""
+        texts = texts.fill_null("")
+        n = len(texts)
+        if not n:
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
         if not self.chunked:
-            return self._encode(texts)
-        split = []
-        for t in texts:
-            # a space next to other white space is no break; most texts have none
-            plain = not ("  " in t or "\n " in t or " \n" in t or _OTHER_SPACE.search(t))
-            parts = (t.split(" ") if plain else _BREAK.split(t)) if t else []
-            split.append(parts[:1] + [" " + p for p in parts[1:]])
-        known = self.known
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        new = list({p for parts in split for p in parts if p not in known})
-        for at in range(0, len(new), 20_000):
-            known.update(zip(new[at:at + 20_000], self._encode(new[at:at + 20_000])))
-        get = known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+            end = np.array([] if end_id is None else [end_id], self.dtype)
+            each = [np.concatenate([x, end]) for x in self._encode(texts.to_pylist())]
+            return np.concatenate(each), np.array(list(map(len, each)), np.int64)
+        # a space next to other white space is no break; most texts have none
+        odd = pc.match_substring_regex(texts, _ODD)
+        parts = pc.split_pattern(texts, " ")
+        if pc.any(odd).as_py():
+            mask = odd.to_numpy(zero_copy_only=False)
+            broken = pa.array([_BREAK.split(t) for t in texts.filter(odd).to_pylist()], parts.type)
+            place = np.arange(n)
+            place[mask] = n + np.arange(mask.sum())
+            parts = pa.concat_arrays([parts, broken]).take(pa.array(place))
+        counts = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.cumsum(counts) - counts
+        flat = parts.flatten()
+        if len(self.after) + len(self.first) > CACHED_CHUNKS:
+            self._clear()
+        coded = flat.dictionary_encode()
+        after = self._places(coded.dictionary.to_pylist(), self.after, " ")
+        first = self._places(flat.take(pa.array(begins)).to_pylist(), self.first, "")
+        at = after[coded.indices.to_numpy()]
+        at[begins] = first
+        starts, sizes = self.starts[at], self.sizes[at]
+        total = np.add.reduceat(sizes, begins)
+        if end_id is not None:
+            starts = np.insert(starts, begins + counts, len(self.pool))
+            sizes = np.insert(sizes, begins + counts, 1)
+            total += 1
+        pool = self.pool if end_id is None else np.append(self.pool, self.dtype.type(end_id))
+        return pool[np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)], total
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int):
+    """Runs of rows whose texts in ``column`` hold about ``size`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, last - at)
+        at = last
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,13 +180,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, seq_len: int = 20
         name = f"part-{ctx.partitionId():06d}-{ctx.taskAttemptId()}"
         enc, out, n_docs = None, None, 0
         for big in batches:
-            for at in range(0, big.num_rows, 500):
-                b = big.slice(at, 500)
+            for b in slices(big, 1, SLICE_BYTES):
                 if out is None:
                     enc = encoder(tokenizer_file)
                     out = _Writer(path, name, enc.dtype, seq_len, batch_seqs, b.schema.field(0).type)
-                end = np.asarray([end_id], enc.dtype).tobytes()
-                out.add(b.column(0), [x + end for x in enc.texts([t or "" for t in b.column(1).to_pylist()])])
+                out.add(b.column(0), *enc.encode(b.column(1), end_id))
                 n_docs += b.num_rows
         if out is not None:
             n_ids, n_seq = out.close()
@@ -147,17 +216,16 @@ class _Writer:
         self.docs = pa.ipc.new_file(self.sinks[1], self.docs_schema)
         self.buffer, self.at, self.sequences = bytearray(), 0, 0
 
-    def add(self, doc_ids, encoded: list[bytes]) -> None:
-        n = np.fromiter(map(len, encoded), np.int64, len(encoded)) // self.dtype.itemsize
+    def add(self, doc_ids, ids: np.ndarray, n: np.ndarray) -> None:
         start = self.at + np.cumsum(n) - n
         self.docs.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(start), pa.array(n)],
                                                          schema=self.docs_schema))
         self.at += int(n.sum())
-        for x in encoded:
-            self.buffer += x
-            while len(self.buffer) >= self.full:
-                self._flush(bytes(self.buffer[:self.full]), self.full)
-                del self.buffer[:self.full]
+        self.buffer += ids.tobytes()
+        done = len(self.buffer) - len(self.buffer) % self.full
+        for at in range(0, done, self.full):
+            self._flush(bytes(self.buffer[at:at + self.full]), self.full)
+        del self.buffer[:done]
 
     def _flush(self, data: bytes, size: int) -> None:
         values = pa.array(np.frombuffer(data, self.dtype))
