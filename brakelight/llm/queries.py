@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contam, exact, idfiles, langid, mixing, neardup, pii, repair, secrets, tokens, warc, whiten
+from . import contam, exact, idfiles, langid, mixing, neardup, packing, pii, repair, secrets, tokens, warc, whiten
 from .common import scratch_path, table
 
 
@@ -103,6 +103,12 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences that hold lexical neighbours."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leading whitened components of every embedding."""
     return whiten.whiten(table(spark, sf_dir, "embeddings"))
@@ -110,7 +116,7 @@ def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_token_id_files, op4_secret_scan,
                                    op5_language_id, op6_decontaminate, op7_near_duplicates, op8_exact_dedup,
-                                   op9_personal_data, op10_warc_round_trip, op11_repair_conversations, op13_whiten_embeddings)}
+                                   op9_personal_data, op10_warc_round_trip, op11_repair_conversations, op12_pack_documents, op13_whiten_embeddings)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
