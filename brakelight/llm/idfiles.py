@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,45 +51,59 @@ class Encoder:
             t["content"].startswith(t["content"][i:]) for i in range(1, len(t["content"])))), None)
         self.tok.no_truncation()
         self.tok.no_padding()
+        if self.chunked:
+            from tokenizers import pre_tokenizers
+
+            #: the same vocabulary without the splitting pattern, for words of letters alone, which it never splits
+            self.letters = Tokenizer.from_file(file)
+            self.letters.no_truncation()
+            self.letters.no_padding()
+            self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._clear()
 
     def _clear(self) -> None:
         #: place in the pool by word: of the word after a space, and of the word that begins a text
         self.after, self.first = {}, {}
-        self.pool, self.starts, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.starts, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], tok=None) -> list[np.ndarray]:
+        return [np.asarray(e.ids, self.dtype) for e in (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_joined(self, chunks: list[str], tok) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks, number of ids of each)."""
         if self.separator:
             content, mark = self.separator
             # short groups stay in the processor's cache; each ends with a mark of its own
-            groups = self._encode([content.join(chunks[i:i + 64]) for i in range(0, len(chunks), 64)])
+            groups = self._encode([content.join(chunks[i:i + 64]) for i in range(0, len(chunks), 64)], tok)
             end = np.array([mark], self.dtype)
             whole = np.concatenate([x for g in groups for x in (g, end)])
             ends = np.flatnonzero(whole == mark)
             if len(ends) == len(chunks):  # else a chunk holds the separator itself
                 return whole[whole != mark], np.diff(ends, prepend=-1) - 1
-        each = self._encode(chunks)
+        each = self._encode(chunks, tok)
         return np.concatenate(each), np.array(list(map(len, each)))
 
     def _places(self, words: list[str], known: dict[str, int], lead: str) -> np.ndarray:
         """Places in the pool of ``lead`` + word for every word; new ones are encoded and added."""
-        found = list(map(known.get, words))
-        new = [w for w, at in zip(words, found) if at is None]
-        if new:
-            ids, sizes = [self.pool], [self.sizes]
-            for at in range(0, len(new), 20_000):
-                got, n = self._encode_joined([lead + w for w in new[at:at + 20_000]])
-                ids.append(got)
-                sizes.append(n)
-            known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+        found = np.fromiter(map(known.get, words, repeat(-1)), np.int32, len(words))
+        places = np.flatnonzero(found < 0)
+        if len(places):
+            new = [words[i] for i in places.tolist()]
+            letters = np.fromiter(map(str.isalpha, new), bool, len(new))
+            order = np.argsort(~letters, kind="stable")
+            new, split = [new[i] for i in order.tolist()], int(letters.sum())
+            ids, sizes, first = [self.pool], [self.sizes], len(self.sizes)
+            for part, tok in ((new[:split], self.letters), (new[split:], self.tok)):
+                for at in range(0, len(part), 20_000):
+                    got, n = self._encode_joined([lead + w for w in part[at:at + 20_000]], tok)
+                    ids.append(got)
+                    sizes.append(n.astype(np.int32))
+            numbers = range(first, first + len(new))
+            known.update(zip(new, numbers))
+            found[places[order]] = numbers
             self.pool, self.sizes = np.concatenate(ids), np.concatenate(sizes)
-            self.starts = np.cumsum(self.sizes) - self.sizes
-            found = list(map(known.get, words))
-        return np.array(found, np.int64)
+            self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        return found
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; number of ids of each). Null is empty; ``end_id`` ends each text."""
@@ -120,13 +135,17 @@ class Encoder:
         at = after[coded.indices.to_numpy()]
         at[begins] = first
         starts, sizes = self.starts[at], self.sizes[at]
-        total = np.add.reduceat(sizes, begins)
+        total = np.add.reduceat(sizes, begins, dtype=np.int64)
         if end_id is not None:
             starts = np.insert(starts, begins + counts, len(self.pool))
             sizes = np.insert(sizes, begins + counts, 1)
             total += 1
         pool = self.pool if end_id is None else np.append(self.pool, self.dtype.type(end_id))
-        return pool[np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)], total
+        # 32 bits address what a batch and the pool hold
+        ends = np.cumsum(sizes, dtype=np.int32)
+        at = np.repeat(starts - ends + sizes, sizes)
+        at += np.arange(len(at), dtype=np.int32)
+        return pool[at], total
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int):

@@ -16,13 +16,24 @@ K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 19
 #: documents that one index holds: it has a column for each
 SHARD_DOCS = 512
-DOCS, COUNTS = 0, 1
+#: rows of the scratch table: the rest of a document, its whole windows, document frequencies
+RESTS, WHOLE, COUNTS = 0, 1, 2
+_STORED = (T.StructType().add("row", "long").add("rare", "long").add("start", "long").add("doc_tokens", "long").add("ids", "binary")
+           .add("width", "integer").add("term", "integer").add("count", "long").add("kind", "integer"))
 
 
-def _encoded(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_col: str, text_col: str) -> None:
-    """Write ids of all documents (kind=0) and, from the same pass, each task's document frequencies (kind=1)."""
-    schema = (T.StructType().add("id", docs.schema[id_col].dataType).add("row", "long").add("rare", "long").add("ids", "binary")
-              .add("width", "integer").add("term", "integer").add("count", "long").add("kind", "integer"))
+def _terms(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, token id) pairs of consecutive documents, in order."""
+    key = np.repeat(np.arange(len(n), dtype=np.uint64 if len(n) << 16 > 1 << 32 or ids.itemsize > 2 else np.uint32), n)
+    shift = 8 * ids.itemsize
+    key = np.sort(key << key.dtype.type(shift) | ids)
+    key = key[np.append(True, key[1:] != key[:-1])]
+    return (key >> key.dtype.type(shift)).astype(np.int64), (key & key.dtype.type((1 << shift) - 1)).astype(np.int64)
+
+
+def _encoded(docs: DataFrame, path: str, tokenizer_file: str, size: int, end_id: int, id_col: str, text_col: str) -> None:
+    """Encode every document once: whole windows, rests of less than a window, and each task's document frequencies."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *_STORED.fields])
 
     def run(batches):
         from pyspark import TaskContext
@@ -30,37 +41,49 @@ def _encoded(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_co
         row, df, n_docs, n_ids, id_type = TaskContext.get().partitionId() << 40, np.zeros(0, np.int64), 0, 0, None
         enc = encoder(tokenizer_file)
         width = enc.dtype.itemsize
+
+        def stored(keys, rows, rare, start, n, ends, ids, kind):
+            m = len(rows)
+            # the ids between two rows of this kind belong to the other kind: only pieces are copied
+            body = pa.array([ids[e - k:e].tobytes() for e, k in zip(ends.tolist(), n[0].tolist())], pa.binary())
+            return pa.RecordBatch.from_arrays([
+                keys, pa.array(rows), pa.array(rare, pa.int64()), pa.array(start), pa.array(n[1]), body,
+                pa.array(np.full(m, width, np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()),
+                pa.array(np.full(m, kind, np.int32))], names=schema.names)
+
         for big in batches:
             id_type = big.column(0).type
             for b in slices(big, 1, SLICE_BYTES):
                 ids, n = enc.encode(b.column(1), end_id)
-                ends = np.cumsum(n)
-                if len(df) <= ids.max(initial=0):
-                    df = np.append(df, np.zeros(int(ids.max()) + 1 - len(df), np.int64))
-                seen, rare = np.zeros(len(df), bool), []
-                for at, end in zip((ends - n).tolist(), ends.tolist()):
-                    doc = ids[at:end]
-                    seen[doc] = True
-                    terms = np.flatnonzero(seen)
-                    seen[doc] = False
-                    df[terms] += 1
-                    # a byte-pair vocabulary numbers its tokens by falling frequency: the last ones are the rarest
-                    rare.append(int(terms[-1]) << 32 | int(terms[-2] if len(terms) > 1 else 0))
-                m, none = len(n), pa.nulls
-                offsets = pa.array(np.append(0, ends * width), pa.int32())
-                body = pa.Array.from_buffers(pa.binary(), m, [None, offsets.buffers()[1], pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0), pa.array(np.arange(row, row + m)), pa.array(rare, pa.int64()), body,
-                    pa.array(np.full(m, width, np.int32)), none(m, pa.int32()), none(m, pa.int64()),
-                    pa.array(np.full(m, DOCS, np.int32))], names=schema.names)
-                row, n_docs, n_ids = row + m, n_docs + m, n_ids + int(ends[-1])
-        terms = np.flatnonzero(df)
+                ends, m = np.cumsum(n), len(n)
+                doc, term = _terms(ids, n)
+                found = np.bincount(term, minlength=len(df))
+                last = np.cumsum(np.bincount(doc, minlength=m)) - 1
+                # a byte-pair vocabulary numbers its tokens by falling frequency: the last ones are the rarest
+                second = np.where(np.append(-1, last[:-1]) < last - 1, term[last - 1], 0)
+                rare = term[last] << 32 | second
+                found[:len(df)] += df
+                df, n_docs, n_ids = found, n_docs + m, n_ids + int(ends[-1])
+                whole = n // size * size
+                rest = n - whole
+                rows = np.arange(row, row + m)
+                row += m
+                some = np.flatnonzero(rest)
+                part = ids[np.repeat(ends - rest, rest) + np.arange(rest.sum()) - np.repeat(np.cumsum(rest) - rest, rest)]
+                if len(some):
+                    yield stored(b.column(0).take(pa.array(some)), rows[some], rare[some], whole[some],
+                                 (rest[some], n[some]), np.cumsum(rest)[some], part, RESTS)
+                some = np.flatnonzero(whole)
+                if len(some):
+                    yield stored(b.column(0).take(pa.array(some)), rows[some], np.zeros(len(some), np.int64),
+                                 np.zeros(len(some), np.int64), (whole[some], n[some]), (ends - rest)[some], ids, WHOLE)
         if n_docs:
+            terms = np.flatnonzero(df)
             count = np.concatenate([[n_docs, n_ids], df[terms]])
             m = len(count)
+            none = [pa.nulls(m, t) for t in (id_type, *[pa.int64()] * 4, pa.binary(), pa.int32())]
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                pa.nulls(m, pa.int32()), pa.array(np.concatenate([[-1, -2], terms]), pa.int32()), pa.array(count, pa.int64()),
+                *none, pa.array(np.concatenate([[-1, -2], terms]), pa.int32()), pa.array(count, pa.int64()),
                 pa.array(np.full(m, COUNTS, np.int32))], names=schema.names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -122,21 +145,11 @@ class Packer:
         self.sequence, self.open, self.filled = self.sequence + 1, [], 0
 
     def shard(self, docs: list) -> None:
-        """Place all documents of a shard: (key, ids). Only the last window may stay open."""
-        start = np.zeros(len(docs), np.int64)
-        left = np.array([len(ids) for _, ids in docs])
-        for i, (_, ids) in enumerate(docs):
-            whole = len(ids) // self.size
-            for w in range(whole):
-                # whole windows of a long document are sequences of their own
-                self.pieces.append((docs[i], w * self.size, self.size, self.sequence, 0))
-                self.sequence += 1
-            start[i], left[i] = whole * self.size, len(ids) - whole * self.size
-        unused = np.flatnonzero(left)
-        if not len(unused):
+        """Place all rests of a shard: (key, ids, start, doc_tokens). Only the last window may stay open."""
+        if not docs:
             return
-        rests = [docs[i][1][start[i]:] for i in unused]
-        start, left, docs = start[unused], left[unused], [docs[i] for i in unused]
+        rests = [d[1] for d in docs]
+        start, left = np.zeros(len(docs), np.int64), np.array([len(r) for r in rests])
         index = Index(rests, self.stats)
         free, seed = np.ones(len(docs), bool), 0
         while True:
@@ -198,13 +211,13 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 2048, end_id: int
          text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """A row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
-    Documents are encoded once into a scratch table; their document frequencies come from the same pass. They are range
-    partitioned by their rarest tokens, so lexically close documents meet in a shard and a group of copies spreads over as
+    Documents are encoded once into a scratch table; their document frequencies come from the same pass. Whole windows of
+    a long document are sequences of their own and are not shuffled; the rests, each of less than a window, are range
+    partitioned by the rarest tokens of their document, so lexically close documents meet in a shard and a group of copies spreads over as
     many shards as it fills. A shard of about ``shard_tokens`` (and at most
     512 documents) has an inverted index with BM25 weights from the statistics of
     the whole corpus. The first unused document is the seed of a window; its unused neighbours fill it by falling score,
-    first those that fit whole, then the best one is cut, and its rest seeds the next window. Whole windows of a long
-    document are sequences of their own. A window that a shard leaves open goes on in the next one; the last one of a
+    first those that fit whole, then the best one is cut, and its rest seeds the next window. A window that a shard leaves open goes on in the next one; the last one of a
     partition is cut into sequences of lengths that are powers of two, so nothing is padded.
 
     Null and empty texts hold the end id alone; rows that repeat an id are documents of their own; null ids are kept; ties
@@ -213,32 +226,32 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 2048, end_id: int
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "pack")
-    _encoded(docs, path, tokenizer_file, end_id, id_col, text_col)
-    kinds = spark.read.schema(T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(
-        T.StructField(a, t) for a, t in (("row", T.LongType()), ("rare", T.LongType()), ("ids", T.BinaryType()),
-                                         ("width", T.IntegerType()), ("term", T.IntegerType()), ("count", T.LongType()),
-                                         ("kind", T.IntegerType())))])).parquet(path)
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)]).add("start", "long").add("length", "long")
+    _encoded(docs, path, tokenizer_file, seq_len, end_id, id_col, text_col)
+    id_field = T.StructField("id", docs.schema[id_col].dataType)
+    stored = spark.read.schema(T.StructType([id_field, *_STORED.fields])).parquet(path)
+    schema = T.StructType([T.StructField("doc_id", id_field.dataType)]).add("start", "long").add("length", "long")
     schema = schema.add("ids", "binary").add("doc_tokens", "long").add("sequence_id", "long").add("offset", "long")
-    counted = kinds.filter(F.col("kind") == COUNTS).groupBy("term").agg(F.sum("count").alias("n")).collect()
+    counted = stored.filter(F.col("kind") == COUNTS).groupBy("term").agg(F.sum("count").alias("n")).collect()
     if not counted:
         return spark.createDataFrame([], schema)
     stats = Idf({r["term"]: r["n"] for r in counted})
-    rows = kinds.filter(F.col("kind") == DOCS).select("id", "rare", "row", "ids", "width")
-    ordered = rows.repartitionByRange("rare", "row").sortWithinPartitions("rare", "row")
+    columns = ["id", "ids", "start", "doc_tokens", "width"]
+    rests = stored.filter(F.col("kind") == RESTS).select("rare", "row", *columns)
+    ordered = rests.repartitionByRange("rare", "row").sortWithinPartitions("rare", "row").select(*columns)
 
-    def run(batches):
+    def read(b):
+        for key, body, start, n, width in zip(b.column(0).to_pylist(), b.column(1), *(c.to_pylist() for c in b.columns[2:])):
+            yield key, np.frombuffer(body.as_buffer(), f"<u{width}"), start, n
+
+    def neighbours(batches):
         from pyspark import TaskContext
 
-        packer, shard, held = Packer(seq_len, stats, TaskContext.get().partitionId() << 40), [], 0
-        id_type = None
+        packer, shard, held, id_type = Packer(seq_len, stats, TaskContext.get().partitionId() << 40), [], 0, None
         for b in batches:
             id_type = b.column(0).type
-            ids, widths = b.column(0).to_pylist(), b.column(4).to_pylist()
-            for key, body, width in zip(ids, b.column(3), widths):
-                doc = np.frombuffer(body.as_buffer(), f"<u{width}")
-                shard.append((key, doc))
-                held += len(doc)
+            for doc in read(b):
+                shard.append(doc)
+                held += len(doc[1])
                 if held >= shard_tokens or len(shard) >= SHARD_DOCS:
                     packer.shard(shard)
                     shard, held = [], 0
@@ -248,13 +261,31 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 2048, end_id: int
             packer.end()
             yield _pieces(packer.taken(), id_type, schema.names)
 
-    return ordered.mapInArrow(run, schema)
+    def windows(batches):
+        from pyspark import TaskContext
+
+        # sequences of the other kind begin at partition << 40
+        sequence = (1 << 62) + (TaskContext.get().partitionId() << 40)
+        for b in batches:
+            pieces = []
+            for doc in read(b):
+                for at in range(0, len(doc[1]), seq_len):
+                    pieces.append((doc, at, seq_len, sequence, 0))
+                    sequence += 1
+                if len(pieces) * seq_len >= shard_tokens:
+                    yield _pieces(pieces, b.column(0).type, schema.names)
+                    pieces = []
+            if pieces:
+                yield _pieces(pieces, b.column(0).type, schema.names)
+
+    whole = stored.filter(F.col("kind") == WHOLE).select(*columns)
+    return ordered.mapInArrow(neighbours, schema).unionByName(whole.mapInArrow(windows, schema))
 
 
 def _pieces(pieces: list, id_type, names: list[str]) -> pa.RecordBatch:
     body = [doc[1][start:start + n].astype("<u4").tobytes() for doc, start, n, _, _ in pieces]
     return pa.RecordBatch.from_arrays([
-        pa.array([p[0][0] for p in pieces], id_type), pa.array([p[1] for p in pieces], pa.int64()),
+        pa.array([p[0][0] for p in pieces], id_type), pa.array([p[0][2] + p[1] for p in pieces], pa.int64()),
         pa.array([p[2] for p in pieces], pa.int64()), pa.array(body, pa.binary()),
-        pa.array([len(p[0][1]) for p in pieces], pa.int64()), pa.array([p[3] for p in pieces], pa.int64()),
+        pa.array([p[0][3] for p in pieces], pa.int64()), pa.array([p[3] for p in pieces], pa.int64()),
         pa.array([p[4] for p in pieces], pa.int64())], names=names)
