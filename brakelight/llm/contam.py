@@ -49,11 +49,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 13, share: int
     fixed-size bit table first, and each surviving one carries only the words around it.
 
     Null text has no words and is not contaminated; windows shared by items count for each of them; items without
-    words and null item ids never count; repeated rows are judged separately; an empty table on either side gives
+    words never count; items without id count for the hits and are not listed; repeated rows are judged separately; an empty table on either side gives
     no hits; further columns are ignored.
     """
     spark = docs.sparkSession
-    win = item_windows(items.filter(F.col(item_id_col).isNotNull()), width, item_id_col, item_text_col)
+    win = item_windows(items, width, item_id_col, item_text_col)
     win = scratch_table(win, "contam-windows")
     texts = win.select("win").distinct()
     shingles = texts.select("win", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("win") - 2))).alias("off"))
@@ -109,7 +109,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 13, share: int
         lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["end"]))).alias("n"),
                               F.greatest(a["end"], x["e"]).alias("end")), lambda a: a["n"])
     found = (spans.filter(F.size("wins") > 0).select("row", F.explode("wins").alias("win"))
-             .join(win.select("item", "win"), "win")
+             .join(win.filter(F.col("item").isNotNull()).select("item", "win"), "win")
              .groupBy("row").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")))
     out = spans.join(found, "row", "left").select(
         F.col("id").alias(id_col), "n_words", covered.cast("long").alias("n_hit"),

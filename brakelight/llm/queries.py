@@ -157,7 +157,7 @@ SELECT p.doc_id, p.size, e.source_size, e.target,
 FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source""",
     "op6_decontaminate": rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 bw AS (
   SELECT DISTINCT item_id, list_slice(w, i, i + 12) AS win
   FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM b WHERE len(w) > 0)),
@@ -171,7 +171,7 @@ hit AS (
   FROM (SELECT DISTINCT rid, unnest(generate_series(i, i + n - 1)) AS p FROM h) GROUP BY rid),
 it AS (
   SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY rid)
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM h WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hit.n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(it.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256,
        coalesce(hit.n_hit, 0) > 0 AND 20 * coalesce(hit.n_hit, 0) >= len(d.w) AS contaminated

@@ -235,14 +235,14 @@ def test_decontamination_matches_brute_force(spark, docs, none):
         w, hit, found = byte_words(t), set(), set()
         for item, it in items:
             x = byte_words(it)
-            if item is None or not x:
+            if not x:
                 continue
             for k in range(max(1, len(x) - 12)):
                 win = x[k:k + 13]
                 for s in range(len(w) - len(win) + 1):
                     if w[s:s + len(win)] == win:
                         hit |= set(range(s, s + len(win)))
-                        found.add(str(item))
+                        found |= {str(item)} - {"None"}  # hits count, but there is no id to list
         want.append((i, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     assert counted(tuple(r) for r in got) == counted(want)
     assert sum(r[4] for r in want) >= 3
