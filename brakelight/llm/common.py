@@ -126,24 +126,49 @@ def ordered_prefix(df: DataFrame, order: list[str], group: str, value: str, out:
     return joined.select(*cols, (F.col("_offset") + F.col("_local")).alias(out))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def in_blocks(items: Column, block: Column, fold) -> Column:
+    """``fold`` of each run of ``block`` items, as an array: folds that copy what they grow stay short."""
+    n = F.size(items)
+    starts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)), block)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: fold(F.slice(items, at, block), at))
+
+
+def running_sums(values: Column) -> Column:
+    """Sum of each value (int) and all before it. Blocks of about the root of their number are summed on their own and
+    shifted by the blocks before, so the work grows with the power 1.5 of the number of values."""
+    none = F.array().cast("array<int>")
+
+    def sums(xs):
+        return F.aggregate(xs, none, lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x)))
+
+    def shifted(inner):
+        before = sums(F.concat(F.array(F.lit(0)), F.transform(inner, lambda x: F.element_at(x, -1))))
+        return F.flatten(F.filter(F.zip_with(inner, before, lambda x, b: F.transform(x, lambda y: y + b)), lambda x: x.isNotNull()))
+
+    block = lambda v: F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v))).cast("int"))
+    return let(values, lambda v: let(in_blocks(v, block(v), lambda xs, at: sums(xs)), shifted))
+
+
 def located(text: Column, pattern: str) -> Column:
     """Array of structs (s, e, m): code-point start, exclusive end and text of every match, left to right.
 
     The pattern must never match the empty string. ``split`` and ``regexp_extract_all`` walk the same leftmost,
-    non-overlapping matches, so match i begins after pieces 0..i and matches 0..i-1; lengths count code points.
+    non-overlapping matches, so match i ends after pieces 0..i and matches 0..i; lengths count code points.
     """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     steps = F.filter(F.zip_with(found, between, lambda m, g: F.struct(F.char_length(g).alias("gap"), m.alias("m"))),
                      lambda x: x["m"].isNotNull())
-    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    return F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.char_length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("s"), (acc["at"] + x["gap"] + F.char_length(x["m"])).alias("e"),
-                x["m"].alias("m")))).alias("out")),
-        lambda acc: acc["out"])
+
+    def placed(steps):
+        ends = running_sums(F.transform(steps, lambda x: x["gap"] + F.char_length(x["m"])))
+        return F.zip_with(steps, ends, lambda x, e: F.struct((e - F.char_length(x["m"])).alias("s"), e.alias("e"), x["m"].alias("m")))
+
+    return let(steps, placed)
 
 
 def located_if(test: Column, text: Column, pattern: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from .common import located_if, scratch_table, span_list, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone", "local_phone", "national_id", "email_at"]
 BASE = 4
+#: outer groups are possessive: nothing follows them, and a greedy group would recurse once per repetition
 #: a match begins at the start of its run, or right after the match before it; the other starts cannot match
-EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 #: a maximal run with fewer than 13 digits fails its check from every start, so it is not matched at all
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,}+"
@@ -21,7 +23,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 LOCAL_PHONE = r"(?<![0-9+A-Za-z])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])"
 NATIONAL_ID = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 EMAIL_AT = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}+"
-            r"(?: ?(?:[\[(] ?dot ?[\])]|\.) ?[A-Za-z0-9-]{1,63}+)+")
+            r"(?: ?(?:[\[(] ?dot ?[\])]|\.) ?[A-Za-z0-9-]{1,63}+)++")
 
 #: fixed values: gazetteers
 TOP_DOMAINS = ["com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "it", "uk", "nl", "eu", "ch", "at"]
@@ -42,6 +44,12 @@ CONTEXT = {
 AGAINST = r"version|\bv\.?\s?$|release|build|order|invoice|isbn|page|section|article no|ref\b|figure|serial"
 VOTERS = ["pattern", "check", "gazetteer", "context"]
 WINDOW = 32
+#: characters of the pieces in which a text is looked up; a lookup in the whole text would walk it from its start
+CHUNK = 1024
+
+
+def any_of(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
 
 
 def _luhn(digits: Column) -> Column:
@@ -109,13 +117,19 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tests = [t.contains("@"), t.rlike(r"[0-9]\.[0-9]"), t.rlike(CARD), t.contains("+"), t.rlike("[0-9][.-][0-9]{4}"),
              t.rlike("[0-9]-[0-9]{2}-"), t.rlike(r"[\[(] ?at ?[\])]")]
     pats = [EMAIL, IP, CARD, PHONE, LOCAL_PHONE, NATIONAL_ID, EMAIL_AT]
-    found = rows.select("id", "text", *[located_if(test, t, p).alias(f"m{k}")
-                                        for k, (test, p) in enumerate(zip(tests, pats))])
+    found = rows.select("id", *[located_if(test, t, p).alias(f"m{k}") for k, (test, p) in enumerate(zip(tests, pats))],
+                        F.when(any_of(tests), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).alias("chunks"))
+
+    def preceding(s: Column) -> Column:
+        """The WINDOW characters before position ``s``, from the chunk of the text that holds them and the one before."""
+        at = (s / CHUNK).cast("int")
+        two = F.concat(F.coalesce(F.get("chunks", at - 1), F.lit("")), F.coalesce(F.get("chunks", at), F.lit("")))
+        end = s - F.greatest(at - 1, F.lit(0)) * CHUNK
+        return F.substring(two, F.greatest(end - WINDOW + 1, F.lit(1)), F.least(end, F.lit(WINDOW)))
 
     def voted(k: int) -> Column:
         def one(x):
-            before = F.lower(F.substring(t, F.greatest(x["s"] - WINDOW + 1, F.lit(1)),
-                                         F.least(x["s"], F.lit(WINDOW))))
+            before = F.lower(preceding(x["s"]))
             context = F.when(before.rlike(CONTEXT[KINDS[k]]), 1).when(before.rlike(AGAINST), 0).otherwise(-1)
             return F.struct(
                 F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"),

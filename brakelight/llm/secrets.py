@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import located_if, span_list, text_or_empty
+from .common import in_blocks, located_if, span_list, text_or_empty
 
 KINDS = ["assign", "access", "hex", "entropy"]
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -20,7 +20,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
 ALLOWED = [r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
            r"(?i)0123456789|abcdefghij|qwertyuiop",
            r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-           r"^(?:[0-9]+[-_/=+]?)+$", r"(.)\1{7}"]
+           r"^[0-9](?:[-_/=+]?[0-9])*+[-_/=+]?$", r"(.)\1{7}"]
 #: classes of characters with fewer symbols than base64: letters and digits of one case, with their number of symbols
 HEX_RUN, CLASSES = r"[0-9a-fA-F]", [(r"[A-Z2-7]", 32), (r"[a-z2-7]", 32), (r"[a-z0-9]", 36), (r"[A-Z0-9]", 36)]
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
@@ -44,30 +44,43 @@ def class_bits(symbols: int, width: int, mixed_bits: float) -> float:
     return mean - (mean64 - mixed_bits) * sd / sd64
 
 
+#: positions that one fold judges; it copies the list it grows, so it is kept short
+BLOCK = 256
+
+
 def window_entropy(codes: Column, width: int) -> Column:
-    """Per position of ``codes`` (array of 1-based letters of ALPHABET) from ``width`` on: entropy of the window
-    of ``width`` characters that ends there, in bits.
+    """Entropy in bits of every window of ``width`` consecutive ``codes`` (1-based letters of ALPHABET), by its start.
 
-    The fold carries the count of every letter and the sum of c*log2(c); a step removes the letter that leaves
-    the window and adds the one that enters, so only their two terms of the sum change.
+    A fold carries the count of every letter and the sum of c*log2(c); a step removes the letter that leaves
+    the window and adds the one that enters, so only their two counts change. Each block of positions has a fold
+    of its own, which reads the ``width`` letters before, so the work grows with the length of the run.
     """
     f = F.array(*[F.lit(float(c * math.log2(c)) if c else 0.0) for c in range(width + 1)])
-    zero = F.array_repeat(F.lit(0), len(ALPHABET) + 1)
-    start = F.struct(zero.alias("c"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("h"))
+    size = len(ALPHABET) + 1
+    start = F.struct(F.array_repeat(F.lit(0), size).alias("c"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("h"))
+
+    def put(counts, at, value):
+        return F.concat(F.slice(counts, F.lit(1), at), F.array(value), F.slice(counts, at + 2, F.lit(size)))
 
-    def step(acc, i):
-        new = F.element_at(codes, i)
-        old = F.when(i > width, F.element_at(codes, F.greatest(i - width, F.lit(1)))).otherwise(F.lit(0))
-        n_old = F.get(acc["c"], old)
-        n_new = F.get(acc["c"], new) - F.when(old == new, F.lit(1)).otherwise(F.lit(0))
-        left = F.when(old > 0, F.get(f, n_old - 1) - F.get(f, n_old)).otherwise(F.lit(0.0))
-        total = acc["sum"] + left + F.get(f, n_new + 1) - F.get(f, n_new)
-        counts = F.transform(acc["c"], lambda c, k: c + F.when(k == new, 1).otherwise(0)
-                             - F.when((k == old) & (old > 0), 1).otherwise(0))
-        h = F.when(i >= width, F.concat(acc["h"], F.array(F.lit(math.log2(width)) - total / width))).otherwise(acc["h"])
-        return F.struct(counts.alias("c"), total.alias("sum"), h.alias("h"))
+    def fold(_, at):
+        def own(i):
+            return F.element_at(codes, at - 1 + i)
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda acc: acc["h"])
+        def step(acc, i):
+            new, old = own(i), F.when(i > width, own(F.greatest(i - width, F.lit(1)))).otherwise(F.lit(0))
+            n_old = F.get(acc["c"], old)
+            left = F.when(old > 0, F.get(f, n_old - 1) - F.get(f, n_old)).otherwise(F.lit(0.0))
+            less = F.when(old > 0, put(acc["c"], old, n_old - 1)).otherwise(acc["c"])
+            n_new = F.get(acc["c"], new) - F.when(old == new, F.lit(1)).otherwise(F.lit(0))
+            total = acc["sum"] + left + F.get(f, n_new + 1) - F.get(f, n_new)
+            h = F.when(i >= width, F.concat(acc["h"], F.array(F.lit(math.log2(width)) - total / width))).otherwise(acc["h"])
+            return F.struct(put(less, new, n_new + 1).alias("c"), total.alias("sum"), h.alias("h"))
+
+        last = F.least(F.lit(BLOCK + width - 1), F.size(codes) - at + 1)
+        return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda acc: acc["h"])
+
+    starts = F.slice(codes, F.lit(1), F.greatest(F.size(codes) - width + 1, F.lit(0)))
+    return F.flatten(in_blocks(starts, F.lit(BLOCK), fold))
 
 
 def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_bits: float = 3.85,
@@ -105,11 +118,15 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
             found.append(F.transform(F.filter(located_if(m.rlike(p), m, p), ok), of_class))
         return F.concat(*found)
 
-    def limit(runs: Column, i: Column) -> Column:
-        """Limit of the window that starts at ``i``."""
-        inside = F.filter(runs, lambda r: (r["s"] <= i) & (r["e"] >= i + width))
-        return F.when(F.size(runs) == 0, F.lit(mixed_bits)).otherwise(
-            F.coalesce(F.array_min(F.transform(inside, lambda r: r["bits"])), F.lit(mixed_bits)))
+    def passing(x: Column) -> Column:
+        """Starts of the windows above their limit (a class asks for less than ``mixed_bits``) that touch no allowed match."""
+        h = x["h"]
+        places = F.sequence(F.lit(0), F.size(h) - 1)
+        above = F.filter(F.transform(h, lambda b, i: F.when(b >= mixed_bits, i)), lambda i: i.isNotNull())
+        of_class = F.transform(x["runs"], lambda r: F.filter(
+            F.sequence(r["s"], r["e"] - width), lambda i: F.get(h, i) >= r["bits"]))
+        touched = F.transform(x["off"], lambda a: F.sequence(a["s"] - width + 1, a["e"] - 1))
+        return F.array_intersect(F.array_except(F.array_union(above, F.flatten(of_class)), F.flatten(touched)), places)
 
     def allowed(m: Column) -> Column:
         """Matches (s, e) of the allow-list in a candidate."""
@@ -133,18 +150,14 @@ def scan_secrets(docs: DataFrame, width: int = 20, hex_bits: float = 3.0, mixed_
         "id", "a", "b", "c",
         F.transform("cand", lambda x: F.struct(
             x["s"].alias("s"), x["runs"].alias("runs"), x["off"].alias("off"), window_entropy(x["codes"], width).alias("h"))).alias("cand"))
-    high = judged.select(
-        "id", "a", "b", "c",
-        F.transform("cand", lambda x: F.struct(x["s"].alias("s"), F.filter(
-            F.transform(x["h"], lambda h, i: F.when(
-                (h >= limit(x["runs"], i)) & ~F.exists(x["off"], lambda a: (a["s"] < i + width) & (a["e"] > i)), i)), lambda i: i.isNotNull()).alias("at"))
-        ).alias("cand"))
+    high = judged.select("id", "a", "b", "c", F.transform("cand", lambda x: F.struct(
+        x["s"].alias("s"), passing(x).alias("at"))).alias("cand"))
     found = high.select(
         "id", F.size("a").cast("long").alias("n_assign"), F.size("b").cast("long").alias("n_access"),
         F.size("c").cast("long").alias("n_hex"), F.array_sort(F.concat("a", "b", "c")).alias("base"),
         F.transform(F.filter("cand", lambda x: F.size(x["at"]) > 0), lambda x: F.struct(
-            (x["s"] + F.element_at(x["at"], 1)).cast("int").alias("s"), F.lit(3).alias("k"),
-            (x["s"] + F.element_at(x["at"], -1) + width).cast("int").alias("e"))).alias("extra"))
+            (x["s"] + F.array_min(x["at"])).cast("int").alias("s"), F.lit(3).alias("k"),
+            (x["s"] + F.array_max(x["at"]) + width).cast("int").alias("e"))).alias("extra"))
     out = found.select(
         F.col("id").alias(id_col), "n_assign", "n_access", "n_hex", "base",
         F.when(F.size("extra") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", F.coalesce(F.filter(
