@@ -811,15 +811,17 @@ def _ragged_sql() -> str:
     inner = _processed_text_sql().replace("SELECT ", "SELECT seq, ", 1)
     cols = [(f"CASE WHEN seq % 7 = 0 THEN '' ELSE {c} END AS {c}" if c in ("cmplid", "odino", "mfr_name") else c)
             for c in LOADER_COLUMNS if c != "embedding"]
+    cols = ["CASE WHEN seq % 5 = 0 THEN replace(cdescr, ' ', chr(10)) ELSE cdescr END AS cdescr" if c == "cdescr" else c for c in cols]
     return f"SELECT {', '.join(cols)} FROM ({inner})"
 
 
 @query("scan_ragged_csv", O.with_views(_ragged_sql(), complaints=True, extra=O.clean_ctes()))
 def q_scan_ragged_csv(spark, sf):
-    """Header in a different column order, every 7th row missing its last three fields."""
+    """Header in a different column order, every 7th row missing its last three fields, line breaks in quoted fields."""
     from ..schemas import CLEAN_COLUMNS, LOADER_COLUMNS
     d = _run_dir(spark, "ragged")
     t = typed_ops.processed_text(clean.clean_complaints(_complaints(spark, sf)), keep=("seq",))
+    t = t.withColumn("cdescr", F.when(F.col("seq") % 5 == 0, F.replace("cdescr", F.lit(" "), F.lit("\n"))).otherwise(F.col("cdescr")))
     cols = list(reversed(CLEAN_COLUMNS))
 
     def quoted(c):
