@@ -1,63 +1,158 @@
-"""Approximate top-k: inverted lists from MLlib k-means, probe, exact rescore; recall@k.
+"""Approximate top-k: a two-level tree of centroids, probed lists, exact rescore; recall@k.
 
-Re-aims the graph index of the source system for Spark: the corpus is partitioned into lists by cosine k-means,
-each query probes its closest centroids, and only the probed lists are scored, exactly. The number of lists
-grows with the corpus and training reads every vector; the number of probed lists follows from a measured recall. Lists meet their probing queries in (list, corpus block,
-query block) groups: both sides of a list are split by their sizes, so no task holds a hot list or the many
-queries of a popular one.
+Re-aims the graph index of the source system for Spark. The corpus is dealt to about sqrt(rows) lists by a tree of two
+levels: about rows^(1/4) cells, each with lists in proportion to its rows. Each level is trained by spherical k-means on a
+bounded sample (``TRAIN_ROWS`` vectors per centroid, chosen by a hash of their id), cells side by side; every vector is then
+assigned, and centroids become the means of their members. The driver holds the cells' centroids only.
+
+Lists stand on shelves of about ``list_rows`` vectors (a larger list fills several). A query travels once per shelf that
+holds any of its lists, with their numbers, and is scored there against the rows of those lists alone, exactly. Shelves
+and query blocks are split by size, so no task holds a hot list or all queries of a popular one. The number of
+probed lists follows from a measured recall and is stored with the lists.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors
 from ..session import scratch_path
 from . import topk
 
+#: vectors per centroid that a level is trained on
+TRAIN_ROWS = 256
+
 
 def list_count(n_rows: int) -> int:
     """Lists for a corpus: about the square root of its rows, so lists and centroids grow alike."""
     return max(1, round(n_rows ** 0.5))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def _kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """Spherical k-means of unit vectors, begun with the first distinct ones; at most ``k`` centroids."""
+    _, first = np.unique(x, axis=0, return_index=True)
+    c = x[np.sort(first)[:k]]
+    for _ in range(rounds):
+        near = (x @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, near, x)
+        new = np.where((np.bincount(near, minlength=len(c)) > 0)[:, None], _unit(sums), c)
+        if np.array_equal(new, c):
+            break
+        c = new
+    return c
+
+
+def _trained(sample: DataFrame, rounds: int) -> DataFrame:
+    """(cell, at, centroid): ``n`` centroids for each cell of the sample; a group holds a bounded sample."""
+    def train(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("order", kind="stable")
+        c = _kmeans(_unit(np.vstack(df["v"].to_numpy()).astype(np.float64)), int(df["n"].iloc[0]), rounds)
+        return pd.DataFrame({"cell": df["cell"].iloc[0], "at": np.arange(len(c)), "centroid": [r.tolist() for r in c]})
+
+    return sample.groupBy("cell").applyInPandas(train, "cell int, at int, centroid array<double>")
+
+
+def _nearest(rows: pd.Series, centroids: np.ndarray) -> np.ndarray:
+    return (np.vstack(rows.to_numpy()).astype(np.float64) @ centroids.T).argmax(axis=1)
+
+
 def build_lists(corpus: DataFrame, n_lists: int | None = None, seed: int = 7, id_col: str = "id",
-                vec_col: str = "embedding", max_iter: int = 20) -> tuple[DataFrame, DataFrame]:
+                vec_col: str = "embedding", max_iter: int = 12) -> tuple[DataFrame, DataFrame]:
     """(corpus with ``list_id``, centroids ``(list_id, centroid)``).
 
-    k-means trains on all vectors; every vector goes to its closest centroid, and the centroids are the means
-    of the assigned vectors. Null, empty and zero vectors are in no list.
+    Every vector is in one list; null, empty and zero vectors are in none. At most about ``n_lists`` lists, fewer where a
+    cell has fewer distinct vectors. Trained on at most about 4 * ``TRAIN_ROWS`` vectors per centroid of a cell.
     """
+    spark = corpus.sparkSession
     data = (corpus.where(F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & (vectors.norm(vec_col) > 0))
-            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
-                    array_to_vector(vectors.l2_normalize(vec_col)).alias("features")))
-    km = KMeans(k=n_lists or list_count(data.count()), seed=seed, maxIter=max_iter, distanceMeasure="cosine",
-                featuresCol="features", predictionCol="list_id")
-    assigned = km.fit(data).transform(data)
-    cents = (assigned.groupBy("list_id").agg(Summarizer.mean(F.col("features")).alias("c"))
-             .select("list_id", vector_to_array("c", "float32").alias("centroid")))
-    return assigned.select("id", "v", "list_id"), cents
+            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+            .withColumn("order", F.xxhash64("id", F.lit(seed))))
+    n = data.count()
+    lists = n_lists or list_count(n)
+    cells = max(1, round(lists ** 0.5))
+    chosen = data.where(F.pmod("order", F.lit(max(1, n))) < TRAIN_ROWS * cells)
+    top = _trained(chosen.select("v", "order", F.lit(0).alias("cell"), F.lit(cells).alias("n")), max_iter)
+    # one centroid per cell: the fourth root of the rows
+    centroids = np.array([r["centroid"] for r in top.orderBy("at").collect()] or np.zeros((1, 1)))
+
+    @F.pandas_udf("int")
+    def cell_of(v: pd.Series) -> pd.Series:
+        return pd.Series(_nearest(v, centroids).astype(np.int32))
+
+    celled = data.withColumn("cell", cell_of("v"))
+    # a cell gets lists by its rows, and a sample of bounded size however many rows it holds
+    sizes = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = sizes.withColumn("n", F.greatest(F.lit(1), F.least(F.lit(4 * cells), F.round(F.col("rows") * lists / max(1, n)))).cast("int"))
+    second = celled.join(F.broadcast(sizes), "cell").where(F.pmod(F.xxhash64("order"), "rows") < TRAIN_ROWS * F.col("n"))
+    tree = _trained(second.select("v", "order", "cell", "n"), max_iter)
+
+    block = F.pmod("order", F.greatest(F.lit(1), F.ceil(F.col("rows") / topk.DEFAULT_BLOCK_ROWS)))
+    rows = celled.join(F.broadcast(sizes), "cell").select("cell", block.cast("int").alias("block"), "id", "v")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("rows") / topk.DEFAULT_BLOCK_ROWS)).cast("int")
+    copies = tree.join(F.broadcast(sizes), "cell").select("cell", "at", "centroid", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    width = 4 * cells
+
+    def assign(df: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+        if df.empty:
+            return pd.DataFrame({"id": [], "v": [], "list_id": []})
+        children = children.sort_values("at")
+        at = children["at"].to_numpy()[_nearest(df["v"], np.vstack(children["centroid"].to_numpy()))]
+        return pd.DataFrame({"id": df["id"], "v": df["v"], "list_id": (df["cell"] * width + at).astype(np.int32)})
+
+    kind = data.schema["v"].dataType.simpleString()
+    key = ["cell", "block"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assigned = (rows.repartition(parts, *key).groupBy(*key).cogroup(copies.repartition(parts, *key).groupBy(*key))
+                .applyInPandas(assign, f"id long, v {kind}, list_id int"))
+    return assigned, centroid_means(assigned)
+
+
+def centroid_means(assigned: DataFrame) -> DataFrame:
+    """(list_id, centroid): mean of the unit vectors of each list."""
+    unit = assigned.select("list_id", array_to_vector(vectors.l2_normalize("v")).alias("u"))
+    return unit.groupBy("list_id").agg(Summarizer.mean(F.col("u")).alias("c")).select(
+        "list_id", vector_to_array("c", "float32").alias("centroid"))
 
 
 def store_lists(lists: tuple[DataFrame, DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
-    """Write the lists once, partitioned by ``list_id``, with their centroids, and read them back."""
-    assigned, cents = lists
-    assigned.repartition("list_id", F.pmod(F.xxhash64("id"), F.lit(8))).write.partitionBy("list_id").parquet(
-        f"{path}/lists")
-    cents.coalesce(1).write.parquet(f"{path}/centroids")
-    return read_lists(assigned.sparkSession, path)
+    """Write the lists once, with the means of their members as centroids, and read them back."""
+    assigned, _ = lists
+    spark = assigned.sparkSession
+    assigned.write.parquet(f"{path}/lists")
+    centroid_means(spark.read.parquet(f"{path}/lists")).coalesce(1).write.parquet(f"{path}/centroids")
+    return read_lists(spark, path)
 
 
 def read_lists(spark, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/lists"), spark.read.parquet(f"{path}/centroids")
 
 
+def build_index(corpus: DataFrame, queries: DataFrame, path: str, k: int = 20, recall: float = 0.95, n_lists: int | None = None,
+                seed: int = 7, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "incident_id",
+                qvec_col: str = "qv", exclude_self: bool = True) -> tuple[tuple[DataFrame, DataFrame], int]:
+    """Build and store the lists and the number of probes that finds ``recall`` of the queries' exact top-k."""
+    lists = store_lists(build_lists(corpus, n_lists, seed, id_col, vec_col), path)
+    n = probes_for_recall(corpus, queries, lists, k, recall, id_col, vec_col, qid_col, qvec_col, exclude_self)
+    corpus.sparkSession.createDataFrame([(n,)], "n_probe int").coalesce(1).write.json(f"{path}/probes")
+    return lists, n
+
+
+def read_index(spark, path: str) -> tuple[tuple[DataFrame, DataFrame], int]:
+    return read_lists(spark, path), spark.read.schema("n_probe int").json(f"{path}/probes").first()["n_probe"]
+
+
 #: queries that the number of probes is measured on; a smaller set is measured whole
 MEASURED_QUERIES = 2000
 
@@ -97,33 +192,61 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
     ``lists``: what ``store_lists`` or ``build_lists`` returned; built and stored below the shared scratch
     folder when not given. Ties between centroids go to the lower list id.
     """
+    spark = corpus.sparkSession
     if lists is None:
-        lists = store_lists(build_lists(corpus, n_lists, seed, id_col, vec_col),
-                            scratch_path(corpus.sparkSession, f"lists-{uuid.uuid4().hex}"))
+        lists = store_lists(build_lists(corpus, n_lists, seed, id_col, vec_col), scratch_path(spark, f"lists-{uuid.uuid4().hex}"))
     assigned, cents = lists
     q = topk._query_vectors(queries, qid_col, qvec_col)
     n_probe = n_probe or probes_for_recall(corpus, queries, lists, k, recall, id_col, vec_col, qid_col, qvec_col,
                                            exclude_self)
     # the closest centroids are an exact top-k themselves: nothing is fetched or broadcast
     closest = topk.topk_exact(cents, queries, n_probe, id_col="list_id", vec_col="centroid", qid_col=qid_col,
-                              qvec_col=qvec_col, exclude_self=False)
-    probes = q.join(closest.select("qid", F.col("id").cast("int").alias("list_id")), "qid")
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(list_rows)).cast("int").alias(name))
-
-    split = blocks(assigned, "cn").join(blocks(probes, "qn"), "list_id")
-    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ["list_id", "_cb", "_qb"]
-    c2 = (assigned.join(split, "list_id").withColumn("_cb", F.pmod(F.xxhash64("id"), "cn").cast("int"))
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1))).select(*key, "id", "v"))
-    q2 = (probes.join(split, "list_id").withColumn("_qb", F.pmod(F.xxhash64("qid"), "qn").cast("int"))
-          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.col("cn") - 1))).select(*key, "qid", "qv"))
+                              qvec_col=qvec_col, exclude_self=False).select("qid", F.col("id").cast("int").alias("list_id"))
+
+    # shelves: lists one after the other, cut every ``list_rows`` vectors (a row per list, sqrt(rows) of them)
+    before = Window.orderBy("list_id").rowsBetween(Window.unboundedPreceding, -1)
+    shelves = (assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("rows"))
+               .withColumn("shelf", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / list_rows).cast("int"))
+               .withColumn("wide", F.ceil(F.col("rows") / list_rows).cast("int")).drop("rows"))
+    n_q = q.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(list_rows))).cast("int")).scalar()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = ["_shelf", "_qb"]
+    c2 = assigned.join(shelves, "list_id").select(
+        (F.col("shelf") + F.pmod(F.xxhash64("id"), "wide")).cast("int").alias("_shelf"),
+        F.explode(F.sequence(F.lit(0), n_q - 1)).alias("_qb"), "id", "v", "list_id")
+    visits = (closest.join(shelves, "list_id")
+              .select("qid", "list_id", F.explode(F.sequence(F.col("shelf"), F.col("shelf") + F.col("wide") - 1)).alias("_shelf"))
+              .groupBy("qid", "_shelf").agg(F.collect_set("list_id").alias("lists")))
+    q2 = q.join(visits, "qid").select("_shelf", F.pmod(F.xxhash64("qid"), n_q).cast("int").alias("_qb"), "qid", "qv", "lists")
     cands = (c2.repartition(n, *key).groupBy(*key).cogroup(q2.repartition(n, *key).groupBy(*key))
-             .applyInPandas(topk._block_topk(k, exclude_self), schema=topk.CAND_SCHEMA))
+             .applyInPandas(_shelf_topk(k, exclude_self), schema=topk.CAND_SCHEMA))
     return topk._final_topk(cands, k)
 
 
+def _shelf_topk(k: int, exclude_self: bool):
+    """Pandas function: the lists of a shelf against the queries that probe each of them, top-k per query."""
+    score = topk._block_topk(k, exclude_self)
+
+    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        if cdf.empty or qdf.empty:
+            return topk._frame()
+        probed = np.concatenate(qdf["lists"].map(np.asarray).to_list())
+        who = np.repeat(np.arange(len(qdf)), qdf["lists"].map(len).to_numpy())
+        order = np.argsort(probed, kind="stable")
+        probed, who = probed[order], who[order]
+        found = []
+        for list_id, rows in cdf.groupby("list_id", sort=True):
+            at = who[np.searchsorted(probed, list_id):np.searchsorted(probed, list_id, side="right")]
+            if len(at):
+                found.append(score(rows, qdf.iloc[at]))
+        if not found:
+            return topk._frame()
+        every = pd.concat(found, ignore_index=True)
+        return every.iloc[topk._first_k(every["qid"].to_numpy(), every["score"].to_numpy(), every["id"].to_numpy(), k)]
+
+    return run
+
+
 def recall_at_k(exact: DataFrame, approx: DataFrame, k: int) -> DataFrame:
     """Per query: share of the exact top-k found by the approximate top-k."""
     hit = exact.select("qid", "id").join(approx.select("qid", "id"), ["qid", "id"], "left_semi")
