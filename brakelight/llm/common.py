@@ -44,6 +44,10 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
+#: Spark's setting for removing shuffle files at the end of a query
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
@@ -52,11 +56,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def scratch_table(df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The folder is added to ``paths``, for ``remove_tables``.
+    The shuffle files of the write are not needed once it has ended, so Spark is told to remove them then. The folder is
+    added to ``paths``, for ``remove_tables``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     if paths is not None:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

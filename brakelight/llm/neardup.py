@@ -13,43 +13,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_words, remove_tables, scratch_table
+from .common import WORD_BYTES, byte_words, remove_tables, scratch_table
 from .components import components
 
 SHINGLE = 5
-#: counters per row of a document-frequency sketch, and rows
-WIDTH, DEPTH = 1 << 18, 2
-#: shingles of the texts that ask for their document frequencies together, least number of buckets that shingles
+#: bytes of the texts that ask for their document frequencies together, least number of buckets that shingles
 #: are counted in, and bytes of text for one more bucket
-CHUNK, BUCKETS, BUCKET_BYTES = 100_000, 128, 1 << 23
+CHUNK, BUCKETS, BUCKET_BYTES = 700_000, 128, 1 << 23
 #: entries of each random table
 POOL = 1 << 15
 _U = np.uint64
 _ODD = np.random.default_rng(20240229).integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word):
-        if len(self) >= 300_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(31))) * _U(0x9E3779B97F4A7C15)
+    return x ^ (x >> _U(29))
 
 
-_HASHES = _WordHashes()
+#: a random number per byte, the base of word hashes and its inverse modulo 2^64, bytes of text hashed at once
+_BYTE = np.random.default_rng(20240301).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_BASE, SEGMENT = int(_ODD[40]), 1 << 19
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(31))) * _U(0x9E3779B97F4A7C15)
-    return x ^ (x >> _U(29))
+def _powers(n: int) -> list[np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[k] = np.cumprod(np.append(_U(1), np.full(n - 1, base, np.uint64)))
+    return _POWERS
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text: of each, the sum of its bytes' numbers times powers of the base, mixed.
+
+    Prefix sums over the text give all words at once. Long texts are cut between words.
+    """
+    data = text.encode("utf-8", "surrogatepass").translate(WORD_BYTES) if text else b""
+    found, at = [], 0
+    while at < len(data):
+        end = len(data) if len(data) - at <= SEGMENT else data.find(b" ", at + SEGMENT)
+        end = len(data) if end < 0 else end
+        x = np.frombuffer(data, np.uint8, end - at, at)
+        edge = np.flatnonzero(np.diff((x != 32).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+        start, stop = edge[::2], edge[1::2]
+        power, inverse = _powers(max(len(x), SEGMENT))
+        total = np.cumsum(_BYTE[x] * power[:len(x)])
+        found.append(_mix((total[stop - 1] - np.where(start > 0, total[start - 1], _U(0))) * inverse[start]))
+        at = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Hashes of the runs of five words of a text, repeats kept; a shorter text is one shingle of all its words."""
-    found = byte_words(text)
-    if not found:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+    w = word_hashes(text)
+    if not len(w):
+        return w
     if len(w) < SHINGLE:
         w = np.concatenate([w, np.zeros(SHINGLE - len(w), np.uint64)])
     n = len(w) - SHINGLE + 1
@@ -60,27 +80,21 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 class Frequencies:
-    """Document frequencies of shingles over all distinct texts: given with a text, or else from a count-min sketch."""
+    """Inverse document frequencies over ``texts`` distinct texts."""
 
-    def __init__(self, counts: np.ndarray | None, texts: int):
-        self.counts, self.texts = counts, texts
+    def __init__(self, texts: int):
+        self.texts = texts
 
-    def idf(self, h: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
+    def idf(self, df: np.ndarray) -> np.ndarray:
         """Smoothed inverse document frequency, from 1 (in every text) to 2 (in one)."""
-        if df is None:
-            df = np.minimum(*[self.counts[d][slots(h, d)] for d in range(DEPTH)])
         full = np.log1p(self.texts)
         return (1 + np.clip((full - np.log1p(df)) / max(full, 1e-9), 0, 1)).astype(np.float32)
 
 
-def slots(h: np.ndarray, d: int) -> np.ndarray:
-    return ((h * _ODD[8 + d]) >> _U(64 - 18)).astype(np.int64)
-
-
 def weighted(text: str | None, freq: Frequencies, df: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles in ascending order, their TF-IDF weights); ``df``: their document frequencies as int64."""
+    """(distinct shingles in ascending order, their TF-IDF weights); ``df``: their document frequencies as int64, 1 if not given."""
     h, tf = np.unique(shingles(text), return_counts=True)
-    return h, tf.astype(np.float32) * freq.idf(h, None if df is None else np.frombuffer(df, np.int64))
+    return h, tf.astype(np.float32) * freq.idf(np.ones(len(h)) if df is None else np.frombuffer(df, np.int64))
 
 
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -104,6 +118,7 @@ class Sampler:
         rng = np.random.default_rng(seed)
         self.samples = samples
         self.r = rng.gamma(2, 1, (samples, POOL)).astype(np.float32)
+        self.inverse = 1 / self.r
         self.c = np.log(rng.gamma(2, 1, (samples, POOL))).astype(np.float32)
         self.beta = rng.random((samples, POOL), np.float32)
         self.mult = rng.integers(1, 1 << 63, samples, dtype=np.uint64) * _U(2) + _U(1)
@@ -115,9 +130,16 @@ class Sampler:
         lw = np.log(w)
         for k in range(self.samples):
             s = ((h * self.mult[k]) >> _U(64 - 15)).astype(np.int64)
-            r, beta = self.r[k][s], self.beta[k][s]
-            t = np.floor(lw / r + beta)
-            a = self.c[k][s] - r * (t - beta + np.float32(1))
+            beta = self.beta[k].take(s)
+            t = self.inverse[k].take(s)
+            t *= lw
+            t += beta
+            np.floor(t, out=t)
+            a = beta
+            a -= t
+            a -= np.float32(1)
+            a *= self.r[k].take(s)
+            a += self.c[k].take(s)
             low = np.repeat(np.minimum.reduceat(a, starts), lens)
             hit = np.flatnonzero(a == low)
             key = _mix(h[hit] + t[hit].astype(np.int64).view(np.uint64) * _ODD[20])
@@ -152,47 +174,54 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def _asked(texts: DataFrame, buckets: int) -> DataFrame:
-    """The rows of ``texts`` with their ``chunk``, and per chunk and bucket the shingles whose counts it needs.
-
-    A chunk is named by its first node. Rows of texts have no bucket; the other rows hold distinct shingles of the
-    chunk (``h``, ascending) and the number of its texts that each is in (``n``).
-    """
-    # rows without a text have nulls in its columns
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in texts.schema])
-    schema = schema.add("chunk", "binary").add("bucket", "integer").add("h", "binary").add("n", "binary")
-    at_node, at_text, width = texts.columns.index("node"), texts.columns.index("text"), len(texts.columns)
+def _chunked(texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` with their ``chunk``: runs of about ``CHUNK`` bytes of text, named by their first node."""
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in texts.schema]).add("chunk", "binary")
+    at_node, at_text = texts.columns.index("node"), texts.columns.index("text")
 
     def run(batches):
+        chunk, held = None, 0
         for b in batches:
-            nodes, values = b.column(at_node).to_pylist(), b.column(at_text).to_pylist()
-            at = 0
-            while at < b.num_rows:
-                hs, end, total = [], at, 0
-                while end < b.num_rows and total < CHUNK:
-                    hs.append(np.unique(shingles(values[end])))
-                    total += len(hs[-1])
-                    end += 1
-                m, chunk = end - at, nodes[at]
-                none = [pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*[c.slice(at, m) for c in b.columns], pa.array([chunk] * m, pa.binary()),
-                                                  *none], names=schema.names)
-                h, n = np.unique(np.concatenate(hs), return_counts=True)
-                bucket = _bucket(h, buckets)
-                order = np.argsort(bucket, kind="stable")
-                h, n, bucket = h[order], n[order].astype(np.int64), bucket[order]
-                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(h)]
-                parts = list(zip(cuts, cuts[1:]))
-                m = len(parts)
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.nulls(m, c.type) for c in b.columns[:width]], pa.array([chunk] * m, pa.binary()),
-                     pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array([h[x:y].tobytes() for x, y in parts], pa.binary()),
-                     pa.array([n[x:y].tobytes() for x, y in parts], pa.binary())], names=schema.names)
-                at = end
+            names = []
+            for node, size in zip(b.column(at_node).to_pylist(), pc.binary_length(b.column(at_text)).to_pylist()):
+                if chunk is None or held >= CHUNK:
+                    chunk, held = node, 0
+                held += size
+                names.append(chunk)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.binary())], names=schema.names)
 
     return texts.mapInArrow(run, schema)
 
 
+def _asked(texts: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, bucket, h, n): per chunk and bucket its distinct shingles, ascending, and the number of its texts that each is in."""
+    def asked(chunk, hs):
+        h, n = np.unique(np.concatenate(hs), return_counts=True)
+        bucket = _bucket(h, buckets)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")  # 16 bits sort by radix
+        h, n, bucket = h[order], n[order].astype(np.int64), bucket[order]
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(h)]
+        parts = list(zip(cuts, cuts[1:]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * len(parts), pa.binary()), pa.array(bucket[cuts[:-1]].astype(np.int32)),
+             pa.array([h[x:y].tobytes() for x, y in parts], pa.binary()),
+             pa.array([n[x:y].tobytes() for x, y in parts], pa.binary())], names=["chunk", "bucket", "h", "n"])
+
+    def run(batches):
+        last, hs = None, []
+        for b in batches:
+            for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if hs and chunk != last:
+                    yield asked(last, hs)
+                    hs = []
+                last = chunk
+                hs.append(np.unique(shingles(text)))
+        if hs:
+            yield asked(last, hs)
+
+    return texts.select("chunk", "text").mapInArrow(run, "chunk binary, bucket int, h binary, n binary")
+
+
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h * _ODD[8]) >> _U(33)).astype(np.int64) % buckets
 
@@ -220,13 +249,12 @@ def _answers(asked: DataFrame) -> DataFrame:
                 out.append((chunk, x[n > 1].tobytes(), n[n > 1].tobytes()))
         return pd.DataFrame(out, columns=schema.names)
 
-    return asked.filter("bucket is not null").select("chunk", "bucket", "h", "n").groupBy("bucket").applyInPandas(run, schema)
+    return asked.groupBy("bucket").applyInPandas(run, schema)
 
 
-def _signatures(asked: DataFrame, freq, bands: int, rows: int) -> DataFrame:
+def _signatures(texts: DataFrame, answers: DataFrame, freq, bands: int, rows: int) -> DataFrame:
     """Texts with ``df``, ``sig``, ``bands``, ``size``: the document frequencies of the distinct shingles, the low
     byte of every sample, one hash per band, the bytes of the text."""
-    texts = asked.filter("bucket is null").drop("bucket", "h", "n")
     schema = (T.StructType([f for f in texts.schema if f.name != "chunk"]).add("df", "binary").add("sig", "binary")
               .add("bands", T.ArrayType(T.LongType())).add("size", "long"))
 
@@ -239,23 +267,21 @@ def _signatures(asked: DataFrame, freq, bands: int, rows: int) -> DataFrame:
         n = np.frombuffer(b"".join(found["n"]), np.int64)
         order = np.argsort(h)
         h, n = np.append(h[order], _U(0xFFFFFFFFFFFFFFFF)), np.append(n[order], 1)
-        dfs, sets = [], []
-        for text in pdf["text"]:
-            own = np.unique(shingles(text))
-            at = np.minimum(np.searchsorted(h, own), len(h) - 1)
-            dfs.append(np.where(h[at] == own, n[at], 1).tobytes())
-            sets.append(weighted(text, freq.value, dfs[-1]))
+        sets = [np.unique(shingles(text), return_counts=True) for text in pdf["text"]]
         lens = np.fromiter((len(x) for x, _ in sets), np.int64, len(sets))
-        sig = _sampler(bands * rows).sign(np.concatenate([x for x, _ in sets]), np.concatenate([w for _, w in sets]), lens)
+        own, tf = np.concatenate([x for x, _ in sets]), np.concatenate([c for _, c in sets])
+        at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+        df = np.where(h[at] == own, n[at], 1)
+        sig = _sampler(bands * rows).sign(own, tf.astype(np.float32) * freq.value.idf(df), lens)
         band = np.zeros((len(lens), bands), np.uint64)
         for j in range(rows):
             band = _mix(band + sig[:, j::rows] * _ODD[30 + j])
-        low = (sig & _U(255)).astype(np.uint8)
+        low, ends = (sig & _U(255)).astype(np.uint8), np.cumsum(lens)
         return pdf.drop(columns="chunk").assign(
-            df=dfs, sig=[x.tobytes() for x in low], bands=list(band.view(np.int64)),
-            size=[len(t.encode("utf-8", "surrogatepass")) for t in pdf["text"]])
+            df=[df[e - k:e].tobytes() for e, k in zip(ends.tolist(), lens.tolist())], sig=[x.tobytes() for x in low],
+            bands=list(band.view(np.int64)), size=[len(t.encode("utf-8", "surrogatepass")) for t in pdf["text"]])
 
-    return texts.groupBy("chunk").cogroup(_answers(asked).groupBy("chunk")).applyInPandas(run, schema)
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, schema)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, freq) -> DataFrame:
@@ -409,10 +435,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     texts = (_nodes(docs, id_col, text_col, True).filter(F.col("node") != F.lit(_NO_WORDS)).groupBy("node")
              .agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"), F.first("text").alias("text")))
     first: list[str] = []
-    asked = scratch_table(_asked(texts, max(BUCKETS, n_bytes // BUCKET_BYTES)), "texts", first)
-    total = asked.filter("bucket is null").count()
-    freq = spark.sparkContext.broadcast(Frequencies(None, total))
-    texts = signed = scratch_table(_signatures(asked, freq, bands, rows), "signatures", paths)
+    texts = scratch_table(_chunked(texts), "texts", first)
+    freq = spark.sparkContext.broadcast(Frequencies(texts.count()))
+    answers = scratch_table(_answers(_asked(texts, max(BUCKETS, n_bytes // BUCKET_BYTES))), "answers", first)
+    texts = signed = scratch_table(_signatures(texts, answers, freq, bands, rows), "signatures", paths)
     remove_tables(spark, first)
     member = signed.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = member.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -421,11 +447,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 14, ro
     hubs = inside.join(near, "node").groupBy("band", "key").agg(F.max(F.struct("near", "node"))["node"].alias("hub"))
     pairs = inside.join(hubs, ["band", "key"]).filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = scratch_table(_verify(pairs.distinct(), texts, freq).filter(F.col("sim") >= threshold).select("a", "b"), "links-hub", paths)
-    roots = components(links)
+    roots = components(links, paths)
     floor = threshold - 5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
     more = _across(inside, roots, signed, texts, freq, threshold, floor, paths=paths)
     if not more.isEmpty():
-        roots = components(roots.toDF("a", "b").unionByName(more))
+        roots = components(roots.toDF("a", "b").unionByName(more), paths)
 
     nodes = texts.select("node", "rep_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = nodes.groupBy("root").agg(F.min("rep_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("n_texts"))

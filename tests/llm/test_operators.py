@@ -303,7 +303,7 @@ def _classes(sets, threshold=0.8):
 def test_links_across_components_of_a_bucket(spark, block):
     """All texts in two buckets, every one its own component: the links give the classes of all pairs."""
     texts = _edited_copies()
-    freq = neardup.Frequencies(np.ones((neardup.DEPTH, neardup.WIDTH), np.int64), len(texts))
+    freq = neardup.Frequencies(len(texts))
     node = [bytes([k]) for k in range(len(texts))]
     inside = spark.createDataFrame([(b, 5, len(node), x) for b in (0, 1) for x in node], "band int, key long, n long, node binary")
     signed = spark.createDataFrame([(x, bytes(56), [5, 5], len(t)) for x, t in zip(node, texts)],
@@ -320,21 +320,23 @@ def test_links_across_components_of_a_bucket(spark, block):
     assert len(links) < len(texts) * (len(texts) - 1) // 2
 
 
-@pytest.mark.parametrize("chunk", [500, 100_000])
+@pytest.mark.parametrize("chunk", [3_000, 700_000])
 def test_weights_follow_exact_document_frequencies(spark, monkeypatch, chunk):
-    """More distinct shingles than a sketch has counters: the frequencies kept with the texts are exact."""
+    """The frequencies kept with the texts are exact, however the texts are cut into chunks."""
     monkeypatch.setattr(neardup, "CHUNK", chunk)
     rng = np.random.default_rng(9)
     shared = " ".join(f"s{k}" for k in range(40))
-    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 500 if chunk < 1000 else 2000)) + " " + shared * (k % 3 == 0)
-             for k in range(60 if chunk < 1000 else 400)]
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 500 if chunk < 10_000 else 2000)) + " " + shared * (k % 3 == 0)
+             for k in range(60 if chunk < 10_000 else 400)]
     rows = spark.createDataFrame([(str(k).encode(), t) for k, t in enumerate(texts)], "node binary, text string")
-    asked = neardup._asked(rows.repartition(4), 7).checkpoint()
-    freq = spark.sparkContext.broadcast(neardup.Frequencies(None, len(texts)))
-    got = {int(r.node): np.frombuffer(r.df, np.int64) for r in neardup._signatures(asked, freq, 2, 2).collect()}
+    chunked = neardup._chunked(rows.repartition(4)).checkpoint()
+    assert chunked.select("chunk").distinct().count() >= (20 if chunk < 10_000 else 4)
+    answers = neardup._answers(neardup._asked(chunked, 7))
+    freq = spark.sparkContext.broadcast(neardup.Frequencies(len(texts)))
+    got = {int(r.node): np.frombuffer(r.df, np.int64) for r in neardup._signatures(chunked, answers, freq, 2, 2).collect()}
     sets = [np.unique(neardup.shingles(t)) for t in texts]
     values, counts = np.unique(np.concatenate(sets), return_counts=True)
-    assert len(got) == len(texts) and (chunk < 1000 or len(values) > 2 * neardup.WIDTH)
+    assert len(got) == len(texts)
     for k, h in enumerate(sets):
         assert (got[k] == counts[np.searchsorted(values, h)]).all()
     full = np.log1p(len(texts))
@@ -346,11 +348,11 @@ def test_weights_follow_exact_document_frequencies(spark, monkeypatch, chunk):
 def test_near_duplicates_match_all_pairs(spark):
     """Classes of edited copies, copies of copies and other texts, by brute force over all pairs."""
     texts = _edited_copies()
-    counts = np.zeros((neardup.DEPTH, neardup.WIDTH), np.int64)
-    for t in texts:
-        for d in range(neardup.DEPTH):
-            counts[d] += np.bincount(neardup.slots(np.unique(neardup.shingles(t)), d), minlength=neardup.WIDTH)
-    want = _classes([neardup.weighted(t, neardup.Frequencies(counts, len(texts))) for t in texts])
+    sets = [np.unique(neardup.shingles(t)) for t in texts]
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    freq = neardup.Frequencies(len(texts))
+    want = _classes([neardup.weighted(t, freq, counts[np.searchsorted(values, h)].astype(np.int64).tobytes())
+                     for t, h in zip(texts, sets)])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
     assert [got[k] for k in range(len(texts))] == want
