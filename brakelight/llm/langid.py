@@ -189,7 +189,7 @@ class _Labeler:
         self.may, self.chars = np.empty((0, k), bool), np.empty(0, np.int64)
 
     def texts(self, texts: list[str | None], penalty: float):
-        """(label, score, spans) of each text."""
+        """(label, score, spans, fit) of each text."""
         if len(self.words) > self.cached:
             self._clear()
         rows = []
@@ -208,7 +208,7 @@ class _Labeler:
         fits = self.may[every, labels] if len(every) else np.empty(0, bool)
         for n in lens.tolist():
             if not n:
-                yield UNKNOWN, 0.0, ""
+                yield UNKNOWN, 0.0, "", 0.0
                 continue
             lab, ch = labels[at:at + n], chars[at:at + n]
             weight = np.bincount(lab, weights=ch, minlength=k)
@@ -216,23 +216,25 @@ class _Labeler:
             sure = float(ch[(lab == best) & fits[at:at + n]].sum() / ch.sum())
             cut = np.flatnonzero(np.diff(lab)) + 1
             starts, ends = [0, *cut.tolist()], [*cut.tolist(), n]
-            yield names[best], sure, ",".join(f"{names[lab[s]]}:{s}:{e}" for s, e in zip(starts, ends))
+            yield names[best], sure, ",".join(f"{names[lab[s]]}:{s}:{e}" for s, e in zip(starts, ends)), float(
+                ch[fits[at:at + n]].sum() / ch.sum())
             at += n
 
 
 def identify(docs: DataFrame, model: Model | None, penalty: float = 12.0, batch_rows: int = 4000,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, held_out, lang_pred, score, spans.
+    """One row per input row: id, held_out, lang_pred, score, spans, fit.
 
     Every word of a whole text is scored for the languages written in its script; Viterbi over the words, with
     ``penalty`` nats for a change of language, labels them. ``lang_pred`` labels most letters; ``score`` is the
-    share of letters labelled so in a script of that language; ``spans`` lists ``language:first word:end``.
+    share of letters labelled so in a script of that language; ``spans`` lists ``language:first word:end``;
+    ``fit`` is the share of letters in words whose label fits their script, whatever the language.
 
     Null text, text without letters, or a missing model gives ``und``, 0.0 and no spans. Repeated rows give repeated
     results; ties go to the first language by name; an empty table gives an empty result; further columns are ignored.
     """
     schema = (T.StructType().add(id_col, docs.schema[id_col].dataType).add("held_out", "boolean")
-              .add("lang_pred", "string").add("score", "double").add("spans", "string"))
+              .add("lang_pred", "string").add("score", "double").add("spans", "string").add("fit", "double"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: languages x buckets
 
     def run(batches):
@@ -241,10 +243,10 @@ def identify(docs: DataFrame, model: Model | None, penalty: float = 12.0, batch_
             for at in range(0, big.num_rows, batch_rows):
                 b = big.slice(at, batch_rows)
                 texts = b.column(2).to_pylist()
-                got = list(labeler.texts(texts, penalty)) if labeler else [(UNKNOWN, 0.0, "")] * len(texts)
+                got = list(labeler.texts(texts, penalty)) if labeler else [(UNKNOWN, 0.0, "", 0.0)] * len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()),
-                     pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.string())],
+                     pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.string()), pa.array([g[3] for g in got], pa.float64())],
                     names=schema.names)
 
     rows = docs.select(F.col(id_col).alias("id"), is_held_out(id_col).alias("h"), F.col(text_col).cast("string").alias("t"))
