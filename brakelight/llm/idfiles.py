@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import open_fs, scratch_path
+from .common import open_fs, scratch_path, slices
 
 #: chunks kept per Python worker; a full cache is emptied, which costs time but never changes an id
 CACHED_CHUNKS = 1_200_000
@@ -51,6 +51,7 @@ class Encoder:
             t["content"].startswith(t["content"][i:]) for i in range(1, len(t["content"])))), None)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.limit = CACHED_CHUNKS
         if self.chunked:
             from tokenizers import pre_tokenizers
 
@@ -127,7 +128,7 @@ class Encoder:
         counts = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         begins = np.cumsum(counts) - counts
         flat = parts.flatten()
-        if len(self.after) + len(self.first) > CACHED_CHUNKS:
+        if len(self.after) + len(self.first) > self.limit:
             self._clear()
         coded = flat.dictionary_encode()
         after = self._places(coded.dictionary.to_pylist(), self.after, " ")
@@ -148,25 +149,17 @@ class Encoder:
         return pool[at], total
 
 
-def slices(batch: pa.RecordBatch, column: int, size: int):
-    """Runs of rows whose texts in ``column`` hold about ``size`` bytes; a longer text is a run of its own."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
-    at = 0
-    while at < batch.num_rows:
-        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
-        yield batch.slice(at, last - at)
-        at = last
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(file: str) -> Encoder:
+def encoder(file: str, cached_chunks: int = CACHED_CHUNKS) -> Encoder:
+    """The worker's encoder of a vocabulary file; it keeps its chunks as long as the worker lives."""
     if file not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
         _ENCODERS[file] = Encoder(file)
+    _ENCODERS[file].limit = cached_chunks
     return _ENCODERS[file]
 
 
@@ -175,7 +168,8 @@ _MANIFEST = (T.StructType().add("part", "integer").add("file", "string").add("n_
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_file: str, seq_len: int = 2048, end_id: int = 0,
-              id_col: str = "doc_id", text_col: str = "text", batch_seqs: int = 256) -> DataFrame:
+              id_col: str = "doc_id", text_col: str = "text", batch_seqs: int = 256,
+              cached_chunks: int = CACHED_CHUNKS) -> DataFrame:
     """Encode every whole text, append ``end_id`` and write the ids in ascending id order below ``path``.
 
     Each partition of the range-partitioned documents writes
@@ -187,7 +181,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, seq_len: int = 20
 
     ``A`` names the task attempt; the returned manifest (also written below ``path``) names the files of the
     attempts that count, so files of lost attempts are never read. Null text gives the end id alone; null ids
-    come first; rows that repeat an id are written next to each other; an empty table gives an empty
+    come first; ``cached_chunks`` bounds what a worker keeps (about 200 bytes each); rows that repeat an id are written next to each other; an empty table gives an empty
     manifest; further columns are ignored.
     """
     spark = docs.sparkSession
@@ -201,7 +195,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, seq_len: int = 20
         for big in batches:
             for b in slices(big, 1, SLICE_BYTES):
                 if out is None:
-                    enc = encoder(tokenizer_file)
+                    enc = encoder(tokenizer_file, cached_chunks)
                     out = _Writer(path, name, enc.dtype, seq_len, batch_seqs, b.schema.field(0).type)
                 out.add(b.column(0), *enc.encode(b.column(1), end_id))
                 n_docs += b.num_rows

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 #: fixed values: first and last code point of the blocks of each script
@@ -221,7 +223,11 @@ class _Labeler:
             at += n
 
 
-def identify(docs: DataFrame, model: Model | None, penalty: float = 12.0, batch_rows: int = 4000,
+#: bytes of text that are labelled at once
+SLICE_BYTES = 2 << 20
+
+
+def identify(docs: DataFrame, model: Model | None, penalty: float = 12.0,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score, spans, fit.
 
@@ -240,8 +246,7 @@ def identify(docs: DataFrame, model: Model | None, penalty: float = 12.0, batch_
     def run(batches):
         labeler = _Labeler(shared.value) if shared.value is not None else None
         for big in batches:
-            for at in range(0, big.num_rows, batch_rows):
-                b = big.slice(at, batch_rows)
+            for b in slices(big, 2, SLICE_BYTES):
                 texts = b.column(2).to_pylist()
                 got = list(labeler.texts(texts, penalty)) if labeler else [(UNKNOWN, 0.0, "", 0.0)] * len(texts)
                 yield pa.RecordBatch.from_arrays(

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch_path
-from .idfiles import SLICE_BYTES, encoder, slices
+from .common import scratch_path, slices
+from .idfiles import SLICE_BYTES, encoder
 
 K1, B = 1.2, 0.75
 #: tokens of the documents that one index holds; a document longer than this has an index of its own
