@@ -51,9 +51,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     same or no doc_id are not affected.
     """
     keyed, row = _keyed(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
-    texts = keyed.select(key.alias("key"), "text")
-    kept = neardup.near_duplicates(texts, id_col="key").filter("kept").select(F.col("key.row").alias(row))
+    # ids of one length sort as text like the numbers; "~" comes after them
+    number = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("~"))
+    texts = keyed.select(F.concat_ws(":", number, row).alias("key"), "text")
+    kept = neardup.near_duplicates(texts, id_col="key").filter("kept").select(F.regexp_replace("key", "^[^:]*:", "").alias(row))
     return keyed.join(kept, row, "left_semi").select(*docs.columns)
 
 
@@ -81,7 +82,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the mixed documents as id files and describe every document from the files (null text: the end id alone)."""
     path = scratch_path(spark, "pipeline-ids")
-    idfiles.write_ids(docs, path, tokenizer_path("byte_bpe_50k.json"))
+    # workers live on after the stage, so they keep less than op3's do
+    idfiles.write_ids(docs, path, tokenizer_path("byte_bpe_50k.json"), cached_chunks=200_000)
     return idfiles.read_documents(spark, path, docs.schema["doc_id"].dataType)
 
 
