@@ -203,6 +203,44 @@ def rule_grade(retrieved: DataFrame, drafts: DataFrame, max_causes: int = 3) ->
                     F.coalesce(critique, F.lit("")).alias("critique"))
 
 
+#: where a cause begins in a draft
+CAUSE_RX = r"(?i)\bcause [a-z0-9]+\b"
+
+
+def draft_causes(drafts: DataFrame, col: str = "draft_report") -> DataFrame:
+    """(incident_id, cause, claim, cited): the causes that a draft lists, in order from 1, each with the text up to the next
+    one and the distinct ids cited in it. A draft that names no cause has no row; a null draft is empty."""
+    pieces = F.split(F.coalesce(F.col(col), F.lit("")), CAUSE_RX, -1)
+    rows = drafts.select("incident_id", F.posexplode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("cause", "claim"))
+    return rows.select("incident_id", (F.col("cause") + 1).alias("cause"), "claim",
+                       F.array_distinct(F.regexp_extract_all("claim", F.lit(CITATION_RX), F.lit(1))).alias("cited"))
+
+
+def cause_grade(retrieved: DataFrame, drafts: DataFrame, max_causes: int = 3) -> DataFrame:
+    """Model-free grade of the causes of each draft: incident_id, n_causes, n_uncited, n_misapplied, status, critique.
+
+    Every cause needs a citation of its own, and one of its cited records must have been retrieved and have a component
+    that the claim names (any case); at most ``max_causes`` causes. A draft without causes fails. Records without a
+    component support nothing; repeated drafts of an incident are graded together.
+    """
+    causes = draft_causes(drafts)
+    records = retrieved.select("incident_id", F.col("id").cast("string").alias("cited_id"), "compdesc")
+    named = F.coalesce((F.col("compdesc") != "") & F.contains(F.upper("claim"), F.upper("compdesc")), F.lit(False))
+    cited = causes.select("incident_id", "cause", "claim", F.size("cited").alias("n_cited"), F.explode_outer("cited").alias("cited_id"))
+    each = (cited.join(records, ["incident_id", "cited_id"], "left").groupBy("incident_id", "cause")
+            .agg(F.max("n_cited").alias("n_cited"), F.max(named).alias("supported")))
+    per = each.groupBy("incident_id").agg(
+        F.count(F.lit(1)).alias("n_causes"), F.count_if(F.col("n_cited") == 0).alias("n_uncited"),
+        F.count_if((F.col("n_cited") > 0) & ~F.col("supported")).alias("n_misapplied"))
+    j = drafts.select("incident_id").distinct().join(per, "incident_id", "left").fillna(0, ["n_causes", "n_uncited", "n_misapplied"])
+    critique = (F.when(F.col("n_causes") == 0, F.lit("no cause"))
+                .when(F.col("n_uncited") > 0, F.lit("a cause has no citation of its own"))
+                .when(F.col("n_misapplied") > 0, F.lit("a citation does not support its cause"))
+                .when(F.col("n_causes") > max_causes, F.lit("too many causes")))
+    return j.select("*", F.when(critique.isNull(), F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
+                    F.coalesce(critique, F.lit("")).alias("critique"))
+
+
 def grounding_ratio(retrieved: DataFrame, drafts: DataFrame) -> DataFrame:
     """Share of cited ids that were retrieved; null when nothing is cited."""
     cites = extract_citations(drafts).select("incident_id", F.size("citations").alias("n_cited"))

@@ -630,6 +630,28 @@ def q_rule_grade(spark, sf):
     return report.rule_grade(r, d)
 
 
+@query("cause_grade", O.with_views(
+    """SELECT d.incident_id, coalesce(n_causes, 0) AS n_causes, coalesce(n_uncited, 0) AS n_uncited,
+       coalesce(n_misapplied, 0) AS n_misapplied,
+       CASE WHEN coalesce(n_causes, 0) IN (1, 2, 3) AND n_uncited = 0 AND n_misapplied = 0 THEN 'pass' ELSE 'fail' END AS status,
+       CASE WHEN coalesce(n_causes, 0) = 0 THEN 'no cause' WHEN n_uncited > 0 THEN 'a cause has no citation of its own'
+            WHEN n_misapplied > 0 THEN 'a citation does not support its cause'
+            WHEN n_causes > 3 THEN 'too many causes' ELSE '' END AS critique
+FROM cause_drafts d LEFT JOIN (
+  SELECT incident_id, count(*) AS n_causes, count(*) FILTER (len(cited) = 0) AS n_uncited,
+         count(*) FILTER (len(cited) > 0 AND NOT supported) AS n_misapplied
+  FROM (SELECT c.*, EXISTS (SELECT 1 FROM retrieved r WHERE r.incident_id = c.incident_id
+                            AND list_contains(c.cited, CAST(r.id AS VARCHAR)) AND r.compdesc <> ''
+                            AND contains(upper(c.claim), upper(r.compdesc))) AS supported FROM causes c)
+  GROUP BY incident_id) USING (incident_id)""", corpus=True, extra=O.CAUSES_CTE))
+def q_cause_grade(spark, sf):
+    """Each cause of a draft has its own citation, of a retrieved record whose component the cause names."""
+    r, _ = _retrieved(spark, sf)
+    g = report.cause_grade(r, V.cause_drafts(r))
+    return g.select("incident_id", *[F.col(c).cast("long").alias(c) for c in ("n_causes", "n_uncited", "n_misapplied")],
+                    "status", "critique")
+
+
 @query("grounding_ratio", O.with_views(
     """SELECT c.incident_id, CAST(len(c.citations) AS BIGINT) AS n_cited, coalesce(g.n, 0) AS n_grounded,
        CASE WHEN len(c.citations) > 0 THEN round(coalesce(g.n, 0) / len(c.citations), 6) END AS grounding_ratio

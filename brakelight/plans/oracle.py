@@ -221,6 +221,23 @@ invented AS (
                     AND CAST(r.id AS VARCHAR) = c.cited_id))"""
 
 
+def _cause(k: int, claim: str | None = None, cite: bool = True) -> str:
+    tail = f"' [' || r{k} || ']. '" if cite else "'. '"
+    return f"'Cause {'ABCD'[k - 1]}: ' || {repr(claim) if claim else f'c{k}'} || {tail}"
+
+
+_RANKED = ", ".join(f"min(CASE WHEN rank = {k} THEN {c} END) AS {n}{k}" for k in range(1, 5) for n, c in (("r", "id"), ("c", "compdesc")))
+CAUSES_CTE = f"""cause_drafts AS (
+  SELECT incident_id, CASE incident_id % 6 WHEN 0 THEN 'Insufficient data to conclude.' WHEN 1 THEN {_cause(1)}
+         WHEN 2 THEN {' || '.join(map(_cause, (1, 2, 3)))} WHEN 3 THEN {' || '.join(map(_cause, (1, 2, 3, 4)))}
+         WHEN 4 THEN {_cause(1)} || {_cause(2, cite=False)} ELSE {_cause(1)} || {_cause(2, 'no such part')} END AS draft_report
+  FROM (SELECT incident_id, {_RANKED} FROM retrieved GROUP BY incident_id)),
+causes AS (
+  SELECT incident_id, claim, list_distinct(regexp_extract_all(claim, '\\[(\\d+)\\]', 1)) AS cited
+  FROM (SELECT incident_id, unnest(list_slice(l, 2, len(l))) AS claim
+        FROM (SELECT incident_id, regexp_split_to_array(coalesce(draft_report, ''), '(?i)\\bcause [a-z0-9]+\\b') AS l FROM cause_drafts)))"""
+
+
 def fixed2_sql(x: str) -> str:
     r = f"CAST(round(CAST(round({x}, 6) AS DECIMAL(20, 6)), 2) AS DECIMAL(20, 2))"
     return f"(CASE WHEN {x} < 0 AND {r} = 0 THEN '-0.00' ELSE CAST({r} AS VARCHAR) END)"

@@ -58,3 +58,19 @@ def test_loop_never_passing_grader_stops_at_max(spark):
     assert len(out) == 1 and out[0]["revision_count"] == 3 and out[0]["status"] == "fail"
     ok = loop.revise_loop(states).collect()
     assert ok[0]["status"] == "pass" and ok[0]["revision_count"] == 1
+
+
+def test_every_cause_needs_its_own_supporting_citation(spark):
+    from brakelight.operators import report
+    docs = spark.createDataFrame([(i, d, c) for i in range(9) for d, c in ((1, "AIR BAGS"), (2, "STEERING"), (3, "BRAKES"), (4, ""))],
+                                 "incident_id long, id long, compdesc string")
+    texts = ["Nothing to say.", "Cause A: air bags [1].", "Cause A: air bags [1]. Cause B: STEERING column [2]. cause 3: brakes [3].",
+             "Cause A: air bags [1]. Cause B: steering [2]. Cause C: brakes [3]. Cause D: brakes again [3].",
+             "Cause A: air bags [1]. Cause B: steering.", "Cause A: steering [1].", "Cause A: brakes [77].", None, "Cause A: any [4]."]
+    drafts = spark.createDataFrame(list(enumerate(texts)), "incident_id long, draft_report string")
+    got = {r.incident_id: (r.n_causes, r.n_uncited, r.n_misapplied, r.status, r.critique) for r in report.cause_grade(docs, drafts).collect()}
+    other = "a citation does not support its cause"
+    assert got == {0: (0, 0, 0, "fail", "no cause"), 1: (1, 0, 0, "pass", ""), 2: (3, 0, 0, "pass", ""),
+                   3: (4, 0, 0, "fail", "too many causes"), 4: (2, 1, 0, "fail", "a cause has no citation of its own"),
+                   5: (1, 0, 1, "fail", other), 6: (1, 0, 1, "fail", other), 7: (0, 0, 0, "fail", "no cause"), 8: (1, 0, 1, "fail", other)}
+    assert report.draft_causes(drafts).where("incident_id = 2").count() == 3
