@@ -399,6 +399,28 @@ def q_format_embedding_literal(spark, sf):
     return e.select("vec_id", vectors.format_literal("embedding").alias("embedding"))
 
 
+@query("vector_csv_round_trip", """
+SELECT vec_id, label, TRUE AS is_valid, CAST(len(embedding) AS BIGINT) AS dim,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS vsum,
+       round(list_sum(list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * i)), 6) AS placed_sum
+FROM embeddings""")
+def q_vector_csv_round_trip(spark, sf):
+    """Vectors written as literals to an interchange CSV and read back from its files."""
+    d = _run_dir(spark, "interchange")
+    sinks.write_interchange_csv(V.table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), d)
+    back = src.scan_clean_csv(spark, d, required=["vec_id", "embedding"])
+    vec, ok = vectors.parse_literal("embedding")
+    rows = back.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").try_cast("int").alias("label"),
+                       vec.alias("v"), ok.alias("is_valid"))
+
+    def total(values):
+        return F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6)
+
+    return rows.select("vec_id", "label", "is_valid", F.size("v").cast("long").alias("dim"),
+                       total(F.transform("v", lambda x: x.cast("double"))).alias("vsum"),
+                       total(F.transform("v", lambda x, i: x.cast("double") * (i + 1))).alias("placed_sum"))
+
+
 @query("parse_embedding", """
 SELECT vec_id, ok AS is_valid, CASE WHEN ok THEN len(vals) END AS dim,
        CASE WHEN ok THEN round(list_sum(list_transform(vals, lambda x: CAST(x AS DOUBLE))), 6) END AS vsum
