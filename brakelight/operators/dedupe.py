@@ -1,7 +1,7 @@
 """Exact and near-duplicate groups of texts, without emitting pairs inside a group.
 
-Exact: group on a 96-bit fingerprint (two independent hashes + length) of
-the whitespace-normalised text; every member is joined to its group's
+Exact: a fingerprint (two hashes and the length) of the whitespace-normalised
+text names the candidates, their texts are compared, and every member is joined to its group's
 smallest id. Near: MinHash signatures (words hashed in Spark SQL, shingle
 and MinHash arithmetic vectorised over Arrow batches) cut into bands; inside each
 band bucket every member links to the bucket's smallest id (a star, never
@@ -32,18 +32,36 @@ def normalized(c) -> "F.Column":
     return F.regexp_replace(F.regexp_replace(F.col(c), WS_RUN, " "), r"^ | $", "")
 
 
-def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, group_id, group_size)`` for every text that occurs at least twice."""
+def fingerprint(norm) -> "list[F.Column]":
+    """Two hashes and the length of a text: equal texts have equal fingerprints, the reverse is checked on the texts."""
+    return [F.xxhash64(norm).alias("_h1"), F.hash(norm).alias("_h2"), F.length(norm).alias("_len")]
+
+
+def exact_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", marks=fingerprint) -> DataFrame:
+    """``(doc_id, group_id, group_size)`` for every text that occurs at least twice.
+
+    Only rows whose fingerprint occurs again send their normalised text, and copies are combined before the shuffle. A
+    fingerprint of one text needs no more than its number; rows of a fingerprint that several texts share are matched
+    on the text itself. Null texts are in no group.
+    """
     n = normalized(text_col)
+    rows = ensure_parallelism(df.select(F.col(id_col).alias("doc_id"), F.col(text_col)))
     # the narrow (id, fingerprint) table is used twice (group sizes, join back): written once to the
-    # shared checkpoint folder, so the text is read and normalised once
-    keyed = ensure_parallelism(df.select(F.col(id_col).alias("doc_id"), F.col(text_col))).select(
-        F.col("doc_id"), F.xxhash64(n).alias("_h1"), F.hash(n).alias("_h2"),
-        F.length(n).alias("_len")).checkpoint()
-    keys = ["_h1", "_h2", "_len"]
-    groups = (keyed.groupBy(*keys).agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
-              .where(F.col("group_size") >= 2))
-    return keyed.join(groups, keys).select("doc_id", "group_id", "group_size")
+    # shared checkpoint folder
+    keyed = rows.select("doc_id", *marks(n)).checkpoint()
+    keys = keyed.columns[1:]
+    again = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n >= 2").drop("n")
+    texts = rows.select("doc_id", n.alias("_norm"), *marks(n)).join(again, keys, "left_semi")
+    classes = (texts.groupBy(*keys, "_norm").agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
+               .checkpoint())
+    per = classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_texts"), F.min("group_id").alias("group_id"),
+                                     F.sum("group_size").alias("group_size"))
+    out = ["doc_id", "group_id", "group_size"]
+    plain = keyed.join(per.where("_texts = 1"), keys).select(*out)
+    shared = texts.join(per.where("_texts > 1").select(*keys), keys, "left_semi").alias("t").join(
+        classes.where("group_size >= 2").alias("c"),
+        (F.col("t._norm").eqNullSafe(F.col("c._norm"))) & (F.col(f"t.{keys[0]}") == F.col(f"c.{keys[0]}")))
+    return plain.unionByName(shared.select(*out))
 
 
 # Mersenne prime 2^31 - 1: the universal hash family ((a * x + b) mod P) of the signatures.

@@ -125,3 +125,12 @@ def test_package_zip_for_workers(spark):
     assert zips
     names = set(zipfile.ZipFile(sorted(zips)[-1]).namelist())
     assert {"brakelight/__init__.py", "brakelight/operators/topk.py", "brakelight/streaming/load.py"} <= names
+
+
+def test_exact_groups_decide_on_texts(spark):
+    """With a fingerprint as weak as the length, the groups are the same."""
+    rows = [(1, "a b"), (2, "a  b"), (3, "c d"), (4, "c d"), (5, "e f"), (6, None), (7, None), (8, ""), (9, "longer text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(1, 1, 2), (2, 1, 2), (3, 3, 2), (4, 3, 2)]   # null texts are in no group
+    for marks in (lambda n: [F.length(n).alias("_len")], dedupe.fingerprint):
+        assert sorted(map(tuple, dedupe.exact_duplicate_groups(df, marks=marks).collect())) == want
