@@ -224,3 +224,31 @@ def test_scored_pairs_forms_agree(spark):
         got[method] = sorted((r["qid"], r["id"], r["score"]) for r in p.collect())
     assert len(got["blocked"]) == 12 * 119  # every query against every other row
     assert got["blocked"] == got["expr"]
+
+
+def test_equal_vectors_leave_few_candidates_and_the_same_rows():
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(600, 16)).astype(np.float32)
+    v[100:500] = v[100]                       # one very common vector
+    v[590] = 0                                # no direction
+    ids = np.arange(600)
+    ids[200:260] = 150                        # an id of many rows
+    c, every = topk._Side(pd.Series(list(v))), np.arange(600)
+    assert len(topk._first_copies(c, ids, every, 5)) <= 199 + 6 * 5
+    got = topk._block_topk(5, True)(pd.DataFrame({"id": ids, "v": list(v)}), pd.DataFrame({"qid": ids[::9], "qv": list(v[::9])}))
+    q = topk._Side(pd.Series(list(v[::9])))
+    want = []
+    for j in np.flatnonzero(q.ok):
+        r = np.flatnonzero(c.ok & (ids != ids[::9][j]))
+        s = topk._pair_scores(c, q, r, np.full(len(r), j))
+        want += [(ids[::9][j], ids[r[i]], s[i]) for i in np.lexsort((ids[r], -s))[:5]]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted((float(a), float(b), c) for a, b, c in want)
+
+
+def test_block_sizes_follow_the_vectors(spark):
+    """A block of the top-k has a number of vector entries: 40,000 short vectors asked by themselves meet in one corpus block."""
+    c = spark.range(40000).select("id", F.array(*[F.col("id").cast("float")] * 4).alias("v"))
+    _, cb, qb = topk.block_counts(c, c)
+    one = spark.range(1).select(cb.alias("cb"), qb.alias("qb")).first()
+    assert one["cb"] == 1 and one["qb"] == spark.sparkContext.defaultParallelism
