@@ -5,7 +5,7 @@ levels: about rows^(1/4) cells, each with lists in proportion to its rows. Each
 bounded sample (``TRAIN_ROWS`` vectors per centroid, chosen by a hash of their id), cells side by side; every vector is then
 assigned, and centroids become the means of their members. The driver holds the cells' centroids only.
 
-Lists stand on shelves of about ``list_rows`` vectors (a larger list fills several). A query travels once per shelf that
+Lists stand on shelves of about as many vectors as a block of the exact search has (a larger list fills several). A query travels once per shelf that
 holds any of its lists, with their numbers, and is scored there against the rows of those lists alone, exactly. Shelves
 and query blocks are split by size, so no task holds a hot list or all queries of a popular one. The number of
 probed lists follows from a measured recall and is stored with the lists.
@@ -184,13 +184,14 @@ def probes_for_recall(corpus: DataFrame, queries: DataFrame, lists: tuple[DataFr
 def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int | None = None,
              n_probe: int | None = None, seed: int = 7, id_col: str = "id", vec_col: str = "embedding",
              qid_col: str = "incident_id", qvec_col: str = "qv", exclude_self: bool = True,
-             list_rows: int = topk.DEFAULT_BLOCK_ROWS, lists: tuple[DataFrame, DataFrame] | None = None,
+             list_rows: int | None = None, lists: tuple[DataFrame, DataFrame] | None = None,
              recall: float = 0.95) -> DataFrame:
     """Approximate top-k ``(qid, id, score, rank)`` scoring only the probed lists.
 
     ``n_probe``: lists probed per query; measured by ``probes_for_recall`` to reach ``recall`` when not given.
     ``lists``: what ``store_lists`` or ``build_lists`` returned; built and stored below the shared scratch
-    folder when not given. Ties between centroids go to the lower list id.
+    folder when not given. Ties between centroids go to the lower list id. ``list_rows``: rows of a shelf and of a
+    block of queries (default: as many as a block of the exact search has).
     """
     spark = corpus.sparkSession
     if lists is None:
@@ -203,13 +204,13 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
     closest = topk.topk_exact(cents, queries, n_probe, id_col="list_id", vec_col="centroid", qid_col=qid_col,
                               qvec_col=qvec_col, exclude_self=False).select("qid", F.col("id").cast("int").alias("list_id"))
 
-    # shelves: lists one after the other, cut every ``list_rows`` vectors (a row per list, sqrt(rows) of them)
+    # shelves: lists one after the other, cut every ``shelf_rows`` vectors (a row per list, sqrt(rows) of them)
+    shelf_rows, _, n_q = topk.block_counts(assigned, q, list_rows)
     before = Window.orderBy("list_id").rowsBetween(Window.unboundedPreceding, -1)
     shelves = (assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("rows"))
-               .withColumn("shelf", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / list_rows).cast("int"))
-               .withColumn("wide", F.ceil(F.col("rows") / list_rows).cast("int")).drop("rows"))
-    n_q = q.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(list_rows))).cast("int")).scalar()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+               .withColumn("shelf", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / shelf_rows).cast("int"))
+               .withColumn("wide", F.ceil(F.col("rows") / shelf_rows).cast("int")).drop("rows"))
+    n = topk.block_partitions(spark)
     key = ["_shelf", "_qb"]
     c2 = assigned.join(shelves, "list_id").select(
         (F.col("shelf") + F.pmod(F.xxhash64("id"), "wide")).cast("int").alias("_shelf"),
@@ -225,24 +226,31 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
 
 def _shelf_topk(k: int, exclude_self: bool):
     """Pandas function: the lists of a shelf against the queries that probe each of them, top-k per query."""
-    score = topk._block_topk(k, exclude_self)
 
     def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if cdf.empty or qdf.empty:
             return topk._frame()
-        probed = np.concatenate(qdf["lists"].map(np.asarray).to_list())
-        who = np.repeat(np.arange(len(qdf)), qdf["lists"].map(len).to_numpy())
+        c, q = topk._Side(cdf["v"]), topk._Side(qdf["qv"])
+        cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
+        best = topk._Best(c, cid, q, qid, np.flatnonzero(q.ok), k, exclude_self)
+        asked = qdf["lists"].iloc[best.cols]
+        if not len(asked):
+            return topk._frame()
+        probed = np.concatenate(asked.map(np.asarray).to_list())
+        who = np.repeat(np.arange(len(asked)), asked.map(len).to_numpy())
         order = np.argsort(probed, kind="stable")
         probed, who = probed[order], who[order]
-        found = []
-        for list_id, rows in cdf.groupby("list_id", sort=True):
+        of_list = cdf["list_id"].to_numpy()
+        by_list = np.argsort(of_list, kind="stable")
+        for rows in np.split(by_list, np.flatnonzero(np.diff(of_list[by_list])) + 1):
+            list_id = of_list[rows[0]]
             at = who[np.searchsorted(probed, list_id):np.searchsorted(probed, list_id, side="right")]
-            if len(at):
-                found.append(score(rows, qdf.iloc[at]))
-        if not found:
-            return topk._frame()
-        every = pd.concat(found, ignore_index=True)
-        return every.iloc[topk._first_k(every["qid"].to_numpy(), every["score"].to_numpy(), every["id"].to_numpy(), k)]
+            rows = topk._first_copies(c, cid, rows, k)
+            for a in range(0, len(rows), topk.TILE):
+                for b in range(0, len(at), topk.TILE):
+                    best.score(rows[a:a + topk.TILE], at[b:b + topk.TILE])
+        j, r, score = best.merged()
+        return topk._frame(qid[best.cols[j]], cid[r], score)
 
     return run
 
