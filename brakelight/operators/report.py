@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions import text
 from ..schemas import GRADE, GRADE_STATUSES, MAX_REVISION, RETRIEVED_DOC
 from ..operators import topk
+from ..session import stored
 
 CITATION_RX = r"\[(\d+)\]"
 CONTEXT_SEP = "\n---\n"
@@ -22,14 +23,17 @@ CONTEXT_CHARS = 500
 
 
 def retrieve(corpus: DataFrame, incidents: DataFrame, k: int = 20, method: str = "blocked",
-             exclude_self: bool = True, vectors: DataFrame | None = None) -> DataFrame:
+             exclude_self: bool = True, vectors: DataFrame | None = None, once: bool = False) -> DataFrame:
     """Long-form retrieved rows: exact top-k per incident with the document fields.
 
     ``vectors``: ``(id, embedding)`` table to score (default: ``corpus``); the
     document fields of ``corpus`` are joined onto the k rows per incident only.
+    ``once``: the search runs now and its rows are stored, for callers that read the result more than once.
     """
     ranked = topk.topk_exact(vectors if vectors is not None else corpus, incidents, k, method=method,
                              exclude_self=exclude_self)
+    if once:
+        ranked = stored(ranked, "ranked")
     return (topk.attach_docs(ranked, corpus)
             .select(F.col("qid").alias("incident_id"), "id", "rank", "score", "cmplid", "odino",
                     "mfr_name", "modeltxt", "compdesc", "cdescr"))

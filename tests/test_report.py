@@ -74,3 +74,14 @@ def test_every_cause_needs_its_own_supporting_citation(spark):
                    3: (4, 0, 0, "fail", "too many causes"), 4: (2, 1, 0, "fail", "a cause has no citation of its own"),
                    5: (1, 0, 1, "fail", other), 6: (1, 0, 1, "fail", other), 7: (0, 0, 0, "fail", "no cause"), 8: (1, 0, 1, "fail", other)}
     assert report.draft_causes(drafts).where("incident_id = 2").count() == 3
+
+
+def _searches(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("FlatMapCoGroupsInPandas")
+
+
+def test_reports_search_once(spark):
+    from brakelight.plans import catalog
+    # the drafts and what checks them read one stored search: none is left in the plan
+    for name in ("rule_grade", "reference_list", "grounding_ratio", "invented_citations", "cited_docs", "cause_grade", "eval_rows"):
+        assert _searches(catalog.QUERIES[name](spark, "/root/testdata/sf0.001")) == 0, name
