@@ -17,6 +17,8 @@ from .sql import string_lit
 # whitespace, written as a regex class body that both Java and RE2 accept.
 WS_CLASS = (r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WS_CHARS = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+            + "\u2028\u2029\u202f\u205f\u3000")
 NONBLANK_RX = "[^" + WS_CLASS + "]"
 EDGE_WS_RX = "^[" + WS_CLASS + "]+|[" + WS_CLASS + "]+$"
 
@@ -33,7 +35,7 @@ def col_(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Trim the whitespace Python's ``str.strip`` removes (not only spaces)."""
-    return F.regexp_replace(col_(c), EDGE_WS_RX, "")
+    return F.btrim(col_(c).cast("string"), F.lit(WS_CHARS))
 
 
 def strip_ws_sql(x: str) -> str:

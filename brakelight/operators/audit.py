@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 
 from ..functions import text, vectors
 from ..schemas import BOUNDED_LENGTHS, INVALID_COLUMNS
+from ..session import ensure_parallelism
 
 # Patterns for values that should not reach the corpus.
 EMAIL_RX = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_RX = r"(^|[^0-9])\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}([^0-9]|$)"
 VIN_RX = r"(^|[^A-Za-z0-9])[A-HJ-NPR-Z0-9]{17}([^A-Za-z0-9]|$)"
 SHORT_CONTEXT_CHARS = 20
+# Texts that hold a match of the patterns above, each begun by the first character that a match needs and without
+# repeats that are tried again at every position: a long run of letters or digits takes time by its length, not its square.
+_EMAIL_FIND = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2}"
+_PHONE_FIND = r"[0-9]{3}(?<![0-9]{4})\)?[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9])"
+_VIN_FIND = r"[A-HJ-NPR-Z0-9](?<![A-Za-z0-9]{2})[A-HJ-NPR-Z0-9]{16}(?![A-Za-z0-9])"
 
 
 def _long_form(row_df: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
@@ -69,10 +75,11 @@ def field_length_probe(df: DataFrame, cols=None) -> DataFrame:
 def sensitive_value_flags(df: DataFrame, col: str = "cdescr", keep=("seq",)) -> DataFrame:
     """Per row: e-mail / phone / VIN-like values and too-short context."""
     c = F.coalesce(F.col(col), F.lit(""))
-    return df.select(*keep,
-                     c.rlike(EMAIL_RX).alias("has_email"),
-                     c.rlike(PHONE_RX).alias("has_phone"),
-                     c.rlike(VIN_RX).alias("has_vin"),
+    return ensure_parallelism(df.select(*keep, col)).select(
+                     *keep,
+                     (c.contains("@") & c.rlike(_EMAIL_FIND)).alias("has_email"),
+                     c.rlike(_PHONE_FIND).alias("has_phone"),
+                     c.rlike(_VIN_FIND).alias("has_vin"),
                      (F.length(text.strip_ws(c)) < SHORT_CONTEXT_CHARS).alias("short_context"))
 
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from brakelight.operators import evaluate, loop, report
+from brakelight.operators import audit, evaluate, loop, report
 
 
 def _retrieved(spark):
@@ -85,3 +85,24 @@ def test_reports_search_once(spark):
     # the drafts and what checks them read one stored search: none is left in the plan
     for name in ("rule_grade", "reference_list", "grounding_ratio", "invented_citations", "cited_docs", "cause_grade", "eval_rows"):
         assert _searches(catalog.QUERIES[name](spark, "/root/testdata/sf0.001")) == 0, name
+
+
+def test_sensitive_values_match_the_patterns_in_linear_time(spark):
+    import re
+    import time
+
+    edge = ["joe@mail.example.com", "a@b.c", "@x.yz", "x@.yz", "x@y..zz", "5(123) 456-7890", "(123)456-7890", "1123 456-7890", "123-456-78901",
+            "123.456.7890\n", "x123 456 7890y", "123)-456-7890", "1HGCM82633A004352", "x1HGCM82633A004352", "é1HGCM82633A004352é",
+            "1HGCM82633A0043521", "1HGCM82633A00435I", "", None, " \t\u3000short\u2003 ", "\n" + "t" * 20 + "\x85", "😀" * 19, "t" * 19 + " \n"]
+    rows = [(i, t) for i, t in enumerate(edge)]
+    got = audit.sensitive_value_flags(spark.createDataFrame(rows, "seq long, cdescr string")).collect()
+    for r in got:
+        t = edge[r.seq] or ""
+        assert r.has_email == bool(re.search(audit.EMAIL_RX, t)), t
+        assert r.has_phone == bool(re.search(audit.PHONE_RX, t)), t
+        assert r.has_vin == bool(re.search(audit.VIN_RX, t)), t
+        assert r.short_context == (len(t.strip()) < audit.SHORT_CONTEXT_CHARS), t
+    long = spark.createDataFrame([(0, "a" * 300_000 + "@"), (1, "a " + " " * 300_000 + "b" * 20)], "seq long, cdescr string")
+    at = time.time()
+    assert audit.sensitive_value_flags(long).where("has_email or short_context").count() == 0
+    assert time.time() - at < 20
