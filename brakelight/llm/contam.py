@@ -66,22 +66,25 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 13, share: int
     body = body.withColumn("row", F.monotonically_increasing_id())
 
     def hits(hashes: DataFrame, around: bool) -> DataFrame:
-        """Rows of documents, one per position whose shingle falls in a slot (at least one per document)."""
-        both = body.select("*", _slots(hashes).scalar().alias("slots"))  # one row of SLOTS booleans
-        on = lambda h: F.get(F.col("slots"), F.pmod(h, F.lit(SLOTS)).cast("int"))
-        found = F.filter(F.transform(
-            F.slice("w", F.lit(2), F.size("w")), lambda x, i: F.struct(i.alias("p"), F.xxhash64(F.get(F.col("w"), i), x).alias("h"))),
-            lambda x: on(x["h"]))
+        """Rows of documents, one per position whose shingle falls in a slot; with ``around`` one more per document,
+        without position."""
+        # places: -1 for the document, then its pairs of words, then, if windows of one word need them, its words
+        pairs, n = F.size("w") - 1, F.size("w")
+        last = F.greatest(F.lit(-1), pairs + n - 1 if single else pairs - 1)
+        first = -1 if around else 0
+        at = body.select("*", F.explode(F.sequence(F.lit(-1), last)).alias("at")).filter(F.col("at") >= first)
+        at = at.withColumn("p", F.when(F.col("at") < pairs, F.col("at")).otherwise(F.col("at") - pairs) if single else F.col("at"))
+        h = _shingle(F.col("w"), F.col("p"))
         if single:
-            found = F.concat(found, F.filter(F.transform("w", lambda x, i: F.struct(
-                i.alias("p"), F.xxhash64(x, F.lit(1)).alias("h"))), lambda x: on(x["h"])))
+            h = F.when(F.col("at") < pairs, h).otherwise(F.xxhash64(F.get("w", "p"), F.lit(1)))
+        at = at.withColumn("h", F.when(F.col("at") >= 0, h))
+        on = F.get(_slots(hashes).scalar(), F.pmod("h", F.lit(SLOTS)).cast("int"))  # one row of SLOTS booleans
+        at = at.filter((F.col("at") < 0) | on)
         if not around:
-            return both.select(F.explode(found).alias("x")).select("x.h")
-        near = F.transform(found, lambda x: F.struct(
-            x["p"].alias("p"), x["h"].alias("h"),
-            F.slice("w", F.greatest(x["p"] - width + 1, F.lit(0)) + 1, F.lit(2 * width)).alias("ctx")))
-        return both.select("row", "id", F.size("w").cast("long").alias("n_words"), F.explode_outer(near).alias("x")).select(
-            "row", "id", "n_words", "x.p", "x.h", "x.ctx")
+            return at.select("h")
+        here = F.col("at") >= 0
+        return at.select("row", "id", F.size("w").cast("long").alias("n_words"), F.when(here, F.col("p")).alias("p"), "h", F.when(
+            here, F.slice("w", F.greatest(F.col("p") - width + 1, F.lit(0)) + 1, F.lit(2 * width))).alias("ctx"))
 
     counts = hits(shingles.select("h"), False).groupBy("h").count()
     by_rarity = Window.partitionBy("win").orderBy(F.coalesce("count", F.lit(0)), "h", "off")
