@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .common import open_fs, scratch_path, slices
 
-#: chunks kept per Python worker; a full cache is emptied, which costs time but never changes an id
+#: chunks kept per Python worker; a full cache keeps those of the texts at hand, which never changes an id
 CACHED_CHUNKS = 1_200_000
 #: bytes of text that are split and gathered at once
 SLICE_BYTES = 8 << 20
@@ -67,6 +67,16 @@ class Encoder:
         self.after, self.first = {}, {}
         self.pool, self.starts, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
+    def _keep(self, after: list[str], first: list[str]) -> None:
+        """Only the words given stay in the pool, so that frequent ones are not encoded again."""
+        kept = [{w: known[w] for w in words if w in known} for words, known in ((after, self.after), (first, self.first))]
+        at = np.fromiter(chain(*(k.values() for k in kept)), np.int32)
+        old, self.sizes = self.starts[at], self.sizes[at]
+        self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        self.pool = self.pool[np.repeat(old - self.starts, self.sizes) + np.arange(self.sizes.sum())]
+        numbers = iter(range(len(at)))
+        self.after, self.first = ({w: next(numbers) for w in k} for k in kept)
+
     def _encode(self, texts: list[str], tok=None) -> list[np.ndarray]:
         return [np.asarray(e.ids, self.dtype) for e in (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -128,11 +138,11 @@ class Encoder:
         counts = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         begins = np.cumsum(counts) - counts
         flat = parts.flatten()
-        if len(self.after) + len(self.first) > self.limit:
-            self._clear()
         coded = flat.dictionary_encode()
-        after = self._places(coded.dictionary.to_pylist(), self.after, " ")
-        first = self._places(flat.take(pa.array(begins)).to_pylist(), self.first, "")
+        inner, leading = (x.to_numpy(zero_copy_only=False).tolist() for x in (coded.dictionary, flat.take(pa.array(begins))))
+        if len(self.after) + len(self.first) > self.limit:
+            self._keep(inner, leading)
+        after, first = self._places(inner, self.after, " "), self._places(leading, self.first, "")
         at = after[coded.indices.to_numpy()]
         at[begins] = first
         starts, sizes = self.starts[at], self.sizes[at]

@@ -250,6 +250,41 @@ def test_decontamination_matches_brute_force(spark, docs, none):
     assert contam.decontaminate(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontamination_has_no_lambda_per_word(spark, docs):
+    # a function per word of an array is not compiled: positions are rows of a generated loop instead
+    seen, real = [], contam.scratch_table
+
+    def keep(df, label, *rest):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label, *rest)
+
+    contam.scratch_table = keep
+    try:
+        got = contam.decontaminate(docs, spark.createDataFrame([(1, "amet"), (2, "word5 word6 word7")], "item_id long, text string"))
+    finally:
+        contam.scratch_table = real
+    assert got.filter("n_hit > 0").count() and any("xxhash64" in p for p in seen)
+    assert not any("lambdafunction" in line and "xxhash64" in line for p in seen for line in p.splitlines())
+
+
+def test_full_cache_keeps_the_words_at_hand():
+    import pyarrow as pa
+
+    enc = idfiles.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    enc.limit, asked, real = 4, [], enc._encode_joined
+    enc._encode_joined = lambda chunks, tok: (asked.extend(chunks), real(chunks, tok))[1]
+    texts = ["often seen often", "often other seen", "seen often", None, "often x often", "seen  y\noften seen"]
+    for _ in range(3):
+        for t in texts:
+            ids, n = enc.encode(pa.array([t], pa.string()), 1)
+            assert ids.tolist() == [*enc.tok.encode(t or "", add_special_tokens=False).ids, 1] and n.tolist() == [len(ids)]
+    before = asked.count(" often")
+    enc.encode(pa.array(["z often"]), 1)
+    enc.encode(pa.array(["zz often"]), 1)
+    enc.encode(pa.array(["zzz often"]), 1)
+    assert asked.count(" often") - before <= 1
+
+
 def test_near_duplicates(docs, none):
     got = neardup.near_duplicates(docs).collect()
     assert len(got) == len(ROWS)
