@@ -106,3 +106,20 @@ def test_sensitive_values_match_the_patterns_in_linear_time(spark):
     at = time.time()
     assert audit.sensitive_value_flags(long).where("has_email or short_context").count() == 0
     assert time.time() - at < 20
+
+
+def test_loop_asks_the_model_once_per_row_and_round(spark, tmp_path):
+    import uuid
+
+    states = spark.createDataFrame([(i, "text", [5, 6, 7], "", 0, 3, "pending", "") for i in range(1, 5)],
+                                   "incident_id long, incident_text string, retrieved_ids array<long>, critique string, "
+                                   "revision_count int, max_revision int, status string, draft_report string")
+    folder = str(tmp_path)
+
+    def counted(pdf):
+        for i in pdf["incident_id"]:
+            open(f"{folder}/{i}-{uuid.uuid4().hex}", "w").close()
+        return loop.default_generator(pdf)
+
+    assert loop.revise_loop(states, generator=counted).where("status = 'pass'").count() == 4
+    assert len(list(tmp_path.iterdir())) == 4
