@@ -454,9 +454,11 @@ def _pairs(spark, sf, keep=()):
     return topk.scored_pairs(v, V.query_vectors(v))
 
 
-def _retrieved(spark, sf, once: bool = False) -> tuple[DataFrame, DataFrame]:
+def _retrieved(spark, sf, once: bool = False, context: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``context``: the text is read by ``context_pack`` only, so records meet their incidents with as much of it as that takes."""
     c, v = _corpus(spark, sf), _vectors(spark, sf)
-    return report.retrieve(c, V.query_vectors(v), k=20, vectors=v, once=once), V.incidents(c)
+    records = c.withColumn("cdescr", F.substring("cdescr", 1, report.CONTEXT_CHARS)) if context else c
+    return report.retrieve(records, V.query_vectors(v), k=20, vectors=v, once=once), V.incidents(c)
 
 
 @query("incident_states", O.with_views(
@@ -537,7 +539,7 @@ _CONTEXT_PIECE_SQL = ("'[' || CAST(id AS VARCHAR) || '] (score=' || " + O.fixed2
     f"SELECT incident_id, string_agg({_CONTEXT_PIECE_SQL}, chr(10) || '---' || chr(10) ORDER BY rank) AS context "
     "FROM retrieved GROUP BY incident_id", corpus=True))
 def q_context_pack(spark, sf):
-    r, _ = _retrieved(spark, sf)
+    r, _ = _retrieved(spark, sf, context=True)
     return report.context_pack(r)
 
 
@@ -561,7 +563,7 @@ def _template_sql(template: str, values: dict) -> str:
     f"SELECT incident_id, string_agg({_CONTEXT_PIECE_SQL}, chr(10) || '---' || chr(10) ORDER BY rank) AS context "
     "FROM retrieved GROUP BY incident_id) x USING (incident_id)", corpus=True))
 def q_prompt_rows(spark, sf):
-    r, inc = _retrieved(spark, sf)
+    r, inc = _retrieved(spark, sf, context=True)
     return report.prompt_rows(report.initial_states(inc), report.context_pack(r))
 
 
@@ -1182,7 +1184,7 @@ _LOOP_DRAFTS = """drafts AS (
     "FROM drafts d JOIN incidents i USING (incident_id) JOIN (" + _REFS_SQL + ") f USING (incident_id)",
     corpus=True, extra=_LOOP_DRAFTS))
 def q_revise_loop(spark, sf):
-    r, inc = _retrieved(spark, sf, once=True)
+    r, inc = _retrieved(spark, sf, once=True, context=True)
     ids = (r.groupBy("incident_id")
            .agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_s"))
            .select("incident_id", F.transform("_s", lambda x: x["id"]).alias("retrieved_ids")))

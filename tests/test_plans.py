@@ -90,3 +90,11 @@ def test_cleaning_chain_shuffles(spark):
     # first row per id, then the two-level per-report merge: three hash shuffles, no more
     p = plan(catalog.QUERIES["clean_complaints"](spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 3, p
+
+
+def test_context_text_is_cut_before_it_meets_the_incidents(spark):
+    import re
+
+    for name in ("context_pack", "prompt_rows"):
+        plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"substring\(text#\d+, 1, 500\) AS cdescr", plan), name
