@@ -252,3 +252,36 @@ def test_block_sizes_follow_the_vectors(spark):
     _, cb, qb = topk.block_counts(c, c)
     one = spark.range(1).select(cb.alias("cb"), qb.alias("qb")).first()
     assert one["cb"] == 1 and one["qb"] == spark.sparkContext.defaultParallelism
+
+
+def test_full_rank_shuffles_vectors_not_pairs(spark, monkeypatch):
+    m = np.random.default_rng(11).integers(-1, 2, size=(150, 3)).astype(float)   # many ties, and zero vectors
+    rows = [(None if i == 7 else i // 2 if i < 20 else i, m[i].tolist()) for i in range(150)] + [(200, None), (201, [])]
+    c = spark.createDataFrame(rows, "id long, embedding array<float>")
+    q = c.where("id % 3 = 0 OR id IS NULL").select(F.col("id").alias("incident_id"), F.col("embedding").alias("qv"))
+    for exclude in (True, False):
+        r = topk.rank_exact(c, q, exclude_self=exclude)
+        got = sorted(map(tuple, r.select("qid", "rank", "score", "id").collect()))
+        want = topk.global_rank(topk.scored_pairs(c, q, exclude_self=exclude), n_parts=5)
+        assert got == sorted(map(tuple, want.select("qid", "rank", "score", "id").collect()))
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "MapInPandas" in plan[:plan.index("Exchange")], plan
+    monkeypatch.setattr(topk, "RANKED_VALUES", 100)   # the way of a larger corpus
+    r = topk.rank_exact(c, q, exclude_self=False)
+    assert sorted(map(tuple, r.select("qid", "rank", "score", "id").collect())) == got
+
+
+def test_rank_exact_query_keeps_pairs_off_the_disk(spark):
+    from brakelight.plans import catalog
+    plan = catalog.QUERIES["rank_exact"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and plan.count("Exchange") == 1, plan   # no checkpoint of the pairs
+
+
+def test_round6_is_round(spark):
+    from brakelight.functions.vectors import round6
+    rng = np.random.default_rng(2)
+    k = rng.integers(-10**6, 10**6, 3000)
+    ties = np.r_[(k + 0.5) / 1e6, np.nextafter((k + 0.5) / 1e6, 2), np.nextafter((k + 0.5) / 1e6, -2)]
+    x = np.r_[ties, rng.uniform(-1, 1, 3000), k / 1e6, 0.0, -0.0, -1e-9, 1.0, -1.0, 5.1234565, 1e300, np.inf, -np.inf, np.nan]
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    assert df.where(~round6("x").eqNullSafe(F.round("x", 6))).count() == 0
