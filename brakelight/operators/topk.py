@@ -147,56 +147,79 @@ def _first_copies(c: _Side, cid: np.ndarray, rows: np.ndarray, k: int) -> np.nda
     return np.sort(np.concatenate([rows[~many], some[order[(nth_id <= k) & (nth_row < k)]]]))
 
 
+def _hits(mask: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of a mask with few hits: eight entries are looked at as one."""
+    flat = mask.ravel()
+    whole = len(flat) & ~7
+    at = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([at[flat[at]], np.flatnonzero(flat[whole:]) + whole])
+
+
 class _Best:
     """The first ``k`` corpus rows of each of the queries ``cols``, of all rows scored so far.
 
-    Tiles are preselected in single precision: a product of unit vectors of d dimensions is off by at most
-    (d + 3) * 2^-24, and ``slack`` is more than twice that below the k-th best score, so no row that belongs to
-    the first ``k`` is passed over. What passes is scored exactly and merged once enough of it has gathered.
+    Rows are gathered by single precision: a product of unit vectors of d dimensions is off by at most
+    (d + 3) * 2^-24, and ``slack`` is more than four times that. Whatever lies within ``slack`` of the k-th best product
+    stays, so no row that belongs to the first ``k`` is passed over; ``merged`` scores what is left exactly, as does
+    ``_trim`` where too many rows are that close.
     """
 
     def __init__(self, c: _Side, cid: np.ndarray, q: _Side, qid: np.ndarray, cols: np.ndarray, k: int, exclude_self: bool):
         self.c, self.cid, self.q, self.qid, self.cols, self.k, self.exclude_self = c, cid, q, qid, cols, k, exclude_self
         self.slack = (len(c.dims) + 8) * 2.0 ** -22
-        self.bound = np.full(len(cols), -np.inf)   # k-th best score so far
+        self.unit = np.ascontiguousarray(q.unit32[cols])
+        self.least = np.full(len(cols), -np.inf)   # a row below it is not among the first k
         self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         self.fresh = 0
 
     def score(self, rows: np.ndarray, at: np.ndarray) -> None:
         """Take in the corpus rows ``rows`` for the queries at the places ``at`` of ``cols``."""
         own = self.qid[self.cols[at]]
-        s = self.q.unit32[self.cols[at]] @ self.c.unit32[rows].T
-        least = self.bound[at] - self.slack
+        s = (self.unit if len(at) == len(self.cols) else self.unit[at]) @ self.c.unit32[rows].T
+        least = self.least[at]
         begun = np.isfinite(least)
         if not begun.all() and len(rows) >= self.k:
             t = s[~begun]
             if self.exclude_self:
                 t[own[~begun, None] == self.cid[None, rows]] = -np.inf
             least[~begun] = np.partition(t, len(rows) - self.k, axis=1)[:, len(rows) - self.k] - self.slack
-        j, r = np.divmod(np.flatnonzero(s >= least.astype(np.float32)[:, None]), len(rows))
+        hits = _hits(s >= least.astype(np.float32)[:, None])
+        j, r = np.divmod(hits, len(rows))
         if self.exclude_self:
             other = own[j] != self.cid[rows[r]]
-            j, r = j[other], r[other]
+            hits, j, r = hits[other], j[other], r[other]
         if not len(r):
             return
-        j, r = at[j], rows[r]
-        score = _pair_scores(self.c, self.q, r, self.cols[j])
-        above = score >= self.bound[j]
-        self.found.append((j[above], r[above], score[above]))
-        self.fresh += int(above.sum())
+        self.found.append((at[j], rows[r], s.ravel()[hits].astype(np.float64)))
+        self.fresh += len(r)
         if 2 * self.fresh >= self.k * len(self.cols):
-            self.merged()
+            self._trim()
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places of the queries, corpus rows, scores) of the best rows; the bounds follow."""
+    def _trim(self) -> None:
+        """Drop what is not near the first ``k``; the bounds follow."""
         j, r, score = (np.concatenate(x) for x in zip(*self.found))
-        best = _first_k(j, score, self.cid[r], self.k)
-        j, r, score = j[best], r[best], score[best]
-        last = np.full(len(self.cols), np.inf)
-        np.minimum.at(last, j, score)
-        self.bound = np.where(np.bincount(j, minlength=len(self.cols)) >= self.k, last, -np.inf)
+        order = np.argsort(j * 4.0 - score)   # scores lie in [-1, 1]: one number line for all queries
+        j, r, score = j[order], r[order], score[order]
+        start = np.searchsorted(j, np.arange(len(self.cols)))
+        last = start + self.k - 1
+        full = last < np.append(start[1:], len(j))
+        self.least[full] = score[last[full]] - self.slack
+        near = score >= self.least[j]
+        j, r, score = j[near], r[near], score[near]
+        if len(j) > 4 * self.k * len(self.cols):
+            j, r, score = self._exact(j, r)
         self.found, self.fresh = [(j, r, score)], 0
-        return j, r, score
+
+    def _exact(self, j: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        score = _pair_scores(self.c, self.q, r, self.cols[j])
+        best = _first_k(j, score, self.cid[r], self.k)
+        return j[best], r[best], score[best]
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the queries, corpus rows, scores) of the best rows."""
+        self._trim()
+        (j, r, _), = self.found
+        return self._exact(j, r)
 
 
 def _block_topk(k: int, exclude_self: bool):
@@ -319,21 +342,27 @@ def block_partitions(spark) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
 
 
+#: a block pair, and the partition where it lies
+_PAIR = ["_at", "_cb", "_qb"]
+
+
 def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int | None, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """2-D blocks: corpus rows get a block id and are replicated once per query block, queries
-    likewise; each (corpus block, query block) key meets once."""
+    likewise; each (corpus block, query block) key meets once. Pairs are dealt to the partitions in turn: no task
+    gets two of them while another has none."""
     _, cb, qb = block_counts(c, counted, block_rows)
     n = block_partitions(c.sparkSession)
     c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), cb).cast("int"))
           .withColumn("_qb", F.explode(F.sequence(F.lit(0), qb - 1))))
     q2 = (q.withColumn("_qb", F.pmod(F.xxhash64("qid"), qb).cast("int"))
           .withColumn("_cb", F.explode(F.sequence(F.lit(0), cb - 1))))
-    return c2.repartition(n, "_cb", "_qb"), q2.repartition(n, "_cb", "_qb")
+    turn = F.pmod(F.col("_cb").cast("long") * qb + F.col("_qb"), F.lit(n)).cast("int")
+    return tuple(x.withColumn("_at", turn).repartitionById(n, F.col("_at")) for x in (c2, q2))
 
 
 def _cogroup(c: DataFrame, q: DataFrame, block_rows: int | None, fn, schema, counted: DataFrame | None = None) -> DataFrame:
     c2, q2 = _block_pairs(c, q, block_rows, counted if counted is not None else q)
-    return c2.groupBy("_cb", "_qb").cogroup(q2.groupBy("_cb", "_qb")).applyInPandas(fn, schema=schema)
+    return c2.groupBy(_PAIR).cogroup(q2.groupBy(_PAIR)).applyInPandas(fn, schema=schema)
 
 
 def _final_topk(cands: DataFrame, k: int) -> DataFrame:
@@ -498,7 +527,7 @@ def scored_pairs(corpus: DataFrame, queries: DataFrame, *, id_col="id", vec_col=
         pairs = _cogroup(c, q, block_rows, _block_scores(exclude_self), CAND_SCHEMA)
     elif method == "expr":
         c2, q2 = _block_pairs(c, q, block_rows, q)
-        p = c2.join(q2, ["_cb", "_qb"])
+        p = c2.join(q2, _PAIR)
         if exclude_self:
             p = p.where(F.col("id") != F.col("qid"))
         pairs = (p.select("qid", "id", cosine("v", "qv").alias("score"))

@@ -285,3 +285,35 @@ def test_round6_is_round(spark):
     x = np.r_[ties, rng.uniform(-1, 1, 3000), k / 1e6, 0.0, -0.0, -1e-9, 1.0, -1.0, 5.1234565, 1e300, np.inf, -np.inf, np.nan]
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
     assert df.where(~round6("x").eqNullSafe(F.round("x", 6))).count() == 0
+
+
+def test_block_pairs_are_dealt_evenly(spark):
+    c = _corpus(spark, n=200)
+    v, q = topk._corpus_vectors(c, "id", "embedding"), topk._query_vectors(c.select(F.col("id").alias("qid"), "embedding"), "qid", "embedding")
+    for side in topk._block_pairs(v, q, 50, q):
+        pairs = side.select(F.spark_partition_id().alias("p"), "_cb", "_qb").distinct().groupBy("p").count().collect()
+        assert sum(r["count"] for r in pairs) == 16 and max(r["count"] for r in pairs) == 1, pairs
+
+
+def test_rows_closer_than_single_precision_are_told_apart():
+    import pandas as pd
+    rng = np.random.default_rng(8)
+    v = np.r_[rng.normal(size=(1, 16)) + rng.normal(size=(2600, 16)) * 1e-7, rng.normal(size=(300, 16))][rng.permutation(2900)]
+    ids = rng.permutation(2900)
+    c, k = topk._Side(pd.Series(list(v))), 6
+    got = topk._block_topk(k, True)(pd.DataFrame({"id": ids, "v": list(v)}), pd.DataFrame({"qid": ids[::90], "qv": list(v[::90])}))
+    q = topk._Side(pd.Series(list(v[::90])))
+    want = []
+    for j, own in enumerate(ids[::90]):
+        r = np.flatnonzero(ids != own)
+        s = topk._pair_scores(c, q, r, np.full(len(r), j))
+        want += [(own, ids[r[i]], s[i]) for i in np.lexsort((ids[r], -s))[:k]]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted((float(a), float(b), s) for a, b, s in want)
+    # gathering stays small: what is close to the best is scored exactly once it is too much to keep
+    best = topk._Best(c, ids, q, ids[::90], np.arange(len(ids[::90])), k, True)
+    for a in range(0, len(ids), 256):
+        best.score(np.arange(a, min(a + 256, len(ids))), np.arange(len(best.cols)))
+        best._trim()
+        assert len(best.found[0][0]) <= 4 * k * len(best.cols)
+    for mask in (rng.random((7, 33)) < 0.05, np.zeros((1, 3), bool), np.ones((2, 9), bool)):
+        assert (topk._hits(mask) == np.flatnonzero(mask)).all()
