@@ -7,8 +7,10 @@ assigned, and centroids become the means of their members. The driver holds the
 
 Lists stand on shelves of about as many vectors as a block of the exact search has (a larger list fills several). A query travels once per shelf that
 holds any of its lists, with their numbers, and is scored there against the rows of those lists alone, exactly. Shelves
-and query blocks are split by size, so no task holds a hot list or all queries of a popular one. The number of
-probed lists follows from a measured recall and is stored with the lists.
+and query blocks are split by size, so no task holds a hot list or all queries of a popular one. Queries meet the
+centroids in blocks, too, as many as give about ``topk.CANDIDATES`` probes, and leave with a row per shelf rather than per
+list; on a shelf they are scored ``SHELF_QUERIES`` at a time. The number of probed lists follows from a measured recall and is
+stored with the lists.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from . import topk
 
 #: vectors per centroid that a level is trained on
 TRAIN_ROWS = 256
+#: queries that a shelf keeps candidates of at a time
+SHELF_QUERIES = 8 * topk.TILE
 
 
 def list_count(n_rows: int) -> int:
@@ -200,12 +204,8 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
     q = topk._query_vectors(queries, qid_col, qvec_col)
     n_probe = n_probe or probes_for_recall(corpus, queries, lists, k, recall, id_col, vec_col, qid_col, qvec_col,
                                            exclude_self)
-    # the closest centroids are an exact top-k themselves: nothing is fetched or broadcast
-    closest = topk.topk_exact(cents, queries, n_probe, id_col="list_id", vec_col="centroid", qid_col=qid_col,
-                              qvec_col=qvec_col, exclude_self=False).select("qid", F.col("id").cast("int").alias("list_id"))
-
     # shelves: lists one after the other, cut every ``shelf_rows`` vectors (a row per list, sqrt(rows) of them)
-    shelf_rows, _, n_q = topk.block_counts(assigned, q, list_rows)
+    shelf_rows, _, n_q = topk.block_counts(assigned, q, list_rows, k)
     before = Window.orderBy("list_id").rowsBetween(Window.unboundedPreceding, -1)
     shelves = (assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("rows"))
                .withColumn("shelf", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / shelf_rows).cast("int"))
@@ -215,15 +215,80 @@ def topk_ann(corpus: DataFrame, queries: DataFrame, k: int = 20, n_lists: int |
     c2 = assigned.join(shelves, "list_id").select(
         (F.col("shelf") + F.pmod(F.xxhash64("id"), "wide")).cast("int").alias("_shelf"),
         F.explode(F.sequence(F.lit(0), n_q - 1)).alias("_qb"), "id", "v", "list_id")
-    visits = (closest.join(shelves, "list_id")
-              .select("qid", "list_id", F.explode(F.sequence(F.col("shelf"), F.col("shelf") + F.col("wide") - 1)).alias("_shelf"))
-              .groupBy("qid", "_shelf").agg(F.collect_set("list_id").alias("lists")))
+    visits = _visits(cents, shelves, q, n_probe)
     q2 = q.join(visits, "qid").select("_shelf", F.pmod(F.xxhash64("qid"), n_q).cast("int").alias("_qb"), "qid", "qv", "lists")
     cands = (c2.repartition(n, *key).groupBy(*key).cogroup(q2.repartition(n, *key).groupBy(*key))
              .applyInPandas(_shelf_topk(k, exclude_self), schema=topk.CAND_SCHEMA))
     return topk._final_topk(cands, k)
 
 
+VISIT_SCHEMA = "qid long, _shelf int, lists array<int>"
+
+
+def _visits(cents: DataFrame, shelves: DataFrame, q: DataFrame, n_probe: int) -> DataFrame:
+    """``(qid, _shelf, lists)``: the shelves that hold any of the ``n_probe`` lists closest to a query, and those lists.
+
+    The closest centroids are an exact top-k themselves. While all centroids fit into one block (about the square root of the
+    rows), the task that has found them tells the shelves; more of them are ranked block by block first.
+    """
+    rows, dim = cents.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
+    if rows * (dim or 0) <= topk.BLOCK_VALUES:
+        placed = (topk._corpus_vectors(cents, "list_id", "centroid")
+                  .join(shelves.select(F.col("list_id").cast("long").alias("id"), "shelf", "wide"), "id", "left"))
+        return topk._cogroup(placed, q, None, _block_visits(n_probe), VISIT_SCHEMA, k=n_probe, whole=True)
+    closest = topk.topk_exact(cents, q, n_probe, id_col="list_id", vec_col="centroid", qid_col="qid", qvec_col="qv",
+                              exclude_self=False).select("qid", F.col("id").cast("int").alias("list_id"))
+    return (closest.join(shelves, "list_id")
+            .select("qid", "list_id", F.explode(F.sequence(F.col("shelf"), F.col("shelf") + F.col("wide") - 1)).alias("_shelf"))
+            .groupBy("qid", "_shelf").agg(F.collect_set("list_id").alias("lists")))
+
+
+def _block_visits(n_probe: int):
+    """Pandas function: all centroids, with the shelves of their lists, against one block of queries."""
+
+    def run(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"qid": np.zeros(0, np.int64), "_shelf": np.zeros(0, np.int32), "lists": np.zeros(0, object)})
+        if cdf.empty or qdf.empty:
+            return empty
+        c, q = topk._Side(cdf["v"]), topk._Side(qdf["qv"])
+        cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
+        shelf, wide = (cdf[x].fillna(0).to_numpy(dtype=np.int64) for x in ("shelf", "wide"))   # a list without rows has none
+        ids, who = np.unique(qid, return_inverse=True)
+        again = np.bincount(who)[who] > 1   # rows of one query id share its probes
+        shared = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+        def visits(w: np.ndarray, r: np.ndarray) -> pd.DataFrame:
+            n = wide[r]
+            if not n.any():
+                return empty
+            w, r, nth = np.repeat(w, n), np.repeat(r, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            order = np.lexsort((cid[r], shelf[r] + nth, w))
+            w, at, r = w[order], (shelf[r] + nth)[order], cid[r[order]]
+            new = np.r_[True, (w[1:] != w[:-1]) | (at[1:] != at[:-1])]
+            other = new | np.r_[True, r[1:] != r[:-1]]
+            w, at, r, starts = w[other], at[other], r[other].astype(np.int32), np.flatnonzero(new[other])
+            return pd.DataFrame({"qid": ids[w[starts]], "_shelf": at[starts].astype(np.int32), "lists": np.split(r, starts[1:])})
+
+        rows, cols = topk._first_copies(c, cid, np.arange(len(cid)), n_probe), np.flatnonzero(q.ok)
+        parts, width = [empty], topk.tile_queries(n_probe)
+        for b in range(0, len(cols), width):
+            best = topk._Best(c, cid, q, qid, cols[b:b + width], n_probe, False)
+            every = np.arange(len(best.cols))
+            for a in range(0, len(rows), topk.TILE):
+                best.score(rows[a:a + topk.TILE], every)
+            j, r, score = best.merged()
+            j = best.cols[j]
+            alone = ~again[j]
+            parts.append(visits(who[j[alone]], r[alone]))
+            w, r, score = (np.concatenate(x) for x in zip(shared, (who[j[~alone]], r[~alone], score[~alone])))
+            first = topk._first_k(w, score, cid[r], n_probe)
+            shared = w[first], r[first], score[first]
+        parts.append(visits(*shared[:2]))
+        return pd.concat(parts, ignore_index=True)
+
+    return run
+
+
 def _shelf_topk(k: int, exclude_self: bool):
     """Pandas function: the lists of a shelf against the queries that probe each of them, top-k per query."""
 
@@ -232,25 +297,27 @@ def _shelf_topk(k: int, exclude_self: bool):
             return topk._frame()
         c, q = topk._Side(cdf["v"]), topk._Side(qdf["qv"])
         cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
-        best = topk._Best(c, cid, q, qid, np.flatnonzero(q.ok), k, exclude_self)
-        asked = qdf["lists"].iloc[best.cols]
-        if not len(asked):
-            return topk._frame()
-        probed = np.concatenate(asked.map(np.asarray).to_list())
-        who = np.repeat(np.arange(len(asked)), asked.map(len).to_numpy())
-        order = np.argsort(probed, kind="stable")
-        probed, who = probed[order], who[order]
         of_list = cdf["list_id"].to_numpy()
         by_list = np.argsort(of_list, kind="stable")
-        for rows in np.split(by_list, np.flatnonzero(np.diff(of_list[by_list])) + 1):
-            list_id = of_list[rows[0]]
-            at = who[np.searchsorted(probed, list_id):np.searchsorted(probed, list_id, side="right")]
-            rows = topk._first_copies(c, cid, rows, k)
-            for a in range(0, len(rows), topk.TILE):
-                for b in range(0, len(at), topk.TILE):
-                    best.score(rows[a:a + topk.TILE], at[b:b + topk.TILE])
-        j, r, score = best.merged()
-        return topk._frame(qid[best.cols[j]], cid[r], score)
+        lists = [(of_list[rows[0]], topk._first_copies(c, cid, rows, k))
+                 for rows in np.split(by_list, np.flatnonzero(np.diff(of_list[by_list])) + 1)]
+        cols = np.flatnonzero(q.ok)
+        parts, width = [topk._frame()], topk.tile_queries(k, SHELF_QUERIES)
+        for start in range(0, len(cols), width):
+            best = topk._Best(c, cid, q, qid, cols[start:start + width], k, exclude_self)
+            asked = qdf["lists"].iloc[best.cols]
+            probed = np.concatenate(asked.map(np.asarray).to_list())
+            who = np.repeat(np.arange(len(asked)), asked.map(len).to_numpy())
+            order = np.argsort(probed, kind="stable")
+            probed, who = probed[order], who[order]
+            for list_id, rows in lists:
+                at = who[np.searchsorted(probed, list_id):np.searchsorted(probed, list_id, side="right")]
+                for a in range(0, len(rows), topk.TILE):
+                    for b in range(0, len(at), topk.TILE):
+                        best.score(rows[a:a + topk.TILE], at[b:b + topk.TILE])
+            j, r, score = best.merged()
+            parts.append(topk._frame(qid[best.cols[j]], cid[r], score))
+        return pd.concat(parts, ignore_index=True)
 
     return run
 

@@ -5,7 +5,7 @@ one ``cogroup().applyInPandas`` call (``blocked``, the default), at any size of
 replicated once per query block and queries once per corpus block, nothing is broadcast, and no task holds
 more than one block of each. A block of a top-k has ``BLOCK_VALUES`` vector entries (65,536 vectors of 64
 dimensions, 5,461 of 768; 50 MB a side in Python), so vectors are replicated, and candidates leave a block, as
-seldom as memory allows. Inside a task the blocks are scored in tiles of ``TILE`` x ``TILE`` pairs with a
+seldom as memory allows; a large ``k`` makes blocks of fewer queries, so that about ``CANDIDATES`` rows leave one. Inside a task the blocks are scored in tiles of ``TILE`` x ``TILE`` pairs with a
 running top-k, so besides the two blocks a worker holds a few tiles of 4 or 8 MB. ``expr`` is the JVM-only form
 of the same blocks: an equi-join on the block pair and a cosine expression.
 
@@ -35,6 +35,8 @@ from ..functions.vectors import cosine
 DEFAULT_BLOCK_ROWS = 8192
 #: vector entries of one side's block of a top-k
 BLOCK_VALUES = 1 << 22
+#: rows that the queries of a block get from it at most, on average: a large ``k`` makes blocks of fewer queries
+CANDIDATES = 1 << 21
 #: fewest rows of a block when a small input is spread over the cluster
 LEAST_BLOCK_ROWS = 256
 TILE = 1024
@@ -222,6 +224,11 @@ class _Best:
         return self._exact(j, r)
 
 
+def tile_queries(k: int, at_most: int = TILE) -> int:
+    """Queries whose running first ``k`` a task keeps at a time."""
+    return max(1, min(at_most, CANDIDATES // (4 * k)))
+
+
 def _block_topk(k: int, exclude_self: bool):
     """Pandas function: score one corpus block against one query block, keep top-k per query."""
 
@@ -231,9 +238,9 @@ def _block_topk(k: int, exclude_self: bool):
         c, q = _Side(cdf["v"]), _Side(qdf["qv"])
         cid, qid = cdf["id"].to_numpy(dtype=np.int64), qdf["qid"].to_numpy(dtype=np.int64)
         rows, cols = _first_copies(c, cid, np.arange(len(cid)), k), np.flatnonzero(q.ok)
-        parts = [_frame()]
-        for b in range(0, len(cols), TILE):
-            best = _Best(c, cid, q, qid, cols[b:b + TILE], k, exclude_self)
+        parts, width = [_frame()], tile_queries(k)
+        for b in range(0, len(cols), width):
+            best = _Best(c, cid, q, qid, cols[b:b + width], k, exclude_self)
             every = np.arange(len(best.cols))
             for a in range(0, len(rows), TILE):
                 best.score(rows[a:a + TILE], every)
@@ -319,11 +326,12 @@ def _rows(df: DataFrame):
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def block_counts(c: DataFrame, counted: DataFrame, block_rows: int | None = None):
+def block_counts(c: DataFrame, counted: DataFrame, block_rows: int | None = None, k: int = 1):
     """(rows a block holds on average at most, corpus blocks, query blocks) as scalar subqueries.
 
     ``block_rows`` rows a block, or ``BLOCK_VALUES`` vector entries when it is None; fewer for a small input that would
-    leave cores idle. ``counted``: the rows that number the query blocks."""
+    leave cores idle, and fewer queries where each gets ``k`` rows from a block. ``counted``: the rows that number the
+    query blocks."""
     if block_rows:
         at_most, least = F.lit(block_rows), F.lit(min(block_rows, LEAST_BLOCK_ROWS))
     else:
@@ -331,8 +339,9 @@ def block_counts(c: DataFrame, counted: DataFrame, block_rows: int | None = None
         least = F.least(at_most, F.lit(LEAST_BLOCK_ROWS))
     rows, asked, cores = _rows(c), _rows(counted), F.lit(c.sparkSession.sparkContext.defaultParallelism)
     few = F.greatest(F.lit(1), F.ceil(rows / at_most))
+    asks = F.least(at_most, F.lit(max(1, CANDIDATES // k)))
     # queries are split further first: a corpus block more is one more list of candidates per query
-    qb = F.greatest(F.lit(1), F.ceil(asked / at_most), F.least(F.ceil(cores / few), F.ceil(asked / least))).cast("int")
+    qb = F.greatest(F.lit(1), F.ceil(asked / asks), F.least(F.ceil(cores / few), F.ceil(asked / least))).cast("int")
     cb = F.greatest(few, F.least(F.ceil(cores / qb), F.ceil(rows / least))).cast("int")
     return at_most, cb, qb
 
@@ -346,11 +355,13 @@ def block_partitions(spark) -> int:
 _PAIR = ["_at", "_cb", "_qb"]
 
 
-def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int | None, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int | None, counted: DataFrame, k: int = 1,
+                 whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """2-D blocks: corpus rows get a block id and are replicated once per query block, queries
     likewise; each (corpus block, query block) key meets once. Pairs are dealt to the partitions in turn: no task
-    gets two of them while another has none."""
-    _, cb, qb = block_counts(c, counted, block_rows)
+    gets two of them while another has none. ``whole``: the corpus is one block."""
+    _, cb, qb = block_counts(c, counted, block_rows, k)
+    cb = F.lit(1) if whole else cb
     n = block_partitions(c.sparkSession)
     c2 = (c.withColumn("_cb", F.pmod(F.xxhash64("id"), cb).cast("int"))
           .withColumn("_qb", F.explode(F.sequence(F.lit(0), qb - 1))))
@@ -360,8 +371,9 @@ def _block_pairs(c: DataFrame, q: DataFrame, block_rows: int | None, counted: Da
     return tuple(x.withColumn("_at", turn).repartitionById(n, F.col("_at")) for x in (c2, q2))
 
 
-def _cogroup(c: DataFrame, q: DataFrame, block_rows: int | None, fn, schema, counted: DataFrame | None = None) -> DataFrame:
-    c2, q2 = _block_pairs(c, q, block_rows, counted if counted is not None else q)
+def _cogroup(c: DataFrame, q: DataFrame, block_rows: int | None, fn, schema, counted: DataFrame | None = None, k: int = 1,
+             whole: bool = False) -> DataFrame:
+    c2, q2 = _block_pairs(c, q, block_rows, counted if counted is not None else q, k, whole)
     return c2.groupBy(_PAIR).cogroup(q2.groupBy(_PAIR)).applyInPandas(fn, schema=schema)
 
 
@@ -507,7 +519,7 @@ def topk_exact(corpus: DataFrame, queries: DataFrame, k: int = 20, *, id_col="id
     """Top-k corpus rows per query by cosine: ``(qid, id, score, rank)``."""
     if method == "blocked":
         cands = _cogroup(_corpus_vectors(corpus, id_col, vec_col), _query_vectors(queries, qid_col, qvec_col),
-                         block_rows, _block_topk(k, exclude_self), CAND_SCHEMA)
+                         block_rows, _block_topk(k, exclude_self), CAND_SCHEMA, k=k)
     else:
         cands = scored_pairs(corpus, queries, id_col=id_col, vec_col=vec_col, qid_col=qid_col, qvec_col=qvec_col,
                              exclude_self=exclude_self, method=method, block_rows=block_rows or DEFAULT_BLOCK_ROWS)

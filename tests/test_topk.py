@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -317,3 +318,65 @@ def test_rows_closer_than_single_precision_are_told_apart():
         assert len(best.found[0][0]) <= 4 * k * len(best.cols)
     for mask in (rng.random((7, 33)) < 0.05, np.zeros((1, 3), bool), np.ones((2, 9), bool)):
         assert (topk._hits(mask) == np.flatnonzero(mask)).all()
+
+
+def test_a_large_k_makes_small_blocks_of_queries(spark, monkeypatch):
+    """About ``CANDIDATES`` rows leave a block, however many rows each of its queries gets."""
+    c = _corpus(spark, n=400).select("id", F.col("embedding").alias("v"))
+    q = c.select(F.col("id").alias("qid"), F.col("v").alias("qv"))
+    monkeypatch.setattr(topk, "CANDIDATES", 1000)
+    for k, fewest in ((100, 40), (5000, 400)):
+        _, _, qb = topk.block_counts(c, q, None, k)
+        assert spark.range(1).select(qb).first()[0] == fewest
+    got = {}
+    for r in topk.topk_exact(c, q, 100, vec_col="v", qid_col="qid").orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["id"])
+    assert got == _brute(c.withColumnRenamed("v", "embedding"),
+                         q.select(F.col("qid").alias("incident_id"), "qv"), 100)
+
+
+def test_a_shelf_keeps_candidates_of_few_queries_at_a_time(monkeypatch):
+    rng, seen, real = np.random.default_rng(5), [], topk._Best
+    v = list(rng.normal(size=(500, 6)).astype(np.float32))
+    cdf = pd.DataFrame({"id": np.arange(500), "v": v, "list_id": (np.arange(500) % 5).astype(np.int32)})
+    qdf = pd.DataFrame({"qid": np.arange(500), "qv": v, "lists": [np.arange(i % 5 + 1, dtype=np.int32) for i in range(500)]})
+    whole = ann._shelf_topk(4, True)(cdf, qdf)
+
+    def best(c, cid, q, qid, cols, k, exclude_self):
+        seen.append(len(cols))
+        return real(c, cid, q, qid, cols, k, exclude_self)
+
+    monkeypatch.setattr(topk, "_Best", best)
+    monkeypatch.setattr(ann, "SHELF_QUERIES", 64)
+    parts = ann._shelf_topk(4, True)(cdf, qdf)
+    assert seen == [64] * 7 + [52]
+    key = ["qid", "score", "id"]
+    pd.testing.assert_frame_equal(whole.sort_values(key, ignore_index=True), parts.sort_values(key, ignore_index=True))
+
+
+def test_visits_leave_the_centroids_by_shelf(spark, monkeypatch):
+    """A row per query and shelf, not per list; repeated query ids share their probes, lists without rows are passed over."""
+    rng = np.random.default_rng(6)
+    vec = lambda: [float(x) for x in rng.normal(size=5).astype(np.float32)]
+    cents = spark.createDataFrame([(i, vec()) for i in range(40)] + [(40, None), (41, [0.0] * 5)], "list_id int, centroid array<float>")
+    shelves = spark.createDataFrame([(i, i // 4, 3 if i % 7 == 0 else 1) for i in range(39)], "list_id int, shelf int, wide int")
+    twice = vec()
+    q = spark.createDataFrame([(i, vec()) for i in range(30)] + [(3, vec()), (50, twice), (50, twice), (51, [0.0] * 5)],
+                              "qid long, qv array<float>")
+
+    def found(n_probe):
+        rows = [(r["qid"], r["_shelf"], tuple(sorted(r["lists"]))) for r in ann._visits(cents, shelves, q, n_probe).collect()]
+        assert len(rows) == len({x[:2] for x in rows})
+        return sorted(rows)
+
+    def plan(n_probe):
+        return ann._visits(cents, shelves, q, n_probe)._jdf.queryExecution().toString()
+
+    for n_probe in (7, 41):
+        monkeypatch.setattr(topk, "CANDIDATES", 100)
+        here = found(n_probe)
+        assert "Window" not in plan(n_probe)
+        with monkeypatch.context() as m:
+            m.setattr(topk, "BLOCK_VALUES", 100)
+            assert "Window" in plan(n_probe)
+            assert found(n_probe) == here
